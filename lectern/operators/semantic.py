@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.operators.block_topk import slices, topk
+from lectern.operators.block_topk import score_queries, slices, topk
 
 # Ranks below any real score: a zero vector has no angle, a missing one comes last.
 NO_ANGLE = -1e300
@@ -60,3 +60,37 @@ def semantic_topk(index: DataFrame, queries: DataFrame, k: int, **ways) -> DataF
     ranked = topk(index.select("doc_id", "embedding"), queries.select("qid", "embedding"), cosine_scorer, k, **ways)
     distance = F.when(F.col("score") > NO_ANGLE, -F.col("score"))
     return ranked.select("qid", "pos", "doc_id", distance.alias("dist"))
+
+
+def distance_summary(index: DataFrame, queries: DataFrame, **ways) -> DataFrame:
+    """``(qid, n, mean_dist, min_dist, max_dist)`` of each query against every vector that has an angle.
+
+    Distances are summed up inside each task; no query-vector pair leaves it.
+    """
+    schema = "qid bigint, n bigint, total double, low double, high double"
+
+    def reduce(batches, score, qids):
+        n, total = np.zeros(len(qids), dtype=np.int64), np.zeros(len(qids))
+        low, high = np.full(len(qids), np.inf), np.full(len(qids), -np.inf)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            for _, scores in score(batch):
+                real = scores > NO_ANGLE
+                distances = np.where(real, -scores, 0.0)
+                n += real.sum(axis=1)
+                total += distances.sum(axis=1)
+                low = np.minimum(low, np.where(real, distances, np.inf).min(axis=1))
+                high = np.maximum(high, np.where(real, distances, -np.inf).max(axis=1))
+        columns = {"qid": pa.array(qids, pa.int64()), "n": n, "total": total, "low": low, "high": high}
+        return pa.record_batch({name: pa.array(values) for name, values in columns.items()})
+
+    partial = score_queries(
+        index.select("doc_id", "embedding"), queries.select("qid", "embedding"), cosine_scorer, reduce, schema, **ways
+    )
+    return partial.groupBy("qid").agg(
+        F.sum("n").alias("n"),
+        F.try_divide(F.sum("total"), F.sum("n")).alias("mean_dist"),
+        F.min("low").alias("min_dist"),
+        F.max("high").alias("max_dist"),
+    )

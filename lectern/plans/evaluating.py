@@ -62,26 +62,26 @@ def run_experiments(
     (``experiment_name, num_chunks, llm``) takes its first rows. ``references``
     has ``qid`` beside its columns.
     """
-    spark = questions.sparkSession
-    table = F.broadcast(
-        spark.createDataFrame(
-            [(c["experiment_name"], c["num_chunks"], c["llm"]) for c in configs],
-            "experiment_name string, num_chunks int, llm string",
-        )
-    )
-    shared = materialize(contexts, "contexts")
-    parts = []
-    for c in configs:
-        rows = gather_contexts(questions, shared.where(F.col("pos") < c["num_chunks"]))
-        parts.append(rows.withColumn("experiment_name", F.lit(c["experiment_name"])))
-    retrieved = parts[0]
-    for part in parts[1:]:
-        retrieved = retrieved.unionByName(part)
-    answered = answer_batch(retrieved, model_factory, "", **calls).drop("llm").join(table, "experiment_name")
-    keyed = answered.withColumn("pos", F.struct("experiment_name", "qid"))
-    named = F.explode(F.array(*[F.lit(c["experiment_name"]) for c in configs]))
-    wanted = references.withColumn("experiment_name", named).withColumn("pos", F.struct("experiment_name", "qid"))
-    judged = materialize(
-        judge_answers(wanted, keyed, judge_factory, **calls).drop("pos"), "judged"
+    settings = F.array(
+        *[
+            F.struct(
+                F.lit(c["experiment_name"]).alias("experiment_name"),
+                F.lit(c["num_chunks"]).alias("num_chunks"),
+                F.lit(c["llm"]).alias("llm"),
+            )
+            for c in configs
+        ]
     )
+
+    def for_each_config(df: DataFrame) -> DataFrame:
+        return df.select("*", F.inline(settings))
+
+    keys = ("experiment_name", "qid", "llm")
+    cut = for_each_config(contexts).where(F.col("pos") < F.col("num_chunks"))
+    retrieved = gather_contexts(for_each_config(questions), cut, keys)
+    answered = answer_batch(retrieved.withColumnRenamed("llm", "_llm"), model_factory, "", **calls)
+    generated = answered.drop("llm").withColumnRenamed("_llm", "llm").withColumn("pos", F.struct("experiment_name", "qid"))
+    wanted = for_each_config(references).withColumn("pos", F.struct("experiment_name", "qid"))
+    judged = judge_answers(wanted, generated, judge_factory, **calls).drop("pos")
+    judged = materialize(judged, "judged")
     return evaluation_scores(judged), judged

@@ -55,18 +55,19 @@ def distinct_sources(contexts: DataFrame) -> DataFrame:
     return contexts.groupBy("qid").agg(F.array_sort(F.collect_set("source")).alias("sources"))
 
 
-def gather_contexts(questions: DataFrame, contexts: DataFrame) -> DataFrame:
-    """One row per question: ``qid, question, document_ids, texts, sources`` in rank order.
+def gather_contexts(questions: DataFrame, contexts: DataFrame, keys: tuple[str, ...] = ("qid",)) -> DataFrame:
+    """One row per question: its columns and ``document_ids, texts, sources`` in rank order.
 
     A question's context is at most its ``k`` rows; one without any keeps empty lists.
     """
-    lists = contexts.groupBy("qid").agg(
+    lists = contexts.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("pos", "doc_id", "text"))).alias("_c"),
         F.array_sort(F.collect_set("source")).alias("sources"),
     )
     none = F.array().cast("array<string>")
-    return questions.select("qid", "question").join(lists, "qid", "left").select(
-        "qid",
+    asked = questions.select(*keys, "question")
+    return asked.join(lists, list(keys), "left").select(
+        *keys,
         "question",
         F.coalesce("_c.doc_id", none.cast("array<bigint>")).alias("document_ids"),
         F.coalesce("_c.text", none).alias("texts"),
