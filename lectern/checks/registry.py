@@ -49,7 +49,7 @@ REF_SOURCE = f"case when length(question) % 5 = 0 then '' else {_P}conv_id % 7 a
 SOURCE_1 = f"{_P}length(question) % 7 as string) || '.html#a'"
 SOURCE_2 = f"{_P}turn % 7 as string) || '.html'"
 SOURCE_3 = f"{_P}length(answer) % 7 as string) || '.html#b'"
-REF_ANSWER = "case when length(answer) % 4 = 0 then '' else upper(question) end"
+REF_ANSWER = "case when length(answer) % 4 = 0 then '' else 're: ' || question end"
 RAW_JUDGE_SPARK = r"""case when length(question) % 11 = 0 then 'no score' when length(question) % 13 = 0 then 'n/a\nreason'
  else cast(length(answer) % 6 as string) || '\n\n' || 'because ' || cast(turn as string) end"""
 RAW_JUDGE_SQL = RAW_JUDGE_SPARK.replace("'n/a\\nreason'", "'n/a' || chr(10) || 'reason'").replace("'\\n\\n'", "chr(10) || chr(10)")

@@ -54,7 +54,7 @@ def explode_words(df: DataFrame, *kept: Column | str, tokens: Column | str, out:
 
 def split_camel_case(col: Column) -> Column:
     """A blank between a lower-case letter or digit and a capital."""
-    return squeeze_space(F.regexp_replace(col, "([a-z0-9])([A-Z])", "$1 $2"))
+    return squeeze_space(F.regexp_replace(col, "([A-Z])(?<=[a-z0-9].)", " $1"))
 
 
 def preprocess_text(col: Column, subwords: Callable[[Column], Column] | None = None) -> Column:
@@ -63,7 +63,7 @@ def preprocess_text(col: Column, subwords: Callable[[Column], Column] | None = N
     ``subwords`` maps the cleaned text to blank-joined pieces; the default
     lower-cases, as no subword vocabulary ships with this package.
     """
-    text = F.regexp_replace(col, rf"(?<=[\p{{L}}\p{{N}}_])([?.,!])(?![{UNICODE_SPACE}])", " $1")
+    text = F.regexp_replace(col, rf"([?.,!])(?<=[\p{{L}}\p{{N}}_].)(?![{UNICODE_SPACE}])", " $1")
     text = F.translate(text, "_-#", "   ")
     text = F.replace(text, F.lit(".html"), F.lit(""))
     text = F.replace(text, F.lit("."), F.lit(" "))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import preprocess_text
 from lectern.operators.rerank import OTHER, threshold_label
+from lectern.session import materialize
 
 # Word features; words are hashed, so every word counts and no vocabulary is gathered.
 FEATURES = 1 << 18
@@ -49,18 +50,18 @@ def train_tag_classifier(
     clean = examples.select(preprocess_text(F.col(text)).alias("clean"), F.col(tag).alias("tag"))
     words = Pipeline(
         stages=[
-            StringIndexer(inputCol="tag", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="keep"),
+            StringIndexer(inputCol="tag", outputCol="label", stringOrderType="alphabetAsc"),
             _tokenizer(),
             HashingTF(inputCol="words", outputCol="counts", numFeatures=features),
         ]
     ).fit(clean)
-    counted = words.transform(clean)
+    counted = materialize(words.transform(clean).select("counts", "label"), "counts")
     idf = IDF(inputCol="counts", outputCol="_idf").fit(counted).idf
     # The weight wanted is the library's idf plus one.
     weigh = ElementwiseProduct(inputCol="counts", outputCol="weighted", scalingVec=Vectors.dense(idf.toArray() + 1.0))
     scale = Normalizer(inputCol="weighted", outputCol="features", p=2.0)
     featured = scale.transform(weigh.transform(counted)).select("features", "label")
-    fitted = _logistic(featured.count(), max_iter).fit(featured)
+    fitted = _logistic(examples.count(), max_iter).fit(featured)
     return PipelineModel([words.stages[0], words.stages[1], words.stages[2], weigh, scale, fitted])
 
 
@@ -71,7 +72,7 @@ def train_router(examples: DataFrame, text: str = "question", target: str = "tar
         stages=[
             _tokenizer(),
             HashingTF(inputCol="words", outputCol="features", numFeatures=features),
-            _logistic(counted.count(), max_iter),
+            _logistic(examples.count(), max_iter),
         ]
     )
     return steps.fit(counted)
@@ -93,7 +94,7 @@ def labels_of(model: PipelineModel) -> list[str]:
 def predict_probabilities(model: PipelineModel, texts: DataFrame, text: str = "text") -> DataFrame:
     """All columns plus ``labels`` and ``probabilities`` in the same order."""
     names = labels_of(model)
-    ready = texts.withColumn("clean", preprocess_text(F.col(text))).withColumn("tag", F.lit(names[0]))
+    ready = texts.withColumn("clean", preprocess_text(F.col(text)))
     scored = PipelineModel(model.stages[1:]).transform(ready)
     return scored.select(
         *[F.col(c) for c in texts.columns],

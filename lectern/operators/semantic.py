@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from lectern.operators.block_topk import score_queries, slices, topk
 
 # Ranks below any real score: a zero vector has no angle, a missing one comes last.
-NO_ANGLE = -1e300
-NO_VECTOR = -2e300
+NO_ANGLE = -1e6
+NO_VECTOR = -2e6
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,7 +58,7 @@ def semantic_topk(index: DataFrame, queries: DataFrame, k: int, **ways) -> DataF
     Zero vectors, then missing ones, come after all others with a NULL distance.
     """
     ranked = topk(index.select("doc_id", "embedding"), queries.select("qid", "embedding"), cosine_scorer, k, **ways)
-    distance = F.when(F.col("score") > NO_ANGLE, -F.col("score"))
+    distance = F.when(F.col("score") > NO_ANGLE, 0.0 - F.col("score"))
     return ranked.select("qid", "pos", "doc_id", distance.alias("dist"))
 
 

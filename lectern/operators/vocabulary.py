@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import explode_words, letter_words
 from lectern.operators.joins import join_frequent_keys
+from lectern.session import materialize
 
 
 def unique_words(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -25,9 +26,13 @@ def model_words(text: Column) -> Column:
 
 
 def tfidf_weights(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(key, w, weight)``: ``tf * (ln((1 + n) / (1 + df)) + 1)``, unit length per document."""
-    tf = explode_words(documents, key, tokens=model_words(F.col(text))).groupBy("w", key).agg(F.count("*").alias("tf"))
-    df = tf.groupBy("w").agg(F.count("*").alias("df"))
+    """``(key, w, weight)``: ``tf * (ln((1 + n) / (1 + df)) + 1)``, unit length per document.
+
+    The counts are written once; frequent words stay where they are in the join.
+    """
+    tokens = explode_words(documents, key, tokens=model_words(F.col(text)))
+    tf = materialize(tokens.groupBy("w", key).agg(F.count("*").alias("tf")), "tf")
+    df = materialize(tf.groupBy("w").agg(F.count("*").alias("df")), "df")
     n = documents.agg(F.count("*").alias("n")).scalar()
     raw = F.col("tf") * (F.log((n + 1) / (F.col("df") + 1)) + 1)
     weighted = join_frequent_keys(tf, df, "w", "df").select(key, "w", raw.alias("raw"))
