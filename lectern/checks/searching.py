@@ -9,7 +9,7 @@ from lectern.functions.prompts import user_prompt
 from lectern.functions.text import bm25_query_tokens
 from lectern.functions.urls import url_tag
 from lectern.operators import lexical
-from lectern.operators.embedding import embed_chunks, embed_queries, unit_mean, vector_entries
+from lectern.operators.embedding import embed_chunks, embed_queries, mean_vectors, vector_entries
 from lectern.operators.evaluation import num_chunks_sweep, retrieved_hit_semi
 from lectern.operators.hybrid import attach_documents, hybrid_merge
 from lectern.operators.metrics import ir_metrics
@@ -82,7 +82,7 @@ def embedded_questions(t):
 
 
 def centroids(t):
-    return unit_mean(t.vectors, "label").select(F.col("label").cast("bigint").alias("qid"), "embedding")
+    return mean_vectors(t.vectors, "label").select(F.col("label").cast("bigint").alias("qid"), "embedding")
 
 
 def predictions(t):

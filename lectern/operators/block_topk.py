@@ -20,11 +20,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from lectern.session import materialize
 
 # Most queries that travel with the function; more go by blocks.
 MAX_CARRIED_QUERIES = 2048
 # Corpus rows per block when going by blocks.
-ROWS_PER_BLOCK = 100_000
+ROWS_PER_BLOCK = 20_000
+# The tasks' lists of a query are merged in this many groups first.
+TASK_GROUPS = 64
 # Score cells held at once by a task (8 bytes each).
 CELLS = 4_000_000
 # Scores are ranked by this many digits, so that equal rows tie in any summing order.
@@ -99,8 +105,11 @@ def scan_corpus(corpus: DataFrame, table: pa.Table, make_scorer, reduce, schema:
     return corpus.mapInArrow(run, schema)
 
 
-def join_blocks(corpus: DataFrame, queries: DataFrame, make_scorer, reduce, schema: str, per_block: int, rows_per_block: int) -> DataFrame:
+def join_blocks(
+    corpus: DataFrame, queries: DataFrame, make_scorer, reduce, schema: str, per_block: int, rows_per_block: int
+) -> DataFrame:
     """Every query block with every corpus block, each pair in one task."""
+    queries = materialize(queries, "queries")
     query_blocks = max(1, math.ceil(queries.count() / per_block))
     corpus_blocks = max(1, math.ceil(corpus.count() / rows_per_block))
 
@@ -120,10 +129,7 @@ def join_blocks(corpus: DataFrame, queries: DataFrame, make_scorer, reduce, sche
         batches = block_corpus.combine_chunks().to_batches()
         return pa.Table.from_batches([reduce(batches, make_scorer(block_queries), qids)])
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    arrow_schema = to_arrow_schema(_parse_datatype_string(schema))
+    arrow_schema = to_arrow_schema(StructType.fromDDL(schema))
     return (
         left.groupBy("_qb", "_cb")
         .cogroup(right.groupBy("_qb", "_cb"))
@@ -157,9 +163,11 @@ def topk(corpus: DataFrame, queries: DataFrame, make_scorer, k: int, **ways) ->
         partial = corpus.sparkSession.createDataFrame([], TOPK_SCHEMA)
     else:
         partial = score_queries(corpus, queries, make_scorer, reduce, TOPK_SCHEMA, **ways)
-    order = Window.partitionBy("qid").orderBy(F.col("score").desc(), "doc_id")
-    return (
-        partial.withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= k)
-        .select("qid", (F.col("_rank") - 1).alias("pos"), "doc_id", "score")
-    )
+
+    def keep_best(lists: DataFrame, *groups: str) -> DataFrame:
+        order = Window.partitionBy(*groups).orderBy(F.col("score").desc(), "doc_id")
+        return lists.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
+
+    grouped = partial.withColumn("_tasks", F.spark_partition_id() % TASK_GROUPS)
+    best = keep_best(keep_best(grouped, "qid", "_tasks"), "qid")
+    return best.select("qid", (F.col("_rank") - 1).alias("pos"), "doc_id", "score")

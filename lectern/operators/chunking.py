@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Tried in order; the empty one cuts between any two characters.
@@ -67,27 +67,48 @@ def chunk_sections(sections: DataFrame, size: int, overlap: int, text: str = "te
     return sections.select(*kept, F.posexplode(chunk_texts(size, overlap)(F.col(text))).alias("chunk_pos", text))
 
 
-def chunk_fixed(sections: DataFrame, size, overlap, text: str = "text") -> DataFrame:
+def last_window(length: Column, size: int | Column, overlap: int | Column) -> Column:
+    """Number of the last window: later ones would hold overlap only."""
+    return F.greatest(F.floor((length - overlap - 1) / (size - overlap)), F.lit(0))
+
+
+def chunk_fixed(sections: DataFrame, size: int, overlap: int, text: str = "text") -> DataFrame:
     """Fixed windows with starts ``0, size - overlap, ...``; none is overlap only.
 
-    ``size`` and ``overlap`` may be numbers or columns.
+    The text is cut once into pieces of ``size - overlap`` characters; a window
+    is its piece and the start of those after it, so long texts cost no more
+    per character than short ones.
     """
-    size, overlap = (v if hasattr(v, "cast") else F.lit(v) for v in (size, overlap))
-    kept = [c for c in sections.columns if c != text]
     step = size - overlap
-    last = F.greatest(F.floor((F.length(text) - overlap - 1) / step), F.lit(0)).cast("int")
-    starts = F.when(F.col(text).isNotNull(), F.sequence(F.lit(0), last))
-    return sections.select("*", F.explode(starts).alias("chunk_pos")).select(
-        *kept,
-        "chunk_pos",
-        F.substring(F.col(text), (F.col("chunk_pos") * step + 1).cast("int"), size.cast("int")).alias(text),
+    if step <= 0:
+        raise ValueError("overlap must be smaller than size")
+    pieces = F.regexp_extract_all(F.col(text), F.lit(f"(?s).{{1,{step}}}"), F.lit(0))
+    kept = [c for c in sections.columns if c != text]
+    cut = sections.where(F.col(text).isNotNull()).select(
+        *kept, pieces.alias("_p"), last_window(F.length(text), size, overlap).cast("int").alias("_last")
     )
+    spanned = -(-size // step)
+    windows = F.transform(
+        F.sequence(F.lit(0), F.col("_last")),
+        lambda i: F.left(F.array_join(F.slice("_p", i + 1, F.lit(spanned)), ""), F.lit(size)),
+    )
+    return cut.select(*kept, F.posexplode_outer(windows).alias("chunk_pos", text))
 
 
 def chunk_size_sweep(sections: DataFrame, sizes: list[int], overlap: int, text: str = "text") -> DataFrame:
-    """Chunk count and mean length for each size, in one pass over the sections."""
-    sized = sections.select(text, F.explode(F.array(*[F.lit(s) for s in sizes])).alias("chunk_size"))
-    chunks = chunk_fixed(sized, F.col("chunk_size"), overlap, text)
-    return chunks.groupBy("chunk_size").agg(
-        F.count("*").alias("n_chunks"), F.round(F.avg(F.length(text)), 6).alias("mean_length")
+    """``(chunk_size, n_chunks, mean_length)`` of fixed windows for each size, in one pass.
+
+    All windows but the last are full, so counts and lengths follow from the
+    text's length and no window has to be cut.
+    """
+    sized = sections.where(F.col(text).isNotNull()).select(
+        F.length(text).alias("_n"), F.explode(F.array(*[F.lit(s) for s in sizes])).alias("chunk_size")
+    )
+    size = F.col("chunk_size")
+    placed = sized.withColumn("_last", last_window(F.col("_n"), size, overlap))
+    chars = F.col("_last") * size + F.least(size, F.col("_n") - F.col("_last") * (size - overlap))
+    return (
+        placed.groupBy("chunk_size")
+        .agg(F.sum(F.col("_last") + 1).alias("n_chunks"), F.sum(chars).alias("_chars"))
+        .select("chunk_size", "n_chunks", F.round(F.col("_chars") / F.col("n_chunks"), 6).alias("mean_length"))
     )

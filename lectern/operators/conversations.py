@@ -33,7 +33,7 @@ def conversation_messages(turns: DataFrame, max_chars: int) -> DataFrame:
     A conversation longer than the model's context cannot be sent; it is marked
     and its texts are not gathered.
     """
-    sizes = turns.groupBy("conv_id").agg(F.sum(F.length("text")).alias("n_chars"))
+    sizes = turns.groupBy("conv_id").agg(F.sum(F.length("text") + 1).alias("n_chars"))
     too_long = sizes.select("conv_id", (F.col("n_chars") > max_chars).alias("too_long"))
     fitting = turns.join(too_long.where("not too_long"), "conv_id", "left_semi")
     gathered = fitting.groupBy("conv_id").agg(

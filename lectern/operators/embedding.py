@@ -8,7 +8,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructType
 
@@ -27,7 +29,7 @@ class HashedWords:
     def __init__(self, dim: int = 256):
         self.dim = dim
         self.encoder_id = f"hashed-words-{dim}"
-        self.batch_rows = 10_000
+        self.batch_rows = max(BATCH_ROWS, 2_560_000 // dim)
 
     def __call__(self) -> Encoder:
         return self.encode
@@ -91,9 +93,7 @@ def vector_entries(df: DataFrame, key: str, vector: str = "embedding") -> DataFr
     return df.select(key, F.posexplode(vector).alias("pos", "value")).where("value <> 0")
 
 
-def unit_mean(vectors: DataFrame, by: Column | str, vector: str = "embedding") -> DataFrame:
-    """Mean vector per group, averaged entry by entry (no group is gathered)."""
-    entries = vectors.select(by, F.posexplode(vector).alias("pos", "value"))
-    means = entries.groupBy(by, "pos").agg(F.avg(F.col("value").cast("double")).alias("value"))
-    packed = means.groupBy(by).agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("_v"))
-    return packed.select(by, F.col("_v.value").alias(vector))
+def mean_vectors(vectors: DataFrame, by: str, vector: str = "embedding") -> DataFrame:
+    """``(by, vector)``: mean vector per group, with partial means in every task."""
+    mean = Summarizer.mean(array_to_vector(vector))
+    return vectors.groupBy(by).agg(vector_to_array(mean).alias(vector))

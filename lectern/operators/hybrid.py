@@ -31,4 +31,4 @@ def hybrid_merge(semantic: DataFrame, lexical: DataFrame, lexical_k: int) -> Dat
 
 def attach_documents(results: DataFrame, documents: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Result rows with their documents' columns; the corpus stays unshuffled while results are few."""
-    return documents.join(broadcast_if_small(results, max_rows), "doc_id")
+    return documents.join(broadcast_if_small(results, max_rows, settle="results"), "doc_id")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.session import materialize
+
 # Most rows of a side that is sent to every executor.
 MAX_BROADCAST_ROWS = 500_000
 # Most frequent keys that are joined apart from the rest.
@@ -16,8 +18,14 @@ def has_at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Marks ``df`` for broadcast once its size is known to be small."""
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, settle: str | None = None) -> DataFrame:
+    """Marks ``df`` (narrow rows: keys and numbers) for broadcast once its size is known to be small.
+
+    With ``settle`` the rows are written to the shared folder under that name
+    first, so that counting a costly result does not compute it twice.
+    """
+    if settle:
+        df = materialize(df, settle)
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
@@ -35,3 +43,10 @@ def join_frequent_keys(rows: DataFrame, keyed: DataFrame, key: str, frequency: s
         keyed.join(F.broadcast(names), key, "left_anti"), key
     )
     return in_place.unionByName(shuffled)
+
+
+def join_words(rows: DataFrame, keyed: DataFrame, key: str, frequency: str, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Inner join of word rows with a word table; the word table is broadcast while it is small."""
+    if has_at_most(keyed, max_rows):
+        return rows.join(F.broadcast(keyed), key)
+    return join_frequent_keys(rows, keyed, key, frequency)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import bm25_corpus_tokens, bm25_query_tokens, explode_words
 from lectern.operators.block_topk import CELLS, score_queries, topk
+from lectern.operators.joins import broadcast_if_small, join_words
 from lectern.session import materialize, path_exists
 
 # The usual BM25 constants.
@@ -122,9 +123,10 @@ def postings_join(index: LexicalIndex, query_terms: DataFrame) -> DataFrame:
     The words are cut down by the term table first, so the side joined to the
     corpus holds at most one row per known question word.
     """
-    asked = index.terms.join(query_terms.select("w").distinct(), "w", "left_semi").select("w", "idf")
+    words = broadcast_if_small(query_terms.select("w").distinct())
+    asked = materialize(index.terms.join(words, "w", "left_semi"), "asked")
     tokens = explode_words(index.docs, "doc_id", tokens="tokens")
-    return tokens.join(asked, "w").groupBy("w", "doc_id", "idf").agg(F.count("*").alias("tf"))
+    return join_words(tokens, asked, "w", "df").groupBy("w", "doc_id", "idf").agg(F.count("*").alias("tf"))
 
 
 def bm25_scorer(k1: float, b: float, avgdl: float):
@@ -172,7 +174,7 @@ def bm25_scorer(k1: float, b: float, avgdl: float):
 
 def weigh_queries(index: LexicalIndex, questions: DataFrame, query_terms: DataFrame) -> DataFrame:
     """``(qid, terms)``: each question's known words with count and idf; none drops out."""
-    known = query_terms.join(index.terms.select("w", "idf"), "w")
+    known = index.terms.select("w", "idf").join(broadcast_if_small(query_terms), "w")
     weighed = known.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("w", "qtf", "idf"))).alias("terms"))
     return questions.select("qid").join(weighed, "qid", "left").select(
         "qid", F.coalesce("terms", F.array().cast("array<struct<w:string,qtf:bigint,idf:double>>")).alias("terms")

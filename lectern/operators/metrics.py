@@ -69,7 +69,7 @@ def ir_metrics(ranked: DataFrame, relevant: DataFrame, cutoffs: tuple[int, ...]
     """
     sizes = relevant.groupBy("qid").agg(F.count("*").alias("n_relevant"))
     listed = ranked.where("pos < 100").select("qid", "pos", "doc_id")
-    hits = relevant.join(broadcast_if_small(listed), ["qid", "doc_id"]).select("qid", "pos")
+    hits = relevant.join(broadcast_if_small(listed, settle="ranked"), ["qid", "doc_id"]).select("qid", "pos")
 
     ordered = Window.partitionBy("qid").orderBy("pos")
     hits = hits.withColumn("nth", F.row_number().over(ordered))

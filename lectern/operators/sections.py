@@ -10,25 +10,33 @@ from pyspark.sql import functions as F
 
 from lectern.functions.html import block_texts, read_elements, strip_markup
 from lectern.functions.urls import anchor_of, strip_anchor
+from lectern.operators.joins import broadcast_if_small
+
+# Pages parsed before their rows are handed on.
+PAGES_AT_ONCE = 256
 
 ELEMENTS_SCHEMA = "url string, pos int, tag string, element_id string, direct_text string, full_text string"
 
 
 def read_page_elements(pages: DataFrame, section_tag: str = "section", only_sections: bool = False) -> DataFrame:
-    """One row per element with an id; the page itself comes as ``pos`` 0 with tag ``''``."""
+    """One row per element with an id.
+
+    With ``only_sections`` the sections and their direct texts; else all
+    elements with their full texts, and the page itself as ``pos`` 0.
+    """
+
+    def page_rows(url, html):
+        elements, whole = read_elements(html or "", section_tag)
+        if only_sections:
+            return [(url, pos, tag, i, direct, None) for pos, tag, i, direct, _ in elements if tag == section_tag]
+        return [(url, 0, "", None, None, whole), *[(url, pos, tag, i, None, full) for pos, tag, i, _, full in elements]]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for url, html in zip(batch["url"], batch["html"]):
-                elements, whole = read_elements(html or "", section_tag)
-                if not only_sections:
-                    rows.append((url, 0, "", None, None, whole))
-                for pos, tag, element_id, direct, full in elements:
-                    if only_sections and tag != section_tag:
-                        continue
-                    rows.append((url, pos, tag, element_id, direct, None if only_sections else full))
-            yield pd.DataFrame(rows, columns=["url", "pos", "tag", "element_id", "direct_text", "full_text"])
+            for start in range(0, len(batch), PAGES_AT_ONCE):
+                some = batch.iloc[start : start + PAGES_AT_ONCE]
+                rows = [row for url, html in zip(some["url"], some["html"]) for row in page_rows(url, html)]
+                yield pd.DataFrame(rows, columns=["url", "pos", "tag", "element_id", "direct_text", "full_text"])
 
     return pages.select("url", "html").mapInPandas(read, ELEMENTS_SCHEMA)
 
@@ -65,7 +73,7 @@ def fetch_text(questions: DataFrame, pages: DataFrame, source: str = "source") -
     """
     asked = questions.withColumn("_url", strip_anchor(F.col(source))).withColumn("_anchor", anchor_of(F.col(source)))
     wanted = asked.select("_url", F.coalesce("_anchor", F.lit("")).alias("_anchor")).distinct()
-    named = pages.join(wanted.select(F.col("_url").alias("url")).distinct(), "url", "left_semi")
+    named = pages.join(broadcast_if_small(wanted.select(F.col("_url").alias("url")).distinct()), "url", "left_semi")
     elements = read_page_elements(named)
 
     whole = elements.where("pos = 0").select(F.col("url").alias("_url"), F.col("full_text").alias("_page_text"))

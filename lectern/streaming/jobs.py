@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lectern.session import path_exists
+from lectern.operators.joins import broadcast_if_small
+from lectern.session import materialize, path_exists
 from lectern.sources.records import answer_log_rows
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_batch(rows: DataFrame, path: str, batch_id: int, partition_by: str | None = None) -> None:
+    """The batch's own folder, replaced if the batch runs again."""
+    writer = rows.write.partitionBy(partition_by) if partition_by else rows.write
+    writer.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def stream_answer_queries(
@@ -39,15 +42,36 @@ def stream_answer_queries(
     )
 
 
+KEYS = ["source", "section_pos", "chunk_pos", "text_hash"]
+KEYS_SCHEMA = "source string, section_pos int, chunk_pos int, text_hash bigint, bucket int, batch_id bigint"
+# Index folders per batch; a source always falls into the same one.
+SOURCE_BUCKETS = 256
+
+
 def new_chunks(chunks: DataFrame, index: DataFrame | None) -> DataFrame:
-    """Chunks whose ``(source, chunk_pos, text hash)`` the index lacks, each once."""
-    keys = ["source", "section_pos", "chunk_pos", "text_hash"]
-    fresh = chunks.withColumn("text_hash", F.xxhash64("text")).dropDuplicates(keys)
-    return fresh if index is None else fresh.join(index.select(*keys), keys, "left_anti")
+    """Chunks whose ``(source, section_pos, chunk_pos, text hash)`` the index lacks, each once.
+
+    The index is only probed with the batch's keys, and only in the buckets
+    that the batch touches; it is not shuffled while the batch is small.
+    """
+    hashed = chunks.withColumn("text_hash", F.xxhash64("text")).withColumn(
+        "bucket", F.pmod(F.xxhash64("source"), F.lit(SOURCE_BUCKETS)).cast("int")
+    )
+    fresh = materialize(hashed.dropDuplicates(KEYS), "chunks")
+    if index is None:
+        return fresh
+    touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]
+    near = index.where(F.col("bucket").isin(touched)).select(*KEYS)
+    seen = near.join(broadcast_if_small(fresh.select(*KEYS)), KEYS, "left_semi").distinct()
+    return fresh.join(seen, KEYS, "left_anti")
 
 
 def stream_index_pages(
-    pages: DataFrame, chunk: Callable[[DataFrame], DataFrame], embed: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+    pages: DataFrame,
+    chunk: Callable[[DataFrame], DataFrame],
+    embed: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
 ) -> StreamingQuery:
     """Chunk, embed and append streamed pages; chunks already stored are left out.
 
@@ -59,9 +83,11 @@ def stream_index_pages(
         spark = batch.sparkSession
         stored = None
         if batch_id > 0 and path_exists(spark, f"{path}/batch_id=0"):
-            stored = spark.read.parquet(path).where(F.col("batch_id") < batch_id)
+            stored = spark.read.schema(KEYS_SCHEMA).parquet(path).where(F.col("batch_id") < batch_id)
         rows = embed(new_chunks(chunk(batch), stored))
-        write_batch(rows.withColumn("id", F.xxhash64("source", "section_pos", "chunk_pos")), path, batch_id)
+        numbered = rows.withColumn("id", F.xxhash64("source", "section_pos", "chunk_pos"))
+        # By position too, so that a long section does not fill one task.
+        write_batch(numbered.repartition("bucket", "chunk_pos"), path, batch_id, partition_by="bucket")
 
     return (
         pages.writeStream.foreachBatch(handle)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.operators import lexical
-from lectern.operators.embedding import HashedWords, embed, embed_chunks, unit_mean
+from lectern.operators.embedding import HashedWords, embed, embed_chunks, mean_vectors
 from lectern.operators.hybrid import attach_documents, hybrid_merge
 from lectern.operators.rerank import rerank_by_tag, rerank_truncate
 from lectern.operators.semantic import distance_summary, semantic_topk
@@ -181,9 +181,9 @@ def test_own_encoder_is_made_once_per_task_and_fed_in_batches(spark):
     assert sorted(tuple(r[0]) for r in sizes) == [(1.0, 100.0), (2.0, 100.0), (3.0, 50.0)]
 
 
-def test_unit_mean(spark):
+def test_mean_vectors(spark):
     df = spark.createDataFrame([("a", [1.0, 0.0]), ("a", [0.0, 1.0]), ("b", [2.0, 2.0])], "k string, embedding array<float>")
-    assert rows(unit_mean(df, "k")) == [("a", [0.5, 0.5]), ("b", [2.0, 2.0])]
+    assert rows(mean_vectors(df, "k")) == [("a", [0.5, 0.5]), ("b", [2.0, 2.0])]
 
 
 # -- merge and rerank --------------------------------------------------------------
