@@ -128,7 +128,7 @@ LABELLED_CTE = f"labelled AS (SELECT doc_id, lang AS actual, {guessed_language_s
 
 def labelled(t):
     guess = guessed_language(words(F.lower("text")))
-    return t.documents.select("doc_id", F.col("lang").alias("actual"), guess.alias("predicted"))
+    return t.texts.select("doc_id", F.col("lang").alias("actual"), guess.alias("predicted"))
 
 
 @check(
@@ -182,7 +182,7 @@ r AS (SELECT doc_id, w, tf * (ln((1 + n) / (1 + df)) + 1) AS raw FROM tf JOIN df
 SELECT doc_id, w, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM r""",
 )
 def tfidf_weights(t):
-    return vocabulary.tfidf_weights(t.documents).withColumn("weight", F.round("weight", 6))
+    return vocabulary.tfidf_weights(t.texts).withColumn("weight", F.round("weight", 6))
 
 
 # -- splits and ids ----------------------------------------------------------------

@@ -18,14 +18,14 @@ from lectern.session import scratch_path
 
 
 def tag_model(t):
-    return classifier.train_tag_classifier(t.documents, tag="lang", features=1 << 16, max_iter=20)
+    return classifier.train_tag_classifier(t.texts, tag="lang", features=1 << 16, max_iter=20)
 
 
 @check("train_tag_classifier")
 def train_tag_classifier(t):
     path = scratch_path(t.spark, "tag-model")
     classifier.save_model(tag_model(t), path)
-    return classifier.predict_probabilities(classifier.load_model(path), t.documents.select("doc_id", "text")).select(
+    return classifier.predict_probabilities(classifier.load_model(path), t.texts.select("doc_id", "text")).select(
         "doc_id", F.array_join("labels", ",").alias("labels"), F.round(F.array_max("probabilities"), 3).alias("best")
     )
 
@@ -37,17 +37,17 @@ def predict_tag(t):
 
 @check("predict_proba_ranked")
 def predict_proba_ranked(t):
-    return classifier.predict_proba_ranked(tag_model(t), t.documents, "doc_id").withColumn("probability", F.round("probability", 3))
+    return classifier.predict_proba_ranked(tag_model(t), t.texts, "doc_id").withColumn("probability", F.round("probability", 3))
 
 
 @check("minimum_functionality_checks")
 def minimum_functionality_checks(t):
-    expected = t.documents.select(F.col("text").alias("question"), F.col("lang").alias("tag"), "doc_id")
+    expected = t.texts.select(F.col("text").alias("question"), F.col("lang").alias("tag"), "doc_id")
     return classifier.minimum_functionality_checks(tag_model(t), expected).select("doc_id", "tag", "predicted_tag")
 
 
 def router(t):
-    labelled = t.documents.join(t.labels, "doc_id").select(F.col("text").alias("question"), F.col("quality").alias("target"))
+    labelled = t.texts.join(t.labels, "doc_id").select(F.col("text").alias("question"), F.col("quality").alias("target"))
     return classifier.train_router(labelled, features=1 << 16, max_iter=20)
 
 
@@ -56,7 +56,7 @@ def train_router(t):
     path = scratch_path(t.spark, "router")
     classifier.save_model(router(t), path)
     model = classifier.load_model(path)
-    return classifier.route_queries(model, t.documents.select("doc_id", F.col("text").alias("question")), "open", "closed").select(
+    return classifier.route_queries(model, t.texts.select("doc_id", F.col("text").alias("question")), "open", "closed").select(
         "doc_id", "routed", "llm"
     )
 
@@ -87,7 +87,7 @@ def sourced_questions(t):
     """One question per labelled document, its source being the document's own section."""
     from lectern.checks.registry import DOC_URL
 
-    pages = t.documents.select("doc_id", F.expr(DOC_URL).alias("_url"), F.expr("substring(text, 1, 80)").alias("question"))
+    pages = t.texts.select("doc_id", F.expr(DOC_URL).alias("_url"), F.expr("substring(text, 1, 80)").alias("question"))
     anchor = F.concat(F.lit("#d"), F.col("doc_id").cast("string"))
     return t.labels.select("doc_id").join(pages, "doc_id").select("doc_id", "question", F.concat("_url", anchor).alias("source"))
 

@@ -103,22 +103,32 @@ class Tables:
 
     @cached_property
     def documents(self) -> DataFrame:
+        return self.load("documents")
+
+    @cached_property
+    def texts(self) -> DataFrame:
+        """The documents for work on whole texts, on all cores even when they are one file."""
         return self.load("documents", "doc_id")
 
     @cached_property
     def docs(self) -> DataFrame:
         """doc_id, text, lang, tag, n_chars and a URL as source."""
-        return self.documents.select(
+        return self.texts.select(
             "doc_id", "text", "lang", F.col("source").alias("tag"), "n_chars", F.expr(DOC_SOURCE).alias("source")
         )
 
     @cached_property
     def doc_pages(self) -> DataFrame:
         """Each document as an HTML page with sections."""
-        return self.documents.select("doc_id", F.expr(DOC_URL).alias("url"), F.expr(DOC_HTML).alias("html"))
+        return self.texts.select("doc_id", F.expr(DOC_URL).alias("url"), F.expr(DOC_HTML).alias("html"))
 
     @cached_property
     def pages(self) -> DataFrame:
+        return self.load("pages")
+
+    @cached_property
+    def page_texts(self) -> DataFrame:
+        """The pages for work on whole texts."""
         return self.load("pages", "page_id")
 
     @cached_property

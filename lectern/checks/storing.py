@@ -22,17 +22,22 @@ from lectern.streaming import jobs
 DIM = 64
 
 
-@check("scan_html_pages", "SELECT md5(html) AS digest, length(html) AS n_chars, count(*) AS n FROM pages GROUP BY ALL")
+@check(
+    "scan_html_pages",
+    """SELECT page_id // 100 AS shard, md5(html) AS digest, length(html) AS n_chars, count(*) AS n FROM pages GROUP BY ALL""",
+)
 def scan_html_pages_check(t):
-    """Pages written as text files with an HTML name, then scanned."""
+    """Pages written a hundred to a file, one per line, and scanned file by file."""
     folder = scratch_path(t.spark, "html")
-    (
-        t.pages.select(F.regexp_replace("html", "\r?\n", "\x1e").alias("html"), (F.col("page_id") % 10).alias("shard"))
-        .write.partitionBy("shard").format("text").save(folder)
+    shards = t.pages.select(
+        F.regexp_replace("html", "\n", "\x1e").alias("html"), F.floor(F.col("page_id") / 100).alias("shard")
     )
-    lines = t.spark.read.option("recursiveFileLookup", "true").text(folder)
-    html = lines.select(F.regexp_replace("value", "\x1e", "\n").alias("html"))
-    return html.groupBy(F.md5("html").alias("digest"), F.length("html").alias("n_chars")).agg(F.count("*").alias("n"))
+    shards.repartition("shard").write.partitionBy("shard").option("lineSep", "\x1d").text(folder)
+    files = scan_html_pages(t.spark, folder, "shard=", pattern="*.txt")
+    shard = F.regexp_extract("url", "^https://shard=(\\d+)/", 1).cast("bigint")
+    pages = files.select(shard.alias("shard"), F.explode(F.split("html", "\x1d")).alias("html")).where("html <> ''")
+    html = pages.select("shard", F.regexp_replace("html", "\x1e", "\n").alias("html"))
+    return html.groupBy("shard", F.md5("html").alias("digest"), F.length("html").alias("n_chars")).agg(F.count("*").alias("n"))
 
 
 def embedded_documents(t):
@@ -103,8 +108,8 @@ def write_lexical_index(t):
 SELECT 'blocks', sum(len(regexp_split_to_array({SQL_BLANKED.format('html')}, '(?i)<p(?:\\s[^>]*)?>')) - 1)::bigint FROM pages""",
 )
 def count_rows(t):
-    chunks = chunk_fixed(t.documents.select("doc_id", "text"), 700, 50)
-    return index_store.count_rows(documents=t.documents, chunks=chunks, blocks=page_blocks(t.pages))
+    chunks = chunk_fixed(t.texts.select("doc_id", "text"), 700, 50)
+    return index_store.count_rows(documents=t.documents, chunks=chunks, blocks=page_blocks(t.page_texts))
 
 
 @check("scan_questions_jsonl", "SELECT text AS question, 'item-' || item_id AS source FROM benchmark")
@@ -232,7 +237,8 @@ def stream_index_pages(t):
         return chunk_sections(extract_sections(batch).withColumnRenamed("pos", "section_pos"), 700, 50)
 
     stream = t.spark.readStream.schema(pages.schema).parquet(inbox)
-    jobs.stream_index_pages(stream, chunk, lambda rows: embed_chunks(rows, HashedWords(DIM)), index, checkpoint).awaitTermination()
+    encode = lambda rows: embed_chunks(rows, HashedWords(DIM))
+    jobs.stream_index_pages(stream, chunk, encode, index, checkpoint, buckets=8).awaitTermination()
     return t.spark.read.parquet(index).select("id", "source", "chunk_pos", F.length("text").alias("n_chars"))
 
 

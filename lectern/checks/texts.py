@@ -70,7 +70,7 @@ def filter_sections_with_id(t):
 
 @check("page_text", f"SELECT page_id, {strip_markup_sql('html')} AS text FROM pages")
 def page_text(t):
-    return sections.page_text(t.pages)
+    return sections.page_text(t.page_texts)
 
 
 @check(
@@ -80,7 +80,7 @@ b AS (SELECT page_id, url, unnest(parts) AS part, generate_subscripts(parts, 1)
 SELECT page_id, url, pos, {strip_markup_sql('part')} AS text FROM b""",
 )
 def page_blocks(t):
-    return sections.page_blocks(t.pages)
+    return sections.page_blocks(t.page_texts)
 
 
 def _label_questions(t):
@@ -163,7 +163,7 @@ def section_lengths(t):
 
 @check("chunk_sections")
 def chunk_sections(t):
-    return chunking.chunk_sections(t.documents.select("doc_id", "text"), 700, 50)
+    return chunking.chunk_sections(t.texts.select("doc_id", "text"), 700, 50)
 
 
 CHUNK_SQL = """SELECT doc_id, i AS chunk_pos, substr(text, i * 650 + 1, 700) AS text FROM
@@ -172,7 +172,7 @@ CHUNK_SQL = """SELECT doc_id, i AS chunk_pos, substr(text, i * 650 + 1, 700) AS
 
 @check("chunk_fixed", CHUNK_SQL)
 def chunk_fixed(t):
-    return chunking.chunk_fixed(t.documents.select("doc_id", "text"), 700, 50)
+    return chunking.chunk_fixed(t.texts.select("doc_id", "text"), 700, 50)
 
 
 @check(
@@ -193,7 +193,7 @@ CAMEL = r"trim(regexp_replace(regexp_replace({0}, '([a-z0-9])([A-Z])', '\1 \2',
 
 @check("split_camel_case", f"SELECT page_id, {CAMEL.format('html')} AS text FROM pages")
 def split_camel_case(t):
-    return t.pages.select("page_id", text.split_camel_case(F.col("html")).alias("text"))
+    return t.page_texts.select("page_id", text.split_camel_case(F.col("html")).alias("text"))
 
 
 _PUNCT = r"regexp_replace({0}, '([\p{{L}}\p{{N}}_])([?.,!])([^\s]|$)', '\1 \2\3', 'g')"
@@ -202,7 +202,7 @@ _SEPARATED = f"replace(replace(replace(replace(replace({_PUNCT.format(_PUNCT.for
 
 @check("preprocess_text", f"SELECT doc_id, lower({CAMEL.format(_SEPARATED)}) AS text FROM documents")
 def preprocess_text(t):
-    return t.documents.select("doc_id", text.preprocess_text(F.col("text")).alias("text"))
+    return t.texts.select("doc_id", text.preprocess_text(F.col("text")).alias("text"))
 
 
 @check(
@@ -210,7 +210,7 @@ def preprocess_text(t):
     f"SELECT doc_id, len({TOKENS.format('text')}) AS n, array_to_string({TOKENS.format('text')}, ' ') AS tokens FROM documents",
 )
 def bm25_corpus_tokens(t):
-    tokens = t.documents.select("doc_id", text.bm25_corpus_tokens(F.col("text")).alias("t"))
+    tokens = t.texts.select("doc_id", text.bm25_corpus_tokens(F.col("text")).alias("t"))
     return tokens.select("doc_id", F.size("t").alias("n"), F.array_join("t", " ").alias("tokens"))
 
 
@@ -229,7 +229,7 @@ WHERE regexp_full_match(w, '[a-zA-Z]+')"""
 
 @check("unique_words", UNIQUE_SQL)
 def unique_words(t):
-    return vocabulary.unique_words(t.documents)
+    return vocabulary.unique_words(t.texts)
 
 
 @check(
@@ -238,7 +238,7 @@ def unique_words(t):
 )
 def oov_words(t):
     known = text.explode_words(t.turns, tokens=text.bm25_corpus_tokens(F.col("text")), out="word").distinct()
-    return vocabulary.oov_words(vocabulary.unique_words(t.documents), known)
+    return vocabulary.oov_words(vocabulary.unique_words(t.texts), known)
 
 
 @check(

@@ -20,21 +20,22 @@ def ranked_by_bucket(df: DataFrame, bucket: str, order_by: list, groups: list[st
 
     ``bucket`` must not fall when ``order_by`` rises.
     """
-    groups = groups or []
-    counts = df.groupBy(*groups, bucket).agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    # One struct as key: its fields may be NULL and still match.
+    keyed = df.withColumn("_key", F.struct(*(groups or []), bucket))
+    counts = keyed.groupBy("_key").agg(F.count("*").alias("_n"))
+    group = Window.partitionBy(*[F.col(f"_key.{g}") for g in groups or []])
+    earlier = group.orderBy(F.col(f"_key.{bucket}")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *groups,
-        bucket,
+        "_key",
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy(*groups)).alias("_total"),
+        F.sum("_n").over(group).alias("_total"),
     )
-    within = Window.partitionBy(*groups, bucket).orderBy(*order_by)
+    within = Window.partitionBy("_key").orderBy(*order_by)
     return (
-        df.withColumn("_at", F.row_number().over(within))
-        .join(offsets, [*groups, bucket])
+        keyed.withColumn("_at", F.row_number().over(within))
+        .join(offsets, "_key")
         .withColumn("_rank", F.col("_before") + F.col("_at"))
-        .drop("_at", "_before")
+        .drop("_at", "_before", "_key")
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lectern.functions.html import block_texts, read_elements, strip_markup
 from lectern.functions.urls import anchor_of, strip_anchor
 from lectern.operators.joins import broadcast_if_small
+from lectern.session import materialize
 
 # Pages parsed before their rows are handed on.
 PAGES_AT_ONCE = 256
@@ -74,16 +75,16 @@ def fetch_text(questions: DataFrame, pages: DataFrame, source: str = "source") -
     asked = questions.withColumn("_url", strip_anchor(F.col(source))).withColumn("_anchor", anchor_of(F.col(source)))
     wanted = asked.select("_url", F.coalesce("_anchor", F.lit("")).alias("_anchor")).distinct()
     named = pages.join(broadcast_if_small(wanted.select(F.col("_url").alias("url")).distinct()), "url", "left_semi")
-    elements = read_page_elements(named)
-
-    whole = elements.where("pos = 0").select(F.col("url").alias("_url"), F.col("full_text").alias("_page_text"))
-    anchored = (
-        elements.where("pos > 0")
-        .select(F.col("url").alias("_url"), F.col("element_id").alias("_anchor"), "pos", "full_text")
-        .join(wanted, ["_url", "_anchor"], "left_semi")
-        .groupBy("_url", "_anchor")
-        .agg(F.min_by("full_text", "pos").alias("_element_text"))
+    elements = read_page_elements(named).select(
+        F.col("url").alias("_url"), F.coalesce("element_id", F.lit("")).alias("_anchor"), "pos", "full_text"
     )
+    # The page itself has no anchor; every question may fall back to it.
+    keys = wanted.unionByName(wanted.select("_url", F.lit("").alias("_anchor"))).distinct()
+    texts = elements.join(broadcast_if_small(keys), ["_url", "_anchor"], "left_semi")
+    texts = materialize(texts.groupBy("_url", "_anchor").agg(F.min_by("full_text", "pos").alias("_text")), "texts")
+
+    anchored = texts.where("_anchor <> ''").withColumnRenamed("_text", "_element_text")
+    whole = texts.where("_anchor = ''").select("_url", F.col("_text").alias("_page_text"))
     return (
         asked.join(anchored, ["_url", "_anchor"], "left")
         .join(whole, "_url", "left")

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from lectern.functions.urls import path_to_uri
 
 
-def scan_html_pages(spark: SparkSession, folder: str, domain: str | None = None) -> DataFrame:
-    """``(path, url, html)``: one row per ``*.html`` file at any depth.
+def scan_html_pages(spark: SparkSession, folder: str, domain: str | None = None, pattern: str = "*.html") -> DataFrame:
+    """``(path, url, html)``: one row per file at any depth whose name fits ``pattern``.
 
     ``url`` is built from the part of the path after ``domain``; without one it is the path.
     """
     files = (
         spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.html")
+        .option("pathGlobFilter", pattern)
         .text(folder, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("html"))
     )

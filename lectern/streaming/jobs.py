@@ -48,14 +48,14 @@ KEYS_SCHEMA = "source string, section_pos int, chunk_pos int, text_hash bigint,
 SOURCE_BUCKETS = 256
 
 
-def new_chunks(chunks: DataFrame, index: DataFrame | None) -> DataFrame:
+def new_chunks(chunks: DataFrame, index: DataFrame | None, buckets: int = SOURCE_BUCKETS) -> DataFrame:
     """Chunks whose ``(source, section_pos, chunk_pos, text hash)`` the index lacks, each once.
 
     The index is only probed with the batch's keys, and only in the buckets
     that the batch touches; it is not shuffled while the batch is small.
     """
     hashed = chunks.withColumn("text_hash", F.xxhash64("text")).withColumn(
-        "bucket", F.pmod(F.xxhash64("source"), F.lit(SOURCE_BUCKETS)).cast("int")
+        "bucket", F.pmod(F.xxhash64("source"), F.lit(buckets)).cast("int")
     )
     fresh = materialize(hashed.dropDuplicates(KEYS), "chunks")
     if index is None:
@@ -72,6 +72,7 @@ def stream_index_pages(
     embed: Callable[[DataFrame], DataFrame],
     path: str,
     checkpoint: str,
+    buckets: int = SOURCE_BUCKETS,
 ) -> StreamingQuery:
     """Chunk, embed and append streamed pages; chunks already stored are left out.
 
@@ -84,7 +85,7 @@ def stream_index_pages(
         stored = None
         if batch_id > 0 and path_exists(spark, f"{path}/batch_id=0"):
             stored = spark.read.schema(KEYS_SCHEMA).parquet(path).where(F.col("batch_id") < batch_id)
-        rows = embed(new_chunks(chunk(batch), stored))
+        rows = embed(new_chunks(chunk(batch), stored, buckets))
         numbered = rows.withColumn("id", F.xxhash64("source", "section_pos", "chunk_pos"))
         # By position too, so that a long section does not fill one task.
         write_batch(numbered.repartition("bucket", "chunk_pos"), path, batch_id, partition_by="bucket")
