@@ -70,11 +70,11 @@ CONFIG = RetrievalConfig(num_chunks=5, lexical_search_k=2, rerank_k=6, tag_prefi
 
 
 def lexical_index(t):
-    return lexical.build_lexical_index(t.docs)
+    return lexical.build_lexical_index(t.texts)
 
 
 def doc_vectors(t):
-    return embed_chunks(t.docs.select("doc_id", "text")).select("doc_id", "embedding")
+    return embed_chunks(t.texts.select("doc_id", "text")).select("doc_id", "embedding")
 
 
 def embedded_questions(t):
@@ -123,7 +123,7 @@ def embed_queries_check(t):
     f"WITH {BM25_CTE} SELECT n AS n_docs, (SELECT count(*) FROM df) AS n_terms, cast(total AS bigint) AS total_length, round(avgdl, 6) AS avgdl, round(mean_idf, 6) AS mean_idf FROM st, m",
 )
 def bm25_stats(t):
-    stats = lexical.bm25_stats(lexical.count_terms(lexical.tokenize_corpus(t.docs)))
+    stats = lexical.bm25_stats(lexical.count_terms(lexical.tokenize_corpus(t.texts)))
     return stats.select("n_docs", "n_terms", "total_length", F.round("avgdl", 6).alias("avgdl"), F.round("mean_idf", 6).alias("mean_idf"))
 
 

@@ -41,7 +41,7 @@ def scan_html_pages_check(t):
 
 
 def embedded_documents(t):
-    rows = t.docs.select(F.col("doc_id").alias("id"), "text", "source")
+    rows = t.texts.select(F.col("doc_id").alias("id"), "text", F.expr(DOC_SOURCE).alias("source"))
     return embed_chunks(rows, HashedWords(DIM))
 
 
@@ -98,7 +98,7 @@ def write_lexical_index(t):
     from lectern.operators import lexical
 
     path = scratch_path(t.spark, "lexical")
-    lexical.write_lexical_index(lexical.build_lexical_index(t.docs), path)
+    lexical.write_lexical_index(lexical.build_lexical_index(t.texts), path)
     return lexical.read_lexical_index(t.spark, path).docs.select("doc_id", "dl")
 
 

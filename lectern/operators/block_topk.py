@@ -25,8 +25,10 @@ from pyspark.sql.types import StructType
 
 from lectern.session import materialize
 
-# Most queries that travel with the function; more go by blocks.
+# Most queries, and most words or vector entries of them, that travel with the
+# function; more go by blocks.
 MAX_CARRIED_QUERIES = 2048
+MAX_CARRIED_ENTRIES = 4_000_000
 # Corpus rows per block when going by blocks.
 ROWS_PER_BLOCK = 20_000
 # The tasks' lists of a query are merged in this many groups first.
@@ -88,12 +90,6 @@ def slices(n_rows: int, cells_per_row: int) -> Iterator[tuple[int, int]]:
         yield start, min(n_rows, start + step)
 
 
-def carried(queries: DataFrame, max_queries: int) -> pa.Table | None:
-    """The query rows when there are at most ``max_queries``; never fetches more."""
-    table = queries.limit(max_queries + 1).toArrow()
-    return table if table.num_rows <= max_queries else None
-
-
 def scan_corpus(corpus: DataFrame, table: pa.Table, make_scorer, reduce, schema: str) -> DataFrame:
     """One unshuffled corpus pass; ``reduce(batches, scorer, qids)`` gives each task's result."""
     qids = table.column("qid").to_numpy()
@@ -106,11 +102,9 @@ def scan_corpus(corpus: DataFrame, table: pa.Table, make_scorer, reduce, schema:
 
 
 def join_blocks(
-    corpus: DataFrame, queries: DataFrame, make_scorer, reduce, schema: str, per_block: int, rows_per_block: int
+    corpus: DataFrame, queries: DataFrame, make_scorer, reduce, schema: str, query_blocks: int, rows_per_block: int
 ) -> DataFrame:
     """Every query block with every corpus block, each pair in one task."""
-    queries = materialize(queries, "queries")
-    query_blocks = max(1, math.ceil(queries.count() / per_block))
     corpus_blocks = max(1, math.ceil(corpus.count() / rows_per_block))
 
     def spread(df, key, own, own_blocks, other, other_blocks):
@@ -146,11 +140,18 @@ def score_queries(
     max_queries: int = MAX_CARRIED_QUERIES,
     rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
-    """Partial results of all queries over all of the corpus, by the way that fits."""
-    table = carried(queries, max_queries)
-    if table is not None:
-        return scan_corpus(corpus, table, make_scorer, reduce, schema)
-    return join_blocks(corpus, queries, make_scorer, reduce, schema, max_queries, rows_per_block)
+    """Partial results of all queries over all of the corpus, by the way that fits.
+
+    ``queries`` is ``qid`` and one array column; its rows and entries are counted
+    before any of it is fetched.
+    """
+    queries = materialize(queries, "queries")
+    entries = F.sum(F.size(next(c for c in queries.columns if c != "qid")))
+    n_queries, n_entries = queries.agg(F.count("*"), F.coalesce(entries, F.lit(0))).first()
+    blocks = max(1, math.ceil(n_queries / max_queries), math.ceil(n_entries / MAX_CARRIED_ENTRIES))
+    if blocks == 1:
+        return scan_corpus(corpus, queries.toArrow(), make_scorer, reduce, schema)
+    return join_blocks(corpus, queries, make_scorer, reduce, schema, blocks, rows_per_block)
 
 
 def topk(corpus: DataFrame, queries: DataFrame, make_scorer, k: int, **ways) -> DataFrame:
