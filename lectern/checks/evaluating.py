@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.catalogue import PRICES, prices
-from lectern.checks.registry import QA_CTE, TOKENS, check, guessed_language, guessed_language_sql
+from lectern.checks.registry import QA_CTE, check, guessed_language, guessed_language_sql
 from lectern.functions.text import words
 from lectern.operators import cost, evaluation, metrics, ranking, vocabulary
 from lectern.operators.rerank import keep_tags_else_other

@@ -1,18 +1,34 @@
-"""Checks of fitted models and model calls; checked by rows and by the tests."""
+"""Checks of fitted models (by rows and by the tests) and of model calls.
+
+The calls go to models that count characters, so that SQL can tell the answers.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.checks.registry import check
-from lectern.checks.searching import CONFIG, contexts, doc_vectors, embedded_questions, lexical_index, predictions, reference_pages
-from lectern.operators import classifier
-from lectern.operators.embedding import embed_queries
-from lectern.operators.generation import batch_generate, extractive_model, overlap_judge, question_writer
+from lectern.checks.registry import DOC_URL, QA_CTE, check
+from lectern.checks.searching import (
+    BM25_CTE,
+    CONFIG,
+    REFS_CTE,
+    RETRIEVED_CTE,
+    SEMANTIC_CTE,
+    contexts,
+    doc_vectors,
+    embedded_questions,
+    lexical_index,
+    merged_sql,
+    predictions,
+    reference_pages,
+)
+from lectern.checks.texts import STRIP
 from lectern.functions.prompts import messages, user_prompt
+from lectern.operators import classifier
+from lectern.operators.generation import batch_generate
 from lectern.operators.sections import extract_sections
 from lectern.plans.answering import answer_batch, answer_with_given_context, generate_qa_per_chunk
-from lectern.plans.evaluating import evaluation_scores, judge_answers, run_experiments
+from lectern.plans.evaluating import judge_answers, run_experiments
 from lectern.plans.retrieval import RetrievalConfig, retrieve
 from lectern.session import scratch_path
 
@@ -66,57 +82,124 @@ def route_queries(t):
     return classifier.route_queries(router(t), t.questions, "open", "closed").select("qid", "routed", "llm")
 
 
-def retrieved(t):
-    return retrieve(embedded_questions(t), t.docs, doc_vectors(t), lexical_index(t), predictions(t), CONFIG)
+def counting_model(form: str = "{n} characters"):
+    """Factory of a model whose answer is ``form`` with the prompt's length ``n``."""
+
+    def factory():
+        def answer(asked: list[dict]) -> str:
+            n = len(asked[-1]["content"])
+            return form.replace("{n}", str(n)).replace("{n%5}", str(n % 5)).replace("{n%6}", str(n % 6))
+
+        return answer
+
+    return factory
+
+
+REFERENCE_FORM = '{"answer": "{n} characters", "score": {n%6}, "reasoning": "counted"}'
+JUDGE_FORM = "{n%5}\n\ncounted"
+# Characters of the prompt that fit into half of a context of 4096 tokens.
+PROMPT_CHARS = 8192
+
+
+def prompt_sql(question: str, texts: str) -> str:
+    return f"length(substr('query: ' || {question} || ', context: ' || cast(to_json({texts}) AS varchar), 1, {PROMPT_CHARS}))"
 
 
-@check("batch_generate")
+def record_sql(question: str, generated: str, reference: str) -> str:
+    record = f"{{'question': {question}, 'generated_answer': {generated}, 'reference_answer': {reference}}}"
+    return f"length(substr(cast(to_json({record}) AS varchar), 1, 4 * 8192))"
+
+
+@check(
+    "batch_generate",
+    f"WITH {QA_CTE} SELECT pos, {prompt_sql('question', '[answer]')} || ' characters' AS answer, 1 AS attempts, cast(NULL AS varchar) AS error FROM qa",
+)
 def batch_generate_check(t):
-    prompt = user_prompt(F.col("question"), F.array("answer"))
+    prompt = F.substring(user_prompt(F.col("question"), F.array("answer")), 1, PROMPT_CHARS)
     asked = t.qa.select("pos", messages(F.lit("Be succinct."), F.lit(""), prompt).alias("messages"))
-    return batch_generate(asked, extractive_model, retry_interval=0)
+    return batch_generate(asked, counting_model(), retry_interval=0)
 
 
-@check("answer_batch")
+@check(
+    "answer_batch",
+    f"""WITH {RETRIEVED_CTE} SELECT qid, any_value(question) AS question, {prompt_sql('any_value(question)', 'list(text ORDER BY pos)')} || ' characters' AS answer,
+'open' AS llm, count(*) AS n_documents FROM final JOIN questions USING (qid) GROUP BY qid""",
+)
 def answer_batch_check(t):
-    answered = answer_batch(retrieved(t), extractive_model, "open", retry_interval=0)
+    found = retrieve(embedded_questions(t), t.docs, doc_vectors(t), lexical_index(t), predictions(t), CONFIG)
+    answered = answer_batch(found, counting_model(), "open", retry_interval=0)
     return answered.select("qid", "question", "answer", "llm", F.size("document_ids").alias("n_documents"))
 
 
 def sourced_questions(t):
     """One question per labelled document, its source being the document's own section."""
-    from lectern.checks.registry import DOC_URL
-
-    pages = t.texts.select("doc_id", F.expr(DOC_URL).alias("_url"), F.expr("substring(text, 1, 80)").alias("question"))
+    pages = t.documents.select("doc_id", F.expr(DOC_URL).alias("_url"))
     anchor = F.concat(F.lit("#d"), F.col("doc_id").cast("string"))
-    return t.labels.select("doc_id").join(pages, "doc_id").select("doc_id", "question", F.concat("_url", anchor).alias("source"))
+    asked = F.concat(F.lit("About "), F.col("doc_id").cast("string"))
+    return t.labels.select("doc_id").join(pages, "doc_id").select(
+        "doc_id", asked.alias("question"), F.concat("_url", anchor).alias("source")
+    )
 
 
-@check("answer_with_given_context")
+@check(
+    "answer_with_given_context",
+    f"""WITH n AS (SELECT d.doc_id, {DOC_URL} || '#d' || d.doc_id AS source, {prompt_sql("'About ' || d.doc_id", "[lang || text || n_chars]")} AS n
+  FROM labels l JOIN documents d ON d.doc_id = l.doc_id)
+SELECT doc_id, 'About ' || doc_id AS question, source, n || ' characters' AS answer, (n % 6)::double AS score, 'counted' AS reasoning FROM n""".replace(
+        "cast(doc_id as string)", "cast(d.doc_id as string)"
+    ),
+)
 def answer_with_given_context_check(t):
-    return answer_with_given_context(sourced_questions(t), t.doc_pages, retry_interval=0)
+    return answer_with_given_context(sourced_questions(t), t.doc_pages, counting_model(REFERENCE_FORM), retry_interval=0)
+
 
+SECTION_SQL = f"""SELECT {DOC_URL} || '#d' || doc_id AS source, lang || chr(10) || {STRIP.format('text')} || chr(10) || 'c' AS text
+FROM documents UNION ALL SELECT {DOC_URL} || '#d' || doc_id || '-len', cast(n_chars AS varchar) FROM documents"""
 
-@check("generate_qa_per_chunk")
+
+@check(
+    "generate_qa_per_chunk",
+    f"SELECT source, 0 AS entry_pos, 'How long?' AS question, length(substr('context: ' || text, 1, {PROMPT_CHARS})) || ' characters' AS answer FROM ({SECTION_SQL})",
+)
 def generate_qa_per_chunk_check(t):
-    chunks = extract_sections(t.doc_pages).select("source", "text")
-    pairs, _ = generate_qa_per_chunk(chunks, question_writer(3), retry_interval=0)
+    sections = extract_sections(t.doc_pages).select("source", "text")
+    pairs, _ = generate_qa_per_chunk(sections, counting_model("How long?\n{n} characters"), retry_interval=0)
     return pairs
 
 
-@check("judge_answers")
+@check(
+    "judge_answers",
+    f"""WITH {QA_CTE} SELECT pos, ({record_sql('question', 'answer', 'reference_answer')} % 5)::double AS score, 'counted' AS reasoning,
+false AS parse_error, false AS call_failed FROM qa""",
+)
 def judge_answers_check(t):
     references = t.qa.select("pos", "question", "source", F.col("reference_answer").alias("answer"))
     generated = t.qa.select("pos", "question", "answer", "sources", "experiment_name")
-    judged = judge_answers(references, generated, overlap_judge, retry_interval=0)
+    judged = judge_answers(references, generated, counting_model(JUDGE_FORM), retry_interval=0)
     return judged.select("pos", "score", "reasoning", "parse_error", "call_failed")
 
 
-@check("run_experiment")
+SWEEP = (0, 1, 3, 5)
+
+
+@check(
+    "run_experiment",
+    f"""WITH {BM25_CTE}, {SEMANTIC_CTE}, {merged_sql(5, 1)}, {REFS_CTE}, sizes AS (SELECT unnest({list(SWEEP)}) AS n),
+ctx AS (SELECT n, qid, list(text ORDER BY pos) AS texts, list(string_split(source, '#')[1]) AS pages
+  FROM merged JOIN docs USING (doc_id), sizes WHERE pos < n GROUP BY ALL),
+a AS (SELECT s.n, q.qid, question, page, coalesce(list_contains(pages, page), false) AS hit,
+  {prompt_sql('question', "coalesce(texts, []::varchar[])")} || ' characters' AS answer
+  FROM questions q CROSS JOIN sizes s JOIN refs USING (qid) LEFT JOIN ctx ON ctx.n = s.n AND ctx.qid = q.qid),
+j AS (SELECT *, {record_sql('question', 'answer', 'question')} % 5 AS score FROM a)
+SELECT 'num-chunks-' || n AS experiment_name, round(avg(hit::int), 6) AS retrieval_score, round(avg(score) FILTER (score <> 0), 6) AS quality_score,
+count(*) AS n_questions, count(*) FILTER (score <> 0) AS n_scored FROM j GROUP BY n""",
+)
 def run_experiment_check(t):
-    config = RetrievalConfig(num_chunks=5, lexical_search_k=1, use_reranking=False)
-    ranked = contexts(t, config)
+    ranked = contexts(t, RetrievalConfig(num_chunks=5, lexical_search_k=1, use_reranking=False))
     references = reference_pages(t).join(t.questions, "qid").withColumn("answer", F.col("question"))
-    configs = [{"experiment_name": f"num-chunks-{n}", "num_chunks": n, "llm": "open"} for n in (0, 1, 3, 5)]
-    scores, _ = run_experiments(ranked, t.questions, references, configs, extractive_model, retry_interval=0)
-    return scores.select("experiment_name", "retrieval_score", "quality_score", "n_questions", "n_scored")
+    configs = [{"experiment_name": f"num-chunks-{n}", "num_chunks": n, "llm": "open"} for n in SWEEP]
+    scores, _ = run_experiments(
+        ranked, t.questions, references, configs, counting_model(), counting_model(JUDGE_FORM), retry_interval=0
+    )
+    rounded = [F.round(c, 6).alias(c) for c in ("retrieval_score", "quality_score")]
+    return scores.select("experiment_name", *rounded, "n_questions", "n_scored")

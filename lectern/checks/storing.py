@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.checks.registry import DOC_SOURCE, QA_CTE, TOKENS, check
+from lectern.checks.modelling import SECTION_SQL
 from lectern.checks.texts import CHUNK_SQL, SQL_BLANKED
 from lectern.checks.evaluating import SCORES_SQL, experiment_table
-from lectern.functions.text import bm25_corpus_tokens
-from lectern.operators.chunking import chunk_fixed, chunk_sections
+from lectern.operators.chunking import chunk_fixed
 from lectern.operators.embedding import HashedWords, embed_chunks
-from lectern.operators.generation import extractive_model
 from lectern.operators.sections import extract_sections, page_blocks
-from lectern.plans.answering import answer_batch
-from lectern.plans.indexing import build_index
 from lectern.session import scratch_path
 from lectern.sources import index_store, records
 from lectern.sources.html_files import scan_html_pages
@@ -225,7 +222,11 @@ def stream_answer_queries(t):
     return _log_rows(t.spark.read.parquet(log))
 
 
-@check("stream_index_pages")
+@check(
+    "stream_index_pages",
+    f"""WITH s AS ({SECTION_SQL}), c AS (SELECT source, text, unnest(range(0, greatest(cast(floor((length(text) - 51) / 650) AS bigint), 0) + 1)) AS i FROM s)
+SELECT source, i AS chunk_pos, length(substr(text, i * 650 + 1, 700)) AS n_chars, {DIM} AS dim FROM c""",
+)
 def stream_index_pages(t):
     """Every page arrives twice; each chunk is stored once."""
     inbox, index, checkpoint = (scratch_path(t.spark, n) for n in ("inbox", "index", "checkpoint"))
@@ -234,12 +235,15 @@ def stream_index_pages(t):
     pages.write.mode("append").parquet(inbox)
 
     def chunk(batch):
-        return chunk_sections(extract_sections(batch).withColumnRenamed("pos", "section_pos"), 700, 50)
+        return chunk_fixed(extract_sections(batch).withColumnRenamed("pos", "section_pos"), 700, 50)
+
+    def encode(chunks):
+        return embed_chunks(chunks, HashedWords(DIM))
 
     stream = t.spark.readStream.schema(pages.schema).parquet(inbox)
-    encode = lambda rows: embed_chunks(rows, HashedWords(DIM))
     jobs.stream_index_pages(stream, chunk, encode, index, checkpoint, buckets=8).awaitTermination()
-    return t.spark.read.parquet(index).select("id", "source", "chunk_pos", F.length("text").alias("n_chars"))
+    stored = t.spark.read.parquet(index)
+    return stored.select("source", "chunk_pos", F.length("text").alias("n_chars"), F.size("embedding").alias("dim"))
 
 
 @check(

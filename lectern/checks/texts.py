@@ -6,24 +6,17 @@ from pyspark.sql import functions as F
 
 from lectern.catalogue import CONTEXT_LENGTHS, PRICES, catalogue_join, context_lengths, model_catalogue
 from lectern.checks.registry import (
-    DOC_HTML,
     DOC_URL,
-    DOCS_CTE,
     QA_CTE,
-    QUESTIONS_CTE,
-    TAG_PREFIX,
     TOKENS,
     WORDS,
     check,
-    guessed_language,
-    guessed_language_sql,
 )
 from lectern.functions import html, parsing, prompts, text, urls
 from lectern.operators import chunking, ranking, sections, vocabulary
 from lectern.operators.evaluation import filter_nonempty_response
 from lectern.operators.rerank import keep_tags_else_other, softmax, threshold_label
 from lectern.operators.conversations import route_conversations
-from lectern.operators.joins import broadcast_if_small
 
 STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 SQL_BLANKED = (
