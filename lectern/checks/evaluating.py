@@ -106,10 +106,10 @@ def cost_table(t):
 @check(
     "cost_analysis",
     f"""WITH {QA_CTE}, {COST_CTE} SELECT experiment_name, num_samples, avg_prompt_tokens, avg_sampled_tokens,
-round(total_cost, 6) AS total_cost, round(total_cost / num_samples, 6) AS avg_cost FROM costs""",
+round(total_cost, 10) AS total_cost, round(total_cost / num_samples, 10) AS avg_cost FROM costs""",
 )
 def cost_analysis(t):
-    return cost_table(t).withColumn("total_cost", F.round("total_cost", 6)).withColumn("avg_cost", F.round("avg_cost", 6))
+    return cost_table(t).withColumn("total_cost", F.round("total_cost", 10)).withColumn("avg_cost", F.round("avg_cost", 10))
 
 
 @check(

@@ -38,49 +38,48 @@ CELLS = 4_000_000
 # Scores are ranked by this many digits, so that equal rows tie in any summing order.
 RANK_DIGITS = 9
 
-TOPK_SCHEMA = "qid bigint, doc_id bigint, score double"
+TOPK_SCHEMA = "qid bigint, doc_id bigint, score double, rank_score double"
 
 Scorer = Callable[[pa.RecordBatch], Iterator[tuple[np.ndarray, np.ndarray]]]
 
 
-def _block_best(scores: np.ndarray, ids: np.ndarray, k: int):
-    """Best ``k`` columns of each row; ``ids`` rise, so the first of equals has the lowest id."""
-    n = scores.shape[1]
+def _block_best(ranks: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the ``k`` highest values of each row, the first of equals."""
+    n = ranks.shape[1]
     if n <= k:
-        return scores, np.broadcast_to(ids, scores.shape)
-    cut = np.partition(scores, n - k, axis=1)[:, n - k, None]
-    above = scores > cut
-    level = scores == cut
+        return np.broadcast_to(np.arange(n), ranks.shape)
+    cut = np.partition(ranks, n - k, axis=1)[:, n - k, None]
+    above = ranks > cut
+    level = ranks == cut
     room = k - above.sum(axis=1, keepdims=True)
-    columns = np.nonzero(above | (level & (level.cumsum(axis=1) <= room)))[1].reshape(-1, k)
-    return np.take_along_axis(scores, columns, axis=1), ids[columns]
+    return np.nonzero(above | (level & (level.cumsum(axis=1) <= room)))[1].reshape(-1, k)
 
 
-def _task_best(batches, scorer: Scorer, n_queries: int, k: int):
-    best_scores = np.empty((n_queries, 0))
-    best_ids = np.empty((n_queries, 0), dtype=np.int64)
+def _task_best(batches, scorer: Scorer, n_queries: int, k: int) -> dict[str, np.ndarray]:
+    """Each query's best rows of the task: document, exact score and the score it ranks by."""
+    best = {"doc_id": np.empty((n_queries, 0), np.int64), "score": np.empty((n_queries, 0)), "rank_score": np.empty((n_queries, 0))}
     for batch in batches:
         if batch.num_rows == 0:
             continue
         for ids, scores in scorer(batch):
             order = np.argsort(ids, kind="stable")
-            found, found_ids = _block_best(np.round(scores[:, order], RANK_DIGITS), ids[order], k)
-            best_scores = np.concatenate([best_scores, found], axis=1)
-            best_ids = np.concatenate([best_ids, found_ids], axis=1)
-            first = np.lexsort((best_ids, -best_scores), axis=-1)[:, :k]
-            best_scores = np.take_along_axis(best_scores, first, axis=1)
-            best_ids = np.take_along_axis(best_ids, first, axis=1)
-    return best_scores, best_ids
-
-
-def _topk_table(qids: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    return pa.record_batch(
-        {
-            "qid": pa.array(np.repeat(qids, scores.shape[1]), pa.int64()),
-            "doc_id": pa.array(ids.ravel(), pa.int64()),
-            "score": pa.array(scores.ravel(), pa.float64()),
-        }
-    )
+            ids, scores = ids[order], scores[:, order]
+            ranks = np.round(scores, RANK_DIGITS)
+            columns = _block_best(ranks, k)
+            found = {
+                "doc_id": ids[columns],
+                "score": np.take_along_axis(scores, columns, axis=1),
+                "rank_score": np.take_along_axis(ranks, columns, axis=1),
+            }
+            both = {name: np.concatenate([best[name], found[name]], axis=1) for name in best}
+            first = np.lexsort((both["doc_id"], -both["rank_score"]), axis=-1)[:, :k]
+            best = {name: np.take_along_axis(values, first, axis=1) for name, values in both.items()}
+    return best
+
+
+def _topk_rows(qids: np.ndarray, best: dict[str, np.ndarray]) -> pa.RecordBatch:
+    each = best["doc_id"].shape[1]
+    return pa.record_batch({"qid": pa.array(np.repeat(qids, each)), **{n: pa.array(v.ravel()) for n, v in best.items()}})
 
 
 def slices(n_rows: int, cells_per_row: int) -> Iterator[tuple[int, int]]:
@@ -158,7 +157,7 @@ def topk(corpus: DataFrame, queries: DataFrame, make_scorer, k: int, **ways) ->
     """``(qid, pos, doc_id, score)``: the ``k`` highest scores per query, ties by lowest id."""
 
     def reduce(batches, scorer, qids):
-        return _topk_table(qids, *_task_best(batches, scorer, len(qids), k))
+        return _topk_rows(qids, _task_best(batches, scorer, len(qids), k))
 
     if k <= 0:
         partial = corpus.sparkSession.createDataFrame([], TOPK_SCHEMA)
@@ -166,7 +165,7 @@ def topk(corpus: DataFrame, queries: DataFrame, make_scorer, k: int, **ways) ->
         partial = score_queries(corpus, queries, make_scorer, reduce, TOPK_SCHEMA, **ways)
 
     def keep_best(lists: DataFrame, *groups: str) -> DataFrame:
-        order = Window.partitionBy(*groups).orderBy(F.col("score").desc(), "doc_id")
+        order = Window.partitionBy(*groups).orderBy(F.col("rank_score").desc(), "doc_id")
         return lists.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
 
     grouped = partial.withColumn("_tasks", F.spark_partition_id() % TASK_GROUPS)

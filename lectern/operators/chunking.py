@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Tried in order; the empty one cuts between any two characters.
@@ -67,6 +67,18 @@ def chunk_sections(sections: DataFrame, size: int, overlap: int, text: str = "te
     return sections.select(*kept, F.posexplode(chunk_texts(size, overlap)(F.col(text))).alias("chunk_pos", text))
 
 
+class ChunkText:
+    """Table function ``(text, size, overlap)`` to rows ``(chunk_pos, chunk)``."""
+
+    def eval(self, text: str, size: int, overlap: int):
+        yield from enumerate(split_recursively(text or "", size, overlap))
+
+
+def register_chunk_text(spark: SparkSession, name: str = "chunk_text") -> None:
+    """Make the splitter available to SQL: ``FROM sections, LATERAL chunk_text(text, 700, 50)``."""
+    spark.udtf.register(name, F.udtf(ChunkText, returnType="chunk_pos int, chunk string"))
+
+
 def last_window(length: Column, size: int | Column, overlap: int | Column) -> Column:
     """Number of the last window: later ones would hold overlap only."""
     return F.greatest(F.floor((length - overlap - 1) / (size - overlap)), F.lit(0))

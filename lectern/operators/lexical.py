@@ -73,7 +73,8 @@ def count_terms(docs: DataFrame) -> DataFrame:
 def bm25_stats(counted: DataFrame) -> DataFrame:
     """One row ``(n_docs, n_terms, total_length, avgdl, mean_idf)`` from ``count_terms``.
 
-    ``mean_idf`` is the mean over all terms before negative values are replaced.
+    ``mean_idf`` is the mean over all terms before negative values are replaced;
+    it is summed as decimals, which gives the same value in any order.
     """
     total = counted.where(F.col("w") == TOTALS).select("df").scalar()
     real = F.col("w") != TOTALS
@@ -83,7 +84,7 @@ def bm25_stats(counted: DataFrame) -> DataFrame:
         F.count(F.when(real, 1)).alias("n_terms"),
         F.max("total").alias("total_length"),
         F.max(F.when(~real, F.col("total") / F.col("df"))).alias("avgdl"),
-        F.avg(F.when(real, raw)).alias("mean_idf"),
+        F.avg(F.when(real, raw.cast("decimal(30, 15)"))).cast("double").alias("mean_idf"),
     )
 
 
@@ -163,8 +164,8 @@ def bm25_scorer(k1: float, b: float, avgdl: float):
                 scores = np.zeros((n_queries, end - start))
                 for q in range(n_queries):
                     own = slice(ends[q] - lengths[q], ends[q])
-                    if lengths[q]:
-                        scores[q] = weight[own] @ block[term_at[own]]
+                    # Summed term by term, so that a document's score does not depend on its neighbours.
+                    scores[q] = (weight[own, None] * block[term_at[own]]).sum(axis=0)
                 yield ids[start:end], scores
 
         return score

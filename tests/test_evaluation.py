@@ -76,6 +76,17 @@ def test_prf(spark):
     assert rows(metrics.confusion_pivot(df, ["a", "b", "d"])) == [("a", 3, 1, 0), ("b", 0, 2, 0), ("c", 0, 0, 1)]
 
 
+def test_prf_agrees_with_the_library(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+
+    df = spark.range(60).select((F.col("id") % 4).cast("double").alias("label"), (F.col("id") % 7 % 4).cast("double").alias("prediction"))
+    ours = metrics.weighted_prf(df, "label", "prediction").first()
+    for name in ("Precision", "Recall"):
+        theirs = MulticlassClassificationEvaluator(metricName=f"weighted{name}").evaluate(df)
+        assert ours[name.lower()] == pytest.approx(theirs)
+    assert ours["f1"] == pytest.approx(MulticlassClassificationEvaluator(metricName="f1").evaluate(df))
+
+
 def test_routing_summary(spark):
     df = spark.createDataFrame([(1, 4.0), (1, 2.0), (0, 5.0), (1, 3.0)], "predicted int, score double")
     assert rows(metrics.routing_summary(df)) == [(0, 1, 0.25, 5.0), (1, 3, 0.75, 3.0)]

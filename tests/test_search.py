@@ -87,6 +87,16 @@ def test_bm25_score_summary(spark):
             assert (total, top) == (pytest.approx(sum(scores)), pytest.approx(max(scores)))
 
 
+def test_many_words_go_by_blocks(spark, monkeypatch):
+    docs, queries = random_texts(30, 10), random_texts(9, 11)
+    index = lexical.build_lexical_index(corpus(spark, docs))
+    carried = rows(lexical.lexical_topk(index, asked(spark, queries), 3))
+    monkeypatch.setattr("lectern.operators.block_topk.MAX_CARRIED_ENTRIES", 10)
+    blocks = lexical.lexical_topk(index, asked(spark, queries), 3)
+    assert "FlatMapCoGroups" in blocks._jdf.queryExecution().executedPlan().toString()
+    assert rows(blocks) == carried
+
+
 def test_stored_lexical_index(spark, tmp_path):
     docs, queries = random_texts(20, 6), random_texts(4, 7)
     index = lexical.build_lexical_index(corpus(spark, docs))

@@ -3,7 +3,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lectern.functions.html import read_elements, strip_markup
-from lectern.operators.chunking import chunk_fixed, chunk_sections, chunk_size_sweep, split_recursively
+from lectern.operators.chunking import chunk_fixed, chunk_sections, chunk_size_sweep, register_chunk_text, split_recursively
 from lectern.operators.sections import extract_sections, fetch_text, page_blocks, section_lengths, training_pairs
 from tests.conftest import rows
 
@@ -107,6 +107,13 @@ def test_chunk_sections_copies_source(spark):
     assert rows(chunk_sections(df, 9, 0)) == [("s", 0, "aaaa bbbb"), ("s", 1, "cccc")]
 
 
+def test_chunks_in_sql(spark):
+    register_chunk_text(spark)
+    spark.createDataFrame([("s", "aaaa bbbb cccc"), ("n", None)], "source string, text string").createOrReplaceTempView("some_sections")
+    found = spark.sql("SELECT source, c.* FROM some_sections, LATERAL chunk_text(text, 9, 0) c")
+    assert rows(found) == [("s", 0, "aaaa bbbb"), ("s", 1, "cccc")]
+
+
 def windows(text, size, overlap):
     starts = [s for s in range(0, max(1, len(text)), size - overlap) if s == 0 or s + overlap < len(text)]
     return [text[s : s + size] for s in starts]
