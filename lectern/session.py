@@ -29,7 +29,7 @@ def build_session(app_name: str = "lectern", cores: str = "*", shuffle_partition
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read: ``spark.checkpoint.dir``.
 
-    Only a session that names no such folder (a local test) gets a temporary one.
+    Only a local session that names no such folder (a test) gets a temporary one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -37,6 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lectern-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
