@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.llm.exact_topk import TOPK_SQL, exact_topk
 from lectern.llm.line_windows import LINE_DEDUP_SQL, drop_repeated_lines
+from lectern.llm.packing import pack_best_fit, pack_by_cost
 from lectern.llm.simhash import near_copies
 from lectern.llm.url_rules import judge_urls
 
@@ -36,6 +38,17 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_exact_topk", TOPK_SQL)
+def op2_exact_topk(table):
+    vectors = table("embeddings").select("vec_id", "embedding")
+    return exact_topk(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256.0)
+
+
+@query("op3_cost_packing")
+def op3_cost_packing(table):
+    return pack_by_cost(table("documents"), capacity=1024, end=0)
+
+
 @query("op7_url_rules")
 def op7_url_rules(table):
     """Labels of a document teach the page that has its id: bad is low quality or toxic."""
@@ -50,6 +63,11 @@ def op8_simhash(table):
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(table):
+    return pack_best_fit(table("documents"), capacity=1024)
+
+
 @query("op10_line_windows", LINE_DEDUP_SQL)
 def op10_line_windows(table):
     docs = table("documents").select("doc_id", "text")
