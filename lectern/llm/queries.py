@@ -11,6 +11,7 @@ from lectern.llm.exact_topk import TOPK_SQL, exact_topk
 from lectern.llm.line_windows import LINE_DEDUP_SQL, drop_repeated_lines
 from lectern.llm.packing import pack_best_fit, pack_by_cost
 from lectern.llm.simhash import near_copies
+from lectern.llm.toxicity import toxicity
 from lectern.llm.url_rules import judge_urls
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +50,11 @@ def op3_cost_packing(table):
     return pack_by_cost(table("documents"), capacity=1024, end=0)
 
 
+@query("op5_toxicity")
+def op5_toxicity(table):
+    return toxicity(table("documents"), table("labels").select("doc_id", F.col("toxic").alias("label")))
+
+
 @query("op7_url_rules")
 def op7_url_rules(table):
     """Labels of a document teach the page that has its id: bad is low quality or toxic."""
