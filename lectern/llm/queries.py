@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lectern.llm.exact_topk import TOPK_SQL, exact_topk
 from lectern.llm.line_windows import LINE_DEDUP_SQL, drop_repeated_lines
 from lectern.llm.packing import pack_best_fit, pack_by_cost
+from lectern.llm.quality import quality
 from lectern.llm.simhash import near_copies
 from lectern.llm.toxicity import toxicity
 from lectern.llm.url_rules import judge_urls
@@ -55,6 +56,11 @@ def op5_toxicity(table):
     return toxicity(table("documents"), table("labels").select("doc_id", F.col("toxic").alias("label")))
 
 
+@query("op6_quality")
+def op6_quality(table):
+    return quality(table("documents"))
+
+
 @query("op7_url_rules")
 def op7_url_rules(table):
     """Labels of a document teach the page that has its id: bad is low quality or toxic."""
