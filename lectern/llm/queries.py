@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.llm.decontamination import leaks
 from lectern.llm.exact_topk import TOPK_SQL, exact_topk
 from lectern.llm.line_windows import LINE_DEDUP_SQL, drop_repeated_lines
 from lectern.llm.packing import pack_best_fit, pack_by_cost
@@ -51,6 +52,11 @@ def op3_cost_packing(table):
     return pack_by_cost(table("documents"), capacity=1024, end=0)
 
 
+@query("op4_template_leaks")
+def op4_template_leaks(table):
+    return leaks(table("documents"), table("benchmark")).drop("k1", "k2")
+
+
 @query("op5_toxicity")
 def op5_toxicity(table):
     return toxicity(table("documents"), table("labels").select("doc_id", F.col("toxic").alias("label")))
