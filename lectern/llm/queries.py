@@ -13,6 +13,7 @@ from lectern.llm.line_windows import LINE_DEDUP_SQL, drop_repeated_lines
 from lectern.llm.packing import pack_best_fit, pack_by_cost
 from lectern.llm.quality import quality
 from lectern.llm.simhash import near_copies
+from lectern.llm.suffix_arrays import drop_repeated_strings
 from lectern.llm.toxicity import toxicity
 from lectern.llm.url_rules import judge_urls
 
@@ -41,6 +42,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(table):
+    found = drop_repeated_strings(table("documents"), size=50, with_text=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 @query("op2_exact_topk", TOPK_SQL)
 def op2_exact_topk(table):
     vectors = table("embeddings").select("vec_id", "embedding")
