@@ -1,0 +1,182 @@
+"""Near copies by similarity of word shingles: SimHash candidates over distinct words, checked shingle by shingle."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lectern.llm.arrow import batches
+from lectern.llm.components import connected_components
+from lectern.llm.simhash import BITS, BLOCK, bit_counts
+from lectern.session import materialize
+
+# Two fingerprints of 64 bits over a text's words; copies differ in up to WITHIN bits of one of them.
+WITHIN = 5
+# Bits of the 128 over its shingles in which copies of similarity 0.8 differ at most (mean 19, deviation 4).
+SHINGLE_BITS = 26
+LANES = ("k1", "k2", "f1", "f2", "v1", "v2")
+
+
+def _majority(groups: list[list[bytes]]) -> np.ndarray:
+    """Two 64-bit fingerprints of each non-empty group of 16-byte hashes."""
+    hashes = np.frombuffer(b"".join(h for g in groups for h in g), np.uint64).reshape(-1, 2)
+    starts = np.concatenate([[0], np.cumsum([len(g) for g in groups])])
+    wins = [bit_counts(np.ascontiguousarray(hashes[:, k]), starts) * 2 > np.diff(starts)[:, None] for k in (0, 1)]
+    return np.stack([np.packbits(w, axis=1, bitorder="little").view("<u8").ravel() for w in wins], 1).view(np.int64)
+
+
+def shingles(text: str | None, size: int) -> set[bytes]:
+    """The different ``size``-word shingles of a text in A-Z lower case; the whole sequence if it is shorter."""
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+
+
+def sketches(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """``doc_id``, a 128-bit hash of the word sequence, two fingerprints of the different words, and one of twice 64 bits of the shingles."""
+    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in LANES)])
+    digest = xxhash.xxh128_digest
+
+    def work(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            out = np.zeros((batch.num_rows, 6), np.int64)
+            at, words_of, parts_of, held = [], [], [], 0
+
+            def close():
+                if at:
+                    out[at, 2:4], out[at, 4:6] = _majority(words_of), _majority(parts_of)
+                at.clear(), words_of.clear(), parts_of.clear()
+
+            for k, text in enumerate(batch.column(1)):
+                words = (text.as_py() or "").encode().lower().split()
+                line = b" ".join(words)
+                out[k, :2] = np.frombuffer(digest(line), np.int64)
+                begins = np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
+                own = [digest(line[i : j - 1]) for i, j in zip(begins, begins[size:])] or [digest(line)]
+                at.append(k), words_of.append([digest(w) for w in set(words)] or [digest(b"")]), parts_of.append(own)
+                held += len(own)
+                if held >= BLOCK:
+                    close()
+                    held = 0
+            close()
+            yield batches({"doc_id": batch.column(0)} | {c: out[:, i] for i, c in enumerate(LANES)}, schema)
+
+    return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(work, "doc_id long, " + ", ".join(f"{c} long" for c in LANES))
+
+
+def segment_masks(within: int) -> list[int]:
+    """For each bit the mask of its segment: so few segments that one of them differs by one bit at most."""
+    cuts = np.linspace(0, BITS, within // 2 + 2).astype(int)
+    masks = [((1 << int(b)) - (1 << int(a)), int(b - a)) for a, b in zip(cuts, cuts[1:])]
+    return [m - (1 << 64) if m >> 63 else m for m, n in masks for _ in range(n)]
+
+
+def variants(nodes: DataFrame, within: int) -> DataFrame:
+    """``key, node, v1, v2``: each text under the one-wildcard segment variants of both fingerprints."""
+    bits = nodes.select("node", "v1", "v2", F.posexplode(F.array("f1", "f2")).alias("t", "fp"))
+    masks = F.array(*[F.lit(m).cast("long") for m in segment_masks(within)])
+    bits = bits.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))))
+    left = F.col("fp").bitwiseAND(F.get(masks, F.col("p"))).bitwiseAND(F.expr("~shiftleft(1L, p)"))
+    return bits.select(F.xxhash64("t", "p", left).alias("key"), "node", "v1", "v2")
+
+
+def run_forest(node: np.ndarray, bits: np.ndarray, within: int) -> list[tuple[int, int]]:
+    """Links, each found from its own neighbour, that join all members of a run which similar ones connect."""
+    left, links = np.arange(len(node)), []
+    while len(left) > 1:
+        wave, left = [left[0]], left[1:]
+        while wave and len(left):
+            k = wave.pop()
+            near = np.bitwise_count(bits[left] ^ bits[k]).sum(axis=1) <= within
+            if near.any():
+                links.extend((node[k], node[r]) for r in left[near])
+                wave.extend(left[near])
+                left = left[~near]
+    return links
+
+
+def candidate_links(index: DataFrame, within: int) -> DataFrame:
+    """``a, b``: texts of one key whose shingle fingerprints differ in up to ``within`` bits; runs over eight give a spanning forest."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def linked(key, node, bits):
+        found = [np.zeros((0, 2), np.int64)]
+        sizes = np.diff(np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]))
+        small = np.repeat(sizes <= 8, sizes)
+        for d in range(1, 8):
+            i = np.flatnonzero((key[d:] == key[:-d]) & small[d:])
+            i = i[np.bitwise_count(bits[i] ^ bits[i + d]).sum(axis=1) <= within]
+            found.append(np.stack([node[i], node[i + d]], 1))
+        begins = np.cumsum(sizes) - sizes
+        for k in np.flatnonzero(sizes > 8):
+            own = slice(begins[k], begins[k] + sizes[k])
+            found.append(np.array(run_forest(node[own], bits[own], within), np.int64).reshape(-1, 2))
+        pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+        return batches({"a": pairs[:, 0], "b": pairs[:, 1]}, schema)
+
+    def work(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, node, bits = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.uint64)
+        for batch in it:
+            key = np.concatenate([key, batch.column(0).to_numpy()])
+            node = np.concatenate([node, batch.column(1).to_numpy()])
+            bits = np.concatenate([bits, np.stack([batch.column(i).to_numpy().view(np.uint64) for i in (2, 3)], 1)])
+            if len(key) and key[0] != key[-1]:
+                cut = int(np.searchsorted(key, key[-1], "left"))
+                yield linked(key[:cut], node[:cut], bits[:cut])
+                key, node, bits = key[cut:], node[cut:], bits[cut:]
+        if len(key):
+            yield linked(key, node, bits)
+
+    return index.repartition("key").sortWithinPartitions("key", "node").mapInArrow(work, "a long, b long").distinct()
+
+
+def similar_links(links: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
+    """The links whose texts have a Jaccard similarity of ``least`` and more; ``texts`` has ``node, text``."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def work(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            keep = []
+            for one, other in zip(batch.column(2), batch.column(3)):
+                x, y = shingles(one.as_py(), size), shingles(other.as_py(), size)
+                both = len(x & y)
+                keep.append(both >= least * (len(x) + len(y) - both))
+            yield batches({"a": batch.column(0).filter(pa.array(keep)), "b": batch.column(1).filter(pa.array(keep))}, schema)
+
+    one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    return links.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b").mapInArrow(work, "a long, b long")
+
+
+def without_similar(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, least: float = 0.8,
+    within: int = WITHIN, shingle_bits: int = SHINGLE_BITS,
+) -> DataFrame:
+    """The rows of ``docs`` less all but the smallest doc_id of each group of near copies.
+
+    Texts are near copies if their sets of ``size``-word shingles (case of A-Z and
+    white space apart) have a Jaccard similarity of ``least`` and more; groups
+    are what such links connect. Equal word sequences meet as one text. Others
+    meet under one-wildcard variants of the segments of two fingerprints of
+    their different words, are compared by a 128-bit fingerprint of their
+    shingles, and then exactly; links removed are exact, finding them is by
+    chance (see README for the measured share). Null, empty and blank texts are
+    copies of each other; rows that repeat an id leave one row; rows without id
+    stay; an empty table stays empty; columns are kept.
+    """
+    known = docs.where(F.col(doc_id).isNotNull())
+    each = materialize(sketches(known, doc_id, text, size), "sketches")
+    nodes = each.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in LANES[2:]])
+    nodes = materialize(nodes.drop("k1", "k2"), "different-texts")
+    links = materialize(candidate_links(variants(nodes, within), shingle_bits), "candidate-links")
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = known.select(F.col(doc_id).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
+    texts = texts.join(ends, "node", "left_semi").dropDuplicates(["node"])
+    roots = connected_components(similar_links(links, materialize(texts, "linked-texts"), size, least), "a", "b")
+    kept = nodes.select("node").join(roots.where("node <> root"), "node", "left_anti")
+    stay = known.join(kept, known[doc_id].cast("long") == kept["node"], "left_semi").dropDuplicates([doc_id])
+    return stay.unionByName(docs.where(F.col(doc_id).isNull()))
