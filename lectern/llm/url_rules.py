@@ -36,7 +36,7 @@ def url_tokens(host, path, tail) -> F.Column:
     """At most ten typed tokens of a URL, whatever its length: parts of the host, shape of path and query."""
     labels = F.reverse(F.split(host, r"\."))
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    last = F.element_at(segments, -1)
+    last = F.try_element_at(segments, F.lit(-1))
     keys = F.array_join(F.array_sort(F.array_distinct(F.regexp_extract_all(tail, F.lit(r"[?&]([^=&#]*)"), 1))), ",")
     token = lambda kind, x: F.when(x != "", F.concat(F.lit(kind + ":"), x))
     found = [
@@ -59,8 +59,8 @@ def mined_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.001,
 
     ``pages`` has ``page_id, tokens``; ``labels`` has ``page_id, bad``. FP-growth
     runs over all labelled pages with their label as one more item; a rule
-    needs ``min_support`` of them, at least ``min_count`` pages, and
-    ``min_confidence``. A URL has at most ten tokens, so the item sets of a page
+    needs ``min_support`` of them, at least ``min_count`` pages, ``min_confidence``,
+    and more of it than all labelled pages have. A URL has at most ten tokens, so the item sets of a page
     are bounded however often it is repeated.
     """
     known = labels.where("page_id is not null").groupBy("page_id").agg(F.max(F.coalesce("bad", F.lit(False))).alias("bad"))
@@ -73,7 +73,7 @@ def mined_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.001,
         return pages.sparkSession.createDataFrame([], "rule_id long, tokens array<string>, confidence double, support double")
     support = min(1.0, max(min_support, min_count / n))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where((F.element_at("consequent", 1) == BAD) & (F.size("antecedent") > 0))
+    rules = model.associationRules.where((F.element_at("consequent", 1) == BAD) & (F.col("lift") > 1))
     rules = rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support")
     return materialize(rules.select(F.xxhash64("tokens").alias("rule_id"), "*"), "url-rules")
 
