@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Vector length of each embedding model.
@@ -76,3 +76,10 @@ def catalogue_join(experiments: DataFrame, name: str = "experiment_name") -> Dat
     """Experiments with their model's context length and prices; unknown models stay."""
     catalogue = model_catalogue(experiments.sparkSession).withColumnRenamed("name", name)
     return experiments.join(F.broadcast(catalogue), name, "left")
+
+
+def context_length(llm: Column, unknown: int = 4096) -> Column:
+    """A model's context length by its full or short name; ``unknown`` for others."""
+    by_name = {k.lower(): n for name, n in CONTEXT_LENGTHS.items() for k in (name, name.rpartition("/")[2])}
+    known = F.create_map(*[F.lit(x) for pair in sorted(by_name.items()) for x in pair])
+    return F.coalesce(F.try_element_at(known, F.lower(llm)), F.lit(unknown))

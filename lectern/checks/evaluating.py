@@ -18,12 +18,21 @@ def _references(t):
 
 
 def _generated(t):
-    return t.qa.select("pos", F.when(F.col("pos") % 10 == 0, "changed").otherwise(F.col("question")).alias("question"), "answer", "sources")
+    """Every tenth answers another question, every seventh is missing, and as many answer what nobody asked."""
+    own = F.when(F.col("pos") % 10 == 0, "changed").otherwise(F.col("question")).alias("question")
+    pos = F.when(F.col("pos") % 7 == 0, -1 - F.col("pos")).otherwise(F.col("pos")).alias("pos")
+    return t.qa.select(pos, own, "answer", "sources")
+
+
+GAPS_CTE = """g AS (SELECT CASE WHEN pos % 7 = 0 THEN -1 - pos ELSE pos END AS pos, CASE WHEN pos % 10 = 0 THEN 'changed' ELSE question END AS question,
+ answer, sources, experiment_name FROM qa),
+paired AS (SELECT coalesce(r.pos, g.pos) AS pos, CASE WHEN r.pos IS NULL THEN g.question ELSE r.question END AS question, r.source, r.reference_answer,
+ g.answer, g.sources, g.experiment_name, r.pos IS NOT NULL AND g.pos IS NOT NULL AND r.question = g.question AS same_question FROM qa r FULL JOIN g ON r.pos = g.pos)"""
 
 
 @check(
     "join_refs_generated",
-    f"WITH {QA_CTE} SELECT pos, question, source, reference_answer, answer, pos % 10 <> 0 AS same_question FROM qa",
+    f"WITH {QA_CTE}, {GAPS_CTE} SELECT pos, question, source, reference_answer, answer, same_question FROM paired",
 )
 def join_refs_generated(t):
     return evaluation.join_refs_generated(_references(t), _generated(t)).drop("sources")
@@ -92,14 +101,16 @@ def top_experiments(t):
 PRICE_VALUES = "(VALUES " + ", ".join(f"('{m}', {a}::double, {b}::double)" for m, (a, b) in PRICES.items()) + ") p(experiment_name, pp, sp)"
 COST_CTE = f"""s AS (SELECT experiment_name, count(*) AS num_samples, sum(ceil(length(question) / 4)) AS qt, sum(ceil(length(answer) / 4)) AS st,
  length(experiment_name) * 10 AS chunk_size, length(experiment_name) % 9 AS num_chunks FROM qa GROUP BY 1),
-c0 AS (SELECT s.*, pp, sp, qt + (chunk_size / 5) * (4 / 3) * num_chunks * num_samples AS pt FROM s LEFT JOIN {PRICE_VALUES} USING (experiment_name)),
+c0 AS (SELECT s.*, pp, sp, CASE WHEN experiment_name NOT LIKE 'llama%' THEN qt + (chunk_size / 5) * (4 / 3) * num_chunks * num_samples END AS pt FROM s LEFT JOIN {PRICE_VALUES} USING (experiment_name)),
 costs AS (SELECT experiment_name, num_samples, cast(floor(pt / num_samples) AS bigint) AS avg_prompt_tokens, cast(floor(st / num_samples) AS bigint) AS avg_sampled_tokens,
  pp / 1e6 * pt + sp / 1e6 * st AS total_cost FROM c0)"""
 
 
 def cost_table(t):
     return cost.cost_analysis(
-        t.qa.select("experiment_name", "question", F.col("answer").alias("generated_answer")), t.experiment_configs, prices(t.spark)
+        t.qa.select("experiment_name", "question", F.col("answer").alias("generated_answer")),
+        t.experiment_configs.where("experiment_name not like 'llama%'"),
+        prices(t.spark),
     )
 
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.checks.registry import DOC_SOURCE, QA_CTE, TOKENS, check
-from lectern.checks.modelling import SECTION_SQL
+from lectern.checks.modelling import ROUTED_CTE, SECTION_SQL, routed_answers
+from lectern.checks.registry import DOC_HTML, DOC_SOURCE, DOC_URL, QA_CTE, TOKENS, check
+from lectern.checks.searching import doc_vectors, lexical_index
 from lectern.checks.texts import CHUNK_SQL, SQL_BLANKED
 from lectern.checks.evaluating import SCORES_SQL, experiment_table
 from lectern.operators.chunking import chunk_fixed
@@ -21,20 +22,21 @@ DIM = 64
 
 @check(
     "scan_html_pages",
-    """SELECT page_id // 100 AS shard, md5(html) AS digest, length(html) AS n_chars, count(*) AS n FROM pages GROUP BY ALL""",
+    "SELECT page_id, 'https://site.example/page_id=' || page_id || '/' || page_id || '.html' AS url, html || chr(10) AS html FROM pages",
 )
 def scan_html_pages_check(t):
-    """Pages written a hundred to a file, one per line, and scanned file by file."""
-    folder = scratch_path(t.spark, "html")
-    shards = t.pages.select(
-        F.regexp_replace("html", "\n", "\x1e").alias("html"), F.floor(F.col("page_id") / 100).alias("shard")
-    )
-    shards.repartition("shard").write.partitionBy("shard").option("lineSep", "\x1d").text(folder)
-    files = scan_html_pages(t.spark, folder, "shard=", pattern="*.txt")
-    shard = F.regexp_extract("url", "^https://shard=(\\d+)/", 1).cast("bigint")
-    pages = files.select(shard.alias("shard"), F.explode(F.split("html", "\x1d")).alias("html")).where("html <> ''")
-    html = pages.select("shard", F.regexp_replace("html", "\x1e", "\n").alias("html"))
-    return html.groupBy("shard", F.md5("html").alias("digest"), F.length("html").alias("n_chars")).agg(F.count("*").alias("n"))
+    """Every page becomes a file of its own, ``<page_id>.html``, and the folder is scanned."""
+    folder = scratch_path(t.spark, "site.example")
+    pages = t.pages.select("html", "page_id")
+    pages.repartition("page_id").write.partitionBy("page_id").text(folder)
+    jvm, conf = t.spark.sparkContext._jvm, t.spark.sparkContext._jsc.hadoopConfiguration()
+    parts = jvm.org.apache.hadoop.fs.Path(f"{folder}/page_id=*/part-*")
+    fs = parts.getFileSystem(conf)
+    for found in fs.globStatus(parts):
+        own = found.getPath().getParent()
+        fs.rename(found.getPath(), jvm.org.apache.hadoop.fs.Path(own, own.getName().removeprefix("page_id=") + ".html"))
+    files = scan_html_pages(t.spark, folder, "site.example")
+    return files.select(F.regexp_extract("path", r"/(\d+)\.html$", 1).cast("bigint").alias("page_id"), "url", "html")
 
 
 def embedded_documents(t):
@@ -42,19 +44,19 @@ def embedded_documents(t):
     return embed_chunks(rows, HashedWords(DIM))
 
 
-INDEX_SQL = f"SELECT doc_id AS id, length(text) AS n_chars, {DOC_SOURCE} AS source FROM documents"
+INDEX_SQL = f"SELECT doc_id AS id, text, {DOC_SOURCE} AS source FROM documents"
 
 
 def _index_rows(rows):
-    return rows.select("id", F.length("text").alias("n_chars"), "source")
+    return rows.select("id", "text", "source")
 
 
-@check("write_index", f"SELECT id, n_chars, source, {DIM} AS dim FROM ({INDEX_SQL})")
+@check("write_index", f"SELECT id, text, source, {DIM} AS dim FROM ({INDEX_SQL})")
 def write_index(t):
     path = scratch_path(t.spark, "index")
     index_store.write_index(embedded_documents(t), path, DIM)
     stored = t.spark.read.parquet(path)
-    return stored.select("id", F.length("text").alias("n_chars"), "source", F.size("embedding").alias("dim"))
+    return stored.select("id", "text", "source", F.size("embedding").alias("dim"))
 
 
 @check("reset_index", f"SELECT 0::bigint AS n_after_reset, (SELECT count(*) FROM documents) AS n_after_load")
@@ -183,7 +185,7 @@ def write_evaluation(t):
     return rows.select("experiment_name", "pos", "score", "reference_answer", "generated_answer")
 
 
-@check("scan_evaluations_dir", f"WITH {QA_CTE} {SCORES_SQL}")
+@check("scan_evaluations_dir", f"WITH {QA_CTE} SELECT experiment_name, CAST(NULL AS VARCHAR) AS evaluator, retrieval_score, quality_score FROM ({SCORES_SQL})")
 def scan_evaluations_dir(t):
     return records.scan_evaluations_dir(t.spark, _write_evaluation(t), lines=True)
 
@@ -211,28 +213,36 @@ def append_answer_log(t):
 # -- streams -----------------------------------------------------------------------
 
 
-@check("stream_answer_queries", LOG_SQL)
+@check("stream_answer_queries", f"WITH {ROUTED_CTE} SELECT question AS query, document_ids, llm, answer, true AS timed FROM routed")
 def stream_answer_queries(t):
-    """Questions arrive as files; each is answered from its own conversation and logged."""
+    """Questions arrive as files; each micro-batch is retrieved for, routed, answered and logged."""
     inbox, log, checkpoint = (scratch_path(t.spark, n) for n in ("inbox", "log", "checkpoint"))
-    rows = _responses(t)
-    rows.write.parquet(inbox)
-    stream = t.spark.readStream.schema(rows.schema).parquet(inbox)
-    jobs.stream_answer_queries(stream, lambda batch: batch, log, checkpoint).awaitTermination()
+    t.questions.write.parquet(inbox)
+    vectors, index = doc_vectors(t), lexical_index(t)
+
+    def answer(batch):
+        return routed_answers(batch, t, vectors, index)
+
+    stream = t.spark.readStream.schema(t.questions.schema).parquet(inbox)
+    jobs.stream_answer_queries(stream, answer, log, checkpoint).awaitTermination()
     return _log_rows(t.spark.read.parquet(log))
 
 
+EDITED_SQL = f"""SELECT CASE WHEN doc_id % 3 = 0 THEN 'short ' || doc_id WHEN doc_id % 3 = 1 THEN text || ' edited' ELSE text END AS text, * EXCLUDE (text) FROM documents"""
+
+
 @check(
     "stream_index_pages",
-    f"""WITH s AS ({SECTION_SQL}), c AS (SELECT source, text, unnest(range(0, greatest(cast(floor((length(text) - 51) / 650) AS bigint), 0) + 1)) AS i FROM s)
-SELECT source, i AS chunk_pos, length(substr(text, i * 650 + 1, 700)) AS n_chars, {DIM} AS dim FROM c""",
+    f"""WITH edited AS ({EDITED_SQL}), s AS ({SECTION_SQL.replace('FROM documents', 'FROM edited')}),
+c AS (SELECT source, text, unnest(range(0, greatest(cast(floor((length(text) - 51) / 650) AS bigint), 0) + 1)) AS i FROM s)
+SELECT source, i AS chunk_pos, substr(text, i * 650 + 1, 700) AS text, {DIM} AS dim, 1 AS n_same_id FROM c""",
 )
 def stream_index_pages(t):
-    """Every page arrives twice; each chunk is stored once."""
+    """All pages, then again with a third of them shortened, a third edited and a third as they were, in several micro-batches."""
     inbox, index, checkpoint = (scratch_path(t.spark, n) for n in ("inbox", "index", "checkpoint"))
-    pages = t.doc_pages.select("url", "html")
-    pages.write.parquet(inbox)
-    pages.write.mode("append").parquet(inbox)
+    third = F.col("doc_id") % 3
+    changed = F.when(third == 0, F.concat(F.lit("short "), F.col("doc_id").cast("string"))).when(third == 1, F.concat("text", F.lit(" edited")))
+    edited = t.texts.withColumn("text", F.coalesce(changed, F.col("text"))).select(F.expr(DOC_URL).alias("url"), F.expr(DOC_HTML).alias("html"))
 
     def chunk(batch):
         return chunk_fixed(extract_sections(batch).withColumnRenamed("pos", "section_pos"), 700, 50)
@@ -240,10 +250,13 @@ def stream_index_pages(t):
     def encode(chunks):
         return embed_chunks(chunks, HashedWords(DIM))
 
-    stream = t.spark.readStream.schema(pages.schema).parquet(inbox)
-    jobs.stream_index_pages(stream, chunk, encode, index, checkpoint, buckets=8).awaitTermination()
-    stored = t.spark.read.parquet(index)
-    return stored.select("source", "chunk_pos", F.length("text").alias("n_chars"), F.size("embedding").alias("dim"))
+    for pages in (t.doc_pages.select("url", "html"), edited):
+        pages.repartition(3).write.mode("append").parquet(inbox)
+        stream = t.spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
+        jobs.stream_index_pages(stream, chunk, encode, index, checkpoint, buckets=8).awaitTermination()
+    stored = jobs.read_streamed_index(t.spark, index)
+    same = stored.groupBy("id").agg(F.count("*").cast("int").alias("n_same_id"))
+    return stored.join(same, "id").select("source", "chunk_pos", "text", F.size("embedding").alias("dim"), "n_same_id")
 
 
 @check(

@@ -12,11 +12,11 @@ from lectern.checks.registry import (
     WORDS,
     check,
 )
-from lectern.functions import html, parsing, prompts, text, urls
+from lectern.functions import parsing, prompts, text, urls
 from lectern.operators import chunking, ranking, sections, vocabulary
 from lectern.operators.evaluation import filter_nonempty_response
 from lectern.operators.rerank import keep_tags_else_other, softmax, threshold_label
-from lectern.operators.conversations import route_conversations
+from lectern.operators.conversations import conversation_messages, route_conversations
 
 STRIP = r"regexp_replace({0}, '^\s+|\s+$', '', 'g')"
 SQL_BLANKED = (
@@ -24,11 +24,15 @@ SQL_BLANKED = (
 )
 
 
+# The references that the checking engine is told of, ampersand last; the given pages have no others.
+REFERENCES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&nbsp;": " ", "&copy;": "\u00a9", "&middot;": "\u00b7", "&amp;?": "&"}
+
+
 def strip_markup_sql(column: str) -> str:
     out = f"regexp_replace({SQL_BLANKED.format(column)}, '<[^>]*>', ' ', 'g')"
-    for entity, char in html.ENTITIES.items():
+    for entity, char in REFERENCES.items():
         char = char.replace("'", "''")
-        out = f"replace({out}, '{entity}', '{char}')"
+        out = f"regexp_replace({out}, '{entity}', '{char}', 'g')"
     return rf"trim(regexp_replace({out}, '\s+', ' ', 'g'))"
 
 
@@ -46,13 +50,13 @@ def extract_sections(t):
 
 @check(
     "section_text",
-    f"""SELECT doc_id, length(lang || chr(10) || {STRIP.format('text')} || chr(10) || 'c') AS n_chars,
-md5(lang || chr(10) || {STRIP.format('text')} || chr(10) || 'c') AS digest FROM documents""",
+    f"""SELECT doc_id, 'd' || doc_id AS section, lang || chr(10) || {STRIP.format('text')} || chr(10) || 'c' AS text FROM documents
+UNION ALL SELECT doc_id, 'd' || doc_id || '-len', cast(n_chars AS varchar) FROM documents""",
 )
 def section_text(t):
-    own = sections.extract_sections(t.doc_pages).where(~F.col("source").endswith("-len"))
     doc_id = F.regexp_extract("source", r"/(\d+)\.html", 1).cast("bigint")
-    return own.select(doc_id.alias("doc_id"), F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+    own = sections.extract_sections(t.doc_pages)
+    return own.select(doc_id.alias("doc_id"), F.substring_index("source", "#", -1).alias("section"), "text")
 
 
 @check("filter_sections_with_id", "SELECT lang AS section_id, doc_id FROM documents WHERE lang <> 'fr' AND lang <> 'de'")
@@ -133,13 +137,13 @@ def url_tag(t):
 
 @check(
     "url_last_segment",
-    "SELECT page_id, string_split(url, '/')[-1] AS segment, concat_ws(' ', string_split(url, '/')[-1], left(html, 15)) AS text FROM pages",
+    "SELECT page_id, string_split(url, '/')[-1] AS segment, concat_ws(' ', string_split(url, '/')[-1], html) AS text FROM pages",
 )
 def url_last_segment(t):
     return t.pages.select(
         "page_id",
         urls.url_last_segment(F.col("url")).alias("segment"),
-        urls.classifier_text(F.col("url"), F.left("html", F.lit(15))).alias("text"),
+        urls.classifier_text(F.col("url"), F.col("html")).alias("text"),
     )
 
 
@@ -366,10 +370,13 @@ def format_reply(t):
 @check(
     "route_conversations",
     """SELECT conv_id, count(*) AS n_messages, count(*) = 1 AS use_retrieval, CASE WHEN count(*) > 1 THEN 'open' END AS llm,
-CASE WHEN count(*) = 1 THEN min_by(text, turn) END AS query FROM conversations GROUP BY conv_id""",
+CASE WHEN count(*) = 1 THEN min_by(text, turn) END AS query, string_agg(role || ': ' || text, chr(10) ORDER BY turn, role, text) AS transcript
+FROM conversations GROUP BY conv_id""",
 )
 def route_conversations_check(t):
-    return route_conversations(t.turns, "open")
+    lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"]))
+    sent = conversation_messages(t.turns).select("conv_id", F.array_join(lines, "\n").alias("transcript"))
+    return route_conversations(t.turns, "open").join(sent, "conv_id")
 
 
 # -- filters and labels ------------------------------------------------------------

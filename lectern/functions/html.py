@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
+from html import unescape
 from html.parser import HTMLParser
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Entities decoded by the native expression, ampersand last.
-ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&#39;": "'",
-    "&nbsp;": " ",
-    "&amp;": "&",
-}
+from lectern.functions.text import UNICODE_SPACE
+
+# Parts pieces of one page; Unicode keeps it free of meaning.
+PIECE_END = "\ufdd0"
 
 # Elements that never hold content.
 VOID_ELEMENTS = frozenset(
@@ -28,20 +25,39 @@ OPAQUE_ELEMENTS = frozenset("script style template rt rp".split())
 PREFORMATTED = frozenset(["pre", "textarea"])
 
 
-def strip_markup(html: Column) -> Column:
-    """Scripts, styles, comments and tags out; entities decoded; white space collapsed."""
+def decode_references(text: Column) -> Column:
+    """All named and numeric character references; only texts that have some leave the JVM."""
+
+    @F.pandas_udf("string")
+    def decoded(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unescape(t))
+
+    return F.when(text.rlike("&[#0-9A-Za-z]"), decoded(F.when(text.rlike("&[#0-9A-Za-z]"), text))).otherwise(text)
+
+
+def _without_markup(html: Column) -> Column:
+    """Scripts, styles, comments and tags become blanks."""
     text = F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"<[^>]*>", " ")
-    for entity, char in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.regexp_replace(text, r"<[^>]*>", " ")
+
+
+def _collapsed(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, rf"[{UNICODE_SPACE}]+", " "))
+
+
+def strip_markup(html: Column) -> Column:
+    """Scripts, styles, comments and tags out; character references decoded; white space collapsed."""
+    return _collapsed(decode_references(_without_markup(html)))
 
 
 def block_texts(html: Column, tag: str = "p") -> Column:
     """Text of each piece that an opening ``tag`` starts; the part before the first is dropped."""
     body = F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
     pieces = F.split(body, rf"(?i)<{tag}(?:\s[^>]*)?>")
-    return F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), strip_markup)
+    kept = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), _without_markup)
+    # References are decoded once for all pieces; the separator is no white space and no character of text.
+    joined = decode_references(F.array_join(kept, PIECE_END))
+    return F.when(F.size(kept) == 0, kept).otherwise(F.transform(F.split(joined, PIECE_END), _collapsed))
 
 
 class _Element:

@@ -61,3 +61,10 @@ def parse_qa_pairs(df: DataFrame, response: str = "response") -> tuple[DataFrame
     good = entries.where("ok").drop("ok", "entry")
     rejected = entries.where("not ok").drop("ok", "question", "answer")
     return good, rejected
+
+
+def parse_questions(responses: DataFrame) -> DataFrame:
+    """``source, question`` of responses that are one question each: the first line that is not blank."""
+    lines = F.filter(F.split("response", "\n"), lambda line: F.trim(line) != "")
+    first = F.trim(F.get(lines, F.lit(0)))
+    return responses.select("source", first.alias("question")).where("question <> ''")

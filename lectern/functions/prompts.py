@@ -11,10 +11,10 @@ from lectern.functions.text import token_count, trim_to_budget
 MENTION_LENGTH = 15
 
 
-def context_budget(max_context: Column, fixed_prompt: Column, reserve_output: bool = True) -> Column:
-    """Tokens left for the user prompt: half the context (or all) less the fixed prompt."""
+def context_budget(max_context: Column, fixed_prompt: Column, reserve_output: bool = True, tokens=token_count) -> Column:
+    """Tokens left for the user prompt: half the context (or all) less the fixed prompt, as ``tokens`` counts it."""
     share = F.floor(max_context * F.lit(0.5)) if reserve_output else max_context
-    return (share - token_count(fixed_prompt)).cast("bigint")
+    return (share - tokens(fixed_prompt)).cast("bigint")
 
 
 def output_cap(max_context: Column) -> Column:

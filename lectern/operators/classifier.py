@@ -6,8 +6,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF,
+    CountVectorizer,
     ElementwiseProduct,
-    HashingTF,
     Normalizer,
     RegexTokenizer,
     StringIndexer,
@@ -21,8 +21,10 @@ from lectern.functions.text import preprocess_text
 from lectern.operators.rerank import OTHER, threshold_label
 from lectern.session import materialize
 
-# Word features; words are hashed, so every word counts and no vocabulary is gathered.
-FEATURES = 1 << 18
+# Most labelled rows that a model learns from; it bounds the vocabulary, which is kept whole.
+LABELLED_ROWS = 500_000
+# No limit: the vocabulary has all words of the labelled rows.
+ALL_WORDS = (1 << 31) - 1
 # Fixed value: a word has two or more word characters.
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
@@ -43,16 +45,29 @@ def _logistic(n_rows: int, max_iter: int) -> LogisticRegression:
     )
 
 
+def _counter(out: str) -> CountVectorizer:
+    return CountVectorizer(inputCol="words", outputCol=out, vocabSize=ALL_WORDS, minDF=1.0)
+
+
+def bounded_rows(examples: DataFrame, text: str, rows: int) -> DataFrame:
+    """All labelled rows, or the share of about ``rows`` that a hash of the text picks."""
+    n = examples.count()
+    if n <= rows:
+        return examples
+    return examples.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < int(1_000_000 * rows / n))
+
+
 def train_tag_classifier(
-    examples: DataFrame, text: str = "text", tag: str = "tag", features: int = FEATURES, max_iter: int = 100
+    examples: DataFrame, text: str = "text", tag: str = "tag", rows: int = LABELLED_ROWS, max_iter: int = 100
 ) -> PipelineModel:
-    """Clean-up, smoothed TF-IDF of unit length, logistic regression."""
+    """Clean-up, smoothed TF-IDF of unit length over all words, logistic regression."""
+    examples = bounded_rows(examples, text, rows)
     clean = examples.select(preprocess_text(F.col(text)).alias("clean"), F.col(tag).alias("tag"))
     words = Pipeline(
         stages=[
             StringIndexer(inputCol="tag", outputCol="label", stringOrderType="alphabetAsc"),
             _tokenizer(),
-            HashingTF(inputCol="words", outputCol="counts", numFeatures=features),
+            _counter("counts"),
         ]
     ).fit(clean)
     counted = materialize(words.transform(clean).select("counts", "label"), "counts")
@@ -61,17 +76,18 @@ def train_tag_classifier(
     weigh = ElementwiseProduct(inputCol="counts", outputCol="weighted", scalingVec=Vectors.dense(idf.toArray() + 1.0))
     scale = Normalizer(inputCol="weighted", outputCol="features", p=2.0)
     featured = scale.transform(weigh.transform(counted)).select("features", "label")
-    fitted = _logistic(examples.count(), max_iter).fit(featured)
+    fitted = _logistic(counted.count(), max_iter).fit(featured)
     return PipelineModel([words.stages[0], words.stages[1], words.stages[2], weigh, scale, fitted])
 
 
-def train_router(examples: DataFrame, text: str = "question", target: str = "target", features: int = FEATURES, max_iter: int = 100) -> PipelineModel:
-    """Word counts and logistic regression on a 0/1 target."""
+def train_router(examples: DataFrame, text: str = "question", target: str = "target", rows: int = LABELLED_ROWS, max_iter: int = 100) -> PipelineModel:
+    """Counts of all words and logistic regression on a 0/1 target."""
+    examples = bounded_rows(examples, text, rows)
     counted = examples.select(F.col(text).alias("clean"), F.col(target).cast("double").alias("label"))
     steps = Pipeline(
         stages=[
             _tokenizer(),
-            HashingTF(inputCol="words", outputCol="features", numFeatures=features),
+            _counter("features"),
             _logistic(examples.count(), max_iter),
         ]
     )

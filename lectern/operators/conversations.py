@@ -27,19 +27,11 @@ def route_conversations(turns: DataFrame, open_model: str) -> DataFrame:
     )
 
 
-def conversation_messages(turns: DataFrame, max_chars: int) -> DataFrame:
-    """``(conv_id, messages, too_long)``: ordered messages for a model call.
-
-    A conversation longer than the model's context cannot be sent; it is marked
-    and its texts are not gathered.
-    """
-    sizes = turns.groupBy("conv_id").agg(F.sum(F.length("text") + 1).alias("n_chars"))
-    too_long = sizes.select("conv_id", (F.col("n_chars") > max_chars).alias("too_long"))
-    fitting = turns.join(too_long.where("not too_long"), "conv_id", "left_semi")
-    gathered = fitting.groupBy("conv_id").agg(
+def conversation_messages(turns: DataFrame) -> DataFrame:
+    """``(conv_id, messages)``: all messages in order, as one request to a model holds them."""
+    gathered = turns.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", "role", F.col("text").alias("content")))).alias("_m")
     )
-    packed = gathered.select(
+    return gathered.select(
         "conv_id", F.transform("_m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages")
     )
-    return too_long.join(packed, "conv_id", "left")

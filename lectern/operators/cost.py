@@ -17,7 +17,8 @@ def cost_analysis(results: DataFrame, configs: DataFrame, prices: DataFrame, tok
 
     ``results``: experiment_name, question, generated_answer. ``configs``:
     experiment_name, chunk_size, num_chunks. ``prices``: model, prompt_price,
-    sampled_price; an experiment is priced by its name and kept without a price.
+    sampled_price; an experiment is priced by its name and kept without a
+    price, or without a config (its tokens of context are unknown then).
     Context is priced as full chunks, five characters to a word.
     """
     sums = results.groupBy("experiment_name").agg(
@@ -30,7 +31,7 @@ def cost_analysis(results: DataFrame, configs: DataFrame, prices: DataFrame, tok
     prompt = F.col("_question") + context * F.col("num_samples")
     total = F.col("prompt_price") / 1e6 * F.col("_prompt") + F.col("sampled_price") / 1e6 * F.col("_sampled")
     return (
-        sums.join(configs, "experiment_name")
+        sums.join(configs, "experiment_name", "left")
         .join(priced, "experiment_name", "left")
         .withColumn("_prompt", prompt)
         .select(

@@ -9,12 +9,19 @@ from lectern.functions.urls import strip_anchor
 
 
 def join_refs_generated(references: DataFrame, generated: DataFrame) -> DataFrame:
-    """References with the generated rows of the same ``pos``; ``same_question`` tells if they match."""
-    ours = generated.withColumnRenamed("question", "_question")
+    """References and the generated rows of the same ``pos``, with those of either side that have no partner.
+
+    ``same_question`` is false for these too; ``question`` is the reference's
+    where there is one.
+    """
+    left = references.withColumn("_in_r", F.lit(True))
+    ours = generated.withColumnRenamed("question", "_question").withColumn("_in_g", F.lit(True))
+    both = F.col("_in_r").isNotNull() & F.col("_in_g").isNotNull()
     return (
-        references.join(ours, "pos")
-        .withColumn("same_question", F.col("question").eqNullSafe(F.col("_question")))
-        .drop("_question")
+        left.join(ours, "pos", "full")
+        .withColumn("same_question", both & F.col("question").eqNullSafe(F.col("_question")))
+        .withColumn("question", F.when(F.col("_in_r"), F.col("question")).otherwise(F.col("_question")))
+        .drop("_question", "_in_r", "_in_g")
     )
 
 

@@ -1,4 +1,7 @@
-"""Batch calls of a model, one answer per row, with retries."""
+"""Batch calls of a model, one answer per row, with retries.
+
+A model is called as ``model(messages, llm, max_tokens, temperature)``.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +9,22 @@ import json
 import re
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
-Model = Callable[[list[dict]], str]
+Model = Callable[[list[dict], str | None, int | None, float], str]
 
 
-def call_with_retries(model: Model, messages: list[dict], max_retries: int, retry_interval: float):
+def call_with_retries(model: Model, asked: tuple, max_retries: int, retry_interval: float):
     """``(answer, attempts, error)``; the answer is empty when every attempt failed."""
     error = None
     for attempt in range(1, max_retries + 2):
         try:
-            return model(messages), attempt, None
+            return model(*asked), attempt, None
         except Exception as problem:  # whatever the caller's model raises
             error = f"{type(problem).__name__}: {problem}"
             time.sleep(retry_interval)
@@ -31,28 +36,49 @@ def batch_generate(
     model_factory: Callable[[], Model],
     messages: str = "messages",
     out: str = "answer",
+    llm: Column | None = None,
+    max_tokens: Column | None = None,
+    temperature: float = 0.0,
     max_retries: int = 1,
     retry_interval: float = 60.0,
+    threads: int = 8,
+    partitions: int | None = None,
 ) -> DataFrame:
     """All columns but ``messages`` plus ``out``, ``attempts`` and ``error``.
 
-    ``model_factory()`` runs once per task.
+    ``model_factory()`` runs once per task; a task has up to ``threads`` calls
+    under way, so a model has to bear that. ``partitions`` sets the number of
+    tasks. A row without messages is not asked for and has no answer.
     """
+    if partitions:
+        df = df.repartition(partitions)
     kept = [f for f in df.schema.fields if f.name != messages]
+    asked = df.select(
+        *[F.col(f"`{f.name}`") for f in kept],
+        F.col(messages).alias("_asked"),
+        (F.lit(None) if llm is None else llm).cast("string").alias("_llm_name"),
+        (F.lit(None) if max_tokens is None else max_tokens).cast("int").alias("_most"),
+    )
     schema = StructType([*kept]).add(out, StringType()).add("attempts", IntegerType()).add("error", StringType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_factory()
-        for batch in batches:
-            calls = [
-                call_with_retries(model, m or [], max_retries, retry_interval) for m in batch.column(messages).to_pylist()
-            ]
-            answers, attempts, errors = zip(*calls) if calls else ((), (), ())
-            columns = [batch.column(f.name) for f in kept]
-            columns += [pa.array(answers, pa.string()), pa.array(attempts, pa.int32()), pa.array(errors, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
 
-    return df.mapInArrow(run, schema)
+        def ask(call):
+            if call[0] is None:
+                return None, 0, None
+            return call_with_retries(model, (*call, temperature), max_retries, retry_interval)
+
+        with ThreadPoolExecutor(threads) as pool:
+            for batch in batches:
+                wanted = zip(*(batch.column(len(kept) + i).to_pylist() for i in range(3)))
+                calls = list(pool.map(ask, wanted))
+                answers, attempts, errors = zip(*calls) if calls else ((), (), ())
+                columns = [batch.column(i) for i in range(len(kept))]
+                columns += [pa.array(answers, pa.string()), pa.array(attempts, pa.int32()), pa.array(errors, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
+
+    return asked.mapInArrow(run, schema)
 
 
 # -- models that need no network; for tests, dry runs and as examples ----------
@@ -65,7 +91,7 @@ def _words(text: str) -> set[str]:
 def extractive_model() -> Model:
     """Answers with the context sentence that shares most words with the query."""
 
-    def answer(messages: list[dict]) -> str:
+    def answer(messages: list[dict], llm=None, max_tokens=None, temperature=0.0) -> str:
         prompt = messages[-1]["content"]
         query, _, context = prompt.partition(", context: ")
         try:
@@ -83,7 +109,7 @@ def reference_model() -> Model:
     """The extractive answer as a JSON record with a score and a reasoning."""
     extract = extractive_model()
 
-    def answer(messages: list[dict]) -> str:
+    def answer(messages: list[dict], llm=None, max_tokens=None, temperature=0.0) -> str:
         text = extract(messages).replace('"', "'")
         return json.dumps({"answer": text, "score": 4 if text else 1, "reasoning": "taken from the context"}, ensure_ascii=False)
 
@@ -93,7 +119,7 @@ def reference_model() -> Model:
 def overlap_judge() -> Model:
     """Scores 1 to 5 by the words a generated answer shares with the reference."""
 
-    def judge(messages: list[dict]) -> str:
+    def judge(messages: list[dict], llm=None, max_tokens=None, temperature=0.0) -> str:
         try:
             record = json.loads(messages[-1]["content"])
         except ValueError:
@@ -109,7 +135,7 @@ def question_writer(n: int = 1) -> Callable[[], Model]:
     """Writes ``n`` question/answer pairs from the sentences of ``context: ...``."""
 
     def factory() -> Model:
-        def write(messages: list[dict]) -> str:
+        def write(messages: list[dict], llm=None, max_tokens=None, temperature=0.0) -> str:
             text = messages[-1]["content"].removeprefix("context: ")
             sentences = [s.strip() for s in re.split(r"(?<=[.!?])\s+", text) if s.strip()]
             return "\n\n".join(f"What is said about {s.split()[0]}?\n{' '.join(s.split())}" for s in sentences[:n])

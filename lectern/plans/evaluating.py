@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.parsing import parse_judge_response
-from lectern.functions.prompts import judge_prompt, messages
+from lectern.functions.prompts import judge_prompt, messages, output_cap
 from lectern.functions.text import token_count
 from lectern.operators.evaluation import join_refs_generated, quality_score, retrieval_score
 from lectern.operators.generation import batch_generate, overlap_judge
@@ -26,25 +26,34 @@ def judge_answers(
     """References and generated answers of the same ``pos`` with the judge's ``score`` and ``reasoning``.
 
     ``references``: pos, question, source, answer. ``generated``: pos, question,
-    answer, sources (and any others).
+    answer, sources (and any others). Rows without a partner and pairs of two
+    questions stay with ``same_question`` false: they are not judged, have no
+    score and count as left out.
     """
     left = references.select("pos", "question", "source", F.col("answer").alias("reference_answer"))
     right = generated.withColumnRenamed("answer", "generated_answer").drop("attempts", "error")
     pairs = join_refs_generated(left, right)
     budget = F.lit(max_context) - token_count(F.lit(system))
     prompt = judge_prompt(F.col("question"), F.col("generated_answer"), F.col("reference_answer"), budget)
-    ready = pairs.withColumn("messages", messages(F.lit(system), F.lit(""), prompt))
-    judged = batch_generate(ready, judge_factory, out="_response", **calls)
+    asked = F.when(F.col("same_question"), messages(F.lit(system), F.lit(""), prompt))
+    cap = output_cap(F.lit(max_context))
+    judged = batch_generate(pairs.withColumn("messages", asked), judge_factory, out="_response", max_tokens=cap, **calls)
     parsed = parse_judge_response(F.col("_response"))
     return (
         judged.withColumn("_parsed", parsed)
         .select(*[c for c in pairs.columns], "_parsed.*", (F.col("_response") == "").alias("call_failed"))
+        .withColumns({c: F.when(F.col("same_question"), F.col(c)) for c in ("score", "reasoning")})
+        .withColumns({c: F.coalesce(F.col("same_question") & F.col(c), F.lit(False)) for c in ("parse_error", "call_failed")})
     )
 
 
 def evaluation_scores(judged: DataFrame, by: str = "experiment_name") -> DataFrame:
-    """Retrieval and quality score per experiment, with the rows that did not count."""
-    return retrieval_score(judged, [by]).join(quality_score(judged, [by]), by)
+    """Retrieval and quality score per experiment, with the rows that did not count.
+
+    ``judged`` should be a written table: it is read twice. Rows that could not
+    be paired count as left out alone.
+    """
+    return quality_score(judged, [by]).join(retrieval_score(judged.where("same_question"), [by]), by, "left")
 
 
 def run_experiments(
@@ -79,9 +88,10 @@ def run_experiments(
     keys = ("experiment_name", "qid", "llm")
     cut = for_each_config(contexts).where(F.col("pos") < F.col("num_chunks"))
     retrieved = gather_contexts(for_each_config(questions), cut, keys)
-    answered = answer_batch(retrieved.withColumnRenamed("llm", "_llm"), model_factory, "", **calls)
-    generated = answered.drop("llm").withColumnRenamed("_llm", "llm").withColumn("pos", F.struct("experiment_name", "qid"))
+    answered = materialize(answer_batch(retrieved, model_factory, F.col("llm"), **calls), "answered")
+    generated = answered.withColumn("pos", F.struct("experiment_name", "qid"))
     wanted = for_each_config(references).withColumn("pos", F.struct("experiment_name", "qid"))
-    judged = judge_answers(wanted, generated, judge_factory, **calls).drop("pos")
+    judged = judge_answers(wanted, generated, judge_factory, **calls)
+    judged = judged.withColumns({c: F.col(f"pos.{c}") for c in ("experiment_name", "qid")}).drop("pos")
     judged = materialize(judged, "judged")
     return evaluation_scores(judged), judged

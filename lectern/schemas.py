@@ -18,8 +18,8 @@ EVALUATED = (
     "pos bigint, question string, generated_answer string, reference_answer string, score double, "
     "reasoning string, sources array<string>"
 )
-RESPONSES = f"config struct<{CONFIG}>, results array<struct<{RESULT}>>"
+RESPONSES = f"experiment_name string, piece bigint, config struct<{CONFIG}>, results array<struct<{RESULT}>>"
 EVALUATION = (
-    f"config struct<{CONFIG}>, retrieval_score double, quality_score double, results array<struct<{EVALUATED}>>"
+    f"experiment_name string, piece bigint, config struct<{CONFIG}>, retrieval_score double, quality_score double, results array<struct<{EVALUATED}>>"
 )
 ANSWER_LOG = "time timestamp, query string, document_ids array<bigint>, llm string, answer string"

@@ -65,3 +65,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs.exists(hadoop_path)
+
+
+def matches(spark: SparkSession, pattern: str) -> bool:
+    """True when some Hadoop-FS path fits the pattern."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return bool(found)

@@ -2,8 +2,8 @@
 
 Result rows live in Parquet, partitioned by experiment, beside a table with one
 row of config and scores per experiment. The nested ``{config, ..., results}``
-form is read as it is and written in pieces of bounded length, so that no
-experiment has to fit into one row.
+form is read as it is and written in numbered pieces of bounded length, so that
+no experiment has to fit into one row; piece 0 has config and scores.
 """
 
 from __future__ import annotations
@@ -22,6 +22,11 @@ def scan_questions_jsonl(spark: SparkSession, path: str, schema: str = schemas.Q
     return spark.read.schema(schema).option("allowSingleQuotes", "true").json(path)
 
 
+def _experiment():
+    """Pieces after the first have no config."""
+    return F.coalesce(F.col("config.experiment_name"), F.col("experiment_name")).alias("experiment_name")
+
+
 def _scan_nested(spark, path, schema, lines):
     return spark.read.schema(schema).option("multiLine", str(not lines).lower()).json(path)
 
@@ -36,22 +41,21 @@ def _explode_results(records: DataFrame, *kept) -> DataFrame:
 def scan_responses_json(spark: SparkSession, path: str, num_samples: int | None = None, lines: bool = False) -> DataFrame:
     """Result rows of nested response files, in order ``pos``; ``lines`` for one record per line."""
     records = _scan_nested(spark, path, schemas.RESPONSES, lines)
-    rows = _explode_results(records, F.col("config.experiment_name").alias("experiment_name"))
+    rows = _explode_results(records, _experiment())
     return rows if num_samples is None else rows.where(F.col("pos") < num_samples)
 
 
 def scan_evaluations_dir(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """``(experiment_name, retrieval_score, quality_score)`` of every evaluation file."""
-    records = _scan_nested(spark, path, schemas.EVALUATION, lines)
-    return records.select(
-        F.col("config.experiment_name").alias("experiment_name"), "retrieval_score", "quality_score"
-    ).dropDuplicates(["experiment_name"])
+    """``(experiment_name, evaluator, retrieval_score, quality_score)`` of every evaluation, one row each."""
+    records = _scan_nested(spark, path, schemas.EVALUATION, lines).where(F.coalesce("piece", F.lit(0)) == 0)
+    evaluator = F.col("config.evaluator").alias("evaluator")
+    return records.select(_experiment(), evaluator, "retrieval_score", "quality_score")
 
 
 def scan_evaluation_results(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Evaluated rows of every evaluation file."""
     records = _scan_nested(spark, path, schemas.EVALUATION, lines)
-    return _explode_results(records, F.col("config.experiment_name").alias("experiment_name"))
+    return _explode_results(records, _experiment())
 
 
 def _config_struct(configs: DataFrame):
@@ -76,16 +80,18 @@ def write_nested(rows: DataFrame, configs: DataFrame, path: str, rows_per_record
     """Nested JSON records, one per line, of at most ``rows_per_record`` results each.
 
     ``configs`` has one row per experiment with its config columns and, for
-    evaluations, its scores.
+    evaluations, its scores; they are in the record with ``piece`` 0. An
+    experiment without rows has one record without results, rows of an unknown
+    experiment have records without config.
     """
     scores = [c for c in ("retrieval_score", "quality_score") if c in configs.columns]
-    heads = configs.select("experiment_name", _config_struct(configs).alias("config"), *scores)
+    heads = configs.select("experiment_name", F.lit(0).cast("bigint").alias("piece"), _config_struct(configs).alias("config"), *scores)
     fields = [c for c in rows.columns if c != "experiment_name"]
     records = (
-        rows.groupBy("experiment_name", F.floor(F.col("pos") / rows_per_record).alias("_piece"))
+        rows.groupBy("experiment_name", F.floor(F.col("pos") / rows_per_record).alias("piece"))
         .agg(F.array_sort(F.collect_list(F.struct("pos", *[f for f in fields if f != "pos"]))).alias("results"))
-        .join(heads, "experiment_name")
-        .select("config", *scores, "results")
+        .join(heads, ["experiment_name", "piece"], "full")
+        .select("experiment_name", "piece", "config", *scores, "results")
     )
     records.write.mode("overwrite").json(path)
 

@@ -1,26 +1,36 @@
 """Streams of questions, pages and feedback events.
 
-Every micro-batch writes its own ``batch_id`` folder with overwrite, so a batch
-that runs again after a failure replaces its earlier output.
+Every micro-batch writes its own folder, named by the stream's run and the
+batch, with overwrite: a batch that runs again after a failure replaces its
+earlier output, and a stream with a fresh checkpoint is another run.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lectern.operators.joins import broadcast_if_small
-from lectern.session import materialize, path_exists
+from lectern.functions.urls import strip_anchor
+from lectern.session import matches, materialize, path_exists
 from lectern.sources.records import answer_log_rows
 
 
-def write_batch(rows: DataFrame, path: str, batch_id: int, partition_by: str | None = None) -> None:
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the run that a checkpoint belongs to; it lies beside the checkpoint's own files."""
+    path = f"{checkpoint.rstrip('/')}/lectern-run"
+    if not path_exists(spark, path):
+        spark.range(1).select(F.lit(f"r{uuid.uuid4().hex}").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    return spark.read.text(path).first()["value"]
+
+
+def write_batch(rows: DataFrame, path: str, batch_id: int, run: str = "r0", partition_by: str | None = None) -> None:
     """The batch's own folder, replaced if the batch runs again."""
     writer = rows.write.partitionBy(partition_by) if partition_by else rows.write
-    writer.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    writer.mode("overwrite").parquet(f"{path}/run={run}/batch_id={batch_id}")
 
 
 def stream_answer_queries(
@@ -30,9 +40,10 @@ def stream_answer_queries(
 
     ``answer`` maps a question table to ``question, document_ids, llm, answer``.
     """
+    run = run_id(questions.sparkSession, checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        write_batch(answer_log_rows(answer(batch)), log_path, batch_id)
+        write_batch(answer_log_rows(answer(batch)), log_path, batch_id, run)
 
     return (
         questions.writeStream.foreachBatch(handle)
@@ -42,28 +53,36 @@ def stream_answer_queries(
     )
 
 
-KEYS = ["source", "section_pos", "chunk_pos", "text_hash"]
-KEYS_SCHEMA = "source string, section_pos int, chunk_pos int, text_hash bigint, bucket int, batch_id bigint"
-# Index folders per batch; a source always falls into the same one.
+# Folders of one batch's chunks; a page's chunks are spread over them by position.
 SOURCE_BUCKETS = 256
+PAGES_SCHEMA = "page string, version bigint, stored_at timestamp, run string, batch_id bigint"
 
 
-def new_chunks(chunks: DataFrame, index: DataFrame | None, buckets: int = SOURCE_BUCKETS) -> DataFrame:
-    """Chunks whose ``(source, section_pos, chunk_pos, text hash)`` the index lacks, each once.
+def stored_pages(spark: SparkSession, path: str) -> DataFrame:
+    """All versions of pages that were stored, without their texts."""
+    return spark.read.schema(PAGES_SCHEMA).option("basePath", f"{path}/pages").parquet(f"{path}/pages/run=*")
 
-    The index is only probed with the batch's keys, and only in the buckets
-    that the batch touches; it is not shuffled while the batch is small.
-    """
-    hashed = chunks.withColumn("text_hash", F.xxhash64("text")).withColumn(
-        "bucket", F.pmod(F.xxhash64("source"), F.lit(buckets)).cast("int")
-    )
-    fresh = materialize(hashed.dropDuplicates(KEYS), "chunks")
-    if index is None:
-        return fresh
-    touched = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]
-    near = index.where(F.col("bucket").isin(touched)).select(*KEYS)
-    seen = near.join(broadcast_if_small(fresh.select(*KEYS)), KEYS, "left_semi").distinct()
-    return fresh.join(seen, KEYS, "left_anti")
+
+def latest_pages(stored: DataFrame) -> DataFrame:
+    """``page, version, run, batch_id``: of each page the version that was stored last."""
+    newest = F.max(F.struct("stored_at", "run", "batch_id", "version")).alias("newest")
+    return stored.groupBy("page").agg(newest).select("page", "newest.version", "newest.run", "newest.batch_id")
+
+
+def read_streamed_index(spark: SparkSession, path: str) -> DataFrame:
+    """The chunks of the latest version of every page, with all their columns and a unique ``id``."""
+    latest = latest_pages(stored_pages(spark, path)).withColumnRenamed("page", "_page")
+    chunks = spark.read.option("basePath", f"{path}/chunks").parquet(f"{path}/chunks/run=*").withColumn("run", F.col("run").cast("string"))
+    return chunks.join(latest, ["run", "batch_id", "version", "_page"], "left_semi").drop("_page", "version", "run", "batch_id", "bucket")
+
+
+def compact_streamed_index(spark: SparkSession, path: str, target: str) -> None:
+    """Write the current index to a new folder of the same form, as one batch without superseded chunks."""
+    latest = latest_pages(stored_pages(spark, path))
+    chunks = spark.read.option("basePath", f"{path}/chunks").parquet(f"{path}/chunks/run=*").withColumn("run", F.col("run").cast("string"))
+    current = chunks.join(latest.withColumnRenamed("page", "_page"), ["run", "batch_id", "version", "_page"], "left_semi")
+    write_batch(current.drop("run", "batch_id"), f"{target}/chunks", 0, "compacted", partition_by="bucket")
+    write_batch(latest.select("page", "version", F.current_timestamp().alias("stored_at")), f"{target}/pages", 0, "compacted")
 
 
 def stream_index_pages(
@@ -74,21 +93,35 @@ def stream_index_pages(
     checkpoint: str,
     buckets: int = SOURCE_BUCKETS,
 ) -> StreamingQuery:
-    """Chunk, embed and append streamed pages; chunks already stored are left out.
+    """Chunk, embed and store streamed pages (``url, html``); read them with ``read_streamed_index``.
 
-    ``chunk`` maps pages to ``source, section_pos, chunk_pos, text``; ``embed``
-    adds the vector, only to new chunks.
+    A page whose latest stored version is the same is left out. A changed page
+    supersedes its former version, with all its chunks; a page that comes
+    several times in one micro-batch counts once (the greatest hash of its
+    content decides). ``chunk`` maps pages to ``source, section_pos, chunk_pos,
+    text``; ``embed`` adds the vector, only to chunks of new versions.
     """
+    run = run_id(pages.sparkSession, checkpoint)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stored = None
-        if batch_id > 0 and path_exists(spark, f"{path}/batch_id=0"):
-            stored = spark.read.schema(KEYS_SCHEMA).parquet(path).where(F.col("batch_id") < batch_id)
-        rows = embed(new_chunks(chunk(batch), stored, buckets))
-        numbered = rows.withColumn("id", F.xxhash64("source", "section_pos", "chunk_pos"))
-        # By position too, so that a long section does not fill one task.
-        write_batch(numbered.repartition("bucket", "chunk_pos"), path, batch_id, partition_by="bucket")
+        named = batch.withColumn("page", strip_anchor(F.col("url"))).withColumn("version", F.xxhash64("html"))
+        arrived = named.groupBy("page").agg(F.max("version").alias("version"))
+        if matches(spark, f"{path}/pages/run=*"):
+            # A replayed batch does not see what it has written itself.
+            before = stored_pages(spark, path).where(~((F.col("run") == run) & (F.col("batch_id") == batch_id)))
+            known = latest_pages(before.join(arrived.select("page"), "page", "left_semi"))
+            arrived = arrived.join(known.select("page", "version"), ["page", "version"], "left_anti")
+        arrived = materialize(arrived, "arrived-pages")
+        fresh = named.join(arrived, ["page", "version"], "left_semi").dropDuplicates(["page"]).drop("page", "version")
+        rows = embed(chunk(fresh)).withColumn("_page", strip_anchor(F.col("source")))
+        rows = rows.join(arrived.withColumnRenamed("page", "_page"), "_page")
+        numbered = rows.withColumn("id", F.xxhash64("source", "section_pos", "chunk_pos", "version")).withColumn(
+            "bucket", F.pmod(F.xxhash64("_page", "section_pos", "chunk_pos"), F.lit(buckets)).cast("int")
+        )
+        write_batch(numbered.repartition("bucket"), f"{path}/chunks", batch_id, run, partition_by="bucket")
+        # Pages come last: a version without its row here was not finished and does not count.
+        write_batch(arrived.withColumn("stored_at", F.current_timestamp()), f"{path}/pages", batch_id, run)
 
     return (
         pages.writeStream.foreachBatch(handle)

@@ -28,7 +28,8 @@ def test_alignment(spark):
     right = spark.createDataFrame([(0, "a"), (1, "x"), (3, "d")], "pos long, question string")
     assert rows(evaluation.alignment_report(left, right)) == [(3, 3, 2, 1)]
     joined = evaluation.join_refs_generated(left, right.withColumn("answer", F.lit("z")))
-    assert rows(joined.select("pos", "same_question")) == [(0, True), (1, False)]
+    assert rows(joined.select("pos", "same_question")) == [(0, True), (1, False), (2, False), (3, False)]
+    assert rows(joined.where("pos = 3").select("question", "answer")) == [("d", "z")]
 
 
 def test_quality_score(spark):

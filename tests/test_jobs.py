@@ -61,21 +61,22 @@ def test_nested_records_are_written_in_pieces(spark, tmp_path):
     results = spark.range(25).select(
         F.lit("e").alias("experiment_name"), F.col("id").alias("pos"), F.col("id").cast("string").alias("question"), F.lit("a").alias("answer")
     )
-    configs = spark.createDataFrame([("e", 7)], "experiment_name string, num_chunks int")
+    configs = spark.createDataFrame([("e", 7), ("none", 9)], "experiment_name string, num_chunks int")
     records.write_nested(results, configs, str(tmp_path / "n"), rows_per_record=10)
-    lines = spark.read.text(str(tmp_path / "n"))
-    assert lines.count() == 3
+    records_ = spark.read.json(str(tmp_path / "n"))
+    assert rows(records_.where("config is not null").select("experiment_name", "piece", "config.num_chunks")) == [("e", 0, 7), ("none", 0, 9)]
+    assert records_.count() == 4
     again = records.scan_responses_json(spark, str(tmp_path / "n"), lines=True)
     assert rows(again.select("pos", "question")) == [(i, str(i)) for i in range(25)]
 
 
 def test_evaluation_files(spark, tmp_path):
-    for name, quality in (("a", 3.5), ("b", None)):
-        body = {"config": {"experiment_name": name}, "retrieval_score": 0.5, "results": []}
+    for name, judge, quality in (("a", "x", 3.5), ("b", "x", None), ("a", "y", 2.0)):
+        body = {"config": {"experiment_name": name, "evaluator": judge}, "retrieval_score": 0.5, "results": []}
         if quality is not None:
             body["quality_score"] = quality
-        (tmp_path / f"{name}.json").write_text(json.dumps(body, indent=4))
-    assert rows(records.scan_evaluations_dir(spark, str(tmp_path)), "experiment_name") == [("a", 0.5, 3.5), ("b", 0.5, None)]
+        (tmp_path / f"{name}-{judge}.json").write_text(json.dumps(body, indent=4))
+    assert rows(records.scan_evaluations_dir(spark, str(tmp_path)), "experiment_name", "evaluator") == [("a", "x", 0.5, 3.5), ("a", "y", 0.5, 2.0), ("b", "x", 0.5, None)]
 
 
 def test_index_rules(spark, tmp_path):
@@ -161,7 +162,7 @@ def test_given_context_and_judge(spark, pages):
     assert "best checkpoint" in answered["answer"] and answered["score"] == 4.0
 
     def broken():
-        def call(_):
+        def call(*_):
             raise RuntimeError("down")
 
         return call
@@ -177,7 +178,7 @@ def test_retries(spark):
     def factory():
         calls = []
 
-        def model(m):
+        def model(m, llm, max_tokens, temperature):
             calls.append(1)
             if m[-1]["content"] == "always" or len(calls) == 1:
                 raise ValueError("no")
@@ -187,7 +188,7 @@ def test_retries(spark):
 
     df = spark.createDataFrame([(1, "once"), (2, "fine"), (3, "always")], "n int, t string").coalesce(1)
     asked = df.select("n", messages(F.lit(""), F.lit(""), F.col("t")).alias("messages"))
-    found = rows(batch_generate(asked, factory, max_retries=2, retry_interval=0))
+    found = rows(batch_generate(asked, factory, max_retries=2, retry_interval=0, threads=1))
     assert found == [(1, "ONCE", 2, None), (2, "FINE", 1, None), (3, "", 3, "ValueError: no")]
 
 
@@ -203,7 +204,7 @@ def test_question_generation(spark):
 
 def test_classifier(spark, tmp_path):
     data = [(t, f"{x} {w}") for t, x in TOPICS.items() for w in ("one", "two", "three", "four")]
-    model = classifier.train_tag_classifier(spark.createDataFrame(data, "tag string, text string"), features=1 << 10, max_iter=20)
+    model = classifier.train_tag_classifier(spark.createDataFrame(data, "tag string, text string"), max_iter=20)
     classifier.save_model(model, str(tmp_path / "m"))
     model = classifier.load_model(str(tmp_path / "m"))
     asked = spark.createDataFrame([(1, "best trials checkpoint"), (2, "requests behind the proxy")], "qid long, text string")
@@ -218,7 +219,7 @@ def test_classifier(spark, tmp_path):
 
 def test_router(spark):
     data = [("simple lookup", 1), ("easy lookup", 1), ("hard reasoning numbers", 0), ("complex reasoning", 0)]
-    model = classifier.train_router(spark.createDataFrame(data, "question string, target int"), features=1 << 8, max_iter=20)
+    model = classifier.train_router(spark.createDataFrame(data, "question string, target int"), max_iter=20)
     asked = spark.createDataFrame([("a lookup",), ("reasoning",)], "question string")
     assert rows(classifier.route_queries(model, asked, "open", "closed")) == [("a lookup", 1, "open"), ("reasoning", 0, "closed")]
 
@@ -226,25 +227,73 @@ def test_router(spark):
 # -- streams -----------------------------------------------------------------------
 
 
-def test_streamed_pages_are_indexed_once(spark, tmp_path, pages):
-    inbox, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+def test_streamed_pages_supersede_their_older_versions(spark, tmp_path, pages):
+    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
 
     def chunk(batch):
-        return chunk_sections(extract_sections(batch).withColumnRenamed("pos", "section_pos"), 700, 50)
+        return chunk_sections(extract_sections(batch).withColumnRenamed("pos", "section_pos"), 40, 0)
 
-    def run():
-        stream = spark.readStream.schema("url string, html string").parquet(inbox)
-        jobs.stream_index_pages(stream, chunk, lambda c: embed_chunks(c, HashedWords(8)), out, checkpoint).awaitTermination()
-        return spark.read.parquet(out)
+    def run(checkpoint="cp", source=inbox):
+        stream = spark.readStream.schema("url string, html string").parquet(source)
+        jobs.stream_index_pages(stream, chunk, lambda c: embed_chunks(c, HashedWords(8)), out, str(tmp_path / checkpoint)).awaitTermination()
+        found = jobs.read_streamed_index(spark, out).collect()
+        assert len({r["id"] for r in found}) == len(found)
+        return {(r["source"], r["section_pos"], r["chunk_pos"]): r["text"] for r in found}
 
     pages.write.parquet(inbox)
-    assert run().count() == 3
+    first = run()
     pages.write.mode("append").parquet(inbox)  # the same pages again
-    changed = spark.createDataFrame([("https://d.example.com/latest/tune/index.html", page("tune", "changed"))], "url string, html string")
-    changed.write.mode("append").parquet(inbox)
-    stored = run()
-    assert stored.count() == 4
-    assert stored.where("batch_id > 0").first()["text"].startswith("tune\nchanged")
+    assert run() == first
+    assert spark.read.parquet(f"{out}/chunks").count() == len(first)
+    url = "https://d.example.com/latest/tune/index.html"
+    shorter = spark.createDataFrame([(url, page("tune", "new"))], "url string, html string")
+    shorter.write.mode("append").parquet(inbox)
+    edited = run()
+    tune = [k for k in first if k[0].startswith(url)]
+    assert {k: v for k, v in edited.items() if k not in tune} == {k: v for k, v in first.items() if k not in tune}
+    assert len([k for k in edited if k in tune]) < len(tune) and any("new" in v for v in edited.values())
+    # A fresh checkpoint adds to what is there: an unchanged page is left out, a changed one supersedes.
+    other = str(tmp_path / "in2")
+    pages.where(F.col("url") == url).write.parquet(other)
+    assert run("cp2", other) == first
+    jobs.compact_streamed_index(spark, out, str(tmp_path / "compact"))
+    assert {r["text"] for r in jobs.read_streamed_index(spark, str(tmp_path / "compact")).collect()} == set(first.values())
+    assert spark.read.parquet(str(tmp_path / "compact" / "chunks")).count() == len(first)
+
+
+def test_unpaired_answers_are_not_judged(spark):
+    references = spark.createDataFrame([(0, "q", "u", "a"), (1, "r", "u", "b"), (2, "s", "u", "c")], "pos long, question string, source string, answer string")
+    generated = spark.createDataFrame([(0, "q", "a", ["u"], "e"), (1, "other", "b", ["u"], "e")], "pos long, question string, answer string, sources array<string>, experiment_name string")
+    judged = judge_answers(references, generated, overlap_judge, retry_interval=0)
+    assert rows(judged.select("pos", "same_question", "score", "call_failed")) == [(0, True, 5.0, False), (1, False, None, False), (2, False, None, False)]
+
+
+def test_models_are_told_their_name_and_length(spark):
+    def factory():
+        return lambda m, llm, max_tokens, temperature: f"{llm} {max_tokens} {temperature}"
+
+    asked = spark.createDataFrame([(1, "q", "gpt-4"), (2, "q", "unknown")], "qid long, question string, llm string")
+    retrieved = asked.withColumns({"texts": F.array(F.lit("t")), "sources": F.array(F.lit("s")), "document_ids": F.array(F.lit(1))})
+    found = answer_batch(retrieved, factory, F.col("llm"), temperature=0.5, retry_interval=0)
+    assert rows(found.select("qid", "answer")) == [(1, "gpt-4 4096 0.5"), (2, "unknown 2048 0.5")]
+
+
+def test_calls_are_made_once(spark, tmp_path):
+    path = str(tmp_path)
+
+    def factory():
+        def write(m, llm, max_tokens, temperature):
+            import uuid
+
+            open(f"{path}/{uuid.uuid4().hex}", "w").close()
+            return "What?\nThis.\n\nlonely"
+
+        return write
+
+    chunks = spark.createDataFrame([(f"s{i}", "text") for i in range(6)], "source string, text string")
+    pairs, rejected = generate_qa_per_chunk(chunks, factory, retry_interval=0)
+    assert (pairs.count(), rejected.count()) == (6, 6)
+    assert len(list(tmp_path.iterdir())) == 6
 
 
 def test_a_replayed_batch_replaces_itself(spark, tmp_path):
