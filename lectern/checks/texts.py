@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from lectern.catalogue import CONTEXT_LENGTHS, PRICES, catalogue_join, context_lengths, model_catalogue
@@ -152,15 +153,47 @@ def url_last_segment(t):
 
 @check(
     "section_lengths",
-    "SELECT source, count(text) AS n_sections, round(avg(length(text)), 6) AS mean_length, max(length(text)) AS max_length FROM documents GROUP BY source",
+    "SELECT source, count(text) AS n_sections, round(avg(length(text)), 6) AS mean_length, round(quantile_cont(length(text), 0.5), 6) AS median_length, round(quantile_cont(length(text), 0.9), 6) AS p90_length, max(length(text)) AS max_length FROM documents GROUP BY source",
 )
 def section_lengths(t):
-    return sections.section_lengths(t.documents, by=["source"])
+    found = sections.section_lengths(t.documents, by=["source"])
+    return found.withColumns({c: F.round(c, 6) for c in ("median_length", "p90_length")})
 
 
-@check("chunk_sections")
+@check(
+    "chunk_sections",
+    """SELECT doc_id, 0 AS n_too_long, 0 AS n_empty, 0 AS n_no_substring, 0 AS n_uncovered,
+CASE WHEN length(text) <= 700 THEN trim(text, ' ' || chr(10)) END AS only_chunk FROM documents WHERE trim(text, ' ' || chr(10)) <> ''""",
+)
 def chunk_sections(t):
-    return chunking.chunk_sections(t.texts.select("doc_id", "text"), 700, 50)
+    """What SQL can tell of the recursive splitter: bounds, substrings, coverage, and texts that need no cut."""
+    docs = t.texts.select("doc_id", "text")
+    chunks = chunking.chunk_sections(docs, 700, 50)
+    parts = chunks.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("chunk_pos", "text"))).alias("parts"))
+    ddl = "doc_id long, n_too_long int, n_empty int, n_no_substring int, n_uncovered int, only_chunk string"
+    return docs.join(parts, "doc_id").select("doc_id", "text", F.col("parts.text").alias("parts")).mapInPandas(chunk_faults, ddl)
+
+
+def chunk_faults(batches):
+    """Of each document: chunks that are too long, empty or not in the text, and characters that no chunk covers.
+
+    A chunk begins at most the overlap of 50 characters before the end of the one before it.
+    """
+    for batch in batches:
+        out = []
+        for doc_id, whole, parts in zip(batch["doc_id"], batch["text"], batch["parts"]):
+            covered, at, lost = bytearray(len(whole)), 0, 0
+            for part in parts:
+                begin = whole.find(part, max(0, at - 50))
+                if begin < 0:
+                    lost += 1
+                    continue
+                covered[begin : begin + len(part)] = b"\x01" * len(part)
+                at = begin + len(part)
+            uncovered = sum(not c and not ch.isspace() for c, ch in zip(covered, whole))
+            only = parts[0] if len(whole) <= 700 else None
+            out.append((doc_id, sum(len(p) > 700 for p in parts), sum(not p for p in parts), lost, uncovered, only))
+        yield pd.DataFrame(out, columns=["doc_id", "n_too_long", "n_empty", "n_no_substring", "n_uncovered", "only_chunk"])
 
 
 CHUNK_SQL = """SELECT doc_id, i AS chunk_pos, substr(text, i * 650 + 1, 700) AS text FROM

@@ -17,6 +17,8 @@ from pyspark.sql.types import ArrayType, FloatType, StructType
 # Rows handed to an encoder at once.
 BATCH_ROWS = 100
 
+# Key of a vector column's metadata.
+ENCODER = "encoder_id"
 Encoder = Callable[[pa.Array], np.ndarray]
 
 
@@ -75,7 +77,21 @@ def embed(df: DataFrame, encoder_factory, text: str = "text", out: str = "embedd
                 vectors = float_lists(np.asarray(encode(piece.column(text))))
                 yield pa.RecordBatch.from_arrays([*piece.columns, vectors], [*piece.schema.names, out])
 
-    return df.mapInArrow(run, schema)
+    encoder_id = getattr(encoder_factory, "encoder_id", None)
+    vectors = df.mapInArrow(run, schema)
+    return vectors.withMetadata(out, {ENCODER: encoder_id}) if encoder_id else vectors
+
+
+def encoder_of(df: DataFrame, vector: str = "embedding") -> str | None:
+    """The encoder that made a column of vectors, where it is known; stored tables keep it."""
+    return df.schema[vector].metadata.get(ENCODER)
+
+
+def require_same_encoder(one: DataFrame, other: DataFrame, vector: str = "embedding") -> None:
+    """Vectors of two different encoders cannot be compared."""
+    names = encoder_of(one, vector), encoder_of(other, vector)
+    if None not in names and names[0] != names[1]:
+        raise ValueError(f"vectors of {names[0]} and {names[1]} cannot be compared")
 
 
 def embed_chunks(chunks: DataFrame, encoder_factory=None, text: str = "text") -> DataFrame:

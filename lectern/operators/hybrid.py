@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from lectern.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small, has_at_most
+from lectern.session import materialize
 
 
 def hybrid_merge(semantic: DataFrame, lexical: DataFrame, lexical_k: int) -> DataFrame:
@@ -30,5 +31,13 @@ def hybrid_merge(semantic: DataFrame, lexical: DataFrame, lexical_k: int) -> Dat
 
 
 def attach_documents(results: DataFrame, documents: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Result rows with their documents' columns; the corpus stays unshuffled while results are few."""
-    return documents.join(broadcast_if_small(results, max_rows, settle="results"), "doc_id")
+    """Result rows with their documents' columns.
+
+    The corpus stays unshuffled while results are few; else only documents that
+    occur in some result are shuffled.
+    """
+    settled = materialize(results, "results")
+    if has_at_most(settled, max_rows):
+        return documents.join(F.broadcast(settled), "doc_id")
+    near = documents.join(broadcast_if_small(settled.select("doc_id").distinct(), 4 * max_rows), "doc_id", "left_semi")
+    return near.join(settled, "doc_id")

@@ -85,12 +85,12 @@ def fetch_text(questions: DataFrame, pages: DataFrame, source: str = "source") -
 
     anchored = texts.where("_anchor <> ''").withColumnRenamed("_text", "_element_text")
     whole = texts.where("_anchor = ''").select("_url", F.col("_text").alias("_page_text"))
-    return (
-        asked.join(anchored, ["_url", "_anchor"], "left")
-        .join(whole, "_url", "left")
-        .withColumn("source_text", F.coalesce("_element_text", "_page_text"))
-        .drop("_url", "_anchor", "_element_text", "_page_text")
-    )
+    joined = asked.join(anchored, ["_url", "_anchor"], "left")
+    # Page texts only travel to the questions whose anchor was not found.
+    found = joined.where("_element_text is not null").withColumnRenamed("_element_text", "source_text")
+    rest = joined.where("_element_text is null").drop("_element_text").join(whole, "_url", "left")
+    rest = rest.withColumnRenamed("_page_text", "source_text")
+    return found.unionByName(rest).drop("_url", "_anchor")
 
 
 def training_pairs(questions: DataFrame, pages: DataFrame) -> DataFrame:
@@ -99,10 +99,12 @@ def training_pairs(questions: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def section_lengths(sections: DataFrame, text: str = "text", by: list[Column | str] | None = None) -> DataFrame:
-    """Profile of section lengths: count, mean and maximum in characters."""
+    """Profile of section lengths: count, mean, median, 90th percentile and maximum in characters."""
     length = F.length(text)
     return sections.groupBy(*(by or [])).agg(
         F.count(length).alias("n_sections"),
         F.round(F.avg(length), 6).alias("mean_length"),
+        F.percentile(length, 0.5).alias("median_length"),
+        F.percentile(length, 0.9).alias("p90_length"),
         F.max(length).cast("bigint").alias("max_length"),
     )

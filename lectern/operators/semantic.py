@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators.block_topk import score_queries, slices, topk
+from lectern.operators.embedding import require_same_encoder
 
 # Ranks below any real score: a zero vector has no angle, a missing one comes last.
 NO_ANGLE = -1e6
@@ -56,7 +57,9 @@ def semantic_topk(index: DataFrame, queries: DataFrame, k: int, **ways) -> DataF
 
     ``index`` has ``doc_id, embedding``, ``queries`` has ``qid, embedding``.
     Zero vectors, then missing ones, come after all others with a NULL distance.
+    Vectors that name two different encoders raise an error.
     """
+    require_same_encoder(index, queries)
     ranked = topk(index.select("doc_id", "embedding"), queries.select("qid", "embedding"), cosine_scorer, k, **ways)
     distance = F.when(F.col("score") > NO_ANGLE, 0.0 - F.col("score"))
     return ranked.select("qid", "pos", "doc_id", distance.alias("dist"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.urls import url_tag
+from lectern.operators.classifier import predict_tag
 from lectern.operators.hybrid import attach_documents, hybrid_merge
 from lectern.operators.lexical import LexicalIndex, lexical_topk
 from lectern.operators.rerank import rerank_by_tag, rerank_truncate
@@ -20,6 +21,7 @@ class RetrievalConfig:
     use_lexical_search: bool = True
     lexical_search_k: int = 1
     use_reranking: bool = True
+    rerank_threshold: float = 0.2
     rerank_k: int = 7
     tag_prefix: str = ""
     normalize_query: bool = False
@@ -75,8 +77,13 @@ def gather_contexts(questions: DataFrame, contexts: DataFrame, keys: tuple[str,
     )
 
 
-def retrieve(questions, documents, vectors, lexical_index=None, predictions=None, config=None) -> DataFrame:
-    """One row per question with its ordered documents, their texts and its distinct sources."""
+def retrieve(questions, documents, vectors, lexical_index=None, predictions=None, config=None, tag_model=None) -> DataFrame:
+    """One row per question with its ordered documents, their texts and its distinct sources.
+
+    Without ``predictions`` a ``tag_model`` predicts each question's tag, by ``config.rerank_threshold``.
+    """
     config = config or RetrievalConfig()
+    if predictions is None and tag_model is not None and config.use_reranking:
+        predictions = predict_tag(tag_model, questions.select("qid", "question"), config.rerank_threshold, text="question").drop("question")
     contexts = retrieve_contexts(questions, documents, vectors, lexical_index, predictions, config)
     return gather_contexts(questions, contexts)

@@ -19,7 +19,8 @@ def checked_index(chunks: DataFrame, dim: int) -> DataFrame:
     fits = F.col("embedding").isNull() | (F.size("embedding") == dim)
     vector = F.when(fits, F.col("embedding")).otherwise(F.raise_error(F.lit(f"embedding is not of length {dim}")))
     return chunks.select(
-        "id", required("text").alias("text"), required("source").alias("source"), vector.alias("embedding")
+        "id", required("text").alias("text"), required("source").alias("source"),
+        vector.alias("embedding", metadata=chunks.schema["embedding"].metadata),
     )
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.prompts import messages
 from lectern.operators import classifier
-from lectern.operators.embedding import HashedWords, embed_chunks, embed_queries
+from lectern.operators.embedding import HashedWords, embed_chunks, embed_queries, encoder_of
 from lectern.operators.generation import batch_generate, extractive_model, overlap_judge, question_writer
 from lectern.operators.lexical import build_lexical_index
 from lectern.operators.chunking import chunk_sections
@@ -132,6 +132,22 @@ def test_retrieve_finds_the_right_page(spark, index, questions):
     assert all(len(r["document_ids"]) == 2 and r["sources"] == sorted(set(r["sources"])) for r in top.values())
 
 
+def test_encoders_are_not_mixed(spark, index, questions):
+    assert encoder_of(index) == "hashed-words-1024"
+    other = embed_queries(questions, HashedWords(1024)).withMetadata("embedding", {"encoder_id": "another"})
+    with pytest.raises(ValueError, match="another"):
+        retrieve(other, index, index, config=RetrievalConfig(num_chunks=1))
+
+
+def test_retrieve_predicts_tags(spark, index, questions):
+    data = [(t, f"{x} {w}") for t, x in TOPICS.items() for w in ("one", "two", "three", "four")]
+    model = classifier.train_tag_classifier(spark.createDataFrame(data, "tag string, text string"), max_iter=20)
+    vectors = embed_queries(questions, HashedWords(1024))
+    config = RetrievalConfig(num_chunks=3, use_lexical_search=False, rerank_k=1, rerank_threshold=0.3, tag_prefix="d.example.com/latest/")
+    found = retrieve(vectors, index, index, config=config, tag_model=model)
+    assert [r["texts"][0].split("\n")[0] for r in found.orderBy("qid").collect()] == ["tune", "serve", "data"]
+
+
 def test_answers_and_experiments(spark, index, questions):
     vectors = embed_queries(questions, HashedWords(1024))
     ranked = retrieve_contexts(vectors, index, index, None, None, RetrievalConfig(num_chunks=3, use_lexical_search=False, use_reranking=False))

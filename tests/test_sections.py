@@ -64,12 +64,15 @@ def test_training_pairs(spark):
 def test_page_text_and_blocks(spark):
     df = pages(spark, "<STYLE>p{}</STYLE><h1>T</h1><p class=a>x &amp;lt; y</p><!-- <p>no --><P>z</P><pre>k</pre>").withColumn("page_id", F.lit(7))
     assert df.select(strip_markup(F.col("html"))).first()[0] == "T x &lt; y z k"
+    odd = pages(spark, "<p>caf&eacute; &copy; &#8217;&#x41; a&nbsp;&nbsp;b & c</p><p></p><p>&amp;eacute;</p>").withColumn("page_id", F.lit(8))
+    assert odd.select(strip_markup(F.col("html"))).first()[0] == "caf\u00e9 \u00a9 \u2019A a b & c &eacute;"
+    assert [r["text"] for r in page_blocks(odd).orderBy("pos").collect()] == ["caf\u00e9 \u00a9 \u2019A a b & c", "", "&eacute;"]
     assert [(r["pos"], r["text"]) for r in page_blocks(df).orderBy("pos").collect()] == [(0, "x &lt; y"), (1, "z k")]
 
 
 def test_section_lengths(spark):
     df = spark.createDataFrame([("ab",), ("abcd",)], "text string")
-    assert rows(section_lengths(df)) == [(2, 3.0, 4)]
+    assert rows(section_lengths(df)) == [(2, 3.0, 3.0, 3.8, 4)]
 
 
 # -- chunks ------------------------------------------------------------------------
