@@ -232,7 +232,7 @@ def linear_scorer(texts: list[str], target: np.ndarray, bits: int, epochs: int =
     return weights, float(bias)
 
 
-def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = 8192, mb: int = 64, bits: int = 16) -> QualityModel:
+def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = 4096, mb: int = 32, bits: int = 16) -> QualityModel:
     """Accuracies from the votes on all texts, then a scorer from a sample of ``rows`` texts with ``mb`` million bytes at most.
 
     The sample is in the order of a hash of id and size. The driver receives a

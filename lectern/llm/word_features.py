@@ -89,7 +89,7 @@ def guessed_languages(words: Words, table: np.ndarray) -> np.ndarray:
     return np.where(counts.max(axis=0) > 0, counts.argmax(axis=0) + 1, 0)
 
 
-def text_blocks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_blocks(column: pa.Array, most: int = 1 << 18) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """The texts of a column in blocks: first and last row, bytes, row starts."""
     data, starts = text_bytes(column)
     for lo, hi in row_groups(starts, most):
