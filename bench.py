@@ -12,6 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from lectern.checks import QUERIES
 from lectern.session import build_session
 
+# Seconds below which a query is run again.
+SHORT = 3.0
 HEADLINE = [
     "extract_sections",
     "page_text",
@@ -55,9 +57,13 @@ def main() -> None:
     spark.read.parquet(f"{folder}/documents.parquet").count()
     seconds = {}
     for name in HEADLINE:
-        started = time.perf_counter()
-        QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
-        seconds[name] = round(time.perf_counter() - started, 3)
+        runs = []
+        # Short queries run three times; the median counts.
+        while not runs or (sum(runs) < SHORT and len(runs) < 3):
+            started = time.perf_counter()
+            QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - started)
+        seconds[name] = round(sorted(runs)[len(runs) // 2], 3)
     print(
         json.dumps(
             {

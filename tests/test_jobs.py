@@ -11,7 +11,7 @@ from lectern.operators.lexical import build_lexical_index
 from lectern.operators.chunking import chunk_sections
 from lectern.operators.sections import extract_sections
 from lectern.plans.answering import answer_batch, answer_with_given_context, generate_qa_per_chunk
-from lectern.plans.evaluating import judge_answers, run_experiments
+from lectern.plans.evaluating import judge_answers, run_experiment_grid, run_experiments
 from lectern.plans.indexing import build_index
 from lectern.plans.retrieval import RetrievalConfig, retrieve, retrieve_contexts
 from lectern.sources import index_store, records
@@ -172,6 +172,29 @@ def test_answers_and_experiments(spark, index, questions):
     assert by_name["one-a"]["quality_score"] > by_name["none"]["quality_score"]
 
 
+def test_experiments_over_all_axes(spark, pages, questions):
+    sections = extract_sections(pages).select("source", "text")
+    references = questions.select("qid", "question", F.lit("").alias("source"), F.lit("trials").alias("answer"))
+
+    def factory():
+        return lambda m, llm, max_tokens, temperature: f"{llm}: {m[-1]['content']}"
+
+    configs = [
+        {"experiment_name": "base", "llm": "a", "num_chunks": 2},
+        {"experiment_name": "llm", "llm": "b", "num_chunks": 1},
+        {"experiment_name": "size", "llm": "a", "chunk_size": 40, "chunk_overlap": 0},
+        {"experiment_name": "encoder", "llm": "a", "encoder": "wide", "num_chunks": 1},
+        {"experiment_name": "lexical", "llm": "a", "num_chunks": 1, "use_lexical_search": True, "lexical_search_k": 1},
+    ]
+    scores, judged = run_experiment_grid(sections, questions, references, configs, factory, encoders={"wide": HashedWords(512)}, retry_interval=0)
+    assert sorted(r["experiment_name"] for r in scores.collect()) == sorted(c["experiment_name"] for c in configs)
+    assert judged.count() == 15
+    answers = {(r["experiment_name"], r["qid"]): r["generated_answer"] for r in judged.collect()}
+    assert answers["llm", 1].startswith("b: ") and answers["base", 1].startswith("a: ")
+    assert len(answers["base", 1]) > len(answers["llm", 1]) and len(answers["lexical", 1]) > len(answers["encoder", 1])
+    assert answers["size", 1] != answers["base", 1]
+
+
 def test_given_context_and_judge(spark, pages):
     asked = spark.createDataFrame([("pick the best checkpoint", "https://d.example.com/latest/tune/index.html#tune-top")], "question string, source string")
     answered = answer_with_given_context(asked, pages, retry_interval=0).first()
