@@ -19,7 +19,9 @@ from lectern.session import materialize
 # Bytes of documents in one shard (or one longer document), and of pieces in one suffix array.
 SHARD_BYTES, ARRAY_BYTES = 1 << 20, 1 << 21
 # Bytes of documents for each bucket of pieces.
-BUCKET_BYTES = 8_000_000
+BUCKET_BYTES = 6_000_000
+# Bytes that are compared at once.
+CHECKED_BYTES = 1 << 19
 # Bytes of the part of a string that decides its bucket.
 PART = 16
 
@@ -106,6 +108,33 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, most: int, lane: int =
     return out
 
 
+def squeezed(numbers: np.ndarray) -> bytes:
+    """Whole numbers with all first bytes, then all second bytes and so on, compressed."""
+    planes = np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def unsqueezed(raw: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
+def different(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each stretch of bytes among the different ones, and where each of these is first found."""
+    hashes = span_hashes(data, first, first + sizes, byte_codes())
+    _, head, number = np.unique(hashes, return_index=True, return_inverse=True)
+    same = sizes == sizes[head[number]]
+    for lo, hi in row_groups(np.concatenate([[0], np.cumsum(sizes)]), CHECKED_BYTES):
+        k = lo + np.flatnonzero(same[lo:hi])
+        if len(k):
+            equal = data[ragged(first[k], sizes[k])] == data[ragged(first[head[number[k]]], sizes[k])]
+            same[k] = np.logical_and.reduceat(equal, np.cumsum(sizes[k]) - sizes[k])
+    # Stretches that share a hash with a different one stay apart, each for itself.
+    odd = np.flatnonzero(~same)
+    number[odd] = len(head) + np.arange(len(odd))
+    return number, np.concatenate([head, odd])
+
+
 @dataclass
 class Runs:
     """Maximal runs of string starts of one document whose strings share their least part: the bytes of a run are a piece."""
@@ -167,18 +196,7 @@ class Shard:
         runs = self.runs(size)
         keep = shared[np.minimum(np.searchsorted(shared, runs.key), len(shared) - 1)] == runs.key if len(shared) else np.zeros(len(runs.key), bool)
         runs = Runs(runs.row[keep], runs.first[keep], runs.last[keep], runs.key[keep])
-        hashes = span_hashes(self.data, runs.first, runs.last + size, byte_codes())
-        _, head, number = np.unique(hashes, return_index=True, return_inverse=True)
-        lengths = runs.last - runs.first
-        same = lengths == lengths[head[number]]
-        if len(number):
-            sizes = lengths[same] + size
-            equal = self.data[ragged(runs.first[same], sizes)] == self.data[ragged(runs.first[head[number[same]]], sizes)]
-            same[np.flatnonzero(same)] = np.logical_and.reduceat(equal, np.cumsum(sizes) - sizes) if len(sizes) else True
-        # A hash that two different pieces share would leave the second a piece of its own.
-        odd = np.flatnonzero(~same)
-        number[odd] = len(head) + np.arange(len(odd))
-        head = np.concatenate([head, odd])
+        number, head = different(self.data, runs.first, runs.last - runs.first + size)
         least = np.full(len(head), np.iinfo(np.int64).max)
         np.minimum.at(least, number, self.doc_ids[runs.row])
         return runs, number, head, least
@@ -261,8 +279,8 @@ def _keys(table: pa.Table) -> np.ndarray:
 
 
 def shared_pieces(shards: DataFrame, shared: DataFrame, size: int, buckets: int) -> DataFrame:
-    """``bucket, shard, numbers, least, sizes, body``: each different piece with a shared key, once for a shard."""
-    schema = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), *((c, pa.binary()) for c in ("numbers", "least", "sizes", "body"))])
+    """``bucket, shard, numbers, keys, least, sizes, body``: each different piece with a shared key, once for a shard."""
+    schema = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), *((c, pa.binary()) for c in ("numbers", "keys", "least", "sizes", "body"))])
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
         shard, out = _one(left), {c: [] for c in schema.names}
@@ -275,12 +293,14 @@ def shared_pieces(shards: DataFrame, shared: DataFrame, size: int, buckets: int)
             for bucket, part in zip(which.tolist(), np.split(turn, cuts[1:]) if len(which) else []):
                 sizes = runs.last[head[part]] - runs.first[head[part]] + size
                 body = shard.data[ragged(runs.first[head[part]], sizes)].tobytes()
-                values = (bucket, left["shard"][0].as_py(), part.tobytes(), least[part].tobytes(), sizes.tobytes(), pack.compress(body))
+                numbers = np.diff(part, prepend=0)
+                keys = (runs.key[head[part]] >> np.uint64(32)).astype(np.int64)
+                values = (bucket, left["shard"][0].as_py(), squeezed(numbers), squeezed(keys), squeezed(least[part]), squeezed(sizes), pack.compress(body))
                 for column, value in zip(out.values(), values):
                     column.append(value)
         return pa.table({f.name: pa.array(out[f.name], f.type) for f in schema}, schema=schema)
 
-    ddl = "bucket int, shard long, numbers binary, least binary, sizes binary, body binary"
+    ddl = "bucket int, shard long, numbers binary, keys binary, least binary, sizes binary, body binary"
     return shards.groupBy("shard").cogroup(shared.groupBy("shard")).applyInArrow(work, ddl)
 
 
@@ -303,60 +323,83 @@ def least_documents(data: np.ndarray, starts: np.ndarray, least: np.ndarray, siz
     return at, group, place, low
 
 
-def earlier_strings(pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]], size: int, most: int = ARRAY_BYTES) -> list[np.ndarray]:
-    """For each block (bytes, starts, least documents) a mark for each byte where a string begins that a smaller document has.
+def string_owners(pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]], size: int) -> list[np.ndarray]:
+    """For each block (bytes, starts, least documents of its pieces) and byte where a string begins the least document of any block that has it.
 
-    Each block of up to ``most`` bytes has a suffix array of its own; their
-    sorted texts are merged by binary search.
+    Each block has a suffix array of its own; their sorted texts are merged by
+    binary search.
     """
-    found = []
-    for data, starts, least in pieces:
-        found.append((*least_documents(data, starts, least, size), data))
+    found = [(*least_documents(data, starts, least, size), data) for data, starts, least in pieces]
     if len(found) > 1:
-        texts = [np.ascontiguousarray(data[place[:, None] + np.arange(size)]).view(f"S{size}").ravel() if len(place) else np.zeros(0, f"S{size}") for _, _, place, _, data in found]
+        texts = [np.ascontiguousarray(data[place[:, None] + np.arange(size)]).view(f"S{size}").ravel() for _, _, place, _, data in found]
         every, low = texts[0], found[0][3].copy()
         for text, (_, _, _, own, _) in zip(texts[1:], found[1:]):
             at = np.searchsorted(every, text)
-            hit = np.zeros(len(text), bool)
-            if len(every):
-                hit = every[np.minimum(at, len(every) - 1)] == text
+            hit = every[np.minimum(at, len(every) - 1)] == text
             np.minimum.at(low, at[hit], own[hit])
             every, low = np.insert(every, at[~hit], text[~hit]), np.insert(low, at[~hit], own[~hit])
         found = [(at, group, place, low[np.searchsorted(every, text)], data) for text, (at, group, place, _, data) in zip(texts, found)]
-    marks = []
-    for (at, group, _, low, data), (_, starts, least) in zip(found, pieces):
-        mark = np.zeros(len(data), bool)
-        mark[at] = low[group] < least[np.searchsorted(starts, at, "right") - 1]
-        marks.append(mark)
-    return marks
+    owners = []
+    for at, group, _, low, data in found:
+        owner = np.full(len(data), np.iinfo(np.int64).max)
+        owner[at] = low[group]
+        owners.append(owner)
+    return owners
 
 
 def marked_pieces(pieces: DataFrame, size: int, most: int = ARRAY_BYTES) -> DataFrame:
-    """``shard, numbers, marks``: for pieces with strings that a smaller document has, where these begin (packed bits)."""
+    """``shard, numbers, sizes, marks``: for pieces with strings that a smaller document has, where these begin (packed bits).
+
+    Equal pieces of several shards are one from here on. A piece that is the
+    only one with its key has all occurrences of its strings; the others go into
+    the suffix arrays.
+    """
     schema = pa.schema([("shard", pa.int64()), ("numbers", pa.binary()), ("sizes", pa.binary()), ("marks", pa.binary())])
 
     def work(table: pa.Table) -> pa.Table:
-        rows = table.select(["shard", "numbers", "least", "sizes", "body"]).to_pylist()
+        rows = table.select(["shard", "numbers", "keys", "least", "sizes", "body"]).to_pylist()
         open_ = zstandard.ZstdDecompressor()
-        blocks, held, owners, of = [], [], [], []
-        for i, r in enumerate(rows):
-            held.append((np.frombuffer(open_.decompress(r["body"]), np.uint8), np.frombuffer(r["sizes"], np.int64), np.frombuffer(r["least"], np.int64)))
-            of.append(i)
-            if sum(len(h[0]) for h in held) >= most or i == len(rows) - 1:
-                sizes = np.concatenate([h[1] for h in held])
-                blocks.append((np.concatenate([h[0] for h in held]), np.concatenate([[0], np.cumsum(sizes)]), np.concatenate([h[2] for h in held])))
-                owners.append((list(of), [len(h[0]) for h in held]))
-                held, of = [], []
-        out = {c: [] for c in schema.names}
-        for mark, (of, lengths) in zip(earlier_strings(blocks, size, most), owners):
-            for i, own in zip(of, np.split(mark, np.cumsum(lengths)[:-1])):
-                sizes, numbers = np.frombuffer(rows[i]["sizes"], np.int64), np.frombuffer(rows[i]["numbers"], np.int64)
-                some = np.logical_or.reduceat(own, np.cumsum(sizes) - sizes) if len(own) else np.zeros(0, bool)
-                if some.any():
-                    kept = ragged((np.cumsum(sizes) - sizes)[some], sizes[some])
-                    values = (rows[i]["shard"], numbers[some].tobytes(), sizes[some].tobytes(), np.packbits(own[kept]).tobytes())
-                    for column, value in zip(out.values(), values):
-                        column.append(value)
+        data = np.concatenate([np.frombuffer(open_.decompress(r["body"]), np.uint8) for r in rows])
+        own_sizes = [unsqueezed(r["sizes"]) for r in rows]
+        sizes, least = np.concatenate(own_sizes), np.concatenate([unsqueezed(r["least"]) for r in rows])
+        first = np.cumsum(sizes) - sizes
+        number, head = different(data, first, sizes)
+        low = np.full(len(head), np.iinfo(np.int64).max)
+        np.minimum.at(low, number, least)
+        _, of, among = np.unique(np.concatenate([unsqueezed(r["keys"]) for r in rows])[head], return_inverse=True, return_counts=True)
+        alone = among[of] == 1
+        # Places of the pieces that are not alone, one after the other; the others have none.
+        own = np.where(alone, 0, sizes[head])
+        starts = np.concatenate([[0], np.cumsum(own)])
+        owner = np.zeros(0, np.int64)
+        if starts[-1]:
+            met = np.flatnonzero(~alone)
+            cuts = np.concatenate([[0], np.cumsum(sizes[head[met]])])
+            blocks = []
+            for a, b in row_groups(cuts, most):
+                piece = data[ragged(first[head[met[a:b]]], sizes[head[met[a:b]]])]
+                blocks.append((piece, cuts[a : b + 1] - cuts[a], low[met[a:b]]))
+            owner = np.concatenate(string_owners(blocks, size))
+        mark = np.zeros(len(data), bool)
+        for a, b in row_groups(np.concatenate([[0], np.cumsum(sizes)]), CHECKED_BYTES):
+            k, strings = np.arange(a, b), sizes[a:b] - size + 1
+            at, lone = ragged(first[a:b], strings), np.repeat(alone[number[k]], strings)
+            owned = np.repeat(low[number[k]], strings)
+            place = ragged(starts[number[k]], strings)[~lone]
+            owned[~lone] = owner[place] if len(place) else 0
+            mark[at] = owned < np.repeat(least[k], strings)
+        some = np.logical_or.reduceat(mark, first)
+        out, at = {c: [] for c in schema.names}, 0
+        for row, own in zip(rows, own_sizes):  # own: sizes of the row's pieces
+            keep = some[at : at + len(own)]
+            if keep.any():
+                bits = mark[ragged(first[at : at + len(own)][keep], own[keep])]
+                numbers = np.cumsum(unsqueezed(row["numbers"]))[keep]
+                packed = zstandard.ZstdCompressor(level=1).compress(np.packbits(bits).tobytes())
+                values = (row["shard"], squeezed(np.diff(numbers, prepend=0)), squeezed(own[keep]), packed)
+                for column, value in zip(out.values(), values):
+                    column.append(value)
+            at += len(own)
         return pa.table({f.name: pa.array(out[f.name], f.type) for f in schema}, schema=schema)
 
     return pieces.groupBy("bucket").applyInArrow(work, "shard long, numbers binary, sizes binary, marks binary")
@@ -375,9 +418,10 @@ def removed_bytes(shard: Shard, size: int, shared: np.ndarray, rows: list[dict])
         begin = np.full(len(head), -1, np.int64)
         bits, total = [], 0
         for r in rows:
-            numbers, sizes = np.frombuffer(r["numbers"], np.int64), np.frombuffer(r["sizes"], np.int64)
+            numbers, sizes = np.cumsum(unsqueezed(r["numbers"])), unsqueezed(r["sizes"])
             begin[numbers] = total + np.cumsum(sizes) - sizes
-            bits.append(np.unpackbits(np.frombuffer(r["marks"], np.uint8), count=int(sizes.sum())).astype(bool))
+            raw = zstandard.ZstdDecompressor().decompress(r["marks"])
+            bits.append(np.unpackbits(np.frombuffer(raw, np.uint8), count=int(sizes.sum())).astype(bool))
             total += len(bits[-1])
         if bits:
             bits = np.concatenate(bits)
