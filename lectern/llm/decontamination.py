@@ -106,13 +106,19 @@ SCHEMA = [("pos", pa.int32()), ("size", pa.int32()), ("literal", pa.bool_()), ("
 DDL = "pos int, size int, literal boolean, hash long, slots array<string>"
 
 
+def whole_hashes(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """A hash of all tokens of each text, which are hashes[begin[i]:begin[i + 1]]."""
+    each = (mix(np.bitwise_xor.reduce(mix(hashes[a:b] + np.arange(b - a, dtype=np.uint64)), keepdims=True)) for a, b in zip(begin, begin[1:]))
+    return np.array([int(h[0]) for h in each], np.uint64).view(np.int64)
+
+
 def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """``item_id, n_windows`` and the windows of each benchmark item.
+    """``item_id, wording, n_windows`` and the windows of each benchmark item.
 
-    Items of one template are one group under their smallest id, of which each
-    different wording keeps its windows.
+    Items of one template are one group under their smallest id; each different
+    wording of it has its own windows, under its own smallest id.
     """
-    schema = pa.schema([("item_id", pa.int64()), ("n_windows", pa.int32()), ("whole", pa.int64()), *SCHEMA])
+    schema = pa.schema([("item_id", pa.int64()), ("n_windows", pa.int32()), ("whole", pa.int64()), ("words", pa.int64()), *SCHEMA])
 
     def work(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -120,21 +126,22 @@ def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
             for lo, hi, data, starts in text_blocks(batch.column(1)):
                 tokens = Tokens(data, starts)
                 begin = np.searchsorted(tokens.row, np.arange(hi - lo + 1))
+                wholes, words = whole_hashes(tokens.template, begin), whole_hashes(tokens.literal, begin)
                 for size in range(LEAST, WINDOW + 1):
                     found = found_windows(tokens, size, begin[:-1])
                     n = np.diff(begin)[found["row"]] if found["row"] else np.zeros(0, np.int64)
                     own = np.flatnonzero(n >= size if size == WINDOW else n == size)
-                    wholes = [int(mix(np.bitwise_xor.reduce(mix(tokens.template[begin[r] : begin[r + 1]] + np.arange(begin[r + 1] - begin[r], dtype=np.uint64)), keepdims=True))[0]) for r in range(hi - lo)]
-                    wholes = np.array(wholes, np.uint64).view(np.int64)
                     row = np.array(found["row"], np.int64)[own]
                     columns = {c: [found[c][i] for i in own] for c in ("pos", "literal", "hash", "slots")}
-                    columns |= {"item_id": ids.take(pa.array(row + lo)), "n_windows": (n[own] - size + 1).astype(np.int32), "whole": wholes[row], "size": np.full(len(own), size, np.int32)}
+                    columns |= {"item_id": ids.take(pa.array(row + lo)), "n_windows": (n[own] - size + 1).astype(np.int32), "whole": wholes[row], "words": words[row], "size": np.full(len(own), size, np.int32)}
                     yield batches(columns, schema)
 
     found = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("long"), F.col(text).cast("string"))
-    found = materialize(found.mapInArrow(work, f"item_id long, n_windows int, whole long, {DDL}"), "benchmark-windows")
+    found = materialize(found.mapInArrow(work, f"item_id long, n_windows int, whole long, words long, {DDL}"), "benchmark-windows")
     groups = found.groupBy("whole").agg(F.min("item_id").alias("group_id"))
-    return materialize(found.join(groups, "whole").select(F.col("group_id").alias("item_id"), "n_windows", F.col("pos").alias("item_pos"), "size", "literal", "hash", F.col("slots").alias("item_slots")).distinct(), "benchmark-groups")
+    wordings = found.groupBy("whole", "words").agg(F.min("item_id").alias("wording"))
+    named = found.join(groups, "whole").join(wordings, ["whole", "words"])
+    return materialize(named.select(F.col("group_id").alias("item_id"), "wording", "n_windows", F.col("pos").alias("item_pos"), "size", "literal", "hash", F.col("slots").alias("item_slots")).distinct(), "benchmark-groups")
 
 
 def document_windows(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, block: int = HASH_BLOCK) -> DataFrame:
@@ -198,8 +205,8 @@ def leaks(
     One row for each document and benchmark item (the smallest id of its
     template) of which it holds a window of twelve words as it is, or at least
     ``share`` of the windows up to numbers, names and units, where what fills the
-    slots maps one to one over all of them. Windows are at one distance in both
-    texts. Items of under twelve words count as one window, those of under five
+    slots maps one to one over all of them. Windows are of one wording of the
+    template and at one distance in both texts. Items of under twelve words count as one window, those of under five
     are not looked for. Case, white space and punctuation do not count. Null
     and empty texts hold and are nothing; items without id are left out, rows
     without doc_id keep a null; repeated rows give one row; empty tables give an
@@ -209,7 +216,7 @@ def leaks(
     found = document_windows(docs, doc_id, text, wanted, block)
     both = found.join(wanted, ["size", "literal", "hash"])
     pairs = F.arrays_zip("item_slots", "slots")
-    runs = both.groupBy("doc_id", "k1", "k2", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+    runs = both.groupBy("doc_id", "k1", "k2", "item_id", "wording", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         F.max("n_windows").alias("n_windows"),
         F.size(F.collect_set(F.when(F.col("literal"), F.col("pos")))).alias("literal_windows"),
         F.size(F.collect_set(F.when(~F.col("literal"), F.col("pos")))).alias("template_windows"),

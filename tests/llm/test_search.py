@@ -111,6 +111,12 @@ def test_template_leaks(spark):
     assert [(r.doc_id, r.item_id) for r in short] == [(1, 14)]
 
 
+def test_wordings_of_one_template_are_apart(spark):
+    again = QUESTION.replace("Maria", "Anna").replace("12", "31").replace("3 dollars", "7 dollars").replace("5", "6")
+    found = leaks(leak_docs(spark, [(1, OTHER), (2, again), (3, OTHER.replace("does Pavel", "does Olga"))]), items_of(spark, [(10, QUESTION), (11, again), (12, again)])).collect()
+    assert {(r.doc_id, r.item_id, r.literal_windows > 0) for r in found} == {(1, 10, False), (2, 10, True)} and len(found) == 2
+
+
 def test_leaks_in_blocks_and_of_nothing(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
