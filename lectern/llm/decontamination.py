@@ -204,8 +204,9 @@ def leaks(
 
     One row for each document and benchmark item (the smallest id of its
     template) of which it holds a window of twelve words as it is, or at least
-    ``share`` of the windows up to numbers, names and units, where what fills the
-    slots maps one to one over all of them. Windows are of one wording of the
+    ``share`` of the windows up to numbers, names and units, where equal slots of
+    the item are equal in the document over all of them, and different names
+    stay different (numbers and units may become equal). Windows are of one wording of the
     template and at one distance in both texts. Items of under twelve words count as one window, those of under five
     are not looked for. Case, white space and punctuation do not count. Null
     and empty texts hold and are nothing; items without id are left out, rows
@@ -224,8 +225,8 @@ def leaks(
         F.min("pos").alias("first_token"),
         F.max(F.col("pos") + F.col("size") - 1).alias("last_token"),
     )
-    sides = [F.size(F.array_distinct(f"pairs.{side}")) for side in ("item_slots", "slots")]
-    consistent = (F.size("pairs") == sides[0]) & (F.size("pairs") == sides[1])
+    names = F.filter("pairs", lambda p: p["slots"].startswith(f"{NAME}:"))
+    consistent = (F.size("pairs") == F.size(F.array_distinct("pairs.item_slots"))) & (F.size(names) == F.size(F.array_distinct(names["slots"])))
     changed = F.size(F.filter("pairs", lambda p: p["item_slots"] != p["slots"]))
     told = runs.where((F.col("literal_windows") > 0) | (consistent & (F.col("template_windows") >= F.col("n_windows") * share)))
     best = told.withColumn("changed_slots", changed).drop("pairs")

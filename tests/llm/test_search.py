@@ -117,6 +117,15 @@ def test_wordings_of_one_template_are_apart(spark):
     assert {(r.doc_id, r.item_id, r.literal_windows > 0) for r in found} == {(1, 10, False), (2, 10, True)} and len(found) == 2
 
 
+def test_numbers_that_become_equal(spark):
+    equal = QUESTION.replace("12", "4").replace("3 dollars", "4 dollars").replace("5", "4")
+    torn = OTHER.replace("on 47 apples", "on 48 apples")
+    named = "When does the train of Maria meet the slow train of Pavel if both leave at 3 and go at the same speed?"
+    texts = [(1, equal), (2, torn), (3, named.replace("Maria", "Olga").replace("3", "4")), (4, named.replace("Maria", "Olga").replace("Pavel", "Olga"))]
+    found = leaks(leak_docs(spark, texts), items_of(spark, [(10, QUESTION), (11, named)])).collect()
+    assert {(r.doc_id, r.item_id) for r in found if not r.literal_windows} == {(1, 10), (3, 11)}
+
+
 def test_leaks_in_blocks_and_of_nothing(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
