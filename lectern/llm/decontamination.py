@@ -15,7 +15,7 @@ from lectern.session import materialize
 
 # Tokens of a window; items with fewer are one window, items under LEAST tokens are not looked for.
 WINDOW, LEAST = 12, 5
-# Words of a window that are no slots, for the template alone to count.
+# Words of a window of a longer text that are no slots, for the template alone to count; a whole item needs one.
 LITERALS = 6
 # Window hashes that travel with the function at once.
 HASH_BLOCK = 1 << 20
@@ -77,6 +77,11 @@ class Tokens:
         plain = np.concatenate([[0], np.cumsum(self.kind == WORD)])
         return plain[np.minimum(np.arange(len(self.kind)) + size, len(self.kind))] - plain[:-1]
 
+    def hash_at(self, hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+        """The hashes of the windows of ``size`` tokens that begin at given places."""
+        begins, h = self.windows(hashes, size)
+        return h[np.searchsorted(begins, at)]
+
     def slots(self, at: int, size: int) -> list[str]:
         """What fills the slots of a window, with their kinds."""
         places = at + np.flatnonzero(self.kind[at : at + size] != WORD)
@@ -86,12 +91,12 @@ class Tokens:
 def found_windows(tokens: Tokens, size: int, first_of_row: np.ndarray, only=None) -> dict[str, list]:
     """Rows for the windows of one size, literal and template ones; ``only`` tells which (kind, hashes) are wanted."""
     out = {c: [] for c in ("row", "pos", "literal", "hash", "slots")}
-    enough = tokens.literals(size) >= min(LITERALS, size)
     for literal, hashes in ((True, tokens.literal), (False, tokens.template)):
         at, h = tokens.windows(hashes, size)
-        keep = np.ones(len(at), bool) if literal else enough[at]
         if only:
-            keep &= only(literal, h)
+            keep = only(literal, h)
+        else:
+            keep = np.ones(len(at), bool) if literal else tokens.literals(size)[at] >= (LITERALS if size == WINDOW else 1)
         at, h = at[keep], h[keep]
         row = tokens.row[at]
         out["row"].extend(row.tolist())
@@ -113,12 +118,16 @@ def whole_hashes(hashes: np.ndarray, begin: np.ndarray) -> np.ndarray:
 
 
 def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """``item_id, wording, n_windows`` and the windows of each benchmark item.
+    """``item_id, wording, n_windows, entire`` and the windows of each benchmark item.
+
+    ``n_windows`` are those whose template counts. Where that is under half of
+    them, the whole item is one more window of its own size (``entire``), if it
+    has a plain word.
 
     Items of one template are one group under their smallest id; each different
     wording of it has its own windows, under its own smallest id.
     """
-    schema = pa.schema([("item_id", pa.int64()), ("n_windows", pa.int32()), ("whole", pa.int64()), ("words", pa.int64()), *SCHEMA])
+    schema = pa.schema([("item_id", pa.int64()), ("n_windows", pa.int32()), ("entire", pa.bool_()), ("whole", pa.int64()), ("words", pa.int64()), *SCHEMA])
 
     def work(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
@@ -127,21 +136,31 @@ def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
                 tokens = Tokens(data, starts)
                 begin = np.searchsorted(tokens.row, np.arange(hi - lo + 1))
                 wholes, words = whole_hashes(tokens.template, begin), whole_hashes(tokens.literal, begin)
+                sizes = np.diff(begin)
+                plain = np.diff(np.concatenate([[0], np.cumsum(tokens.kind == WORD)])[begin])
                 for size in range(LEAST, WINDOW + 1):
                     found = found_windows(tokens, size, begin[:-1])
-                    n = np.diff(begin)[found["row"]] if found["row"] else np.zeros(0, np.int64)
-                    own = np.flatnonzero(n >= size if size == WINDOW else n == size)
-                    row = np.array(found["row"], np.int64)[own]
+                    row = np.array(found["row"], np.int64)
+                    own = np.flatnonzero(sizes[row] >= size if size == WINDOW else sizes[row] == size)
+                    row = row[own]
                     columns = {c: [found[c][i] for i in own] for c in ("pos", "literal", "hash", "slots")}
-                    columns |= {"item_id": ids.take(pa.array(row + lo)), "n_windows": (n[own] - size + 1).astype(np.int32), "whole": wholes[row], "words": words[row], "size": np.full(len(own), size, np.int32)}
+                    usable = np.bincount(row[~np.array(columns["literal"], bool)], minlength=hi - lo)
+                    columns |= {"item_id": ids.take(pa.array(row + lo)), "n_windows": np.maximum(usable, 1)[row].astype(np.int32), "entire": np.zeros(len(own), bool), "whole": wholes[row], "words": words[row], "size": np.full(len(own), size, np.int32)}
+                    yield batches(columns, schema)
+                few = (sizes >= WINDOW) & (usable * 2 < sizes - WINDOW + 1) & (plain > 0)
+                for size in np.unique(sizes[few]).tolist():
+                    row = np.flatnonzero(few & (sizes == size))
+                    columns = {"item_id": ids.take(pa.array(row + lo)), "n_windows": np.maximum(usable, 1)[row].astype(np.int32), "entire": np.ones(len(row), bool)}
+                    columns |= {"whole": wholes[row], "words": words[row], "size": np.full(len(row), size, np.int32), "pos": np.zeros(len(row), np.int32), "literal": np.zeros(len(row), bool)}
+                    columns |= {"hash": tokens.hash_at(tokens.template, begin[row], size).view(np.int64), "slots": [tokens.slots(i, size) for i in begin[row].tolist()]}
                     yield batches(columns, schema)
 
     found = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("long"), F.col(text).cast("string"))
-    found = materialize(found.mapInArrow(work, f"item_id long, n_windows int, whole long, words long, {DDL}"), "benchmark-windows")
+    found = materialize(found.mapInArrow(work, f"item_id long, n_windows int, entire boolean, whole long, words long, {DDL}"), "benchmark-windows")
     groups = found.groupBy("whole").agg(F.min("item_id").alias("group_id"))
     wordings = found.groupBy("whole", "words").agg(F.min("item_id").alias("wording"))
     named = found.join(groups, "whole").join(wordings, ["whole", "words"])
-    return materialize(named.select(F.col("group_id").alias("item_id"), "wording", "n_windows", F.col("pos").alias("item_pos"), "size", "literal", "hash", F.col("slots").alias("item_slots")).distinct(), "benchmark-groups")
+    return materialize(named.select(F.col("group_id").alias("item_id"), "wording", "n_windows", "entire", F.col("pos").alias("item_pos"), "size", "literal", "hash", F.col("slots").alias("item_slots")).distinct(), "benchmark-groups")
 
 
 def document_windows(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, block: int = HASH_BLOCK) -> DataFrame:
@@ -160,17 +179,21 @@ def document_windows(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame,
         own = keys.where(F.pmod("hash", F.lit(blocks)) == b).toArrow()
         size, literal, hashes = own["size"].to_numpy(), own["literal"].to_numpy(zero_copy_only=False), own["hash"].to_numpy().view(np.uint64)
         sets = {(int(s), kind): np.sort(hashes[(size == s) & (literal == kind)]) for s in np.unique(size) for kind in (True, False)}
+        sets = {k: own for k, own in sets.items() if len(own)}
 
         def work(it: Iterator[pa.RecordBatch], sets=sets) -> Iterator[pa.RecordBatch]:
             tables = {}
             for key, own in sets.items():
-                tables[key] = np.zeros(1 << 20, bool)
-                tables[key][(own >> np.uint64(44)).astype(np.int64)] = True
+                bits = 20 if len(own) > 1 << 10 else 14
+                tables[key] = np.zeros(1 << bits, bool), np.uint64(64 - bits)
+                tables[key][0][(own >> tables[key][1]).astype(np.int64)] = True
 
             def wanted_by(size):
                 def only(kind, h):
-                    own = sets[size, kind]
-                    found = tables[size, kind][(h >> np.uint64(44)).astype(np.int64)]
+                    if (size, kind) not in sets:
+                        return np.zeros(len(h), bool)
+                    own, (table, shift) = sets[size, kind], tables[size, kind]
+                    found = table[(h >> shift).astype(np.int64)]
                     some = np.flatnonzero(found)
                     if len(some):
                         found[some] = own[np.minimum(np.searchsorted(own, h[some]), len(own) - 1)] == h[some]
@@ -207,8 +230,10 @@ def leaks(
     ``share`` of the windows up to numbers, names and units, where equal slots of
     the item are equal in the document over all of them, and different names
     stay different (numbers and units may become equal). Windows are of one wording of the
-    template and at one distance in both texts. Items of under twelve words count as one window, those of under five
-    are not looked for. Case, white space and punctuation do not count. Null
+    template and at one distance in both texts. Of the windows up to slots those with six plain words count and are
+    ``n_windows``; where they are under half of an item's windows, the whole item
+    up to slots tells it too. Items of under twelve words count as one window,
+    those of under five are not looked for, those of slots alone as they are only. Case, white space and punctuation do not count. Null
     and empty texts hold and are nothing; items without id are left out, rows
     without doc_id keep a null; repeated rows give one row; empty tables give an
     empty result; other columns are not read.
@@ -220,7 +245,8 @@ def leaks(
     runs = both.groupBy("doc_id", "k1", "k2", "item_id", "wording", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         F.max("n_windows").alias("n_windows"),
         F.size(F.collect_set(F.when(F.col("literal"), F.col("pos")))).alias("literal_windows"),
-        F.size(F.collect_set(F.when(~F.col("literal"), F.col("pos")))).alias("template_windows"),
+        F.size(F.collect_set(F.when(~F.col("literal") & ~F.col("entire"), F.col("pos")))).alias("template_windows"),
+        F.max("entire").alias("entire"),
         F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("literal"), pairs)))).alias("pairs"),
         F.min("pos").alias("first_token"),
         F.max(F.col("pos") + F.col("size") - 1).alias("last_token"),
@@ -228,8 +254,9 @@ def leaks(
     names = F.filter("pairs", lambda p: p["slots"].startswith(f"{NAME}:"))
     consistent = (F.size("pairs") == F.size(F.array_distinct("pairs.item_slots"))) & (F.size(names) == F.size(F.array_distinct(names["slots"])))
     changed = F.size(F.filter("pairs", lambda p: p["item_slots"] != p["slots"]))
-    told = runs.where((F.col("literal_windows") > 0) | (consistent & (F.col("template_windows") >= F.col("n_windows") * share)))
-    best = told.withColumn("changed_slots", changed).drop("pairs")
+    told = runs.where((F.col("literal_windows") > 0) | (consistent & (F.col("entire") | (F.col("template_windows") >= F.col("n_windows") * share))))
+    told = told.withColumn("template_windows", F.greatest("template_windows", F.col("entire").cast("int")))
+    best = told.withColumn("changed_slots", changed).drop("pairs", "entire")
     columns = ["n_windows", "literal_windows", "template_windows", "changed_slots", "first_token", "last_token"]
     order = F.struct("literal_windows", "template_windows", (-F.col("first_token")).alias("early"), "n_windows", "changed_slots", "first_token", "last_token")
     top = best.groupBy("doc_id", "k1", "k2", "item_id").agg(F.max(order).alias("top"))

@@ -126,6 +126,13 @@ def test_numbers_that_become_equal(spark):
     assert {(r.doc_id, r.item_id) for r in found if not r.literal_windows} == {(1, 10), (3, 11)}
 
 
+def test_short_and_numeric_items(spark):
+    items = ["What is 15 percent of 80?", "Solve 12 + 7 * 3 - 4 / 2 + 9 * 8 - 6 for x now please", "Sort these ten numbers for us: 4, 8, 1, 9, 3, 7, 2, 6, 5, 11, then stop", "Is 4 = 4 or not?", "1 2 3 4 5 6 7"]
+    texts = ["So: What is 20 percent of 65?", "Solve 5 + 8 * 2 - 9 / 3 + 1 * 4 - 7 for x now please", "Sort these ten numbers for us: 14, 18, 21, 19, 13, 17, 12, 16, 15, 1, then stop", "Is 7 = 7 or not?", "9 8 7 6 5 4 3", "Is 7 = 8 or not?", "What is 20 percent in 65?", "1 2 3 4 5 6 7", "Solve 5 + 8 * 2 - 9 / 3 + 1 * 4 - 7 for y now please"]
+    found = leaks(leak_docs(spark, list(enumerate(texts))), items_of(spark, list(enumerate(items)))).collect()
+    assert {(r.doc_id, r.item_id, r.literal_windows) for r in found} == {(0, 0, 0), (1, 1, 0), (2, 2, 0), (3, 3, 0), (7, 4, 1)}
+
+
 def test_leaks_in_blocks_and_of_nothing(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
