@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.arrow import batches
+from lectern.llm.arrow import batches, ragged
 from lectern.llm.components import connected_components
 from lectern.llm.simhash import BITS, BLOCK, bit_counts
 from lectern.session import materialize
@@ -100,11 +100,15 @@ def run_forest(node: np.ndarray, bits: np.ndarray, within: int) -> list[tuple[in
 
 
 def candidate_links(index: DataFrame, within: int) -> DataFrame:
-    """``a, b``: texts of one key whose shingle fingerprints differ in up to ``within`` bits; runs over eight give a spanning forest."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    """``a, b, forest``: texts of one key whose shingle fingerprints differ in up to ``within`` bits.
+
+    Runs over eight give a spanning forest (``forest``): what it joins are
+    groups in which any two texts may be similar.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("forest", pa.bool_())])
 
     def linked(key, node, bits):
-        found = [np.zeros((0, 2), np.int64)]
+        found, trees = [np.zeros((0, 2), np.int64)], [np.zeros((0, 2), np.int64)]
         sizes = np.diff(np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]))
         small = np.repeat(sizes <= 8, sizes)
         for d in range(1, 8):
@@ -114,9 +118,10 @@ def candidate_links(index: DataFrame, within: int) -> DataFrame:
         begins = np.cumsum(sizes) - sizes
         for k in np.flatnonzero(sizes > 8):
             own = slice(begins[k], begins[k] + sizes[k])
-            found.append(np.array(run_forest(node[own], bits[own], within), np.int64).reshape(-1, 2))
-        pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
-        return batches({"a": pairs[:, 0], "b": pairs[:, 1]}, schema)
+            trees.append(np.array(run_forest(node[own], bits[own], within), np.int64).reshape(-1, 2))
+        found, trees = (np.unique(np.sort(np.concatenate(x), axis=1), axis=0) for x in (found, trees))
+        pairs = np.concatenate([found, trees])
+        return batches({"a": pairs[:, 0], "b": pairs[:, 1], "forest": np.arange(len(pairs)) >= len(found)}, schema)
 
     def work(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, node, bits = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 2), np.uint64)
@@ -131,7 +136,66 @@ def candidate_links(index: DataFrame, within: int) -> DataFrame:
         if len(key):
             yield linked(key, node, bits)
 
-    return index.repartition("key").sortWithinPartitions("key", "node").mapInArrow(work, "a long, b long").distinct()
+    return index.repartition("key").sortWithinPartitions("key", "node").mapInArrow(work, "a long, b long, forest boolean").distinct()
+
+
+def similar_forest(node: np.ndarray, parts: np.ndarray, starts: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Links that join what pairs of a Jaccard similarity of ``least`` and more connect, of all pairs.
+
+    Text i has the shingle hashes parts[starts[i]:starts[i + 1]], each once. Texts
+    are compared with all that no link has reached; those left in the end, if they
+    are fewer than the reached ones still to be compared, with all texts instead.
+    """
+    n, sizes = len(node), np.diff(starts)
+    _, shingle = np.unique(parts, return_inverse=True)
+    order = np.argsort(shingle, kind="stable")
+    holders = np.repeat(np.arange(n), sizes)[order]
+    counts = np.bincount(shingle)
+    begins = np.cumsum(counts) - counts
+
+    def near(k):
+        own = shingle[starts[k] : starts[k + 1]]
+        both = np.bincount(holders[ragged(begins[own], counts[own])], minlength=n)
+        return both >= least * (sizes + sizes[k] - both)
+
+    links, left, mine = [], np.ones(n, bool), np.zeros(n, bool)
+    while left.any():
+        first = int(np.flatnonzero(left)[0])
+        left[first] = False
+        mine[:] = False
+        mine[first], wave = True, [first]
+        while wave and left.any():
+            if left.sum() <= len(wave):
+                for k in np.flatnonzero(left).tolist():
+                    found = near(k)
+                    links.extend((node[k], node[r]) for r in [*np.flatnonzero(found & mine)[:1], *np.flatnonzero(found & left)] if r != k)
+                return links
+            k = wave.pop()
+            reached = np.flatnonzero(near(k) & left)
+            links.extend((node[k], node[r]) for r in reached)
+            left[reached], mine[reached] = False, True
+            wave.extend(reached.tolist())
+    return links
+
+
+def forest_links(trees: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
+    """``a, b``: exact links within each group that ``trees`` (``a, b``) join; ``texts`` has ``node, text``."""
+    hashed, schema = pa.schema([("node", pa.int64()), ("parts", pa.binary())]), pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def work(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            parts = [b"".join(xxhash.xxh64(x).intdigest().to_bytes(8, "little") for x in shingles(t.as_py(), size)) for t in batch.column(1)]
+            yield batches({"node": batch.column(0), "parts": parts}, hashed)
+
+    def joined(group: pa.Table) -> pa.Table:
+        parts = [np.unique(np.frombuffer(x.as_py(), np.uint64)) for x in group["parts"]]
+        found = similar_forest(group["node"].to_numpy(), np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])]), least)
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]}, schema=schema)
+
+    groups = connected_components(trees, "a", "b")
+    own = texts.join(groups.select("node"), "node", "left_semi").select("node", "text").mapInArrow(work, "node long, parts binary").join(groups, "node")
+    return own.groupBy("root").applyInArrow(joined, "a long, b long")
 
 
 def similar_links(links: DataFrame, texts: DataFrame, size: int, least: float) -> DataFrame:
@@ -163,8 +227,9 @@ def without_similar(
     are what such links connect. Equal word sequences meet as one text. Others
     meet under one-wildcard variants of the segments of two fingerprints of
     their different words, are compared by a 128-bit fingerprint of their
-    shingles, and then exactly; links removed are exact, finding them is by
-    chance (see README for the measured share). Null, empty and blank texts are
+    shingles, and then exactly; groups of texts that meet in long runs are searched
+    exactly, whatever links of the run failed. Links removed are exact, that
+    texts meet is by chance (see README for the measured share). Null, empty and blank texts are
     copies of each other; rows that repeat an id leave one row; rows without id
     stay; an empty table stays empty; columns are kept.
     """
@@ -176,7 +241,10 @@ def without_similar(
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = known.select(F.col(doc_id).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
     texts = texts.join(ends, "node", "left_semi").dropDuplicates(["node"])
-    roots = connected_components(similar_links(links, materialize(texts, "linked-texts"), size, least), "a", "b")
+    texts = materialize(texts, "linked-texts")
+    pairs = links.where("not forest").select("a", "b").distinct()
+    exact = similar_links(pairs, texts, size, least).union(forest_links(links.where("forest").select("a", "b"), texts, size, least))
+    roots = connected_components(exact, "a", "b")
     kept = nodes.select("node").join(roots.where("node <> root"), "node", "left_anti")
     stay = known.join(kept, known[doc_id].cast("long") == kept["node"], "left_semi").dropDuplicates([doc_id])
     return stay.unionByName(docs.where(F.col(doc_id).isNull()))

@@ -3,7 +3,7 @@ import pytest
 
 from lectern.llm.components import connected_components
 from lectern.llm.line_windows import drop_repeated_lines
-from lectern.llm.near_texts import shingles, without_similar
+from lectern.llm.near_texts import shingles, similar_forest, without_similar
 from lectern.llm.simhash import fingerprint_rows, fingerprints, near_copies, near_links, shingle_hashes, variant_index, without_near_copies
 from tests.conftest import rows
 
@@ -96,6 +96,30 @@ def test_similar_texts(spark):
     assert without_similar(table(spark, docs).limit(0)).count() == 0
 
 
+def similar_by_hand(docs):
+    parts = [shingles(t, 5) for _, t in docs]
+    linked = [(i, j) for i in range(len(docs)) for j in range(i) if len(parts[i] & parts[j]) >= 0.8 * len(parts[i] | parts[j])]
+    return roots(len(docs), linked)
+
+
+def test_large_groups_lose_no_links(spark):
+    rng = np.random.default_rng(12)
+    words = [[f"w{k}" for k in range(200)]]
+    for _ in range(60):
+        own = list(words[int(rng.integers(0, len(words)))])
+        for k in rng.choice(24, int(rng.integers(3, 6)), replace=False) * 8:
+            own[k], own[k + 1] = own[k + 1], own[k]
+        words.append(own)
+    docs = [(int(i), " ".join(w)) for i, w in zip(rng.permutation(len(words)), words)]
+    want = similar_by_hand(docs)
+    kept = sorted(min(docs[i][0] for i in range(len(docs)) if want[i] == r) for r in set(want))
+    assert 5 < len(kept) < len(docs) - 5
+    assert [r[0] for r in rows(without_similar(table(spark, docs)).select("doc_id"))] == kept
+    parts = [sorted(hash(x) for x in shingles(t, 5)) for _, t in docs]
+    links = similar_forest(np.arange(len(docs)), np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])]), 0.8)
+    assert roots(len(docs), links) == want
+
+
 def lines_by_hand(docs, size=3):
     first = {}
     for i, t in sorted((i, t) for i, t in docs if t is not None):
