@@ -10,15 +10,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.arrow import batches, ragged
+from lectern.llm.arrow import batches, mix, ragged
 from lectern.llm.components import connected_components
 from lectern.llm.simhash import BITS, BLOCK, bit_counts
 from lectern.session import materialize
 
 # Two fingerprints of 64 bits over a text's words; copies differ in up to WITHIN bits of one of them.
 WITHIN = 5
-# Bits of the 128 over its shingles in which copies of similarity 0.8 differ at most (mean 19, deviation 4).
-SHINGLE_BITS = 26
+# Bits of the 128 over its shingles in which copies of similarity 0.8 differ at most (mean 19, of a few shingles up to 24, deviation 4).
+SHINGLE_BITS = 44
+# Keys of ROWS least shingle hashes each; of texts of similarity 0.8 all keys differ in (1 - 0.8 ** 4) ** 20 = 0.00003.
+BANDS, ROWS = 20, 4
 LANES = ("k1", "k2", "f1", "f2", "v1", "v2")
 
 
@@ -30,6 +32,16 @@ def _majority(groups: list[list[bytes]]) -> np.ndarray:
     return np.stack([np.packbits(w, axis=1, bitorder="little").view("<u8").ravel() for w in wins], 1).view(np.int64)
 
 
+def least_hash_keys(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """BANDS keys of each text of hashes[starts[i]:starts[i + 1]] (none empty): its least hashes in ROWS different orders."""
+    orders = np.random.default_rng(80).integers(1, 1 << 63, (BANDS * ROWS, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    keys = np.zeros((len(starts) - 1, BANDS), np.uint64)
+    for k, (turn, factor) in enumerate(orders):
+        least = np.minimum.reduceat((hashes ^ turn) * factor, starts[:-1])
+        keys[:, k // ROWS] = mix(keys[:, k // ROWS] + least + np.uint64(k))
+    return keys.view(np.int64)
+
+
 def shingles(text: str | None, size: int) -> set[bytes]:
     """The different ``size``-word shingles of a text in A-Z lower case; the whole sequence if it is shorter."""
     words = (text or "").encode().lower().split()
@@ -37,18 +49,20 @@ def shingles(text: str | None, size: int) -> set[bytes]:
 
 
 def sketches(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
-    """``doc_id``, a 128-bit hash of the word sequence, two fingerprints of the different words, and one of twice 64 bits of the shingles."""
-    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in LANES)])
+    """``doc_id``, a 128-bit hash of the word sequence, two fingerprints of the different words, one of twice 64 bits of the shingles, and ``bands``, keys of least shingle hashes."""
+    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in LANES), ("bands", pa.list_(pa.int64()))])
     digest = xxhash.xxh128_digest
 
     def work(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            out = np.zeros((batch.num_rows, 6), np.int64)
+            out, bands = np.zeros((batch.num_rows, 6), np.int64), np.zeros((batch.num_rows, BANDS), np.int64)
             at, words_of, parts_of, held = [], [], [], 0
 
             def close():
                 if at:
                     out[at, 2:4], out[at, 4:6] = _majority(words_of), _majority(parts_of)
+                    first = np.frombuffer(b"".join(h for g in parts_of for h in g), np.uint64)[::2]
+                    bands[at] = least_hash_keys(first, np.concatenate([[0], np.cumsum([len(g) for g in parts_of])]))
                 at.clear(), words_of.clear(), parts_of.clear()
 
             for k, text in enumerate(batch.column(1)):
@@ -63,9 +77,9 @@ def sketches(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
                     close()
                     held = 0
             close()
-            yield batches({"doc_id": batch.column(0)} | {c: out[:, i] for i, c in enumerate(LANES)}, schema)
+            yield batches({"doc_id": batch.column(0)} | {c: out[:, i] for i, c in enumerate(LANES)} | {"bands": bands.tolist()}, schema)
 
-    return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(work, "doc_id long, " + ", ".join(f"{c} long" for c in LANES))
+    return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(work, "doc_id long, " + ", ".join(f"{c} long" for c in LANES) + ", bands array<long>")
 
 
 def segment_masks(within: int) -> list[int]:
@@ -84,6 +98,12 @@ def variants(nodes: DataFrame, within: int) -> DataFrame:
     return bits.select(F.xxhash64("t", "p", left).alias("key"), "node", "v1", "v2")
 
 
+def band_index(nodes: DataFrame) -> DataFrame:
+    """``key, node, v1, v2``: each text under its keys of least shingle hashes."""
+    each = nodes.select("node", "v1", "v2", F.posexplode("bands").alias("t", "band"))
+    return each.select(F.xxhash64(F.lit("band"), "t", "band").alias("key"), "node", "v1", "v2")
+
+
 def run_forest(node: np.ndarray, bits: np.ndarray, within: int) -> list[tuple[int, int]]:
     """Links, each found from its own neighbour, that join all members of a run which similar ones connect."""
     left, links = np.arange(len(node)), []
@@ -226,7 +246,7 @@ def without_similar(
     white space apart) have a Jaccard similarity of ``least`` and more; groups
     are what such links connect. Equal word sequences meet as one text. Others
     meet under one-wildcard variants of the segments of two fingerprints of
-    their different words, are compared by a 128-bit fingerprint of their
+    their different words, or under keys of least shingle hashes, are compared by a 128-bit fingerprint of their
     shingles, and then exactly; groups of texts that meet in long runs are searched
     exactly, whatever links of the run failed. Links removed are exact, that
     texts meet is by chance (see README for the measured share). Null, empty and blank texts are
@@ -235,9 +255,9 @@ def without_similar(
     """
     known = docs.where(F.col(doc_id).isNotNull())
     each = materialize(sketches(known, doc_id, text, size), "sketches")
-    nodes = each.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in LANES[2:]])
+    nodes = each.groupBy("k1", "k2").agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in (*LANES[2:], "bands")])
     nodes = materialize(nodes.drop("k1", "k2"), "different-texts")
-    links = materialize(candidate_links(variants(nodes, within), shingle_bits), "candidate-links")
+    links = materialize(candidate_links(variants(nodes, within).union(band_index(nodes)), shingle_bits), "candidate-links")
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = known.select(F.col(doc_id).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
     texts = texts.join(ends, "node", "left_semi").dropDuplicates(["node"])

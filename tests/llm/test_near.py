@@ -120,6 +120,25 @@ def test_large_groups_lose_no_links(spark):
     assert roots(len(docs), links) == want
 
 
+def planted_pairs(rng, n):
+    """Pairs of n texts and their copies with a tail more, a tail less or a changed middle, of similarities from 0.8 to 0.96."""
+    docs = []
+    for k in range(n):
+        size, least = int(rng.integers(30, 300)), 0.8 + 0.16 * k / n
+        own = [f"w{x}" for x in rng.integers(0, 1 << 40, size)]
+        more = [f"w{x}" for x in rng.integers(0, 1 << 40, int((size - 4) * (1 / least - 1)))]
+        less = own[: 4 + int(np.ceil((size - 4) * least))]
+        docs += [own, (own + more, less, more + own)[k % 3]]
+    return [(i, " ".join(w)) for i, w in enumerate(docs)]
+
+
+def test_planted_pairs_meet(spark):
+    docs = planted_pairs(np.random.default_rng(21), 300)
+    parts = [shingles(t, 5) for _, t in docs]
+    assert all(len(x & y) >= 0.8 * len(x | y) for x, y in zip(parts[::2], parts[1::2]))
+    assert [r[0] for r in rows(without_similar(table(spark, docs)).select("doc_id"))] == list(range(0, 600, 2))
+
+
 def lines_by_hand(docs, size=3):
     first = {}
     for i, t in sorted((i, t) for i, t in docs if t is not None):
