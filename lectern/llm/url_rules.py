@@ -33,7 +33,7 @@ def given_rule(host, path, rules: list[Rule]) -> tuple[F.Column, F.Column]:
 
 
 def url_tokens(host, path, tail) -> F.Column:
-    """At most ten typed tokens of a URL, whatever its length: parts of the host, shape of path and query."""
+    """Typed tokens of a URL: parts of the host, shape of path and query, each segment, word of a segment, query key and value."""
     labels = F.reverse(F.split(host, r"\."))
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
     last = F.try_element_at(segments, F.lit(-1))
@@ -51,7 +51,38 @@ def url_tokens(host, path, tail) -> F.Column:
         token("keys", keys),
         token("mark", F.when(tail.contains("#"), "#")),
     ]
-    return F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))
+    words = F.filter(F.split(F.lower(path), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    each = [
+        (segments, "segment"),
+        (words, "word"),
+        (F.regexp_extract_all(tail, F.lit(r"[?&]([^=&#]+)"), 1), "key"),
+        (F.regexp_extract_all(tail, F.lit(r"[?&]([^=&#]+=[^&#]+)"), 1), "value"),
+    ]
+    typed = lambda kind: lambda v: F.concat(F.lit(kind + ":"), v)
+    many = [F.transform(F.array_distinct(x), typed(kind)) for x, kind in each]
+    return F.array_sort(F.array_distinct(F.concat(F.array_compact(F.array(*found)), *many)))
+
+
+def useful_tokens(rows: DataFrame, least: float, min_confidence: float, rate: float) -> DataFrame:
+    """``token, item, alone``: tokens that ``least`` bad rows and more of ``row, tokens, bad`` have.
+
+    Tokens of the very same rows are one item. ``alone`` are those that are a
+    rule by themselves: no larger rule with them blocks anything more. There are
+    at most as many as a row has tokens on average, over the least support.
+    """
+    each = rows.select("row", F.col("bad").cast("int").alias("bad"), F.explode("tokens").alias("token"))
+    same = [F.bit_xor(F.xxhash64("row")).alias("x"), F.sum(F.xxhash64(F.lit(1), "row") % 1_000_003).alias("y")]
+    counts = each.groupBy("token").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"), *same).where(F.col("bad") >= least)
+    counts = materialize(counts, "url-tokens")
+    items = counts.groupBy("n", "bad", "x", "y").agg(F.min("token").alias("item"))
+    share = F.col("bad") / F.col("n")
+    return materialize(counts.join(items, ["n", "bad", "x", "y"]).select("token", "item", ((share >= min_confidence) & (share > rate)).alias("alone")), "url-items")
+
+
+def items_of(sets: DataFrame, key: str, useful: DataFrame) -> DataFrame:
+    """``key`` and the distinct items of its ``tokens``; keys without any are left out."""
+    each = sets.select(key, F.explode("tokens").alias("token")).join(F.broadcast(useful), "token")
+    return each.groupBy(key).agg(F.array_sort(F.collect_set("item")).alias("tokens"))
 
 
 def mined_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.001, min_count: int = 20, min_confidence: float = 0.5) -> DataFrame:
@@ -60,8 +91,7 @@ def mined_rules(pages: DataFrame, labels: DataFrame, min_support: float = 0.001,
     ``pages`` has ``page_id, tokens``; ``labels`` has ``page_id, bad``. FP-growth
     runs over all labelled pages with their label as one more item; a rule
     needs ``min_support`` of them, at least ``min_count`` pages, ``min_confidence``,
-    and more of it than all labelled pages have. A URL has at most ten tokens, so the item sets of a page
-    are bounded however often it is repeated.
+    and more of it than all labelled pages have.
     """
     known = labels.where("page_id is not null").groupBy("page_id").agg(F.max(F.coalesce("bad", F.lit(False))).alias("bad"))
     baskets = pages.join(known, "page_id").select(
@@ -94,6 +124,29 @@ def matched_token_sets(sets: DataFrame, rules: DataFrame) -> DataFrame:
     return held.join(index.select("token", "needed"), "token").where(fits).select("tokens").distinct()
 
 
+def blocked_token_sets(split: DataFrame, labels: DataFrame, min_support: float, min_count: int, min_confidence: float) -> DataFrame:
+    """The distinct ``tokens`` of ``split`` (``page_id, tokens``) that some mined rule matches.
+
+    FP-growth sees what may be in a rule: tokens with enough bad pages, those of
+    the very same pages as one, without those that are rules alone.
+    """
+    known = labels.where("page_id is not null").groupBy("page_id").agg(F.max(F.coalesce("bad", F.lit(False))).alias("bad"))
+    rows = split.join(known, "page_id").select(F.monotonically_increasing_id().alias("row"), "tokens", "bad")
+    rows = materialize(rows, "labelled-urls")
+    n, bad = rows.agg(F.count("*"), F.coalesce(F.count_if("bad"), F.lit(0))).first()
+    if not bad:
+        return split.select("tokens").limit(0)
+    useful = useful_tokens(rows, max(min_support * n, min_count) - 0.5, min_confidence, bad / n)
+    others = items_of(rows, "row", useful.where("not alone"))
+    baskets = rows.select("row").join(others, "row", "left").select(F.col("row").alias("page_id"), F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"))
+    mined = mined_rules(baskets, rows.select(F.col("row").alias("page_id"), "bad"), min_support, min_count, min_confidence)
+    sets = materialize(split.select("tokens").distinct().withColumn("set", F.monotonically_increasing_id()), "url-sets")
+    alone = sets.select("set", F.explode("tokens").alias("token")).join(F.broadcast(useful.where("alone")), "token").select("set")
+    items = materialize(items_of(sets, "set", useful.where("not alone")), "url-set-items")
+    some = items.join(matched_token_sets(items.select("tokens").distinct(), mined), "tokens").select("set")
+    return sets.join(alone.union(some).distinct(), "set", "left_semi").select("tokens")
+
+
 def judge_urls(
     pages: DataFrame, labels: DataFrame, rules: list[Rule], page_id: str = "page_id", url: str = "url",
     min_support: float = 0.001, min_count: int = 20, min_confidence: float = 0.5,
@@ -109,8 +162,7 @@ def judge_urls(
     """
     host, path, tail = url_parts(F.col(url))
     split = pages.select(F.col(page_id).alias("page_id"), host.alias("host"), path.alias("path"), url_tokens(host, path, tail).alias("tokens"))
-    mined = mined_rules(split.select("page_id", "tokens"), labels, min_support, min_count, min_confidence)
-    bad = matched_token_sets(split.select("tokens").distinct(), mined).withColumn("bad", F.lit(True))
+    bad = blocked_token_sets(split, labels, min_support, min_count, min_confidence).withColumn("bad", F.lit(True))
     rule, verdict = given_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bad"), "block").otherwise("allow")
     return split.join(bad, "tokens", "left").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"))

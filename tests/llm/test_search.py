@@ -85,6 +85,27 @@ def test_mined_rules_block(spark):
     assert {tuple(r) for r in found} == {("block", True), ("allow", False)}
 
 
+def test_rules_of_any_part_of_a_url(spark):
+    def urls(i):
+        yield f"http://h{i}.net/{i}/x/{i % 7}/buy-cheap-pills-{i}", True
+        yield f"http://h{i}.net/{i}/x/{i % 7}/buy-fresh-bread-{i}", False
+        yield f"http://h{i}.net/{i}/x/{i % 7}/buy-plain-bread-{i}", False
+        yield f"http://g{i}.net/a/?id={i}&spam={i}&z{i}=1", True
+        yield f"http://g{i}.net/a/?id={i}&tone=loud{i}&mode=sell&z{i}=1", True
+        for n in range(4):
+            yield f"http://g{i}.net/a/?id={i}&n{n}=1&mode=read&z{i}=1", False
+            yield f"http://k{i}.net/{i}/{i}/red-{n}-door", False
+            yield f"http://k{i}.net/{i}/{i}/blue-{n}-gate", False
+        yield f"http://k{i}.net/{i}/{i}/red-{i}-gate", True
+
+    taught = [u for i in range(30) for u in urls(i)]
+    new = [u for i in range(1000, 1003) for u in urls(i)]
+    pages = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(taught + new)], "page_id long, url string")
+    labels = spark.createDataFrame([(k, b) for k, (_, b) in enumerate(taught)], "page_id long, bad boolean")
+    verdict = {r.page_id: r.verdict for r in judge_urls(pages, labels, RULES).collect()}
+    assert [verdict[k] == "block" for k in range(len(taught + new))] == [b for _, b in taught + new]
+
+
 QUESTION = "If Maria buys 12 apples for 3 dollars each at the market near 5 old stations, how much money does Maria spend in total on 12 apples?"
 OTHER = QUESTION.replace("Maria", "Pavel").replace("12", "47").replace("3 dollars", "9 euros").replace("5", "8")
 
