@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from lectern.llm import quality as quality_model
 from lectern.llm.decontamination import without_leaks
 from lectern.llm.line_windows import drop_repeated_lines
-from lectern.llm.near_texts import without_similar
 from lectern.llm.packing import pack_by_cost
+from lectern.llm.simhash import without_near_copies
 from lectern.session import scratch_path
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -36,8 +36,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity of 0.8 and more) the document with the smallest id."""
-    return without_similar(docs.select(*COLUMNS), size=5, least=0.8)
+    """Of each group of SimHash near copies (three-word shingles, up to three bits) the document with the smallest id."""
+    return without_near_copies(docs.select(*COLUMNS), size=3, within=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
