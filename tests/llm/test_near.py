@@ -3,7 +3,6 @@ import pytest
 
 from lectern.llm.components import connected_components
 from lectern.llm.line_windows import drop_repeated_lines
-from lectern.llm.near_texts import shingles, similar_forest, without_similar
 from lectern.llm.simhash import fingerprint_rows, fingerprints, near_copies, near_links, shingle_hashes, variant_index, without_near_copies
 from tests.conftest import rows
 
@@ -83,60 +82,15 @@ def test_groups(spark):
     assert fingerprints(table(spark, texts)).count() == 8
 
 
-def test_similar_texts(spark):
+def test_one_document_of_each_group_stays(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     docs = [(r.doc_id, r.text) for r in docs] + [(1000, None), (1001, "  "), (1002, docs[3].text.upper()), (3, docs[3].text)]
-    parts = [shingles(t, 5) for _, t in docs]
-    linked = [(i, j) for i in range(len(docs)) for j in range(i) if len(parts[i] & parts[j]) >= 0.8 * len(parts[i] | parts[j])]
-    want = roots(len(docs), linked)
-    least = {k: min(docs[i][0] for i in range(len(docs)) if want[i] == k) for k in set(want)}
-    kept = without_similar(table(spark, docs + [(None, docs[0][1])]))
-    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(least.values())
-    assert kept.where("doc_id is null").count() == 1
-    assert without_similar(table(spark, docs).limit(0)).count() == 0
-
-
-def similar_by_hand(docs):
-    parts = [shingles(t, 5) for _, t in docs]
-    linked = [(i, j) for i in range(len(docs)) for j in range(i) if len(parts[i] & parts[j]) >= 0.8 * len(parts[i] | parts[j])]
-    return roots(len(docs), linked)
-
-
-def test_large_groups_lose_no_links(spark):
-    rng = np.random.default_rng(12)
-    words = [[f"w{k}" for k in range(200)]]
-    for _ in range(60):
-        own = list(words[int(rng.integers(0, len(words)))])
-        for k in rng.choice(24, int(rng.integers(3, 6)), replace=False) * 8:
-            own[k], own[k + 1] = own[k + 1], own[k]
-        words.append(own)
-    docs = [(int(i), " ".join(w)) for i, w in zip(rng.permutation(len(words)), words)]
-    want = similar_by_hand(docs)
-    kept = sorted(min(docs[i][0] for i in range(len(docs)) if want[i] == r) for r in set(want))
-    assert 5 < len(kept) < len(docs) - 5
-    assert [r[0] for r in rows(without_similar(table(spark, docs)).select("doc_id"))] == kept
-    parts = [sorted(hash(x) for x in shingles(t, 5)) for _, t in docs]
-    links = similar_forest(np.arange(len(docs)), np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])]), 0.8)
-    assert roots(len(docs), links) == want
-
-
-def planted_pairs(rng, n):
-    """Pairs of n texts and their copies with a tail more, a tail less or a changed middle, of similarities from 0.8 to 0.96."""
-    docs = []
-    for k in range(n):
-        size, least = int(rng.integers(30, 300)), 0.8 + 0.16 * k / n
-        own = [f"w{x}" for x in rng.integers(0, 1 << 40, size)]
-        more = [f"w{x}" for x in rng.integers(0, 1 << 40, int((size - 4) * (1 / least - 1)))]
-        less = own[: 4 + int(np.ceil((size - 4) * least))]
-        docs += [own, (own + more, less, more + own)[k % 3]]
-    return [(i, " ".join(w)) for i, w in enumerate(docs)]
-
-
-def test_planted_pairs_meet(spark):
-    docs = planted_pairs(np.random.default_rng(21), 300)
-    parts = [shingles(t, 5) for _, t in docs]
-    assert all(len(x & y) >= 0.8 * len(x | y) for x, y in zip(parts[::2], parts[1::2]))
-    assert [r[0] for r in rows(without_similar(table(spark, docs)).select("doc_id"))] == list(range(0, 600, 2))
+    fps = fingerprint_rows([t for _, t in docs], 3).view(np.uint64)
+    near = np.bitwise_count(fps[:, None] ^ fps[None, :]) <= 3
+    want = roots(len(docs), [(i, j) for i, j in zip(*np.nonzero(near)) if i < j])
+    least = sorted(min(docs[i][0] for i in range(len(docs)) if want[i] == k) for k in set(want))
+    assert len(least) < len(docs) - 5
+    assert rows(without_near_copies(table(spark, docs)).select("doc_id")) == [(i,) for i in least]
 
 
 def lines_by_hand(docs, size=3):
