@@ -13,6 +13,7 @@ from lectern.llm.line_windows import LINE_DEDUP_SQL, drop_repeated_lines
 from lectern.llm.packing import pack_best_fit, pack_by_cost
 from lectern.llm.quality import quality
 from lectern.llm.simhash import near_copies
+from lectern.llm.source_divergence import DIVERGENCE_SQL, source_divergences
 from lectern.llm.suffix_arrays import drop_repeated_strings
 from lectern.llm.toxicity import toxicity
 from lectern.llm.url_rules import judge_urls
@@ -100,3 +101,8 @@ def op10_line_windows(table):
     return found.select(
         "doc_id", F.col("_lines_n").alias("n_lines"), F.col("_lines_removed").alias("n_removed"), F.col("_lines_spans").alias("n_spans"), "text"
     )
+
+
+@query("op12_source_divergence", DIVERGENCE_SQL)
+def op12_source_divergence(table):
+    return source_divergences(table("documents"))
