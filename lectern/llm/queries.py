@@ -17,6 +17,7 @@ from lectern.llm.source_divergence import DIVERGENCE_SQL, source_divergences
 from lectern.llm.suffix_arrays import drop_repeated_strings
 from lectern.llm.toxicity import toxicity
 from lectern.llm.url_rules import judge_urls
+from lectern.llm.whitening import whiten
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -106,3 +107,8 @@ def op10_line_windows(table):
 @query("op12_source_divergence", DIVERGENCE_SQL)
 def op12_source_divergence(table):
     return source_divergences(table("documents"))
+
+
+@query("op13_whitening")
+def op13_whitening(table):
+    return whiten(table("embeddings"))
