@@ -11,6 +11,7 @@ from lectern.llm.decontamination import leaks
 from lectern.llm.exact_topk import TOPK_SQL, exact_topk
 from lectern.llm.line_windows import LINE_DEDUP_SQL, drop_repeated_lines
 from lectern.llm.packing import pack_best_fit, pack_by_cost
+from lectern.llm.personal_data import personal_data
 from lectern.llm.quality import quality
 from lectern.llm.simhash import near_copies
 from lectern.llm.source_divergence import DIVERGENCE_SQL, source_divergences
@@ -104,6 +105,11 @@ def op10_line_windows(table):
     )
 
 
+@query("op11_personal_data")
+def op11_personal_data(table):
+    return personal_data(table("documents"))
+
+
 @query("op12_source_divergence", DIVERGENCE_SQL)
 def op12_source_divergence(table):
     return source_divergences(table("documents"))
