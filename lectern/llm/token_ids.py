@@ -3,7 +3,9 @@
 The ids are those of the ``tokenizers`` file. Texts of plain letters, digits
 and punctuation with single blanks are cut at their blanks; each different
 piece of a block is encoded once, by the rank file of the same vocabulary.
-Every other text goes through ``tokenizers`` itself, so both ways agree.
+Every other text goes through ``tokenizers`` itself, so both ways agree; so does
+a text with a mark that the file adds to its vocabulary (``<|endoftext|>``),
+which has an id of its own.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ class Pieces:
 
     def __init__(self, vocabulary: Vocabulary):
         self.whole = Tokenizer.from_file(vocabulary.path)
-        self.whole.encode_special_tokens = True
+        self.marks = [t.content.encode() for t in self.whole.get_added_tokens_decoder().values() if t.content]
         self.ranks = None
         if vocabulary.ranks:
             with open(vocabulary.ranks, "rb") as lines:
@@ -93,7 +95,21 @@ class Pieces:
         odd[:-1] |= blank[:-1] & blank[1:]
         odd[starts[1:][np.diff(starts) > 0] - 1] |= blank[starts[1:][np.diff(starts) > 0] - 1]
         bad = np.concatenate([[0], np.cumsum(odd)])
-        return bad[starts[1:]] == bad[starts[:-1]]
+        return (bad[starts[1:]] == bad[starts[:-1]]) & ~self.marked(data, starts)
+
+    def marked(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Which rows hold a mark."""
+        found = np.zeros(len(starts) - 1, bool)
+        raw = data.tobytes()
+        for mark in self.marks:
+            at = raw.find(mark)
+            while at >= 0:
+                row = int(np.searchsorted(starts, at, "right")) - 1
+                inside = at + len(mark) <= starts[row + 1]
+                found[row] |= inside
+                # The rest of a marked row need not be looked through.
+                at = raw.find(mark, int(starts[row + 1]) if inside else at + 1)
+        return found
 
     def encode(self, data: np.ndarray, starts: np.ndarray, end: int | None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, ``end`` after each row's own unless it is None, and where each row's begin."""

@@ -10,12 +10,11 @@ from tokenizers import Tokenizer
 from lectern.llm.packing import Capacities, best_fit, cost_balanced, id_matrix, pack_best_fit, pack_by_cost, write_packed
 from lectern.llm.token_ids import Vocabulary, worker_pieces
 
-ODD = ["", " ", "a", "\n", "a b\n", "two  spaces", "tab\there", "don't we'll\nit's", "naïve café  x", "’s “q”", "日本 語", "<|endoftext|> x", "x" * 300 + " " + "y" * 70, "1,234.5 a²", " a", "\x1cz \x85", " lead", "é\n\nç"]
+ODD = ["", " ", "a", "\n", "a b\n", "two  spaces", "tab\there", "don't we'll\nit's", "naïve café  x", "’s “q”", "日本 語", "<|endoftext|> x", "<|endoftext|>", "a<|endoftext|>b", " <|endoftext|> ", "a <|endoftext|>", "<|endoftext|><|endoftext|>\n", "<|endof", "text|>", "a <|endoftext| b", "plain words", "x" * 300 + " " + "y" * 70, "1,234.5 a²", " a", "\x1cz \x85", " lead", "é\n\nç"]
 
 
 def reference():
     t = Tokenizer.from_file(Vocabulary().path)
-    t.encode_special_tokens = True
     return lambda s: t.encode(s, add_special_tokens=False).ids
 
 
@@ -33,7 +32,7 @@ def test_ids_are_those_of_the_tokenizer():
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.one_of(st.text(st.characters(max_codepoint=0x2100, exclude_categories=["Cs"]), max_size=30), st.text("ab'St \nñ²,1", max_size=30)), max_size=6))
+@given(st.lists(st.one_of(st.text(st.characters(max_codepoint=0x2100, exclude_categories=["Cs"]), max_size=30), st.text("ab'St \nñ²,1", max_size=30), st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "a b", "é", "\n"]), max_size=6).map("".join)), max_size=6))
 def test_ids_of_any_text(texts):
     own = reference()
     assert encoded(texts) == [own(t) for t in texts]
