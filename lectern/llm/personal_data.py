@@ -48,9 +48,9 @@ class Settings:
     dims: int = 8
     rows: int = 2_000
     windows: int = 3_000
-    steps: int = 700
+    steps: int = 900
     batch: int = 96
-    rate: float = 0.02
+    rate: float = 0.03
     seed: int = 11
 
 
@@ -170,11 +170,9 @@ def variant(rng: np.random.Generator, kind: int, words: list[str]) -> str:
 
 
 def distractor(rng: np.random.Generator, words: list[str]) -> str:
-    """What looks like personal data and is none."""
+    """What looks like personal data and is none; numbers that only the checks of ``plausible`` tell apart are left to those."""
     n = lambda a, b: int(rng.integers(a, b))
     word = _pick(rng, words) if words else "x"
-    wrong = _card_digits(rng)
-    wrong = wrong[:-1] + str((int(wrong[-1]) + n(1, 10)) % 10)
     return _pick(
         rng,
         [
@@ -182,13 +180,10 @@ def distractor(rng: np.random.Generator, words: list[str]) -> str:
             f"{n(1, 29)}.{n(1, 13)}.{n(1900, 2100)}",
             f"{n(0, 24):02d}:{n(0, 60):02d}:{n(0, 60):02d}",
             f"{n(0, 20)}.{n(0, 20)}.{n(0, 20)}",
-            f"{n(256, 999)}.{n(0, 256)}.{n(0, 256)}.{n(0, 256)}",
             f"{n(0, 999)}.{n(0, 99)}",
             f"{n(0, 999)},{n(0, 999):03d},{n(0, 999):03d}",
             _number(rng, n(1, 9)),
-            wrong,
-            wrong[:4] + " " + wrong[4:8] + " " + wrong[8:12] + " " + wrong[12:],
-            _number(rng, n(10, 25)),
+            _number(rng, n(20, 40)),
             f"@{word}",
             f"{word} at {word}",
             f"{word} at {word}. {word.capitalize()} {word}",
@@ -206,8 +201,8 @@ def distractor(rng: np.random.Generator, words: list[str]) -> str:
     )
 
 
-def lesson(rng: np.random.Generator, before: str, item: str, kind: int | None, after: str) -> tuple[np.ndarray, np.ndarray]:
-    """Character classes and labels of a window with ``item`` somewhere in it."""
+def lesson(rng: np.random.Generator, before: str, item: str, kind: int | None, after: str) -> tuple[np.ndarray, np.ndarray, str]:
+    """Character classes, labels and text of a window with ``item`` somewhere in it."""
     item = item[:LESSON]
     lead = int(rng.integers(0, LESSON - len(item) + 1))
     before = before[-lead:] if lead else ""
@@ -218,11 +213,11 @@ def lesson(rng: np.random.Generator, before: str, item: str, kind: int | None, a
         labels[len(before)] = 2 * kind + 1
     ids = np.zeros(LESSON, np.uint8)
     ids[: len(text)] = char_classes(text)
-    return ids, labels
+    return ids, labels, text
 
 
-def lessons(found: list[tuple[str, str, str, int]], most: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Windows (times, texts) and their labels; half of them without personal data.
+def lessons(found: list[tuple[str, str, str, int]], most: int, seed: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Windows (times, texts), their labels and texts; half of them without personal data.
 
     ``found`` has text before, item, text after and kind (-1: a text without any).
     The kinds come in equal shares. Items stay as they are or become a variant of
@@ -247,7 +242,7 @@ def lessons(found: list[tuple[str, str, str, int]], most: int, seed: int) -> tup
                 before = before.rstrip("0123456789.-+_%") + " "
             out.append(lesson(rng, before, item, kind, after if after[:1] in ("", " ", "\n", ".", ",") else " " + after))
     ids, labels = (np.array([x[k] for x in out], np.uint8).reshape(-1, LESSON).T for k in (0, 1))
-    return np.ascontiguousarray(ids), np.ascontiguousarray(labels)
+    return np.ascontiguousarray(ids), np.ascontiguousarray(labels), [x[2] for x in out]
 
 
 def labelled_windows(docs: DataFrame, settings: Settings) -> list[tuple[str, str, str, int]]:
@@ -319,26 +314,29 @@ def span_score(scores: np.ndarray, start: int, kind: int, end: int) -> float:
 def fit(docs: DataFrame, settings: Settings = Settings()) -> Finder:
     """A finder trained on the patterns' matches in ``docs`` (``doc_id, text``); without matches it has no tagger.
 
-    A fifth of the lessons is held back: a kind's least score is the lowest at
-    which 99 of 100 of its spans in them are right.
+    A fifth of the windows is held back: a kind's least score is the lowest at
+    which 99 of 100 of its plausible spans in them touch one that is meant.
     """
     found = labelled_windows(docs, settings)
     if not any(f[3] >= 0 for f in found):
         return Finder()
     back = [f for k, f in enumerate(found) if k % 5 == 0]
-    ids, labels = lessons([f for k, f in enumerate(found) if k % 5], 2 * settings.windows, settings.seed)
+    ids, labels, _ = lessons([f for k, f in enumerate(found) if k % 5], 2 * settings.windows, settings.seed)
     tagger = train(ids, labels, len(KINDS), settings.hidden, settings.dims, settings.steps, settings.batch, settings.rate, settings.seed)
     finder = Finder(tagger)
-    ids, labels = lessons(back, settings.windows // 2, settings.seed + 1)
+    ids, labels, texts = lessons(back, settings.windows // 2, settings.seed + 1)
     if ids.shape[1]:
         lengths = np.full(ids.shape[1], LESSON)
         scores, _ = emissions(tagger, ids, lengths)
         told = best_labels(tagger, scores, lengths)
         judged: list[list[tuple[float, bool]]] = [[] for _ in KINDS]
         for w in range(ids.shape[1]):
-            right = set(tagged(labels[:, w]))
-            for s in tagged(told[:, w]):
-                judged[s[1]].append((span_score(scores[:, :, w], *s), s in right))
+            meant = tagged(labels[:, w])
+            for a, kind, b in tagged(told[:, w]):
+                c, d = trimmed(texts[w], a, min(b, len(texts[w])))
+                if plausible(texts[w][c:d], kind):
+                    right = any(kind == k and a < y and x < b for x, k, y in meant)
+                    judged[kind].append((span_score(scores[:, :, w], a, kind, b), right))
         for kind, own in enumerate(judged):
             own.sort(reverse=True)
             hits = np.cumsum([r for _, r in own])
@@ -459,7 +457,7 @@ def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     """
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     found = find(plain, fit(plain, settings))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
+    counts = [F.size(F.expr(f"filter(base, s -> s.kind = {k})")).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS)]
     return found.select(
         "doc_id",
         *counts,

@@ -21,7 +21,7 @@ def docs(spark):
 
 def test_registered():
     names = [n for n in contract.queries() if n.startswith("op") and n.split("_")[0][2:].isdigit()]
-    assert sorted(int(n.split("_")[0][2:]) for n in names) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in names) == list(range(1, 14))
     assert contract.queries()["pipeline"] is corpus_pipeline.run and "pipeline" not in contract.oracle_sql()
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "line dedup", "SimHash near-dedup", "benchmark decontamination", "packing"]
 
