@@ -353,11 +353,38 @@ def windows_of(size: int) -> list[int]:
     return list(range(0, max(1, size - SHARED), WINDOW - SHARED))
 
 
+_OF = {c: int(k) for c, k in zip("09@aAtTzZ", char_classes("09@aAtTzZ"))}
+
+
+def needed_marks(classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running counts of what ``plausible`` asks of every span: digits, and "@" or the word "at"."""
+    digit = (classes >= _OF["0"]) & (classes <= _OF["9"])
+    letter = (classes >= _OF["A"]) & (classes <= _OF["Z"]) | (classes >= _OF["a"]) & (classes <= _OF["z"])
+    mark = classes == _OF["@"]
+    if len(classes) > 1:
+        word = ((classes[:-1] == _OF["a"]) | (classes[:-1] == _OF["A"])) & ((classes[1:] == _OF["t"]) | (classes[1:] == _OF["T"]))
+        word[1:] &= ~letter[:-2]
+        word[:-1] &= ~letter[2:]
+        mark[:-1] |= word
+    return tuple(np.concatenate([[0], np.cumsum(x)]) for x in (digit, mark))
+
+
+def open_windows(classes: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and length of the windows of a text that can hold a plausible span at all: four digits, or "@" or "at"; no others need to be read."""
+    if not len(classes):
+        return []
+    digits, marks = needed_marks(classes)
+    starts = np.array(windows_of(len(classes)))
+    ends = np.minimum(starts + WINDOW, len(classes))
+    may = (digits[ends] - digits[starts] >= 4) | (marks[ends] > marks[starts])
+    return [(a, b - a) for a, b in zip(starts[may].tolist(), ends[may].tolist())]
+
+
 def proposals(finder: Finder, texts: list[str]) -> list[list[tuple[float, int, int, int]]]:
     """``(score, start, kind, end)`` of all spans that the tagger sees in the windows of each text."""
     out: list[list[tuple[float, int, int, int]]] = [[] for _ in texts]
     classes = [char_classes(t) for t in texts]
-    places = [(d, a, min(WINDOW, len(c) - a)) for d, c in enumerate(classes) if len(c) for a in windows_of(len(c))]
+    places = [(d, a, n) for d, c in enumerate(classes) for a, n in open_windows(c)]
     # Windows of like length are read together, so that little is filled up.
     places.sort(key=lambda p: (-p[2], p[0], p[1]))
     for lo in range(0, len(places), BLOCK):

@@ -135,6 +135,23 @@ def test_windows_cover_whole_texts():
         assert starts[0] == 0 and covered == size
 
 
+def test_windows_left_unread_hold_nothing_plausible(finder, monkeypatch):
+    """All windows are read, without the test of what they hold: what is added is the same."""
+    rng = np.random.default_rng(31)
+    words = ["thonble", "shre", "that", "at", "At", "rethsh.", "12", "x@", "dot"]
+    texts = []
+    for i in range(60):
+        parts = [words[k] for k in rng.integers(0, len(words), int(rng.integers(1, 400)))]
+        if i % 2:
+            parts.insert(int(rng.integers(0, len(parts))), pd.variant(rng, i // 2 % 4, ["thonble", "shre"]))
+        texts.append(" ".join(parts))
+    texts += ["", "a", "at", "1", "a" * 2000, "at " * 700]
+    own = [pd.reconciled(finder, t, pd.base_spans(t), p) for t, p in zip(texts, pd.proposals(finder, texts))]
+    monkeypatch.setattr(pd, "open_windows", lambda c: [(a, min(pd.WINDOW, len(c) - a)) for a in pd.windows_of(len(c)) if len(c)])
+    assert own == [pd.reconciled(finder, t, pd.base_spans(t), p) for t, p in zip(texts, pd.proposals(finder, texts))]
+    assert any(own)
+
+
 @pytest.fixture(scope="module")
 def finder(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
