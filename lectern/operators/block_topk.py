@@ -164,10 +164,16 @@ def topk(corpus: DataFrame, queries: DataFrame, make_scorer, k: int, **ways) ->
     else:
         partial = score_queries(corpus, queries, make_scorer, reduce, TOPK_SCHEMA, **ways)
 
+    return ranked(partial, k).select("qid", "pos", "doc_id", "score")
+
+
+def ranked(partial: DataFrame, k: int) -> DataFrame:
+    """``qid, pos, doc_id, score, rank_score``: the best ``k`` of the tasks' lists, merged in two steps."""
+
     def keep_best(lists: DataFrame, *groups: str) -> DataFrame:
         order = Window.partitionBy(*groups).orderBy(F.col("rank_score").desc(), "doc_id")
         return lists.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
 
     grouped = partial.withColumn("_tasks", F.spark_partition_id() % TASK_GROUPS)
     best = keep_best(keep_best(grouped, "qid", "_tasks"), "qid")
-    return best.select("qid", (F.col("_rank") - 1).alias("pos"), "doc_id", "score")
+    return best.select("qid", (F.col("_rank") - 1).alias("pos"), "doc_id", "score", "rank_score")

@@ -6,14 +6,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import bm25_corpus_tokens, bm25_query_tokens, explode_words
-from lectern.operators.block_topk import CELLS, score_queries, topk
-from lectern.operators.joins import broadcast_if_small, join_words
-from lectern.session import materialize, path_exists
+from lectern.operators.block_topk import RANK_DIGITS, TOPK_SCHEMA, ranked
+from lectern.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
+from lectern.operators.postings import NAMED_WORDS, beside_buckets, build_postings, copy_postings, layout, of_words, open_postings, peak_saturation, score_blocks
+from lectern.session import materialize, path_exists, remove
 
 # The usual BM25 constants.
 K1 = 1.5
@@ -26,11 +26,12 @@ TOTALS = ""
 
 @dataclass
 class LexicalIndex:
-    """``docs``: doc_id, dl, tokens. ``terms``: w, df, idf. ``stats``: n_docs, avgdl, mean_idf."""
+    """``docs``: doc_id, dl. ``terms``: w, df, idf. ``stats``: n_docs, avgdl, mean_idf. ``postings``: blocks by word and shard."""
 
     docs: DataFrame
     terms: DataFrame
     stats: DataFrame
+    postings: DataFrame
 
 
 def tokenize_corpus(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -51,11 +52,6 @@ def tokenize_queries(questions: DataFrame, key: str = "qid", text: str = "questi
     )
 
 
-def term_frequencies(docs: DataFrame) -> DataFrame:
-    """The postings: ``(w, doc_id, tf)``."""
-    return explode_words(docs, "doc_id", tokens="tokens").groupBy("w", "doc_id").agg(F.count("*").alias("tf"))
-
-
 def count_terms(docs: DataFrame) -> DataFrame:
     """``(w, df, total)`` plus one row for ``TOTALS`` with the document count and summed length.
 
@@ -83,7 +79,7 @@ def bm25_stats(counted: DataFrame) -> DataFrame:
         F.max(F.when(~real, F.col("df"))).alias("n_docs"),
         F.count(F.when(real, 1)).alias("n_terms"),
         F.max("total").alias("total_length"),
-        F.max(F.when(~real, F.col("total") / F.col("df"))).alias("avgdl"),
+        F.max(F.when(~real, F.try_divide("total", "df"))).alias("avgdl"),
         F.avg(F.when(real, raw.cast("decimal(30, 15)"))).cast("double").alias("mean_idf"),
     )
 
@@ -97,140 +93,190 @@ def bm25_idf(counted: DataFrame, stats: DataFrame) -> DataFrame:
     )
 
 
-def build_lexical_index(documents: DataFrame, key: str = "doc_id", text: str = "text") -> LexicalIndex:
-    """Term table written once to the shared folder; documents stay a lazy plan."""
-    docs = tokenize_corpus(documents, key, text)
-    counted = materialize(count_terms(docs), "terms")
+def build_lexical_index(documents: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> LexicalIndex:
+    """One pass over the texts gives the stored postings (see ``postings``); term table and statistics come from those.
+
+    Documents are named by their ids; rows without one take no part.
+    """
+    documents = documents.where(F.col(key).isNotNull())
+    n_docs = documents.count()
+    blocks = build_postings(documents.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), n_docs, path)
+    words = blocks.groupBy("w").agg(F.sum("n").alias("df"), F.sum("n_tokens").alias("n_tokens"))
+    words = materialize(words, "terms")
+    totals = words.agg(F.lit(TOTALS).alias("w"), F.lit(n_docs).cast("long").alias("df"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("total"))
+    counted = words.select("w", "df", F.lit(None).cast("long").alias("total")).unionByName(totals)
     stats = materialize(bm25_stats(counted), "stats")
-    return LexicalIndex(docs, bm25_idf(counted, stats), stats)
+    return LexicalIndex(tokenize_corpus(documents, key, text).select("doc_id", "dl"), bm25_idf(counted, stats), stats, blocks)
 
 
 def write_lexical_index(index: LexicalIndex, path: str) -> None:
-    """Store the three tables below ``path``."""
-    for name in ("docs", "terms", "stats"):
+    """Store the four tables below ``path``; the statistics come last."""
+    for name in ("docs", "terms"):
         getattr(index, name).write.mode("overwrite").parquet(f"{path}/{name}")
+    remove(index.stats.sparkSession, f"{path}/postings")
+    copy_postings(index.postings, index.stats.first()["n_docs"] or 0, f"{path}/postings")
+    index.stats.write.mode("overwrite").parquet(f"{path}/stats")
 
 
 def read_lexical_index(spark, path: str) -> LexicalIndex:
     """Open an index stored by ``write_lexical_index``."""
     if not path_exists(spark, f"{path}/stats"):
         raise FileNotFoundError(path)
-    return LexicalIndex(*(spark.read.parquet(f"{path}/{n}") for n in ("docs", "terms", "stats")))
+    docs, terms, stats = (spark.read.parquet(f"{path}/{n}") for n in ("docs", "terms", "stats"))
+    _, buckets, _ = layout(stats.first()["n_docs"] or 0)
+    return LexicalIndex(docs, terms, stats, open_postings(spark, f"{path}/postings", buckets))
 
 
-def postings_join(index: LexicalIndex, query_terms: DataFrame) -> DataFrame:
+def postings_join(index: LexicalIndex, query_terms: DataFrame, names: int = NAMED_WORDS, most: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """``(w, doc_id, tf, idf)``: postings and idf of the words that occur in some question.
 
-    The words are cut down by the term table first, so the side joined to the
-    corpus holds at most one row per known question word.
+    Only the asked words' buckets are read, and no posting is shuffled.
     """
-    words = broadcast_if_small(query_terms.select("w").distinct())
-    asked = materialize(index.terms.join(words, "w", "left_semi"), "asked")
-    tokens = explode_words(index.docs, "doc_id", tokens="tokens")
-    return join_words(tokens, asked, "w", "df").groupBy("w", "doc_id", "idf").agg(F.count("*").alias("tf"))
-
-
-def bm25_scorer(k1: float, b: float, avgdl: float):
-    """Scorer of a batch's ``tokens`` for questions given as ``qid, terms[(w, qtf, idf)]``."""
-
-    def make(queries: pa.Table):
-        terms = queries.column("terms").combine_chunks()
-        lengths = pc.list_value_length(terms).fill_null(0).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(lengths)
-        flat = terms.flatten()
-        vocabulary = pc.unique(flat.field("w"))
-        term_at = pc.index_in(flat.field("w"), value_set=vocabulary).to_numpy(zero_copy_only=False)
-        weight = flat.field("qtf").to_numpy(zero_copy_only=False) * flat.field("idf").to_numpy(zero_copy_only=False)
-        n_terms, n_queries = len(vocabulary), len(lengths)
-
-        def score(batch: pa.RecordBatch):
-            ids = batch.column("doc_id").to_numpy()
-            dl = batch.column("dl").to_numpy()
-            tokens = batch.column("tokens")
-            counts = pc.list_value_length(tokens).fill_null(0).to_numpy(zero_copy_only=False)
-            code = pc.index_in(tokens.flatten(), value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
-            doc = np.repeat(np.arange(len(ids), dtype=np.int64), counts)
-            known = code >= 0
-            cells, tf = np.unique(doc[known] * max(1, n_terms) + code[known], return_counts=True)
-            cell_doc, cell_term = np.divmod(cells, max(1, n_terms))
-            saturated = tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl[cell_doc] / avgdl)) if len(tf) else tf
-
-            step = max(1, CELLS // max(1, n_terms, n_queries))
-            for start in range(0, len(ids), step):
-                end = min(len(ids), start + step)
-                lo, hi = np.searchsorted(cell_doc, [start, end])
-                block = np.zeros((n_terms, end - start))
-                block[cell_term[lo:hi], cell_doc[lo:hi] - start] = saturated[lo:hi]
-                scores = np.zeros((n_queries, end - start))
-                for q in range(n_queries):
-                    own = slice(ends[q] - lengths[q], ends[q])
-                    # Summed term by term, so that a document's score does not depend on its neighbours.
-                    scores[q] = (weight[own, None] * block[term_at[own]]).sum(axis=0)
-                yield ids[start:end], scores
-
-        return score
-
-    return make
-
-
-def weigh_queries(index: LexicalIndex, questions: DataFrame, query_terms: DataFrame) -> DataFrame:
-    """``(qid, terms)``: each question's known words with count and idf; none drops out."""
-    known = index.terms.select("w", "idf").join(broadcast_if_small(query_terms), "w")
-    weighed = known.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("w", "qtf", "idf"))).alias("terms"))
-    return questions.select("qid").join(weighed, "qid", "left").select(
-        "qid", F.coalesce("terms", F.array().cast("array<struct<w:string,qtf:bigint,idf:double>>")).alias("terms")
-    )
+    asked = materialize(index.terms.join(broadcast_if_small(query_terms.select("w").distinct()), "w", "left_semi").select("w", "idf"), "asked")
+    blocks = of_words(index.postings.select("w", "doc_ids", "tfs"), asked, names, most)
+    pairs = blocks.join(beside_buckets(asked, asked, most), "w").select("w", "idf", F.inline(F.arrays_zip(F.col("doc_ids").alias("doc_id"), F.col("tfs").alias("tf"))))
+    return pairs.select("w", "doc_id", "tf", "idf")
+
+
+def weigh_words(index: LexicalIndex, questions: DataFrame, normalize_query: bool = False) -> DataFrame:
+    """``(w, qid, weight)``, written: what each known word of a question weighs."""
+    terms = broadcast_if_small(tokenize_queries(questions, normalize_query=normalize_query), settle="question-words")
+    weighed = index.terms.select("w", "idf").join(terms, "w").select("w", "qid", (F.col("qtf") * F.col("idf")).alias("weight"))
+    return materialize(weighed.where("weight <> 0"), "weighed")
+
+
+def _average(index: LexicalIndex) -> float:
+    return float(index.stats.first()["avgdl"] or 1.0)
+
+
+def shard_bounds(index: LexicalIndex, asked: DataFrame, k1: float, b: float, names: int = NAMED_WORDS) -> DataFrame:
+    """``(qid, shard, bound, reached)``: no document of the shard scores more than ``bound``.
+
+    If no word of the question weighs less than 0, some document of the shard scores
+    ``reached`` at least: the best of what one word alone gives. Both come from
+    the peaks of the blocks; no posting is read.
+    """
+    blocks = of_words(index.postings.select("w", "shard", "peaks"), asked, names)
+    tops = blocks.select("w", "shard", peak_saturation(k1, b, _average(index)).alias("top"))
+    gain = F.col("weight") * F.col("top")
+    return tops.join(beside_buckets(asked, asked), "w").groupBy("qid", "shard").agg(F.sum(F.greatest(gain, F.lit(0.0))).alias("bound"), F.max(gain).alias("reached"))
+
+
+def surviving_shards(index: LexicalIndex, asked: DataFrame, k: int, k1: float, b: float, names: int = NAMED_WORDS) -> DataFrame:
+    """``(qid, shard, stays)``: a shard stays unless ``k`` others hold a document each that beats all of its.
+
+    Questions with a word that weighs less than 0 keep all their shards.
+    """
+    bounds = materialize(shard_bounds(index, asked, k1, b, names), "bounds")
+    sinking = asked.groupBy("qid").agg((F.min("weight") < 0).alias("sinks"))
+    order = Window.partitionBy("qid").orderBy(F.col("reached").desc())
+    bar = bounds.where("reached > 0").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k).where(F.col("nth") == k)
+    bar = bar.join(sinking.where("not sinks"), "qid", "left_semi").select("qid", F.col("reached").alias("bar"))
+    # Scores are compared at nine digits.
+    stays = F.col("bar").isNull() | (F.col("bound") * (1 + 1e-9) + 1e-8 >= F.col("bar"))
+    return bounds.join(bar, "qid", "left").select("qid", "shard", stays.alias("stays"))
+
+
+def skipped_blocks(index: LexicalIndex, questions: DataFrame, k: int, normalize_query: bool = False, k1: float = K1, b: float = B) -> DataFrame:
+    """``(qid, n_shards, n_read)``: in how many shards a question has words, and how many of them a search for ``k`` documents reads."""
+    found = surviving_shards(index, weigh_words(index, questions, normalize_query), k, k1, b)
+    return found.groupBy("qid").agg(F.count("*").alias("n_shards"), F.sum(F.col("stays").cast("long")).alias("n_read"))
+
+
+def asking_blocks(index: LexicalIndex, asked: DataFrame, shards: DataFrame | None, names: int) -> DataFrame:
+    """The blocks of the asked words with ``asks``, who asks for them; with ``shards`` (``qid, shard``) only those that stay."""
+    blocks = of_words(index.postings.select("w", "shard", "doc_ids", "tfs", "dls"), asked, names)
+    ask = F.collect_list(F.struct("qid", "weight")).alias("asks")
+    if shards is None:
+        return blocks.join(beside_buckets(asked.groupBy("w").agg(ask), asked), "w")
+    each = materialize(shards.join(asked, "qid").select("w", "shard", "qid", "weight"), "asks")
+    return blocks.join(beside_buckets(each.groupBy("w", "shard").agg(ask), each), ["w", "shard"])
+
+
+def _best_hits(k: int):
+    """Reducer: each question's best ``k`` hits of a task."""
+
+    def reduce(hits):
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]
+        for q, d, s in hits:
+            held = [np.concatenate(pair) for pair in zip(held, (q, d, s, np.round(s, RANK_DIGITS)))]
+            order = np.lexsort((held[1], -held[3], held[0]))
+            nth = np.arange(len(order)) - np.searchsorted(held[0][order], held[0][order])
+            held = [h[order[nth < k]] for h in held]
+        yield pa.record_batch(dict(zip(("qid", "doc_id", "score", "rank_score"), map(pa.array, held))))
 
+    return reduce
 
-def _prepared(index, questions, normalize_query, k1, b):
-    queries = weigh_queries(index, questions, tokenize_queries(questions, normalize_query=normalize_query))
-    avgdl = index.stats.first()["avgdl"] or 1.0
-    return queries, bm25_scorer(k1, b, float(avgdl))
+
+def without_hits(index: LexicalIndex, short: DataFrame, asked: DataFrame, k: int, names: int) -> DataFrame:
+    """``(qid, doc_id, score, rank_score)``: the ``k`` lowest ids of documents that hold no word of the question, score 0.
+
+    ``short`` has ``qid``. A question that found fewer than ``k`` documents has
+    that many hits at most, so twice ``k`` ids do, unless words weigh less than
+    0; then more ids are taken until they do.
+    """
+    own = asked.join(F.broadcast(short), "qid", "left_semi")
+    blocks = of_words(index.postings.select("w", "doc_ids"), own, names).join(F.broadcast(own.select("w", "qid")), "w")
+    hits = materialize(blocks.select("qid", F.explode("doc_ids").alias("doc_id")).distinct(), "hits")
+    n = 2 * k
+    while True:
+        lowest = index.docs.select("doc_id").distinct().orderBy("doc_id").limit(n)
+        free = materialize(short.crossJoin(F.broadcast(lowest)).join(hits, ["qid", "doc_id"], "left_anti"), "free")
+        lacking = short.join(free.groupBy("qid").count().where(F.col("count") >= k), "qid", "left_anti")
+        if lacking.isEmpty() or lowest.count() < n:
+            return free.select("qid", "doc_id", F.lit(0.0).alias("score"), F.lit(0.0).alias("rank_score"))
+        n *= 4
 
 
 def lexical_topk(
-    index: LexicalIndex, questions: DataFrame, k: int, normalize_query: bool = False, k1: float = K1, b: float = B, **ways
+    index: LexicalIndex, questions: DataFrame, k: int, normalize_query: bool = False, k1: float = K1, b: float = B, names: int = NAMED_WORDS
 ) -> DataFrame:
     """``(qid, pos, doc_id, score)``: best BM25 scores, ties by id.
 
-    Every document takes part, so those without a matching word (score 0) fill
-    up to ``k`` and outrank negative scores.
+    Every document counts: those without a matching word (score 0) fill up to
+    ``k`` and outrank negative scores. Shards that cannot hold one of the best
+    ``k`` are left out, exactly; only the others' postings are read and shuffled.
     """
-    queries, scorer = _prepared(index, questions, normalize_query, k1, b)
-    return topk(index.docs.select("doc_id", "dl", "tokens"), queries, scorer, k, **ways)
-
-
-def bm25_score(index: LexicalIndex, questions: DataFrame, normalize_query: bool = False, k1: float = K1, b: float = B, **ways) -> DataFrame:
+    if k <= 0:
+        return questions.sparkSession.createDataFrame([], "qid bigint, pos int, doc_id bigint, score double")
+    asked = weigh_words(index, questions, normalize_query)
+    # With no more shards than documents are wanted, none can be left out.
+    several = layout(index.stats.first()["n_docs"] or 0)[0] > k
+    shards = surviving_shards(index, asked, k, k1, b, names).where("stays").select("qid", "shard") if several else None
+    blocks = asking_blocks(index, asked, shards, names)
+    best = materialize(ranked(score_blocks(blocks, _best_hits(k), TOPK_SCHEMA, k1, b, _average(index)), k), "best")
+    full = best.where("rank_score > 0").groupBy("qid").count().where(F.col("count") >= k)
+    short = materialize(questions.select(F.col("qid").cast("long").alias("qid")).distinct().join(full, "qid", "left_anti"), "short")
+    if not short.isEmpty():
+        fill = without_hits(index, short, asked, k, names)
+        best = ranked(best.drop("pos").unionByName(fill), k)
+    return best.select("qid", "pos", "doc_id", "score")
+
+
+def bm25_score(index: LexicalIndex, questions: DataFrame, normalize_query: bool = False, k1: float = K1, b: float = B, names: int = NAMED_WORDS) -> DataFrame:
     """``(qid, n_matched, total_score, best_score)`` of each question over the whole corpus.
 
-    Scores are summed up inside each task; no question-document pair leaves it.
+    Hits are summed up inside each task; no question-document pair leaves it.
     """
-    queries, scorer = _prepared(index, questions, normalize_query, k1, b)
-    schema = "qid bigint, n_matched bigint, total_score double, best_score double"
+    asked = weigh_words(index, questions, normalize_query)
+
+    def reduce(hits):
+        held = {}
+        for q, _, s in hits:
+            each, first = np.unique(q, return_index=True)
+            found = zip(each.tolist(), np.add.reduceat((s != 0).astype(np.int64), first).tolist(), np.add.reduceat(s, first).tolist(), np.maximum.reduceat(s, first).tolist())
+            for qid, n, total, top in found:
+                old = held.get(qid, (0, 0.0, -np.inf))
+                held[qid] = (old[0] + n, old[1] + total, max(old[2], top))
+        rows = [(q, *v) for q, v in held.items()]
+        names_of = (("qid", pa.int64()), ("n_matched", pa.int64()), ("total_score", pa.float64()), ("best_score", pa.float64()))
+        yield pa.record_batch({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(names_of)})
 
-    def reduce(batches, score, qids):
-        matched = np.zeros(len(qids), dtype=np.int64)
-        total = np.zeros(len(qids))
-        best = np.full(len(qids), -np.inf)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            for _, scores in score(batch):
-                matched += (scores != 0).sum(axis=1)
-                total += scores.sum(axis=1)
-                best = np.maximum(best, scores.max(axis=1))
-        return pa.record_batch(
-            {
-                "qid": pa.array(qids, pa.int64()),
-                "n_matched": pa.array(matched),
-                "total_score": pa.array(total),
-                "best_score": pa.array(best),
-            }
-        )
-
-    partial = score_queries(index.docs.select("doc_id", "dl", "tokens"), queries, scorer, reduce, schema, **ways)
-    return partial.groupBy("qid").agg(
-        F.sum("n_matched").alias("n_matched"),
-        F.sum("total_score").alias("total_score"),
-        F.max("best_score").alias("best_score"),
-    )
+    schema = "qid bigint, n_matched bigint, total_score double, best_score double"
+    partial = score_blocks(asking_blocks(index, asked, None, names), reduce, schema, k1, b, _average(index))
+    found = partial.groupBy("qid").agg(F.sum("n_matched").alias("n"), F.sum("total_score").alias("total"), F.max("best_score").alias("best"))
+    n_docs = index.stats.first()["n_docs"] or 0
+    # A document without any of the words scores 0.
+    top = F.when(F.coalesce("n", F.lit(0)) < n_docs, F.greatest(F.coalesce("best", F.lit(0.0)), F.lit(0.0))).otherwise(F.col("best"))
+    joined = questions.select(F.col("qid").cast("long").alias("qid")).join(found, "qid", "left")
+    return joined.select("qid", F.coalesce("n", F.lit(0)).cast("long").alias("n_matched"), F.coalesce("total", F.lit(0.0)).alias("total_score"), top.alias("best_score"))

@@ -72,3 +72,9 @@ def matches(spark: SparkSession, pattern: str) -> bool:
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
     return bool(found)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a Hadoop-FS path, if it is there."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,10 +2,11 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import lexical
+from lectern.operators import lexical, postings
 from lectern.operators.embedding import HashedWords, embed, embed_chunks, mean_vectors
 from lectern.operators.hybrid import attach_documents, hybrid_merge
 from lectern.operators.rerank import rerank_by_tag, rerank_truncate
@@ -50,8 +51,14 @@ def random_texts(n, seed, words=12, longest=15):
     return [[f"w{min(r.randrange(words), r.randrange(words))}" for _ in range(r.randrange(longest))] for _ in range(n)]
 
 
-@pytest.mark.parametrize("ways", [{}, {"max_queries": 3, "rows_per_block": 7}])
-def test_lexical_topk_against_brute_force(spark, ways):
+@pytest.fixture
+def small_shards(monkeypatch):
+    monkeypatch.setattr(postings, "SHARD_DOCS", 3)
+    monkeypatch.setattr(postings, "SHARDS_TOGETHER", 4)
+
+
+@pytest.mark.parametrize("ways", [{}, {"names": 0}])
+def test_lexical_topk_against_brute_force(spark, small_shards, ways):
     docs = random_texts(40, 1)
     queries = [*random_texts(7, 2), ["w1", "w1", "w2"], ["unknown"], []]
     index = lexical.build_lexical_index(corpus(spark, docs))
@@ -80,21 +87,84 @@ def test_k_zero_and_k_beyond_the_corpus(spark):
 def test_bm25_score_summary(spark):
     docs, queries = random_texts(30, 4), random_texts(5, 5)
     index = lexical.build_lexical_index(corpus(spark, docs))
-    for ways in ({}, {"max_queries": 2, "rows_per_block": 10}):
+    for ways in ({}, {"names": 0}):
         for qid, matched, total, top in rows(lexical.bm25_score(index, asked(spark, queries), **ways)):
             scores = brute_bm25(docs, queries[qid])
             assert matched == sum(s != 0 for s in scores)
             assert (total, top) == (pytest.approx(sum(scores)), pytest.approx(max(scores)))
 
 
-def test_many_words_go_by_blocks(spark, monkeypatch):
-    docs, queries = random_texts(30, 10), random_texts(9, 11)
+def test_blocks_are_skipped_without_loss(spark, small_shards):
+    """Rare words decide: shards without them are not read, and the best are those of a full scan."""
+    r = random.Random(12)
+    docs = [[f"c{r.randrange(4)}" for _ in range(r.randrange(1, 9))] + (["rare"] * r.randrange(1, 4) if i % 17 == 0 else []) for i in range(400)]
+    queries = [["rare", "c1"], ["c0", "c2"], ["rare"], ["none"]]
+    index = lexical.build_lexical_index(corpus(spark, docs))
+    found = rows(lexical.lexical_topk(index, asked(spark, queries), 5), "qid", "pos")
+    assert [(r[0], r[2]) for r in found] == [(q, i) for q, words in enumerate(queries) for i in best(brute_bm25(docs, words), 5)]
+    told = {r.qid: r for r in lexical.skipped_blocks(index, asked(spark, queries), 5).collect()}
+    assert set(told) == {0, 1, 2} and told[0].n_read < 0.3 * told[0].n_shards
+    assert all(0 < t.n_read <= t.n_shards for t in told.values())
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_words_of_negative_weight(spark, small_shards, seed):
+    """Most words stand in most documents, so that idf and scores fall below 0."""
+    r = random.Random(seed)
+    docs = [[w for w in "abc" if r.random() < 0.9] + (["d"] if r.random() < 0.1 else []) for _ in range(60)]
+    queries = [["a"], ["a", "b", "d"], ["c", "d"], ["d"], []]
+    index = lexical.build_lexical_index(corpus(spark, docs))
+    for k in (3, 30, 70):
+        found = rows(lexical.lexical_topk(index, asked(spark, queries), k), "qid", "pos")
+        assert [(r[0], r[2]) for r in found] == [(q, i) for q, words in enumerate(queries) for i in best(brute_bm25(docs, words), k)]
+
+
+def test_postings_side_is_not_shuffled(spark):
+    docs = random_texts(200, 10, words=60)
     index = lexical.build_lexical_index(corpus(spark, docs))
-    carried = rows(lexical.lexical_topk(index, asked(spark, queries), 3))
-    monkeypatch.setattr("lectern.operators.block_topk.MAX_CARRIED_ENTRIES", 10)
-    blocks = lexical.lexical_topk(index, asked(spark, queries), 3)
-    assert "FlatMapCoGroups" in blocks._jdf.queryExecution().executedPlan().toString()
-    assert rows(blocks) == carried
+    terms = lexical.tokenize_queries(asked(spark, [["w1", "w2"]]))
+    named = lexical.postings_join(index, terms)._jdf.queryExecution()
+    assert "Exchange hashpartitioning" not in named.executedPlan().toString()
+    scan = named.sparkPlan().collectLeaves().apply(0)
+    assert scan.optionalBucketSet().get().cardinality() <= 2
+    joined = postings.of_words(index.postings.select("w", "doc_ids"), index.terms.select("w"), names=0, most=0)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    side = plan[plan.index("SortMergeJoin") :].split("Exchange")[0]
+    assert "Bucketed: true" in side and "FileScan" in side
+
+
+def test_rows_without_ids_and_empty_corpora(spark):
+    df = spark.createDataFrame([(1, "a b"), (None, "a a"), (2, None), (3, "")], "doc_id long, text string")
+    index = lexical.build_lexical_index(df)
+    assert [r[2] for r in rows(lexical.lexical_topk(index, asked(spark, [["a"]]), 9), "pos")] == [1, 2, 3]
+    empty = lexical.build_lexical_index(df.limit(0))
+    assert lexical.lexical_topk(empty, asked(spark, [["a"]]), 2).count() == 0
+
+
+def test_tokens_of_the_index_are_those_of_the_expression(spark):
+    texts = [None, "", "  ", "A b-C  d_e", "\u0130x \u212ay 12", "é1ü 日本a", "Zz\n\tQ", "ab", "cd"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    want = [list(r.tokens) for r in lexical.tokenize_corpus(df).orderBy("doc_id").collect()]
+    words, row = postings.batch_tokens(pa.array(texts))
+    told = [[] for _ in texts]
+    for w, r in zip(words.to_pylist(), row.tolist()):
+        told[r].append(w)
+    assert told == want
+    assert len(postings.batch_tokens(pa.array(["", None], pa.string()))[0]) == 0
+
+
+def test_peaks_have_the_largest_saturation():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        n = int(rng.integers(1, 60))
+        block = np.sort(rng.integers(0, 5, n))
+        block = np.unique(block, return_inverse=True)[1]
+        tf, dl = rng.integers(1, 6, n), rng.integers(1, 40, n)
+        peak = postings.peaks_of(block, tf, dl)
+        for avgdl, k1, b in ((10.0, 1.5, 0.75), (3.0, 0.2, 1.0), (50.0, 2.0, 0.0)):
+            sat = postings.saturation(tf.astype(float), dl, k1, b, avgdl)
+            for i in np.unique(block):
+                assert sat[(block == i) & peak].max() == pytest.approx(sat[block == i].max())
 
 
 def test_stored_lexical_index(spark, tmp_path):
