@@ -15,6 +15,7 @@ from lectern.operators.hybrid import attach_documents, hybrid_merge
 from lectern.operators.metrics import ir_metrics
 from lectern.operators.rerank import rerank_by_tag, rerank_truncate
 from lectern.operators.semantic import distance_summary, semantic_topk
+from lectern.operators.vector_index import build_vector_index, semantic_search
 from lectern.plans.retrieval import RetrievalConfig, distinct_sources, gather_contexts, retrieve, retrieve_contexts
 
 # -- SQL building blocks -----------------------------------------------------------
@@ -171,7 +172,8 @@ def semantic_topk_check(t):
     f"WITH {CENTROID_CTE} SELECT qid::bigint AS qid, pos, doc_id, round(dist, 6) AS dist FROM near WHERE pos < 10",
 )
 def semantic_topk_scored(t):
-    near = semantic_topk(t.vectors, centroids(t), 10)
+    """From the stored index by cluster."""
+    near = semantic_search(build_vector_index(t.vectors), centroids(t), 10)
     return near.select("qid", "pos", "doc_id", F.round("dist", 6).alias("dist"))
 
 

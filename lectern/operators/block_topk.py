@@ -3,12 +3,8 @@
 A scorer turns one Arrow batch of the corpus into a small dense block of scores;
 each task keeps only ``k`` rows per query, and one window merges the tasks' lists.
 
-* Few queries (their number is checked first): they travel with the function and
-  the corpus is scanned once, unshuffled.
-* Many queries: queries and corpus are cut into blocks and Spark brings each
-  query block together with each corpus block, so a task holds one of each.
-
-Both ways are exact and give the same rows.
+Queries travel with the function: the corpus is scanned unshuffled, once for each
+block of queries (their number and size are checked first).
 """
 
 from __future__ import annotations
@@ -20,17 +16,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
 from lectern.session import materialize
 
-# Most queries, and most words or vector entries of them, that travel with the
-# function; more go by blocks.
+# Most queries, and most vector entries of them, that travel with the function at once.
 MAX_CARRIED_QUERIES = 2048
 MAX_CARRIED_ENTRIES = 4_000_000
-# Corpus rows per block when going by blocks.
-ROWS_PER_BLOCK = 20_000
 # The tasks' lists of a query are merged in this many groups first.
 TASK_GROUPS = 64
 # Score cells held at once by a task (8 bytes each).
@@ -100,57 +91,41 @@ def scan_corpus(corpus: DataFrame, table: pa.Table, make_scorer, reduce, schema:
     return corpus.mapInArrow(run, schema)
 
 
-def join_blocks(
-    corpus: DataFrame, queries: DataFrame, make_scorer, reduce, schema: str, query_blocks: int, rows_per_block: int
-) -> DataFrame:
-    """Every query block with every corpus block, each pair in one task."""
-    corpus_blocks = max(1, math.ceil(corpus.count() / rows_per_block))
-
-    def spread(df, key, own, own_blocks, other, other_blocks):
-        placed = df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(own_blocks)))
-        return placed.withColumn(other, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(other_blocks - 1).cast("bigint"))))
-
-    left = spread(queries, "qid", "_qb", query_blocks, "_cb", corpus_blocks)
-    right = spread(corpus, "doc_id", "_cb", corpus_blocks, "_qb", query_blocks)
-
-    def run(block_queries: pa.Table, block_corpus: pa.Table) -> pa.Table:
-        names = [f.name for f in block_queries.schema if not f.name.startswith("_")]
-        block_queries = block_queries.select(names)
-        if block_queries.num_rows == 0:
-            return pa.Table.from_batches([], arrow_schema)
-        qids = block_queries.column("qid").to_numpy()
-        batches = block_corpus.combine_chunks().to_batches()
-        return pa.Table.from_batches([reduce(batches, make_scorer(block_queries), qids)])
-
-    arrow_schema = to_arrow_schema(StructType.fromDDL(schema))
-    return (
-        left.groupBy("_qb", "_cb")
-        .cogroup(right.groupBy("_qb", "_cb"))
-        .applyInArrow(run, schema)
-    )
-
-
-def score_queries(
-    corpus: DataFrame,
-    queries: DataFrame,
-    make_scorer,
-    reduce,
-    schema: str,
-    max_queries: int = MAX_CARRIED_QUERIES,
-    rows_per_block: int = ROWS_PER_BLOCK,
-) -> DataFrame:
-    """Partial results of all queries over all of the corpus, by the way that fits.
-
-    ``queries`` is ``qid`` and one array column; its rows and entries are counted
-    before any of it is fetched.
+def query_blocks(queries: DataFrame, max_queries: int = MAX_CARRIED_QUERIES) -> Iterator[pa.Table]:
+    """All queries (``qid`` and one array column) in tables that may travel with a function.
+
+    Their rows and entries are counted before any of them is fetched; there is always a table.
     """
     queries = materialize(queries, "queries")
     entries = F.sum(F.size(next(c for c in queries.columns if c != "qid")))
     n_queries, n_entries = queries.agg(F.count("*"), F.coalesce(entries, F.lit(0))).first()
     blocks = max(1, math.ceil(n_queries / max_queries), math.ceil(n_entries / MAX_CARRIED_ENTRIES))
-    if blocks == 1:
-        return scan_corpus(corpus, queries.toArrow(), make_scorer, reduce, schema)
-    return join_blocks(corpus, queries, make_scorer, reduce, schema, blocks, rows_per_block)
+    for block in range(blocks):
+        yield queries.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == block).toArrow()
+
+
+def score_queries(corpus: DataFrame, queries: DataFrame, make_scorer, reduce, schema: str, max_queries: int = MAX_CARRIED_QUERIES) -> DataFrame:
+    """Partial results of all queries over all of the corpus: one unshuffled pass for each block of queries."""
+    passes = [scan_corpus(corpus, table, make_scorer, reduce, schema) for table in query_blocks(queries, max_queries)]
+    partial = passes[0]
+    for more in passes[1:]:
+        partial = partial.unionByName(more)
+    return partial
+
+
+def best_hits(k: int):
+    """Reducer of ``(qid, doc_id, score)`` arrays: a task's best ``k`` of each query."""
+
+    def reduce(hits):
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]
+        for q, d, s in hits:
+            held = [np.concatenate(pair) for pair in zip(held, (q, d, s, np.round(s, RANK_DIGITS)))]
+            order = np.lexsort((held[1], -held[3], held[0]))
+            nth = np.arange(len(order)) - np.searchsorted(held[0][order], held[0][order])
+            held = [h[order[nth < k]] for h in held]
+        yield pa.record_batch(dict(zip(("qid", "doc_id", "score", "rank_score"), map(pa.array, held))))
+
+    return reduce
 
 
 def topk(corpus: DataFrame, queries: DataFrame, make_scorer, k: int, **ways) -> DataFrame:

@@ -79,7 +79,7 @@ def embed(df: DataFrame, encoder_factory, text: str = "text", out: str = "embedd
 
     encoder_id = getattr(encoder_factory, "encoder_id", None)
     vectors = df.mapInArrow(run, schema)
-    return vectors.withMetadata(out, {ENCODER: encoder_id}) if encoder_id else vectors
+    return with_encoder(vectors, encoder_id, out)
 
 
 def encoder_of(df: DataFrame, vector: str = "embedding") -> str | None:
@@ -87,6 +87,11 @@ def encoder_of(df: DataFrame, vector: str = "embedding") -> str | None:
     return df.schema[vector].metadata.get(ENCODER)
 
 
+def with_encoder(df: DataFrame, name: str | None, vector: str = "embedding") -> DataFrame:
+    """The same rows, with the encoder that made their vectors."""
+    return df.withMetadata(vector, {ENCODER: name}) if name else df
+
+
 def require_same_encoder(one: DataFrame, other: DataFrame, vector: str = "embedding") -> None:
     """Vectors of two different encoders cannot be compared."""
     names = encoder_of(one, vector), encoder_of(other, vector)

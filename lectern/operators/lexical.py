@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import bm25_corpus_tokens, bm25_query_tokens, explode_words
-from lectern.operators.block_topk import RANK_DIGITS, TOPK_SCHEMA, ranked
+from lectern.operators.block_topk import TOPK_SCHEMA, best_hits, ranked
 from lectern.operators.joins import MAX_BROADCAST_ROWS, broadcast_if_small
 from lectern.operators.postings import NAMED_WORDS, beside_buckets, build_postings, copy_postings, layout, of_words, open_postings, peak_saturation, score_blocks
 from lectern.session import materialize, path_exists, remove
@@ -105,7 +105,9 @@ def build_lexical_index(documents: DataFrame, key: str = "doc_id", text: str = "
     words = materialize(words, "terms")
     totals = words.agg(F.lit(TOTALS).alias("w"), F.lit(n_docs).cast("long").alias("df"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("total"))
     counted = words.select("w", "df", F.lit(None).cast("long").alias("total")).unionByName(totals)
-    stats = materialize(bm25_stats(counted), "stats")
+    # One row: fetched, so that the plans of a search hold its numbers.
+    found = bm25_stats(counted)
+    stats = documents.sparkSession.createDataFrame([found.first()], found.schema)
     return LexicalIndex(tokenize_corpus(documents, key, text).select("doc_id", "dl"), bm25_idf(counted, stats), stats, blocks)
 
 
@@ -140,7 +142,7 @@ def postings_join(index: LexicalIndex, query_terms: DataFrame, names: int = NAME
 
 def weigh_words(index: LexicalIndex, questions: DataFrame, normalize_query: bool = False) -> DataFrame:
     """``(w, qid, weight)``, written: what each known word of a question weighs."""
-    terms = broadcast_if_small(tokenize_queries(questions, normalize_query=normalize_query), settle="question-words")
+    terms = broadcast_if_small(tokenize_queries(questions, normalize_query=normalize_query))
     weighed = index.terms.select("w", "idf").join(terms, "w").select("w", "qid", (F.col("qtf") * F.col("idf")).alias("weight"))
     return materialize(weighed.where("weight <> 0"), "weighed")
 
@@ -193,21 +195,6 @@ def asking_blocks(index: LexicalIndex, asked: DataFrame, shards: DataFrame | Non
     return blocks.join(beside_buckets(each.groupBy("w", "shard").agg(ask), each), ["w", "shard"])
 
 
-def _best_hits(k: int):
-    """Reducer: each question's best ``k`` hits of a task."""
-
-    def reduce(hits):
-        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0)]
-        for q, d, s in hits:
-            held = [np.concatenate(pair) for pair in zip(held, (q, d, s, np.round(s, RANK_DIGITS)))]
-            order = np.lexsort((held[1], -held[3], held[0]))
-            nth = np.arange(len(order)) - np.searchsorted(held[0][order], held[0][order])
-            held = [h[order[nth < k]] for h in held]
-        yield pa.record_batch(dict(zip(("qid", "doc_id", "score", "rank_score"), map(pa.array, held))))
-
-    return reduce
-
-
 def without_hits(index: LexicalIndex, short: DataFrame, asked: DataFrame, k: int, names: int) -> DataFrame:
     """``(qid, doc_id, score, rank_score)``: the ``k`` lowest ids of documents that hold no word of the question, score 0.
 
@@ -244,7 +231,7 @@ def lexical_topk(
     several = layout(index.stats.first()["n_docs"] or 0)[0] > k
     shards = surviving_shards(index, asked, k, k1, b, names).where("stays").select("qid", "shard") if several else None
     blocks = asking_blocks(index, asked, shards, names)
-    best = materialize(ranked(score_blocks(blocks, _best_hits(k), TOPK_SCHEMA, k1, b, _average(index)), k), "best")
+    best = materialize(ranked(score_blocks(blocks, best_hits(k), TOPK_SCHEMA, k1, b, _average(index)), k), "best")
     full = best.where("rank_score > 0").groupBy("qid").count().where(F.col("count") >= k)
     short = materialize(questions.select(F.col("qid").cast("long").alias("qid")).distinct().join(full, "qid", "left_anti"), "short")
     if not short.isEmpty():

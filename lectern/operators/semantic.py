@@ -16,7 +16,7 @@ NO_ANGLE = -1e6
 NO_VECTOR = -2e6
 
 
-def _matrix(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+def matrix_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Vectors as rows (zeros where missing) and the mask of missing ones."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -26,17 +26,18 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]
         raise ValueError(f"vectors of different lengths: {dims.tolist()}")
     dim = int(dims[0]) if len(dims) else 0
     matrix = np.zeros((len(column), dim))
-    matrix[lengths > 0] = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    if dim:
+        matrix[lengths > 0] = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
     return matrix, lengths == 0
 
 
 def cosine_scorer(queries: pa.Table):
     """Scores minus the cosine distance of a batch's ``embedding`` to every query."""
-    wanted, _ = _matrix(queries.column("embedding"))
+    wanted, _ = matrix_of(queries.column("embedding"))
     wanted_norms = np.linalg.norm(wanted, axis=1)
 
     def score(batch: pa.RecordBatch):
-        vectors, missing = _matrix(batch.column("embedding"))
+        vectors, missing = matrix_of(batch.column("embedding"))
         ids = batch.column("doc_id").to_numpy()
         if vectors.shape[1] not in (0, wanted.shape[1]) and wanted.shape[1]:
             raise ValueError(f"index has {vectors.shape[1]} dimensions, questions {wanted.shape[1]}")

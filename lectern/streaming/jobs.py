@@ -10,9 +10,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from lectern.functions.urls import strip_anchor
 from lectern.session import matches, materialize, path_exists
@@ -85,6 +87,46 @@ def compact_streamed_index(spark: SparkSession, path: str, target: str) -> None:
     write_batch(latest.select("page", "version", F.current_timestamp().alias("stored_at")), f"{target}/pages", 0, "compacted")
 
 
+# How the state is kept: in RocksDB, of which a micro-batch uploads its changes alone.
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+# Keys of the state; each holds a map of the versions of its pages. A checkpoint keeps to this number.
+STATE_KEYS = 1024
+
+
+class NewVersions(StatefulProcessor):
+    """Keeps the version of each page in a map and lets a page through when it changes.
+
+    Pages share a key with others, as a call for each page costs more than its look-ups.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.versions = handle.getMapState("versions", "page string", "version bigint")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for page, version in zip(initialState["page"], initialState["version"]):
+            self.versions.updateValue((page,), (int(version),))
+
+    def handleInputRows(self, key, rows, timerValues):
+        arrived = pd.concat(list(rows), ignore_index=True)
+        # Of several versions in one micro-batch the greatest hash decides.
+        arrived = arrived.sort_values("version", kind="stable").drop_duplicates("page", keep="last")
+        changed = []
+        for page, version in zip(arrived["page"], arrived["version"].tolist()):
+            new = self.versions.getValue((page,)) != (version,)
+            if new:
+                self.versions.updateValue((page,), (version,))
+            changed.append(new)
+        yield arrived[changed]
+
+    def close(self) -> None:
+        pass
+
+
 def stream_index_pages(
     pages: DataFrame,
     chunk: Callable[[DataFrame], DataFrame],
@@ -95,40 +137,54 @@ def stream_index_pages(
 ) -> StreamingQuery:
     """Chunk, embed and store streamed pages (``url, html``); read them with ``read_streamed_index``.
 
-    A page whose latest stored version is the same is left out. A changed page
-    supersedes its former version, with all its chunks; a page that comes
-    several times in one micro-batch counts once (the greatest hash of its
-    content decides). ``chunk`` maps pages to ``source, section_pos, chunk_pos,
-    text``; ``embed`` adds the vector, only to chunks of new versions.
+    The version of every page is keyed state beside the checkpoint (RocksDB), so a
+    micro-batch costs what it brings, however much is stored. A page whose latest
+    version is the same is left out. A changed page supersedes its former
+    version, with all its chunks; a page that comes several times in one
+    micro-batch counts once (the greatest hash of its content decides). A run with
+    a fresh checkpoint takes the versions stored at ``path`` as its first state.
+    ``chunk`` maps pages to ``source, section_pos, chunk_pos, text``; ``embed`` adds
+    the vector, only to chunks of new versions.
     """
-    run = run_id(pages.sparkSession, checkpoint)
+    spark = pages.sparkSession
+    run = run_id(spark, checkpoint)
+    stored = stored_pages(spark, path) if matches(spark, f"{path}/pages/run=*") else spark.createDataFrame([], PAGES_SCHEMA)
+    named = pages.select(strip_anchor(F.col("url")).alias("page"), F.xxhash64("html").alias("version"), "url", "html")
+    key = F.pmod(F.xxhash64("page"), F.lit(STATE_KEYS)).alias("key")
+    known = latest_pages(stored).select(key, "page", "version").groupBy("key")
+    fresh = (
+        named.where("page is not null")
+        .select(key, "*")
+        .groupBy("key")
+        .transformWithStateInPandas(NewVersions(), "key bigint, page string, version bigint, url string, html string", "Update", "None", initialState=known)
+    )
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        named = batch.withColumn("page", strip_anchor(F.col("url"))).withColumn("version", F.xxhash64("html"))
-        arrived = named.groupBy("page").agg(F.max("version").alias("version"))
-        if matches(spark, f"{path}/pages/run=*"):
-            # A replayed batch does not see what it has written itself.
-            before = stored_pages(spark, path).where(~((F.col("run") == run) & (F.col("batch_id") == batch_id)))
-            known = latest_pages(before.join(arrived.select("page"), "page", "left_semi"))
-            arrived = arrived.join(known.select("page", "version"), ["page", "version"], "left_anti")
-        arrived = materialize(arrived, "arrived-pages")
-        fresh = named.join(arrived, ["page", "version"], "left_semi").dropDuplicates(["page"]).drop("page", "version")
-        rows = embed(chunk(fresh)).withColumn("_page", strip_anchor(F.col("source")))
-        rows = rows.join(arrived.withColumnRenamed("page", "_page"), "_page")
+        # Written once: the state is not gone through again for the second table.
+        arrived = materialize(batch, "arrived-pages")
+        rows = embed(chunk(arrived.select("url", "html"))).withColumn("_page", strip_anchor(F.col("source")))
+        rows = rows.join(arrived.select(F.col("page").alias("_page"), "version"), "_page")
         numbered = rows.withColumn("id", F.xxhash64("source", "section_pos", "chunk_pos", "version")).withColumn(
             "bucket", F.pmod(F.xxhash64("_page", "section_pos", "chunk_pos"), F.lit(buckets)).cast("int")
         )
         write_batch(numbered.repartition("bucket"), f"{path}/chunks", batch_id, run, partition_by="bucket")
         # Pages come last: a version without its row here was not finished and does not count.
-        write_batch(arrived.withColumn("stored_at", F.current_timestamp()), f"{path}/pages", batch_id, run)
-
-    return (
-        pages.writeStream.foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        write_batch(arrived.select("page", "version", F.current_timestamp().alias("stored_at")), f"{path}/pages", batch_id, run)
+
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
+    try:
+        return (
+            fresh.writeStream.foreachBatch(handle)
+            .outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
 
 
 def feedback_rollup(events: DataFrame, window: str = "1 day", lateness: str = "1 hour") -> DataFrame:

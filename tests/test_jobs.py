@@ -291,6 +291,11 @@ def test_streamed_pages_supersede_their_older_versions(spark, tmp_path, pages):
     tune = [k for k in first if k[0].startswith(url)]
     assert {k: v for k, v in edited.items() if k not in tune} == {k: v for k, v in first.items() if k not in tune}
     assert len([k for k in edited if k in tune]) < len(tune) and any("new" in v for v in edited.values())
+    # A run with a fresh checkpoint knows what is stored: pages that are unchanged are not stored again.
+    stored = spark.read.parquet(f"{out}/chunks").count()
+    same = str(tmp_path / "in3")
+    pages.where(F.col("url") != url).write.parquet(same)
+    assert run("cp3", same) == edited and spark.read.parquet(f"{out}/chunks").count() == stored
     # A fresh checkpoint adds to what is there: an unchanged page is left out, a changed one supersedes.
     other = str(tmp_path / "in2")
     pages.where(F.col("url") == url).write.parquet(other)

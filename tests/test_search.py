@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import lexical, postings
+from lectern.operators import block_topk, lexical, postings, vector_index
 from lectern.operators.embedding import HashedWords, embed, embed_chunks, mean_vectors
 from lectern.operators.hybrid import attach_documents, hybrid_merge
 from lectern.operators.rerank import rerank_by_tag, rerank_truncate
@@ -206,7 +206,7 @@ def brute_cosine(v, q):
     return 1 - float(np.dot(v, q) / (np.linalg.norm(v) * np.linalg.norm(q)))
 
 
-@pytest.mark.parametrize("ways", [{}, {"max_queries": 2, "rows_per_block": 9}])
+@pytest.mark.parametrize("ways", [{}, {"max_queries": 2}])
 def test_semantic_topk_against_brute_force(spark, ways):
     r = np.random.default_rng(0)
     corpus_vectors = r.normal(size=(30, 8)).astype(np.float32)
@@ -227,6 +227,39 @@ def test_zero_and_missing_vectors_come_last(spark):
     assert rows(distance_summary(index, vectors(spark, [[1, 0]], "qid"))) == [(0, 3, 1.0, 0.0, 2.0)]
 
 
+@pytest.mark.parametrize("block", [2048, 3])
+def test_cluster_index_gives_the_rows_of_a_scan(spark, monkeypatch, block):
+    r = np.random.default_rng(4)
+    centres = r.normal(size=(12, 6))
+    corpus_vectors = [list(centres[i % 12] + 0.05 * r.normal(size=6)) for i in range(300)]
+    corpus_vectors += [corpus_vectors[7]] * 120 + [None, [0.0] * 6, None]
+    queries = [list(centres[3]), list(r.normal(size=6)), corpus_vectors[7], [0.0] * 6, list(-centres[5])]
+    index, asks = vectors(spark, corpus_vectors, "doc_id"), vectors(spark, queries, "qid")
+    monkeypatch.setattr(vector_index, "query_blocks", lambda q: block_topk.query_blocks(q, block))
+    stored = vector_index.build_vector_index(index)
+    for k in (1, 5, 130, 500):
+        report = []
+        found = rows(vector_index.semantic_search(stored, asks, k, report).select("qid", "pos", "doc_id"))
+        assert found == rows(semantic_topk(index, asks, k).select("qid", "pos", "doc_id"))
+        if k == 5:
+            assert sum(reads for _, _, reads in report) < 0.7 * sum(n * c for n, c, _ in report)
+    assert vector_index.semantic_search(stored, asks, 0).count() == 0
+
+
+def test_cluster_index_edges(spark, tmp_path):
+    odd = vectors(spark, [None, [0, 0]], "doc_id")
+    query = vectors(spark, [[1, 1]], "qid")
+    stored = vector_index.build_vector_index(odd)
+    assert [r[2] for r in rows(vector_index.semantic_search(stored, query, 5), "pos")] == [1, 0]
+    assert vector_index.semantic_search(vector_index.build_vector_index(odd.limit(0)), query, 5).count() == 0
+    made = embed_chunks(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), HashedWords(8))
+    again = vector_index.build_vector_index(made, str(tmp_path / "v"))
+    with pytest.raises(ValueError, match="cannot be compared"):
+        vector_index.semantic_search(again, embed(spark.createDataFrame([(1, "a")], "qid long, question string"), HashedWords(4), "question"), 1)
+    with pytest.raises(FileNotFoundError):
+        vector_index.read_vector_index(spark, str(tmp_path / "none"))
+
+
 def test_semantic_edges(spark):
     index, query = vectors(spark, [[1, 0], [0, 1]], "doc_id"), vectors(spark, [[1, 1]], "qid")
     assert semantic_topk(index, query, 0).count() == 0
