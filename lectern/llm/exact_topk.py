@@ -19,6 +19,8 @@ QUERY_BLOCK = 16_384
 TILE, SORTED_ROWS = 1024, 1 << 16
 # Sums of whole numbers below this are exact in doubles.
 EXACT = float(1 << 53)
+# Stands for no score.
+LOWEST = np.iinfo(np.int64).min
 
 
 def clean_vectors(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
@@ -67,11 +69,11 @@ class Best:
 
     @classmethod
     def none(cls, queries: int, k: int) -> Best:
-        return cls(np.full((queries, k), -np.inf), np.full((queries, k), -1, np.int64), np.zeros(queries, np.int64))
+        return cls(np.full((queries, k), LOWEST), np.full((queries, k), -1, np.int64), np.zeros(queries, np.int64))
 
     def bar(self) -> np.ndarray:
         """The score a newcomer must reach at least."""
-        return np.where(self.filled == self.score.shape[1], self.score[:, -1], -np.inf)
+        return np.where(self.filled == self.score.shape[1], self.score[:, -1], LOWEST)
 
     def add(self, q: np.ndarray, vec_id: np.ndarray, score: np.ndarray) -> None:
         k = self.score.shape[1]
@@ -104,11 +106,14 @@ class Searcher:
         self.largest = np.abs(vectors).max(initial=0)
 
     def exact(self, q: np.ndarray, vectors: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The scores of pairs, whole numbers that doubles hold exactly."""
+        """The scores of pairs, whole numbers: in doubles where those hold them exactly, else in Python's integers."""
         if self.largest * np.abs(vectors).max(initial=0) * vectors.shape[1] >= EXACT:
-            raise ValueError("components are too large for exact scores")
+            found = [sum(int(x) * int(y) for x, y in zip(self.vectors[i].tolist(), vectors[j].tolist())) for i, j in zip(q, at)]
+            if any(abs(x) >= 1 << 63 for x in found):
+                raise ValueError("a score does not fit into 64 bits")
+            return np.array(found, np.int64)
         parts = [slice(i, i + 65536) for i in range(0, max(len(q), 1), 65536)]
-        return np.concatenate([np.einsum("ij,ij->i", self.vectors[q[p]], vectors[at[p]]) for p in parts])
+        return np.concatenate([np.einsum("ij,ij->i", self.vectors[q[p]], vectors[at[p]]) for p in parts]).astype(np.int64)
 
     def see(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         """Take some candidates into account, longest first, until no query can gain."""
@@ -136,7 +141,7 @@ class Searcher:
 
     def rows(self, schema: pa.Schema) -> pa.RecordBatch:
         held = np.arange(self.best.score.shape[1])[None, :] < self.best.filled[:, None]
-        score = self.best.score[held].astype(np.int64)
+        score = self.best.score[held]
         return batches({"query_id": np.repeat(self.ids, self.best.filled), "vec_id": self.best.vec_id[held], "score": score}, schema)
 
 
@@ -154,9 +159,9 @@ def exact_topk(
     Equal scores rank the smaller id first, a repeated id counts once, fewer
     candidates give fewer rows. Rows without id or vector, or with components
     that are null or not finite, take no part; of vectors of different lengths
-    the shorter is filled up with zeros; vectors so large that a score may pass 2^53
-    raise an error. Empty tables
-    give an empty result; other columns are not read.
+    the shorter is filled up with zeros; scores are exact up to 64 bits, and one
+    beyond them is an error. Empty tables give an empty result; other columns are
+    not read.
     """
     if k < 1:
         raise ValueError("k must be positive")

@@ -34,6 +34,20 @@ def test_exact_topk(spark, block):
     assert exact_topk(frame.where("vec_id < 3"), frame.where("vec_id = 0"), k=5).count() == 2
 
 
+def test_scores_beyond_doubles_are_exact(spark):
+    """Sums of some 2^55, where doubles are eight apart."""
+    rng = np.random.default_rng(8)
+    data = [(i, [float(x) for x in 100_000 + rng.integers(0, 3, 64) / 256]) for i in range(40)]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    whole = {i: [int(256 * x) for x in v] for i, v in data}
+    found = rows(exact_topk(frame, frame.where("vec_id % 7 = 0"), k=5).select("query_id", "rank", "vec_id", "score"))
+    want = []
+    for q in range(0, 40, 7):
+        scores = sorted((-sum(x * y for x, y in zip(whole[q], whole[i])), i) for i in whole if i != q)
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:5])]
+    assert found == want
+
+
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 URLS = [
     ("http://A.Example.ORG/es/x?q", "a.example.org", "/es/x", "example.org/es/", "block"),
