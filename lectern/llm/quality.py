@@ -235,7 +235,9 @@ def linear_scorer(texts: list[str], target: np.ndarray, bits: int, epochs: int =
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int = 4096, mb: int = 32, bits: int = 16) -> QualityModel:
     """Accuracies from the votes on all texts, then a scorer from a sample of ``rows`` texts with ``mb`` million bytes at most.
 
-    The sample is in the order of a hash of id and size. The driver receives a
+    The sample is in the order of a hash of id and size, with one text (the
+    first) for each id and size; texts of over a 64th of the bytes come after all
+    others, by size, so that none of them keeps others out. The driver receives a
     count for each pattern of votes (a fixed number of patterns) and the sample.
     """
     votes = all_votes(docs, doc_id, text).groupBy("pattern").count().toArrow()
@@ -243,13 +245,15 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rows: int =
         return QualityModel(LabelModel(0.5, np.full((len(LABELLERS), 2, 2), 0.5)), np.zeros(1 << bits), 0.0)
     votes = votes.sort_by("pattern")
     labels = expectation_maximisation(unpacked(votes["pattern"].to_numpy()), votes["count"].to_numpy())
-    order = [F.col("key"), F.col("id"), F.col("size")]
-    sized = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.octet_length(text), F.lit(0)).alias("size"))
-    few = sized.withColumn("key", F.xxhash64("id", "size")).orderBy(*order).limit(rows)
-    sums = few.withColumn("sum", F.sum("size").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
-    ids = sums.where(F.col("sum") <= mb * 1_000_000).select("id").distinct()
-    sample = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text")).join(F.broadcast(ids), "id").limit(2 * rows).toArrow()
-    texts = [t or "" for t in sample.sort_by("id")["text"].to_pylist()]
+    plain = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("size", F.octet_length("text"))
+    order = [F.xxhash64("id", "size"), F.col("id"), F.col("size")]
+    few = plain.select("id", "size").distinct().orderBy(*order).limit(rows)
+    large = F.when(F.col("size") > mb * 1_000_000 // 64, F.col("size")).otherwise(0)
+    sums = few.withColumn("sum", F.sum("size").over(Window.orderBy(large, *order).rowsBetween(Window.unboundedPreceding, 0)))
+    chosen = sums.where(F.col("sum") <= mb * 1_000_000).select(F.col("id").alias("chosen"), F.col("size").alias("bytes"))
+    same = F.col("id").eqNullSafe(F.col("chosen")) & (F.col("size") == F.col("bytes"))
+    sample = plain.join(F.broadcast(chosen), same).groupBy("id", "size").agg(F.min("text").alias("text")).select("id", "text").toArrow()
+    texts = [t or "" for t in sample.sort_by([("id", "ascending"), ("text", "ascending")])["text"].to_pylist()]
     if not texts:
         return QualityModel(labels, np.zeros(1 << bits), float(np.log(labels.good / (1 - labels.good))))
     table = function_word_table(20)

@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 
 from lectern.llm import quality as q
-from lectern.llm.toxicity import Shape, fit, held_out, score, toxicity
+from lectern.llm.toxicity import Shape, fit, held_out, labelled_sample, score, toxicity
 from lectern.llm.word_features import LANGUAGES, function_word_table, guessed_languages, letter_words, text_blocks
 from tests.conftest import rows
 
@@ -98,3 +98,18 @@ def test_quality_of_odd_rows(spark, small):
     assert q.quality(frame.limit(0)).count() == 0
     kept = q.scored(frame, q.fit(frame), prefix="")
     assert sorted(kept.columns) == sorted(["doc_id", "text", "label", "held_out", "posterior", "score", "keep"]) and rows(kept.select("label").distinct()) == [("keep",)]
+
+
+def test_long_texts_keep_no_others_out_of_the_samples(spark):
+    """Whatever their hashes, texts larger than the bound leave the sample to the others."""
+    small = [(i, "you idiot" if i % 2 else "a kind word") for i in range(60)]
+    known = docs_of(spark, small + [(100 + i, "word " * 240_000) for i in range(4)] + [(3, "you idiot, again"), (3, "you idiot")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(100 + i, i % 2) for i in range(4)], "doc_id long, label int")
+    found = rows(labelled_sample(known, labels, 4096, 1).select("doc_id", "text", "label"))
+    assert found == [(i, t, i % 2) for i, t in small]
+    several = rows(labelled_sample(known, labels, 4096, 2).select("doc_id"))
+    assert [i for i, in several if i < 100] == list(range(60)) and len(several) == 62
+    model = q.fit(known, mb=1)
+    assert np.abs(model.weights).sum() > 0
+    blank = q.fit(docs_of(spark, [(None, "the cat sat on the mat and it was good for all of us"), (None, "!!!! $$$$ ####")]))
+    assert np.abs(blank.weights).sum() > 0
