@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from lectern.operators.ledger import Ledger, request_hash
+
 Model = Callable[[list[dict], str | None, int | None, float], str]
 
 
@@ -27,7 +29,8 @@ def call_with_retries(model: Model, asked: tuple, max_retries: int, retry_interv
             return model(*asked), attempt, None
         except Exception as problem:  # whatever the caller's model raises
             error = f"{type(problem).__name__}: {problem}"
-            time.sleep(retry_interval)
+            if attempt <= max_retries:
+                time.sleep(retry_interval)
     return "", max_retries + 1, error
 
 
@@ -43,12 +46,18 @@ def batch_generate(
     retry_interval: float = 60.0,
     threads: int = 8,
     partitions: int | None = None,
+    ledger: str | None = None,
 ) -> DataFrame:
     """All columns but ``messages`` plus ``out``, ``attempts`` and ``error``.
 
     ``model_factory()`` runs once per task; a task has up to ``threads`` calls
     under way, so a model has to bear that. ``partitions`` sets the number of
     tasks. A row without messages is not asked for and has no answer.
+
+    With a ``ledger`` (a folder that executors share) every answer is stored as
+    soon as it is there, by what was asked. A task that runs again, or another
+    job, takes it from there with 0 attempts; equal requests share an answer, and
+    failed ones are asked again.
     """
     if partitions:
         df = df.repartition(partitions)
@@ -63,11 +72,20 @@ def batch_generate(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_factory()
+        answers_of = Ledger(ledger) if ledger else None
 
         def ask(call):
             if call[0] is None:
                 return None, 0, None
-            return call_with_retries(model, (*call, temperature), max_retries, retry_interval)
+            asked_for = (*call, temperature)
+            request = request_hash(*asked_for) if answers_of else None
+            known = answers_of.get(request) if answers_of else None
+            if known is not None:
+                return known, 0, None
+            answer, attempts, error = call_with_retries(model, asked_for, max_retries, retry_interval)
+            if answers_of and error is None:
+                answers_of.put(request, answer, attempts)
+            return answer, attempts, error
 
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:

@@ -7,6 +7,7 @@ from lectern.functions.prompts import messages
 from lectern.operators import classifier
 from lectern.operators.embedding import HashedWords, embed_chunks, embed_queries, encoder_of
 from lectern.operators.generation import batch_generate, extractive_model, overlap_judge, question_writer
+from lectern.operators.ledger import read_ledger
 from lectern.operators.lexical import build_lexical_index
 from lectern.operators.chunking import chunk_sections
 from lectern.operators.sections import extract_sections
@@ -231,6 +232,60 @@ def test_retries(spark):
     assert found == [(1, "ONCE", 2, None), (2, "FINE", 1, None), (3, "", 3, "ValueError: no")]
 
 
+def test_finished_calls_of_a_killed_task_are_not_made_again(spark, tmp_path):
+    told, kept = tmp_path / "told", "file:" + str(tmp_path / "ledger")
+    told.mkdir()
+
+    def factory_of(deadly):
+        folder = str(told)
+
+        def factory():
+            def model(m, llm, max_tokens, temperature):
+                import uuid
+
+                text = m[-1]["content"]
+                if text == "fails":
+                    raise ValueError("no")
+                if text == deadly:
+                    raise SystemExit("killed")
+                open(f"{folder}/{text}-{uuid.uuid4().hex}", "w").close()
+                return text.upper()
+
+            return model
+
+        return factory
+
+    texts = [f"t{i}" for i in range(6)] + ["deadly", "t0", "fails", "t7"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string").coalesce(1)
+    asked = df.select("n", messages(F.lit(""), F.lit(""), F.col("t")).alias("messages"))
+    with pytest.raises(Exception):
+        batch_generate(asked, factory_of("deadly"), max_retries=0, retry_interval=0, threads=1, ledger=kept).collect()
+    before = {p.name.split("-")[0] for p in told.iterdir()}
+    assert before == {f"t{i}" for i in range(6)}
+    found = rows(batch_generate(asked, factory_of(None), max_retries=0, retry_interval=0, threads=1, ledger=kept))
+    assert [r[1] for r in found] == [t.upper() if t != "fails" else "" for t in texts]
+    assert [r[2] for r in found] == [0] * 6 + [1, 0, 1, 1] and found[8][3] == "ValueError: no"
+    assert sorted(p.name.split("-")[0] for p in told.iterdir()) == sorted([f"t{i}" for i in range(6)] + ["deadly", "t7"])
+    assert {r.answer: r.attempts for r in read_ledger(spark, kept).collect()} == {t.upper(): 1 for t in set(texts) - {"fails"}}
+    named = rows(batch_generate(asked, factory_of(None), llm=F.lit("other"), max_retries=0, retry_interval=0, threads=2, ledger=kept))
+    assert sum(r[2] for r in named) >= 9
+
+
+def test_no_wait_after_the_last_attempt(spark):
+    import time
+
+    def factory():
+        def model(m, llm, max_tokens, temperature):
+            raise ValueError("no")
+
+        return model
+
+    asked = spark.createDataFrame([(1, "q")], "n int, t string").select("n", messages(F.lit(""), F.lit(""), F.col("t")).alias("messages"))
+    started = time.time()
+    assert rows(batch_generate(asked, factory, max_retries=0, retry_interval=300)) == [(1, "", 1, "ValueError: no")]
+    assert time.time() - started < 100
+
+
 def test_question_generation(spark):
     chunks = spark.createDataFrame([("s", "Cats sleep. Dogs bark."), ("e", "")], "source string, text string")
     pairs, rejected = generate_qa_per_chunk(chunks, question_writer(2), retry_interval=0)
