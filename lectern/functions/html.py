@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from html import unescape
+import json
+from html.entities import html5
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,14 +25,57 @@ OPAQUE_ELEMENTS = frozenset("script style template rt rp".split())
 PREFORMATTED = frozenset(["pre", "textarea"])
 
 
-def decode_references(text: Column) -> Column:
-    """All named and numeric character references; only texts that have some leave the JVM."""
+# What may follow "&": a decimal or hexadecimal number, or a name.
+_REFERENCE = r"^(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+# Names that need no semicolon, the longest of several that fit first.
+_BARE_NAMES = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+# Numbers that stand for the characters of code page 1252.
+_REMAPPED = {0x0: "\ufffd", 0xD: "\r"} | {n: bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(0x80, 0xA0)}
+
+
+def _literal_map(pairs: dict[str, str]) -> Column:
+    """A constant map; as JSON text, which is folded into one literal, it costs no expression for each entry."""
+    return F.from_json(F.lit(json.dumps(pairs)), "map<string,string>")
+
+
+def _numbered(code: Column) -> Column:
+    """The character of a code point (as a long)."""
+    gone = code.between(0x1, 0x8) | (code == 0xB) | code.between(0xE, 0x1F) | (code == 0x7F) | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    real = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return (
+        F.when(code.isNull() | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd")
+        .when((code <= 0xD) | code.between(0x80, 0x9F), F.coalesce(F.try_element_at(_literal_map({str(n): c for n, c in _REMAPPED.items()}), code.cast("string")), F.when(gone, "").otherwise(real)))
+        .when(gone, "")
+        .otherwise(real)
+    )
+
+
+def _decoded_piece(piece: Column) -> Column:
+    """What stands behind an "&", with the reference it may begin with decoded."""
+    found = F.regexp_extract(piece, _REFERENCE, 1)
+    rest = F.substring(piece, F.length(found) + 1, F.length(piece))
+    digits = F.regexp_extract(found, r"^#[xX]?0*([0-9a-fA-F]*)", 1)
+    base = F.when(found.rlike("^#[xX]"), 16).otherwise(10)
+    # More than seven digits are beyond all code points.
+    code = F.when(F.length(digits) <= 7, F.coalesce(F.conv(F.when(base == 16, digits), 16, 10), F.conv(F.when(digits == "", "0").otherwise(digits), 10, 10)).cast("long"))
+    named = F.try_element_at(_literal_map(html5), found)
+    bare = F.regexp_extract(found, f"^({'|'.join(_BARE_NAMES)})", 1)
+    by_prefix = F.concat(F.try_element_at(_literal_map({n: html5[n] for n in _BARE_NAMES}), bare), F.substring(piece, F.length(bare) + 1, F.length(piece)))
+    return (
+        F.when(found == "", F.concat(F.lit("&"), piece))
+        .when(found == "amp;", F.concat(F.lit("&"), rest))
+        .when(found == "lt;", F.concat(F.lit("<"), rest))
+        .when(found == "gt;", F.concat(F.lit(">"), rest))
+        .when(found.startswith("#"), F.concat(_numbered(code), rest))
+        .otherwise(F.coalesce(F.concat(named, rest), by_prefix, F.concat(F.lit("&"), piece)))
+    )
 
-    @F.pandas_udf("string")
-    def decoded(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else unescape(t))
 
-    return F.when(text.rlike("&[#0-9A-Za-z]"), decoded(F.when(text.rlike("&[#0-9A-Za-z]"), text))).otherwise(text)
+def decode_references(text: Column) -> Column:
+    """All named and numeric character references, as browsers read them: names without a semicolon and prefixes of names too."""
+    pieces = F.split(text, "&")
+    later = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), _decoded_piece)
+    return F.when(text.rlike("&[#0-9A-Za-z]"), F.concat(F.get(pieces, F.lit(0)), F.array_join(later, ""))).otherwise(text)
 
 
 def _without_markup(html: Column) -> Column:

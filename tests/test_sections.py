@@ -1,8 +1,12 @@
+import random
+from html import unescape
+from html.entities import html5
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lectern.functions.html import read_elements, strip_markup
+from lectern.functions.html import decode_references, read_elements, strip_markup
 from lectern.operators.chunking import chunk_fixed, chunk_sections, chunk_size_sweep, register_chunk_text, split_recursively
 from lectern.operators.sections import extract_sections, fetch_text, page_blocks, section_lengths, training_pairs
 from tests.conftest import rows
@@ -137,3 +141,27 @@ def test_chunk_size_sweep(spark):
         all_windows = [w for t in ("a" * 25, "b" * 3) for w in windows(t, size, 2)]
         wanted.append((size, len(all_windows), round(sum(map(len, all_windows)) / len(all_windows), 6)))
     assert rows(chunk_size_sweep(df, [10, 20], 2)) == wanted
+
+
+def test_references_are_decoded_as_the_standard_library_does(spark):
+    r = random.Random(4)
+    names = list(html5)
+    numbers = [0, 1, 9, 10, 11, 13, 31, 38, 127, 128, 129, 150, 159, 160, 233, 0xD800, 0xFDD0, 0xFFFE, 0xFFFF, 0x1F600, 0x1FFFE, 0x10FFFF, 0x110000, 10**9, 10**30, 8364]
+    hexes = ["0", "00e9", "1F600", "d800", "110000", "ffffffffff", "80", "9f", "00000000000041", "fdd0", "g", ""]
+    odd = ["&", "&&", "& ", "&;", "&#", "&#;", "&#x", "&#x;", "&\t", "&<", "&zzz;", "&notit;", "&copy2", "&ampamp;", "&ltgt;", "&AMP", "&Lt;", "&NotEqualTilde;"]
+    plain = ["text", "é 🙂", "a;b", " ", "<b>", "\n", "\r\n", "#", "x&y"]
+    kinds = [
+        lambda: "&" + r.choice(names),
+        lambda: "&" + r.choice(names).rstrip(";") + r.choice(["", "x", "=1", ";", " "]),
+        lambda: f"&#{r.choice(numbers)}" + r.choice([";", "", "x"]),
+        lambda: f"&#{r.choice('xX')}{r.choice(hexes)}" + r.choice([";", "", "z"]),
+        lambda: r.choice(odd),
+        lambda: r.choice(plain),
+    ]
+    texts = ["".join(r.choice(kinds)() for _ in range(r.randrange(1, 9))) for _ in range(4000)] + ["&" + n for n in names]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None])], "i int, t string")
+    decoded = df.select("i", decode_references(F.col("t")).alias("d"))
+    assert "Python" not in decoded._jdf.queryExecution().executedPlan().toString()
+    found = {x.i: x.d for x in decoded.collect()}
+    assert found.pop(len(texts)) is None
+    assert [t for i, t in enumerate(texts) if found[i] != unescape(t)] == []
