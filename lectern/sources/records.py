@@ -17,9 +17,31 @@ from lectern import schemas
 ROWS_PER_RECORD = 1000
 
 
+def _question_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The lines of question files with what is wrong with them: ``_line`` as it stands if it is no record."""
+    read = spark.read.schema(f"{schema}, _line string").option("allowSingleQuotes", "true").option("columnNameOfCorruptRecord", "_line")
+    lines = read.json(path)
+    wrong = F.when(F.col("_line").isNotNull(), "no record").when(F.col("question").isNull(), "no question")
+    return lines.withColumn("_wrong", wrong)
+
+
 def scan_questions_jsonl(spark: SparkSession, path: str, schema: str = schemas.QUESTION) -> DataFrame:
-    """One record per line; single-quoted records are read too."""
-    return spark.read.schema(schema).option("allowSingleQuotes", "true").json(path)
+    """One record per line; single-quoted records are read too.
+
+    Lines that are no record, and records without a question, are left out;
+    ``scan_rejected_lines`` has them.
+    """
+    return _question_lines(spark, path, schema).where(F.col("_wrong").isNull()).drop("_line", "_wrong")
+
+
+def scan_rejected_lines(spark: SparkSession, path: str, schema: str = schemas.QUESTION) -> DataFrame:
+    """``file, reason, line`` and the columns as far as they could be read: the lines that ``scan_questions_jsonl`` leaves out.
+
+    ``line`` is null for a record without a question, which was read as such.
+    """
+    lines = _question_lines(spark, path, schema).where(F.col("_wrong").isNotNull())
+    rest = [c for c in lines.columns if c not in ("_line", "_wrong")]
+    return lines.select(F.input_file_name().alias("file"), F.col("_wrong").alias("reason"), F.col("_line").alias("line"), *rest)
 
 
 def _experiment():

@@ -51,6 +51,20 @@ def test_single_quoted_question_lines(spark, tmp_path):
     assert rows(records.scan_questions_jsonl(spark, str(tmp_path / "q.jsonl"))) == [('a "b"?', "u#x"), ("it's", "v")]
 
 
+def test_unreadable_question_lines_are_rejects(spark, tmp_path):
+    lines = ['{"question": "a", "source": "u"}', "{'question': 'b', 'source'", "plain words", "", '{"source": "v"}', '{"question": null}', '{"question": "c"}', '["x"]']
+    path = tmp_path / "q.jsonl"
+    path.write_text("\n".join(lines) + "\n")
+    assert rows(records.scan_questions_jsonl(spark, str(path))) == [("a", "u"), ("c", None)]
+    rejected = records.scan_rejected_lines(spark, str(path))
+    assert rejected.count() == 5
+    assert rows(rejected.select("reason", "line", "source")) == sorted(
+        [("no record", lines[1], None), ("no record", lines[2], None), ("no record", lines[7], None), ("no question", None, "v"), ("no question", None, None)],
+        key=lambda r: tuple((v is None, v) for v in r),
+    )
+    assert {r.file.rsplit("/", 1)[1] for r in rejected.collect()} == {"q.jsonl"}
+
+
 def test_nested_responses(spark, tmp_path):
     results = [{"question": f"q{i}", "sources": ["u"] if i else [], "answer": "a"} for i in range(3)]
     (tmp_path / "r.json").write_text(json.dumps({"config": {"experiment_name": "e", "chunk_size": 100}, "results": results}, indent=4))
