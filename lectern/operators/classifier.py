@@ -6,8 +6,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
     ElementwiseProduct,
+    HashingTF,
     Normalizer,
     RegexTokenizer,
     StringIndexer,
@@ -21,10 +21,9 @@ from lectern.functions.text import preprocess_text
 from lectern.operators.rerank import OTHER, threshold_label
 from lectern.session import materialize
 
-# Most labelled rows that a model learns from; it bounds the vocabulary, which is kept whole.
-LABELLED_ROWS = 500_000
-# No limit: the vocabulary has all words of the labelled rows.
-ALL_WORDS = (1 << 31) - 1
+# Coefficients of a class. Every word counts, in the place that its hash tells; the driver and each task hold
+# as many numbers, however many words and labelled rows there are.
+WORD_PLACES = 1 << 17
 # Fixed value: a word has two or more word characters.
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 
@@ -42,32 +41,25 @@ def _logistic(n_rows: int, max_iter: int) -> LogisticRegression:
         regParam=1.0 / max(1, n_rows),
         standardization=False,
         maxIter=max_iter,
+        # One step more than usual, so that few sums reach the driver from many tasks.
+        aggregationDepth=3,
     )
 
 
-def _counter(out: str) -> CountVectorizer:
-    return CountVectorizer(inputCol="words", outputCol=out, vocabSize=ALL_WORDS, minDF=1.0)
-
-
-def bounded_rows(examples: DataFrame, text: str, rows: int) -> DataFrame:
-    """All labelled rows, or the share of about ``rows`` that a hash of the text picks."""
-    n = examples.count()
-    if n <= rows:
-        return examples
-    return examples.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < int(1_000_000 * rows / n))
+def _counter(out: str, places: int) -> HashingTF:
+    return HashingTF(inputCol="words", outputCol=out, numFeatures=places)
 
 
 def train_tag_classifier(
-    examples: DataFrame, text: str = "text", tag: str = "tag", rows: int = LABELLED_ROWS, max_iter: int = 100
+    examples: DataFrame, text: str = "text", tag: str = "tag", max_iter: int = 100, places: int = WORD_PLACES
 ) -> PipelineModel:
-    """Clean-up, smoothed TF-IDF of unit length over all words, logistic regression."""
-    examples = bounded_rows(examples, text, rows)
+    """Clean-up, smoothed TF-IDF of unit length over all words, logistic regression on all rows."""
     clean = examples.select(preprocess_text(F.col(text)).alias("clean"), F.col(tag).alias("tag"))
     words = Pipeline(
         stages=[
             StringIndexer(inputCol="tag", outputCol="label", stringOrderType="alphabetAsc"),
             _tokenizer(),
-            _counter("counts"),
+            _counter("counts", places),
         ]
     ).fit(clean)
     counted = materialize(words.transform(clean).select("counts", "label"), "counts")
@@ -80,18 +72,12 @@ def train_tag_classifier(
     return PipelineModel([words.stages[0], words.stages[1], words.stages[2], weigh, scale, fitted])
 
 
-def train_router(examples: DataFrame, text: str = "question", target: str = "target", rows: int = LABELLED_ROWS, max_iter: int = 100) -> PipelineModel:
-    """Counts of all words and logistic regression on a 0/1 target."""
-    examples = bounded_rows(examples, text, rows)
-    counted = examples.select(F.col(text).alias("clean"), F.col(target).cast("double").alias("label"))
-    steps = Pipeline(
-        stages=[
-            _tokenizer(),
-            _counter("features"),
-            _logistic(examples.count(), max_iter),
-        ]
-    )
-    return steps.fit(counted)
+def train_router(examples: DataFrame, text: str = "question", target: str = "target", max_iter: int = 100, places: int = WORD_PLACES) -> PipelineModel:
+    """Counts of all words and logistic regression on a 0/1 target, on all rows."""
+    clean = examples.select(F.col(text).alias("clean"), F.col(target).cast("double").alias("label"))
+    words = PipelineModel([_tokenizer(), _counter("features", places)])
+    counted = materialize(words.transform(clean).select("features", "label"), "counts")
+    return PipelineModel([*words.stages, _logistic(counted.count(), max_iter).fit(counted)])
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -332,6 +332,20 @@ def test_router(spark):
     assert rows(classifier.route_queries(model, asked, "open", "closed")) == [("a lookup", 1, "open"), ("reasoning", 0, "closed")]
 
 
+def test_models_keep_their_size_and_learn_from_all_rows(spark):
+    few = spark.createDataFrame([("simple lookup", 1), ("hard reasoning", 0)], "question string, target int")
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat(F.lit("w"), (F.col("id") * 100 + i).cast("string"))))
+    many = few.unionByName(spark.range(60).select(words.alias("question"), (F.col("id") % 2).cast("int").alias("target")))
+    sizes = [classifier.train_router(df, max_iter=2).stages[-1].coefficientMatrix.numCols for df in (few, many)]
+    assert sizes == [classifier.WORD_PLACES] * 2
+    tagged = many.select(F.col("target").cast("string").alias("tag"), F.col("question").alias("text"))
+    assert classifier.train_tag_classifier(tagged, max_iter=2).stages[-1].coefficientMatrix.numCols == classifier.WORD_PLACES
+    # Every word counts: each row is told by words that no other row has.
+    model = classifier.train_router(many, max_iter=30)
+    found = classifier.route_queries(model, many, "open", "closed")
+    assert found.where(F.col("routed") != F.col("target")).count() == 0
+
+
 # -- streams -----------------------------------------------------------------------
 
 
