@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructType
 
+from lectern.operators.batches import pieces
+
 # Rows handed to an encoder at once.
 BATCH_ROWS = 100
 
@@ -31,7 +33,7 @@ class HashedWords:
     def __init__(self, dim: int = 256):
         self.dim = dim
         self.encoder_id = f"hashed-words-{dim}"
-        self.batch_rows = max(BATCH_ROWS, 2_560_000 // dim)
+        self.batch_rows = max(BATCH_ROWS, 256_000 // dim)
 
     def __call__(self) -> Encoder:
         return self.encode
@@ -73,9 +75,9 @@ def embed(df: DataFrame, encoder_factory, text: str = "text", out: str = "embedd
         encode = encoder_factory()
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
-                piece = batch.slice(start, rows)
-                vectors = float_lists(np.asarray(encode(piece.column(text))))
-                yield pa.RecordBatch.from_arrays([*piece.columns, vectors], [*piece.schema.names, out])
+                for piece in pieces(batch.slice(start, rows)):
+                    vectors = float_lists(np.asarray(encode(piece.column(text))))
+                    yield pa.RecordBatch.from_arrays([*piece.columns, vectors], [*piece.schema.names, out])
 
     encoder_id = getattr(encoder_factory, "encoder_id", None)
     vectors = df.mapInArrow(run, schema)

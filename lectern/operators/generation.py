@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructType
 
+from lectern.operators.batches import pieces
 from lectern.operators.ledger import Ledger, request_hash
 
 Model = Callable[[list[dict], str | None, int | None, float], str]
@@ -88,10 +89,9 @@ def batch_generate(
             return answer, attempts, error
 
         with ThreadPoolExecutor(threads) as pool:
-            for batch in batches:
+            for batch in (piece for whole in batches for piece in pieces(whole)):
                 wanted = zip(*(batch.column(len(kept) + i).to_pylist() for i in range(3)))
-                calls = list(pool.map(ask, wanted))
-                answers, attempts, errors = zip(*calls) if calls else ((), (), ())
+                answers, attempts, errors = zip(*pool.map(ask, wanted))
                 columns = [batch.column(i) for i in range(len(kept))]
                 columns += [pa.array(answers, pa.string()), pa.array(attempts, pa.int32()), pa.array(errors, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])

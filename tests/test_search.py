@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import block_topk, lexical, postings, vector_index
+from lectern.operators import batches, block_topk, lexical, postings, vector_index
 from lectern.operators.embedding import HashedWords, embed, embed_chunks, mean_vectors
 from lectern.operators.hybrid import attach_documents, hybrid_merge
 from lectern.operators.rerank import rerank_by_tag, rerank_truncate
@@ -279,6 +279,35 @@ def test_encoder(spark):
     assert all(sum(found[n]) == 0 and len(found[n]) == 16 for n in (2, 3, 4))
 
 
+def test_large_batches_are_worked_on_in_pieces():
+    texts = ["a" * 3_000_000, None, *["b c" * 1000] * 5000]
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "shard": pa.array([0] * len(texts), pa.int32()), "text": pa.array(texts)})
+    cut = list(batches.pieces(batch))
+    assert pa.Table.from_batches(cut).equals(pa.Table.from_batches([batch]))
+    assert max(p.nbytes for p in cut) <= batches.PIECE_BYTES and not list(batches.pieces(batch.slice(0, 0)))
+    seen = [sum(b["dls"].flatten().to_pylist()) for b in postings.invert(iter([batch])) if len(b)]
+    assert len(seen) > 1, "segments of one batch come piece by piece"
+    found = pa.Table.from_batches(list(postings.invert(iter([batch]))))
+    assert sorted(x for d in found["doc_ids"].to_pylist() for x in d).count(0) == 1
+    encoded = HashedWords(256)
+    assert encoded.batch_rows * 256 <= 256_000
+
+
+def test_blocks_of_many_shards_are_scored_shard_by_shard(monkeypatch):
+    asked = [[{"qid": 1, "weight": 2.0}]] * 40
+    rows_of = pa.record_batch(
+        {"shard": pa.array(range(40), pa.int32()), "doc_ids": pa.array([[i] for i in range(40)], pa.list_(pa.int64())),
+         "tfs": pa.array([[1]] * 40, pa.list_(pa.int32())), "dls": pa.array([[3]] * 40, pa.list_(pa.int32())),
+         "asks": pa.array(asked, pa.list_(pa.struct([("qid", pa.int64()), ("weight", pa.float64())])))}
+    )
+    whole = [hit for table in postings.whole_runs(iter([rows_of]), "shard") for hit in postings.hits_of(table, 1.5, 0.75, 3.0)]
+    parts = list(batches.pieces(rows_of, 200))
+    assert len(parts) > 4
+    cut = [hit for table in postings.whole_runs(iter(parts), "shard") for hit in postings.hits_of(table, 1.5, 0.75, 3.0)]
+    for i in range(3):
+        assert np.concatenate([h[i] for h in cut]).tolist() == np.concatenate([h[i] for h in whole]).tolist()
+
+
 def test_own_encoder_is_made_once_per_task_and_fed_in_batches(spark):
     def factory():
         seen = []
