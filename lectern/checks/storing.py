@@ -14,7 +14,7 @@ from lectern.operators.embedding import HashedWords, embed_chunks
 from lectern.operators.sections import extract_sections, page_blocks
 from lectern.session import scratch_path
 from lectern.sources import index_store, records
-from lectern.sources.html_files import scan_html_pages
+from lectern.sources.html_files import scan_html_pages, write_html_pages
 from lectern.streaming import jobs
 
 DIM = 64
@@ -27,14 +27,7 @@ DIM = 64
 def scan_html_pages_check(t):
     """Every page becomes a file of its own, ``<page_id>.html``, and the folder is scanned."""
     folder = scratch_path(t.spark, "site.example")
-    pages = t.pages.select("html", "page_id")
-    pages.repartition("page_id").write.partitionBy("page_id").text(folder)
-    jvm, conf = t.spark.sparkContext._jvm, t.spark.sparkContext._jsc.hadoopConfiguration()
-    parts = jvm.org.apache.hadoop.fs.Path(f"{folder}/page_id=*/part-*")
-    fs = parts.getFileSystem(conf)
-    for found in fs.globStatus(parts):
-        own = found.getPath().getParent()
-        fs.rename(found.getPath(), jvm.org.apache.hadoop.fs.Path(own, own.getName().removeprefix("page_id=") + ".html"))
+    write_html_pages(t.pages.select(F.format_string("page_id=%1$d/%1$d", "page_id").alias("name"), "html"), folder)
     files = scan_html_pages(t.spark, folder, "site.example")
     return files.select(F.regexp_extract("path", r"/(\d+)\.html$", 1).cast("bigint").alias("page_id"), "url", "html")
 
@@ -251,12 +244,12 @@ def stream_index_pages(t):
         return embed_chunks(chunks, HashedWords(DIM))
 
     for pages in (t.doc_pages.select("url", "html"), edited):
-        pages.repartition(3).write.mode("append").parquet(inbox)
+        pages.coalesce(3).write.mode("append").parquet(inbox)
         stream = t.spark.readStream.schema(pages.schema).option("maxFilesPerTrigger", 2).parquet(inbox)
         jobs.stream_index_pages(stream, chunk, encode, index, checkpoint, buckets=8).awaitTermination()
-    stored = jobs.read_streamed_index(t.spark, index)
+    stored = jobs.read_streamed_index(t.spark, index).select("id", "source", "chunk_pos", "text", F.size("embedding").alias("dim"))
     same = stored.groupBy("id").agg(F.count("*").cast("int").alias("n_same_id"))
-    return stored.join(same, "id").select("source", "chunk_pos", "text", F.size("embedding").alias("dim"), "n_same_id")
+    return stored.join(same, "id").select("source", "chunk_pos", "text", "dim", "n_same_id")
 
 
 @check(

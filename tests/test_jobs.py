@@ -16,6 +16,7 @@ from lectern.plans.evaluating import judge_answers, run_experiment_grid, run_exp
 from lectern.plans.indexing import build_index
 from lectern.plans.retrieval import RetrievalConfig, retrieve, retrieve_contexts
 from lectern.sources import index_store, records
+from lectern.sources import html_files
 from lectern.sources.html_files import scan_html_pages
 from lectern.streaming import jobs
 from tests.conftest import rows
@@ -332,6 +333,23 @@ def test_router(spark):
     assert rows(classifier.route_queries(model, asked, "open", "closed")) == [("a lookup", 1, "open"), ("reasoning", 0, "closed")]
 
 
+def test_tasks_write_and_read_many_small_files(spark, tmp_path, monkeypatch):
+    folder = f"file:{tmp_path}/site"
+    pages = spark.range(300).select(F.format_string("p=%1$d/%1$d", "id").alias("name"), F.concat(F.lit("<p>é"), F.col("id")).alias("html"))
+    odd = spark.createDataFrame([("twice", "a"), ("twice", "a"), ("empty", None), (None, "x")], "name string, html string")
+    assert html_files.write_html_pages(pages.unionByName(odd), folder) == 302
+    monkeypatch.setattr(html_files, "SPLITS_TOGETHER", 1 << 20)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        read = scan_html_pages(spark, folder)
+        assert read.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+        found = {r["path"].rsplit("/", 1)[1]: r["html"] for r in read.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == {f"{i}.html": f"<p>é{i}\n" for i in range(300)} | {"twice.html": "a\na\n", "empty.html": "\n"}
+
+
 def test_models_keep_their_size_and_learn_from_all_rows(spark):
     few = spark.createDataFrame([("simple lookup", 1), ("hard reasoning", 0)], "question string, target int")
     words = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat(F.lit("w"), (F.col("id") * 100 + i).cast("string"))))
