@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from lectern.catalogue import catalogue_join, model_catalogue, prices
 from lectern.operators import cost, evaluation, metrics, ranking
 from lectern.operators.joins import broadcast_if_small, has_at_most, join_frequent_keys
-from lectern.operators.vocabulary import tfidf_weights
+from lectern.operators.vocabulary import tfidf_weights, word_counts
 from tests.conftest import rows
 
 
@@ -197,6 +197,14 @@ def test_hot_key_join_keeps_every_row(spark, monkeypatch):
     assert rows(join_frequent_keys(big, keyed, "w", "df")) == rows(big.join(keyed, "w"))
 
 
+def test_words_are_counted_where_their_document_is(spark):
+    df = spark.createDataFrame([(1, "Aa bb"), (1, "bb"), (None, "cc cc"), (2, None)], "doc_id long, text string")
+    counted = word_counts(df, "doc_id", "text")
+    assert sorted(map(tuple, counted.collect())) == [("aa", 1, 1), ("bb", 1, 2), ("cc", None, 2)]
+    plan = counted._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange ") == 1 and "Exchange hashpartitioning(doc_id" in plan
+
+
 def test_tfidf(spark):
     df = spark.createDataFrame([(1, "Aa bb aa x"), (2, "bb")], "doc_id long, text string")
     raw = {"aa": 2 * (math.log(3 / 2) + 1), "bb": math.log(3 / 3) + 1}
