@@ -367,6 +367,23 @@ def test_models_keep_their_size_and_learn_from_all_rows(spark):
 # -- streams -----------------------------------------------------------------------
 
 
+def test_streamed_vectors_are_made_where_chunks_are_written(spark, tmp_path, pages):
+    given, inbox = [], str(tmp_path / "in")
+    pages.write.parquet(inbox)
+
+    def embed(chunks):
+        given.append(chunks._jdf.queryExecution().optimizedPlan().toString())
+        return embed_chunks(chunks, HashedWords(8))
+
+    def chunk(batch):
+        return chunk_sections(extract_sections(batch).withColumnRenamed("pos", "section_pos"), 40, 0)
+
+    stream = spark.readStream.schema("url string, html string").parquet(inbox)
+    jobs.stream_index_pages(stream, chunk, embed, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert given and all(plan.startswith("RepartitionByExpression [bucket") for plan in given)
+    assert spark.read.parquet(f"{tmp_path}/out/chunks").where(F.size("embedding") != 8).count() == 0
+
+
 def test_streamed_pages_supersede_their_older_versions(spark, tmp_path, pages):
     inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
 
