@@ -31,7 +31,10 @@ FREQUENT_WORDS = 100_000
 
 def word_counts(documents: DataFrame, key: str, text: str) -> DataFrame:
     """``(w, key, tf)``. Whole texts are brought together by key; their words are counted there, not sent one by one."""
-    together = documents.select(key, text).repartition(key)
+    spark = documents.sparkSession
+    # A fixed number: the words of a partition are many times its texts, by whose size partitions would be merged.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism, documents.rdd.getNumPartitions())
+    together = documents.select(key, text).repartition(tasks, key)
     return explode_words(together, key, tokens=model_words(F.col(text))).groupBy("w", key).agg(F.count("*").alias("tf"))
 
 
