@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 
 from lectern.llm import quality as q
-from lectern.llm.toxicity import Shape, fit, held_out, labelled_sample, score, toxicity
+from lectern.llm.toxicity import Shape, fit, held_out, labelled_sample, score, shares_of, toxicity
 from lectern.llm.word_features import LANGUAGES, function_word_table, guessed_languages, letter_words, text_blocks
 from tests.conftest import rows
 
@@ -65,6 +65,19 @@ def test_held_out_rows_are_not_learned(spark):
     assert rows(toxicity(known, labels)) == rows(toxicity(known, mixed))
 
 
+def test_all_labelled_rows_teach(spark):
+    """Forty words on either side, of which no share has all; the tasks' models are averaged."""
+    known = docs_of(spark, [(i, f"it is {'bad' if i % 2 else 'fine'}{chr(97 + i // 2 % 20)}{chr(97 + i // 2 % 40)} as they say") for i in range(1600)] + [(8, "longer than the other one of its id")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1600)] + [(5000, 1)], "doc_id long, label int")
+    shape = Shape(rows=200, epochs=4)
+    shares = shares_of(known.select("doc_id", "text"), labels, shape)
+    dealt = rows(shares.groupBy("share").count())
+    assert len(dealt) == 9 and sum(n for _, n in dealt) == 1600 and shares.where("doc_id = 8 and text like 'longer%'").isEmpty()
+    assert "Exchange" not in shares.groupBy("share").applyInArrow(lambda t: t, shares.schema)._jdf.queryExecution().executedPlan().toString()
+    found = rows(toxicity(known, labels, shape=shape).where("doc_id <> 8 and held_out").select("doc_id", "predicted"))
+    assert len(found) > 250 and np.mean([i % 2 == p for i, p in found]) > 0.97
+
+
 def test_repeats_of_a_score(spark):
     model = fit(docs_of(spark, [(1, "a"), (2, "b")]).select("doc_id", "text"), spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, label int"), Shape(epochs=1, bits=8))
     found = [r.score for r in score(docs_of(spark, ODD), model).where("doc_id = 7").collect()]
