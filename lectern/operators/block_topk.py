@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.operators.batches import pieces
 from lectern.session import materialize
 
 # Most queries, and most vector entries of them, that travel with the function at once.
@@ -24,8 +25,8 @@ MAX_CARRIED_QUERIES = 2048
 MAX_CARRIED_ENTRIES = 4_000_000
 # The tasks' lists of a query are merged in this many groups first.
 TASK_GROUPS = 64
-# Score cells held at once by a task (8 bytes each).
-CELLS = 4_000_000
+# Score cells held at once by a task (8 bytes each, in some ten arrays).
+CELLS = 500_000
 # Scores are ranked by this many digits, so that equal rows tie in any summing order.
 RANK_DIGITS = 9
 
@@ -86,7 +87,7 @@ def scan_corpus(corpus: DataFrame, table: pa.Table, make_scorer, reduce, schema:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(qids):
-            yield reduce(batches, make_scorer(table), qids)
+            yield reduce((piece for batch in batches for piece in pieces(batch)), make_scorer(table), qids)
 
     return corpus.mapInArrow(run, schema)
 

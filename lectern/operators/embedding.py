@@ -8,8 +8,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType, StructType
@@ -118,5 +116,9 @@ def vector_entries(df: DataFrame, key: str, vector: str = "embedding") -> DataFr
 
 def mean_vectors(vectors: DataFrame, by: str, vector: str = "embedding") -> DataFrame:
     """``(by, vector)``: mean vector per group, with partial means in every task."""
+    # Here, as every Python worker that makes vectors would load them, with pandas: 44 MB each.
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
     mean = Summarizer.mean(array_to_vector(vector))
     return vectors.groupBy(by).agg(vector_to_array(mean).alias(vector))

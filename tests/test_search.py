@@ -1,5 +1,8 @@
 import math
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -308,6 +311,45 @@ def test_blocks_of_many_shards_are_scored_shard_by_shard(monkeypatch):
         assert np.concatenate([h[i] for h in cut]).tolist() == np.concatenate([h[i] for h in whole]).tolist()
 
 
+def test_a_shard_with_many_hits_is_scored_for_some_questions_at_a_time(monkeypatch):
+    r = random.Random(5)
+    n, words = 40, []
+    for shard in (0, 1):
+        for _ in range(6):
+            docs = sorted(r.sample(range(n), 25))
+            asks = [{"qid": q, "weight": r.random()} for q in r.sample(range(30), 20)]
+            words.append((shard, [shard * n + d for d in docs], [r.randrange(1, 5) for _ in docs], [r.randrange(5, 9) for _ in docs], asks))
+    kinds = (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.struct([("qid", pa.int64()), ("weight", pa.float64())])))
+    table = pa.table({c: pa.array([w[i] for w in words], k) for i, (c, k) in enumerate(zip(("shard", "doc_ids", "tfs", "dls", "asks"), kinds))})
+    wanted = {}
+    for _, docs, tfs, dls, asks in words:
+        for ask in asks:
+            for d, tf, dl in zip(docs, tfs, dls):
+                wanted[ask["qid"], d] = wanted.get((ask["qid"], d), 0.0) + ask["weight"] * postings.saturation(float(tf), dl, 1.5, 0.75, 6.0)
+    monkeypatch.setattr(postings, "HITS", 300)
+    found = list(postings.hits_of(table, 1.5, 0.75, 6.0))
+    assert max(len(q) for q, _, _ in found) <= 300 + n, "one more question at most"
+    assert {(int(q), int(d)): s for hit in found for q, d, s in zip(*hit)} == wanted and sum(len(h[0]) for h in found) == len(wanted)
+    assert all((np.diff(q) >= 0).all() for q, _, _ in found)
+
+
+def test_vectors_are_scored_in_pieces(spark):
+    vectors = spark.range(6000).selectExpr("id as doc_id", "transform(sequence(1, 256), x -> cast(sin(x * id) as float)) as embedding").coalesce(1)
+    asked_for = vectors.where("doc_id in (7, 11)").withColumnRenamed("doc_id", "qid").toArrow()
+
+    def reduce(held, scorer, qids):
+        seen = list(held)
+        return pa.record_batch({"most": pa.array([max(b.nbytes for b in seen)]), "n": pa.array([sum(b.num_rows for b in seen)])})
+
+    told = block_topk.scan_corpus(vectors, asked_for, lambda table: None, reduce, "most long, n long").first()
+    assert told.most <= batches.PIECE_BYTES and told.n == 6000
+
+
+def test_workers_load_no_more_than_they_use():
+    code = "import sys, lectern.operators.embedding, lectern.operators.postings, lectern.operators.semantic, lectern.functions.html; print('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(batches.__file__).parents[2]).stdout.strip() == "False"
+
+
 def test_own_encoder_is_made_once_per_task_and_fed_in_batches(spark):
     def factory():
         seen = []
