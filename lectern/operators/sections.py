@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions.html import block_texts, read_elements, strip_markup
 from lectern.functions.urls import anchor_of, strip_anchor
+from lectern.operators.batches import pieces
 from lectern.operators.joins import broadcast_if_small
 from lectern.session import materialize
 
@@ -17,6 +18,7 @@ from lectern.session import materialize
 PAGES_AT_ONCE = 256
 
 ELEMENTS_SCHEMA = "url string, pos int, tag string, element_id string, direct_text string, full_text string"
+ELEMENTS = pa.schema([("url", pa.string()), ("pos", pa.int32()), *((c, pa.string()) for c in ("tag", "element_id", "direct_text", "full_text"))])
 
 
 def read_page_elements(pages: DataFrame, section_tag: str = "section", only_sections: bool = False) -> DataFrame:
@@ -32,14 +34,15 @@ def read_page_elements(pages: DataFrame, section_tag: str = "section", only_sect
             return [(url, pos, tag, i, direct, None) for pos, tag, i, direct, _ in elements if tag == section_tag]
         return [(url, 0, "", None, None, whole), *[(url, pos, tag, i, None, full) for pos, tag, i, _, full in elements]]
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, len(batch), PAGES_AT_ONCE):
-                some = batch.iloc[start : start + PAGES_AT_ONCE]
-                rows = [row for url, html in zip(some["url"], some["html"]) for row in page_rows(url, html)]
-                yield pd.DataFrame(rows, columns=["url", "pos", "tag", "element_id", "direct_text", "full_text"])
+            for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+                for some in pieces(batch.slice(start, PAGES_AT_ONCE)):
+                    rows = [row for url, html in zip(some["url"].to_pylist(), some["html"].to_pylist()) for row in page_rows(url, html)]
+                    columns = zip(*rows) if rows else [()] * len(ELEMENTS)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, ELEMENTS)], schema=ELEMENTS)
 
-    return pages.select("url", "html").mapInPandas(read, ELEMENTS_SCHEMA)
+    return pages.select("url", "html").mapInArrow(read, ELEMENTS_SCHEMA)
 
 
 def extract_sections(pages: DataFrame, section_tag: str = "section") -> DataFrame:
