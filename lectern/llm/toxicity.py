@@ -9,11 +9,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.arrow import batches
 from lectern.llm.word_features import LANGUAGES, function_word_table, guessed_languages, letter_words, prefix_hashes, text_blocks
+from lectern.operators.joins import broadcast_if_small
 from lectern.session import materialize, scratch_path
 
 # A word is looked up whole and by its first bytes.
@@ -21,6 +22,8 @@ PREFIXES = (4, 5)
 WIDTHS = (1, 2, 3)
 # Held-back rows are counted in so many steps of a logit, which is cut at so much on either side.
 LOGIT_STEPS, LOGIT_MOST = 256, 64
+# Bits of a map of labelled ids for each of them, bits of one map (as Spark makes them), and most maps that are sent (4 KB each).
+MARK_BITS, MAP_BITS, MOST_MAPS = 16, 32768, 8192
 
 
 @dataclass(frozen=True)
@@ -264,21 +267,52 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, mb: int) -> D
     return texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
 
 
+def marked(docs: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    """The rows of ``docs`` whose id is among the ``n`` of ``known``, and a few of others: some one in ``MARK_BITS``, until the marks are as many as may be sent.
+
+    Each known id sets one bit of a map that is sent to the documents, so that the texts of others need not travel.
+    """
+    maps = max(1, min(MOST_MAPS, math.ceil(n * MARK_BITS / MAP_BITS)))
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(maps * MAP_BITS))
+    each, bit = F.expr(f"_place div {MAP_BITS}").alias("_map"), (F.col("_place") % MAP_BITS).alias("_bit")
+    marks = known.select(place.alias("_place")).select(each, bit).groupBy("_map").agg(F.bitmap_construct_agg("_bit").alias("_marks"))
+    placed = docs.withColumn("_place", place).select(*docs.columns, each, bit).join(F.broadcast(marks), "_map")
+    byte = F.conv(F.hex(F.substring("_marks", F.expr("cast(_bit div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
+    return placed.where(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select(*docs.columns)
+
+
+def share_names(spark: SparkSession, shares: int) -> list[int]:
+    """A number for each share, such that no two of them fall into one of as many buckets."""
+    tried = spark.range(64 + 32 * shares).select(F.col("id").cast("int").alias("share"))
+    found = tried.groupBy(F.pmod(F.hash("share"), F.lit(shares)).alias("bucket")).agg(F.min("share").alias("share")).orderBy("bucket")
+    names = [r["share"] for r in found.collect()]
+    assert len(names) == shares
+    return names
+
+
 def shares_of(docs: DataFrame, labels: DataFrame, shape: Shape) -> DataFrame:
     """``share, doc_id, label, text`` of all labelled ids, stored by share; a share is what one task learns from.
 
-    An id with several texts teaches with its smallest (then first) one.
+    An id with several texts teaches with its smallest (then first) one. Texts
+    travel once, to their share, where they meet their labels.
     """
-    known = labels.where("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label")).where(F.col("label").isin(0, 1))
-    found = materialize(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(known, "doc_id"), "labelled")
-    n, size = found.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    spark = docs.sparkSession
+    kind = docs.select("doc_id").unionByName(labels.select("doc_id")).schema["doc_id"].dataType
+    known = labels.where("doc_id is not null and label is not null").groupBy(F.col("doc_id").cast(kind).alias("doc_id")).agg(F.max("label").alias("label"))
+    known = materialize(known.where(F.col("label").isin(0, 1)), "known")
+    texts = docs.select(F.col("doc_id").cast(kind).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    sizes = texts.select("doc_id", F.octet_length("text").alias("size"))
+    n, size = sizes.join(broadcast_if_small(known.select("doc_id")), "doc_id").agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     shares = max(1, math.ceil(n / shape.rows), math.ceil(size / (shape.mb * 1_000_000)))
-    dealt = found.withColumn("share", F.pmod(F.xxhash64("doc_id"), F.lit(shares)).cast("int")).repartition(shares, "share")
-    least = F.min(F.struct(F.octet_length("text").alias("size"), "text")).alias("least")
-    each = dealt.groupBy("share", "doc_id", "label").agg(least).select("share", "doc_id", "label", "least.text")
+    rows = marked(texts, known, known.count()).withColumn("label", F.lit(None).cast(known.schema["label"].dataType))
+    rows = rows.unionByName(known.select("doc_id", F.lit(None).cast("string").alias("text"), "label"))
+    share = F.get(F.lit(share_names(spark, shares)), F.pmod(F.xxhash64("doc_id"), F.lit(shares)).cast("int"))
+    dealt = rows.withColumn("share", share).repartition(shares, "share")
+    least = F.min(F.when(F.col("text").isNotNull(), F.struct(F.octet_length("text").alias("size"), "text"))).alias("least")
+    each = dealt.groupBy("share", "doc_id").agg(F.max("label").alias("label"), least).where("label is not null and least is not null")
     name = f"lectern_shares_{uuid.uuid4().hex}"
-    each.write.bucketBy(shares, "share").option("path", scratch_path(docs.sparkSession, "shares")).saveAsTable(name)
-    return docs.sparkSession.table(name)
+    each.select("share", "doc_id", "label", "least.text").write.bucketBy(shares, "share").option("path", scratch_path(spark, "shares")).saveAsTable(name)
+    return spark.table(name)
 
 
 def lessons(share: pa.Table, bits: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
@@ -355,7 +389,8 @@ def fit(docs: DataFrame, labels: DataFrame, shape: Shape = Shape()) -> Model:
     for turn in range(turns):
         model = learned(shares, shape, weights, model, turn, turns)
     model.grown = []
-    return calibrated(model, *(held_back(shares, model)[c].to_numpy() for c in ("language", "step", "n", "hits", "low", "high")))
+    held = held_back(shares, model)
+    return calibrated(model, *(held[c].to_numpy() for c in ("language", "step", "n", "hits", "low", "high")))
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,9 +1,11 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.llm import quality as q
-from lectern.llm.toxicity import Shape, fit, held_out, labelled_sample, score, shares_of, toxicity
+from lectern.llm import toxicity as toxicity_module
+from lectern.llm.toxicity import Shape, fit, held_back, held_out, labelled_sample, score, shares_of, toxicity
 from lectern.llm.word_features import LANGUAGES, function_word_table, guessed_languages, letter_words, text_blocks
 from tests.conftest import rows
 
@@ -78,6 +80,24 @@ def test_all_labelled_rows_teach(spark):
     assert len(found) > 250 and np.mean([i % 2 == p for i, p in found]) > 0.97
 
 
+def test_labelled_texts_travel_once(spark, monkeypatch):
+    """Other documents are left out before the shuffle, shares lie in a bucket each, and held-back rows are counted once."""
+    known = docs_of(spark, [(i, f"text {i}" if i % 7 else None) for i in range(4000)] + [(None, "plain"), (12, "t")]).select("doc_id", "text")
+    labels = spark.createDataFrame([(10 * i, i % 2) for i in range(500)] + [(None, 1), (7, None), (8, 2)], "doc_id int, label int")
+    ids = labels.where("doc_id % 10 = 0").select(F.col("doc_id").cast("long"))
+    found = toxicity_module.marked(known, ids, 500)
+    assert ids.join(known, "doc_id").join(found, "doc_id", "left_anti").isEmpty() and found.count() < 400 + 2 * 3600 / toxicity_module.MARK_BITS
+    shape = Shape(rows=45)
+    shares = shares_of(known, labels, shape)
+    assert rows(shares.select("doc_id", "text", "label")) == [(10 * i, f"text {10 * i}" if i % 7 else "", i % 2) for i in range(400)]
+    buckets = shares.select("share").distinct().select(F.pmod(F.hash("share"), F.lit(9)))
+    assert shares.select("share").distinct().count() == 9 and buckets.distinct().count() == 9
+    counted = []
+    monkeypatch.setattr(toxicity_module, "held_back", lambda *given: counted.append(1) or held_back(*given))
+    fit(known, labels, Shape(epochs=1, bits=8, steps=1))
+    assert counted == [1]
+
+
 def test_repeats_of_a_score(spark):
     model = fit(docs_of(spark, [(1, "a"), (2, "b")]).select("doc_id", "text"), spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, label int"), Shape(epochs=1, bits=8))
     found = [r.score for r in score(docs_of(spark, ODD), model).where("doc_id = 7").collect()]
