@@ -16,6 +16,8 @@ from lectern.operators.batches import pieces
 
 # Rows handed to an encoder at once.
 BATCH_ROWS = 100
+# Most bytes of rows handed to an encoder at once; splitting their texts into words takes some twenty times as much memory.
+ENCODED_BYTES = 1 << 20
 
 # Key of a vector column's metadata.
 ENCODER = "encoder_id"
@@ -73,7 +75,7 @@ def embed(df: DataFrame, encoder_factory, text: str = "text", out: str = "embedd
         encode = encoder_factory()
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
-                for piece in pieces(batch.slice(start, rows)):
+                for piece in pieces(batch.slice(start, rows), ENCODED_BYTES):
                     vectors = float_lists(np.asarray(encode(piece.column(text))))
                     yield pa.RecordBatch.from_arrays([*piece.columns, vectors], [*piece.schema.names, out])
 

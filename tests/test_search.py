@@ -282,6 +282,20 @@ def test_encoder(spark):
     assert all(sum(found[n]) == 0 and len(found[n]) == 16 for n in (2, 3, 4))
 
 
+def test_an_encoder_gets_long_texts_a_few_at_a_time(spark):
+    """However many rows it takes, as splitting texts into words takes many times their memory."""
+
+    def factory():
+        def encode(texts):
+            assert texts.nbytes <= 1 << 20
+            return np.array([[len(t)] for t in texts.to_pylist()], float)
+
+        return encode
+
+    texts = spark.range(0, 250, 1, 1).selectExpr("id as n", "repeat('ab ', cast(6000 + id as int)) as text")
+    assert [(r["n"], list(r["embedding"])) for r in embed_chunks(texts, factory).orderBy("n").collect()] == [(i, [3.0 * (6000 + i)]) for i in range(250)]
+
+
 def test_large_batches_are_worked_on_in_pieces():
     texts = ["a" * 3_000_000, None, *["b c" * 1000] * 5000]
     batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "shard": pa.array([0] * len(texts), pa.int32()), "text": pa.array(texts)})
@@ -296,6 +310,27 @@ def test_large_batches_are_worked_on_in_pieces():
     assert encoded.batch_rows * 256 <= 256_000
 
 
+def test_a_frequent_word_is_merged_for_some_shards_at_a_time(monkeypatch):
+    """What is put in order at once does not follow the number of a word's documents; blocks stay whole."""
+    monkeypatch.setattr(postings, "MERGED", 100)
+    docs = pa.record_batch(
+        {"doc_id": pa.array(range(1000), pa.int64()), "shard": pa.array([i * 7 % 20 for i in range(1000)], pa.int32()),
+         "text": pa.array([f"the {'word ' * (i % 3)} {'often' if i % 2 else i}" for i in range(1000)])}
+    )
+    segments = pa.Table.from_batches([b for lo in range(0, 1000, 90) for b in postings.invert(iter([docs.slice(lo, 90)]))]).sort_by([("w", "ascending"), ("span", "ascending")])
+    made = list(postings.merge_segments(iter(segments.to_batches(max_chunksize=50))))
+    assert max(len(b["doc_ids"].flatten()) for b in made) <= 100
+    table = pa.Table.from_batches(made)
+    found = {(r["w"], r["shard"]): r for r in table.to_pylist()}
+    assert len(found) == table.num_rows
+    wanted = {}
+    for i, (shard, text) in enumerate(zip(docs["shard"].to_pylist(), docs["text"].to_pylist())):
+        for w in set(text.split()):
+            wanted.setdefault((w, shard), []).append((i, text.split().count(w), len(text.split())))
+    assert {k: list(zip(r["doc_ids"], r["tfs"], r["dls"])) for k, r in found.items()} == wanted
+    assert all(r["n"] == len(r["doc_ids"]) and r["n_tokens"] == sum(r["tfs"]) for r in found.values())
+
+
 def test_blocks_of_many_shards_are_scored_shard_by_shard(monkeypatch):
     asked = [[{"qid": 1, "weight": 2.0}]] * 40
     rows_of = pa.record_batch(
