@@ -20,8 +20,10 @@ from lectern.session import materialize
 SHARD_BYTES, ARRAY_BYTES = 1 << 20, 1 << 21
 # Bytes of documents for each bucket of pieces.
 BUCKET_BYTES = 6_000_000
-# Bytes that are compared at once.
-CHECKED_BYTES = 1 << 19
+# Powers of two: bytes of shards whose keys, pieces and marks travel together. Each such load sends a row to each bucket.
+LEAST_LOAD, MOST_LOAD = 20, 25
+# Bytes that are compared, and string starts that are hashed at once.
+CHECKED_BYTES, HASHED = 1 << 19, 1 << 15
 # Bytes of the part of a string that decides its bucket.
 PART = 16
 
@@ -120,12 +122,21 @@ def unsqueezed(raw: bytes) -> np.ndarray:
 
 
 def different(data: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The number of each stretch of bytes among the different ones, and where each of these is first found."""
-    hashes = span_hashes(data, first, first + sizes, byte_codes())
-    _, head, number = np.unique(hashes, return_index=True, return_inverse=True)
+    """The number of each stretch of bytes (by place) among the different ones, and where each of these is first found."""
+    hashes, codes, last = np.empty(len(first), np.uint64), byte_codes(), first + sizes
+    for lo, hi in row_groups(np.append(first, last[-1:]), CHECKED_BYTES):
+        begin = first[lo]
+        hashes[lo:hi] = span_hashes(data[begin : last[lo:hi].max()], first[lo:hi] - begin, last[lo:hi] - begin, codes)
+    order = np.argsort(hashes)
+    cut = np.ones(len(order), bool)
+    cut[1:] = hashes[order[1:]] != hashes[order[:-1]]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(cut) - 1
+    head = np.minimum.reduceat(order, np.flatnonzero(cut)) if len(order) else order
+    again = np.flatnonzero(head[number] != np.arange(len(number)))
     same = sizes == sizes[head[number]]
-    for lo, hi in row_groups(np.concatenate([[0], np.cumsum(sizes)]), CHECKED_BYTES):
-        k = lo + np.flatnonzero(same[lo:hi])
+    for lo, hi in row_groups(np.concatenate([[0], np.cumsum(sizes[again])]), CHECKED_BYTES):
+        k = again[lo:hi][same[again[lo:hi]]]
         if len(k):
             equal = data[ragged(first[k], sizes[k])] == data[ragged(first[head[number[k]]], sizes[k])]
             same[k] = np.logical_and.reduceat(equal, np.cumsum(sizes[k]) - sizes[k])
@@ -150,30 +161,33 @@ def string_runs(data: np.ndarray, starts: np.ndarray, size: int) -> Runs:
 
     Equal strings hold equal parts, so they have equal keys wherever they are.
     """
-    span = size - PART + 1
-    n = len(data)
-    if n < size:
-        return Runs(*(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64))
-    up, down = long_powers(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(byte_codes()[data] * up[:n], out=total[1:])
-    least = mix((total[PART:] - total[:-PART]) * down[: n - PART + 1])
-    width = 1
-    while 2 * width <= span:
-        least = np.minimum(least[:-width], least[width:])
-        width *= 2
-    if width < span:
-        least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
-    at = ragged(starts[:-1], np.maximum(np.diff(starts) - size + 1, 0))
-    if not len(at):
+    span, n = size - PART + 1, max(0, len(data) - size + 1)
+    if not n:
         return Runs(*(np.zeros(0, np.int64) for _ in range(3)), np.zeros(0, np.uint64))
-    key = least[at]
-    cut = np.ones(len(at), bool)
-    cut[1:] = (key[1:] != key[:-1]) | (at[1:] != at[:-1] + 1)
-    begin = np.flatnonzero(cut)
-    first, last = at[begin], at[np.append(begin[1:], len(at)) - 1]
-    # Two documents without a gap between their strings (of exactly size bytes) still begin anew.
-    return Runs(np.searchsorted(starts, first, "right") - 1, first, last, mix(key[begin] + np.uint64(1)))
+    up, down = long_powers(HASHED + size)
+    codes, key = byte_codes(), np.empty(n, np.uint64)
+    for begin in range(0, n, HASHED):
+        text = data[begin : begin + HASHED + size - 1]
+        total = np.zeros(len(text) + 1, np.uint64)
+        np.cumsum(codes[text] * up[: len(text)], out=total[1:])
+        least = mix((total[PART:] - total[:-PART]) * down[: len(text) - PART + 1])
+        width = 1
+        while 2 * width <= span:
+            least = np.minimum(least[:-width], least[width:])
+            width *= 2
+        if width < span:
+            least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
+        key[begin : begin + HASHED] = least
+    # Runs begin at documents too, also without a gap between their strings (of exactly size bytes), and where their last strings end.
+    cut = np.ones(n, bool)
+    cut[1:] = key[1:] != key[:-1]
+    edges = np.concatenate([starts[:-1], np.maximum(starts[1:] - size + 1, starts[:-1])])
+    cut[edges[edges < n]] = True
+    first = np.flatnonzero(cut)
+    row = np.searchsorted(starts, first, "right") - 1
+    last = np.append(first[1:], n) - 1
+    keep = first + size <= starts[row + 1]
+    return Runs(row[keep], first[keep], last[keep], mix(key[first[keep]] + np.uint64(1)))
 
 
 class Shard:
@@ -203,10 +217,11 @@ class Shard:
 
 
 def shards_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The documents in shards; the number of a shard tells its task and, in bytes, its place there."""
     schema = pa.schema([("shard", pa.int64()), ("bytes", pa.int64()), ("doc_ids", pa.binary()), ("known", pa.binary()), ("sizes", pa.binary()), ("body", pa.binary())])
 
     def work(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, pack = TaskContext.get().partitionId() << 32, zstandard.ZstdCompressor(level=1)
+        number, pack = TaskContext.get().partitionId() << 40, zstandard.ZstdCompressor(level=1)
         for batch in it:
             data, starts = text_bytes(batch.column(1))
             ids = batch.column(0)
@@ -215,39 +230,61 @@ def shards_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 body = data[starts[lo] : starts[hi]].tobytes()
                 row = {"shard": [number], "bytes": [len(body)], "doc_ids": [ids[lo:hi].astype(np.int64).tobytes()], "known": [known[lo:hi].tobytes()]}
                 yield batches(row | {"sizes": [np.diff(starts[lo : hi + 1]).tobytes()], "body": [pack.compress(body)]}, schema)
-                number += 1
+                number += max(1, len(body))
 
     ddl = "shard long, bytes long, doc_ids binary, known binary, sizes binary, body binary"
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(work, ddl)
 
 
-def shard_keys(shards: DataFrame, size: int, buckets: int) -> DataFrame:
-    """``bucket, shard, keys, many``: the different keys of each shard, and whether several of its documents have them."""
-    schema = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), ("keys", pa.binary()), ("many", pa.binary())])
+def load_bits(total: int) -> int:
+    """The power of two of a load's bytes: some 256 loads, if they are neither small nor too large for a task.
+
+    Rows between loads and buckets grow with the product of the two, so that a
+    load of each shard would make them grow with the square of the input.
+    """
+    return min(MOST_LOAD, max(LEAST_LOAD, (total >> 8).bit_length()))
+
+
+def load_keys(shards: DataFrame, size: int, buckets: int) -> DataFrame:
+    """``bucket, load, keys, many``: the different keys of each load, and whether several of its documents have them."""
+    schema = pa.schema([("bucket", pa.int32()), ("load", pa.int64()), ("keys", pa.binary()), ("many", pa.binary())])
+
+    def told(load: int, every: list[np.ndarray], ids: list[np.ndarray]) -> pa.RecordBatch:
+        keys, ids = np.concatenate(every), np.concatenate(ids)
+        order = np.argsort(keys)
+        keys, ids = keys[order], ids[order]
+        cut = np.ones(len(keys), bool)
+        cut[1:] = keys[1:] != keys[:-1]
+        first = np.flatnonzero(cut)
+        many = np.minimum.reduceat(ids, first) < np.maximum.reduceat(ids, first) if len(first) else cut
+        keys = keys[first]
+        own = (keys % np.uint64(buckets)).astype(np.int32)
+        turn = np.argsort(own, kind="stable")
+        which, cuts = np.unique(own[turn], return_index=True)
+        parts = np.split(turn, cuts[1:]) if len(which) else []
+        return batches({"bucket": which, "load": np.full(len(which), load), "keys": [keys[p].tobytes() for p in parts], "many": [many[p].tobytes() for p in parts]}, schema)
 
     def work(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        load, keys, ids = None, [], []
         for batch in it:
-            for row in batch.to_pylist():
-                shard = Shard(row)
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                if keys and row["load"] != load:
+                    yield told(load, keys, ids)
+                    keys, ids = [], []
+                load, shard = row["load"], Shard(row)
                 runs = shard.runs(size)
-                keys, number = np.unique(runs.key, return_inverse=True)
-                low = np.full(len(keys), np.iinfo(np.int64).max)
-                high = np.full(len(keys), np.iinfo(np.int64).min)
-                np.minimum.at(low, number, shard.doc_ids[runs.row])
-                np.maximum.at(high, number, shard.doc_ids[runs.row])
-                own = (keys % np.uint64(buckets)).astype(np.int32)
-                turn = np.argsort(own, kind="stable")
-                which, cuts = np.unique(own[turn], return_index=True)
-                parts = np.split(turn, cuts[1:]) if len(which) else []
-                many = low < high
-                yield batches({"bucket": which, "shard": np.full(len(which), row["shard"]), "keys": [keys[p].tobytes() for p in parts], "many": [many[p].tobytes() for p in parts]}, schema)
+                keys.append(runs.key)
+                ids.append(shard.doc_ids[runs.row])
+        if keys:
+            yield told(load, keys, ids)
 
-    return shards.mapInArrow(work, "bucket int, shard long, keys binary, many binary")
+    return shards.mapInArrow(work, "bucket int, load long, keys binary, many binary")
 
 
 def shared_keys(keys: DataFrame) -> DataFrame:
-    """``shard, keys``: of each shard's keys those that some other document has too."""
-    schema = pa.schema([("shard", pa.int64()), ("keys", pa.binary())])
+    """``load, keys``: of each load's keys those that some other document has too."""
+    schema = pa.schema([("load", pa.int64()), ("keys", pa.binary())])
 
     def work(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
@@ -261,47 +298,57 @@ def shared_keys(keys: DataFrame) -> DataFrame:
         twice[:-1] |= twice[1:]
         shared = many.copy()
         shared[order] |= twice
-        # A key that several documents of one shard have is shared wherever it is; twice tells those of several shards.
+        # A key that several documents of one load have is shared wherever it is; twice tells those of several loads.
         cuts = np.cumsum([len(p) for p in parts])[:-1]
         kept = [p[s] for p, s in zip(parts, np.split(shared, cuts))]
         full = [i for i, p in enumerate(kept) if len(p)]
-        return pa.table({"shard": pa.array([rows[i]["shard"] for i in full], pa.int64()), "keys": pa.array([np.sort(kept[i]).tobytes() for i in full], pa.binary())}, schema=schema)
+        return pa.table({"load": pa.array([rows[i]["load"] for i in full], pa.int64()), "keys": pa.array([np.sort(kept[i]).tobytes() for i in full], pa.binary())}, schema=schema)
 
-    return keys.groupBy("bucket").applyInArrow(work, "shard long, keys binary")
+    return keys.groupBy("bucket").applyInArrow(work, "load long, keys binary")
 
 
-def _one(table: pa.Table) -> Shard | None:
-    return Shard(table.to_pylist()[0]) if table.num_rows else None
+def _shards(table: pa.Table) -> Iterator[Shard]:
+    """The shards of a load in order, one at a time."""
+    for k in np.argsort(table["shard"].to_numpy()).tolist():
+        yield Shard(table.slice(k, 1).to_pylist()[0])
 
 
-def _keys(table: pa.Table) -> np.ndarray:
-    return np.sort(np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(r, np.uint64) for r in table["keys"].to_pylist())]))
+def _keys(keys: list[bytes]) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, np.uint64), *(np.frombuffer(k, np.uint64) for k in keys)]))
 
 
 def shared_pieces(shards: DataFrame, shared: DataFrame, size: int, buckets: int) -> DataFrame:
-    """``bucket, shard, numbers, keys, least, sizes, body``: each different piece with a shared key, once for a shard."""
-    schema = pa.schema([("bucket", pa.int32()), ("shard", pa.int64()), *((c, pa.binary()) for c in ("numbers", "keys", "least", "sizes", "body"))])
+    """``bucket, load, numbers, keys, least, sizes, body``: each different piece with a shared key, once for a shard.
+
+    Pieces of a load are numbered throughout, shard after shard.
+    """
+    schema = pa.schema([("bucket", pa.int32()), ("load", pa.int64()), *((c, pa.binary()) for c in ("numbers", "keys", "least", "sizes", "body"))])
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        shard, out = _one(left), {c: [] for c in schema.names}
-        if shard is not None and right.num_rows:
+        out, found = {c: [] for c in schema.names}, []
+        if left.num_rows and right.num_rows:
+            known = _keys(right["keys"].to_pylist())
+            for shard in _shards(left):
+                runs, _, head, least = shard.pieces(size, known)
+                sizes = runs.last[head] - runs.first[head] + size
+                found.append((runs.key[head], least, sizes, shard.data[ragged(runs.first[head], sizes)]))
+        if found:
             pack = zstandard.ZstdCompressor(level=1)
-            runs, _, head, least = shard.pieces(size, _keys(right))
-            own = (runs.key[head] % np.uint64(buckets)).astype(np.int32)
+            keys, least, sizes, data = map(np.concatenate, zip(*found))
+            first = np.cumsum(sizes) - sizes
+            own = (keys % np.uint64(buckets)).astype(np.int32)
             turn = np.argsort(own, kind="stable")
             which, cuts = np.unique(own[turn], return_index=True)
             for bucket, part in zip(which.tolist(), np.split(turn, cuts[1:]) if len(which) else []):
-                sizes = runs.last[head[part]] - runs.first[head[part]] + size
-                body = shard.data[ragged(runs.first[head[part]], sizes)].tobytes()
-                numbers = np.diff(part, prepend=0)
-                keys = (runs.key[head[part]] >> np.uint64(32)).astype(np.int64)
-                values = (bucket, left["shard"][0].as_py(), squeezed(numbers), squeezed(keys), squeezed(least[part]), squeezed(sizes), pack.compress(body))
+                body = data[ragged(first[part], sizes[part])].tobytes()
+                numbers, high = np.diff(part, prepend=0), (keys[part] >> np.uint64(32)).astype(np.int64)
+                values = (bucket, left["load"][0].as_py(), squeezed(numbers), squeezed(high), squeezed(least[part]), squeezed(sizes[part]), pack.compress(body))
                 for column, value in zip(out.values(), values):
                     column.append(value)
         return pa.table({f.name: pa.array(out[f.name], f.type) for f in schema}, schema=schema)
 
-    ddl = "bucket int, shard long, numbers binary, keys binary, least binary, sizes binary, body binary"
-    return shards.groupBy("shard").cogroup(shared.groupBy("shard")).applyInArrow(work, ddl)
+    ddl = "bucket int, load long, numbers binary, keys binary, least binary, sizes binary, body binary"
+    return shards.groupBy("load").cogroup(shared.groupBy("load")).applyInArrow(work, ddl)
 
 
 def least_documents(data: np.ndarray, starts: np.ndarray, least: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -347,17 +394,57 @@ def string_owners(pieces: list[tuple[np.ndarray, np.ndarray, np.ndarray]], size:
     return owners
 
 
+def repeated_strings(data: np.ndarray, first: np.ndarray, strings: np.ndarray, size: int) -> np.ndarray:
+    """For each string of some pieces (by place), one after the other, whether another has its hash. The rest have no equal."""
+    codes, hashes = byte_codes(), []
+    for lo, hi in row_groups(np.append(first, first[-1:] + strings[-1:] + size - 1), CHECKED_BYTES):
+        begin = first[lo]
+        at = ragged(first[lo:hi] - begin, strings[lo:hi])
+        hashes.append(span_hashes(data[begin : begin + at[-1] + size], at, at + size, codes))
+    every = np.concatenate(hashes)
+    order = np.argsort(every)
+    equal = every[order[1:]] == every[order[:-1]]
+    twice = np.zeros(len(every), bool)
+    twice[order[1:]] = equal
+    twice[order[:-1]] |= equal
+    return twice
+
+
+def first_owners(data: np.ndarray, first: np.ndarray, strings: np.ndarray, low: np.ndarray, size: int, most: int) -> np.ndarray:
+    """For each string of some different pieces, one after the other, the least document of any piece that has it.
+
+    A string whose hash no other has is its piece's own; the others go, in runs,
+    into suffix arrays of up to ``most`` bytes each.
+    """
+    owner = np.repeat(low, strings)
+    at = np.flatnonzero(repeated_strings(data, first, strings, size))
+    if not len(at):
+        return owner
+    ends = np.cumsum(strings)
+    piece = np.searchsorted(ends, at, "right")
+    cut = np.ones(len(at), bool)
+    cut[1:] = (at[1:] != at[:-1] + 1) | (piece[1:] != piece[:-1])
+    begin = np.flatnonzero(cut)
+    piece, lengths = piece[begin], np.diff(np.append(begin, len(at)))
+    begin = first[piece] + at[begin] - (ends - strings)[piece]
+    cuts, blocks = np.concatenate([[0], np.cumsum(lengths + size - 1)]), []
+    for a, b in row_groups(cuts, most):
+        blocks.append((data[ragged(begin[a:b], lengths[a:b] + size - 1)], cuts[a : b + 1] - cuts[a], low[piece[a:b]]))
+    owner[at] = np.concatenate(string_owners(blocks, size))[ragged(cuts[:-1], lengths)]
+    return owner
+
+
 def marked_pieces(pieces: DataFrame, size: int, most: int = ARRAY_BYTES) -> DataFrame:
-    """``shard, numbers, sizes, marks``: for pieces with strings that a smaller document has, where these begin (packed bits).
+    """``load, numbers, sizes, marks``: for pieces with strings that a smaller document has, where these begin (packed bits).
 
     Equal pieces of several shards are one from here on. A piece that is the
-    only one with its key has all occurrences of its strings; the others go into
-    the suffix arrays.
+    only one with its key has all occurrences of its strings; of the others,
+    strings whose hash comes twice go into the suffix arrays.
     """
-    schema = pa.schema([("shard", pa.int64()), ("numbers", pa.binary()), ("sizes", pa.binary()), ("marks", pa.binary())])
+    schema = pa.schema([("load", pa.int64()), ("numbers", pa.binary()), ("sizes", pa.binary()), ("marks", pa.binary())])
 
     def work(table: pa.Table) -> pa.Table:
-        rows = table.select(["shard", "numbers", "keys", "least", "sizes", "body"]).to_pylist()
+        rows = table.select(["load", "numbers", "keys", "least", "sizes", "body"]).to_pylist()
         open_ = zstandard.ZstdDecompressor()
         data = np.concatenate([np.frombuffer(open_.decompress(r["body"]), np.uint8) for r in rows])
         own_sizes = [unsqueezed(r["sizes"]) for r in rows]
@@ -368,18 +455,13 @@ def marked_pieces(pieces: DataFrame, size: int, most: int = ARRAY_BYTES) -> Data
         np.minimum.at(low, number, least)
         _, of, among = np.unique(np.concatenate([unsqueezed(r["keys"]) for r in rows])[head], return_inverse=True, return_counts=True)
         alone = among[of] == 1
-        # Places of the pieces that are not alone, one after the other; the others have none.
-        own = np.where(alone, 0, sizes[head])
-        starts = np.concatenate([[0], np.cumsum(own)])
-        owner = np.zeros(0, np.int64)
-        if starts[-1]:
-            met = np.flatnonzero(~alone)
-            cuts = np.concatenate([[0], np.cumsum(sizes[head[met]])])
-            blocks = []
-            for a, b in row_groups(cuts, most):
-                piece = data[ragged(first[head[met[a:b]]], sizes[head[met[a:b]]])]
-                blocks.append((piece, cuts[a : b + 1] - cuts[a], low[met[a:b]]))
-            owner = np.concatenate(string_owners(blocks, size))
+        # Places of the strings of pieces that are not alone, one after the other; the others have none.
+        met = np.flatnonzero(~alone)
+        met = met[np.argsort(head[met])]
+        strings = sizes[head[met]] - size + 1
+        starts = np.zeros(len(head), np.int64)
+        starts[met] = np.cumsum(strings) - strings
+        owner = first_owners(data, first[head[met]], strings, low[met], size, most) if len(met) else np.zeros(0, np.int64)
         mark = np.zeros(len(data), bool)
         for a, b in row_groups(np.concatenate([[0], np.cumsum(sizes)]), CHECKED_BYTES):
             k, strings = np.arange(a, b), sizes[a:b] - size + 1
@@ -396,41 +478,57 @@ def marked_pieces(pieces: DataFrame, size: int, most: int = ARRAY_BYTES) -> Data
                 bits = mark[ragged(first[at : at + len(own)][keep], own[keep])]
                 numbers = np.cumsum(unsqueezed(row["numbers"]))[keep]
                 packed = zstandard.ZstdCompressor(level=1).compress(np.packbits(bits).tobytes())
-                values = (row["shard"], squeezed(np.diff(numbers, prepend=0)), squeezed(own[keep]), packed)
+                values = (row["load"], squeezed(np.diff(numbers, prepend=0)), squeezed(own[keep]), packed)
                 for column, value in zip(out.values(), values):
                     column.append(value)
             at += len(own)
         return pa.table({f.name: pa.array(out[f.name], f.type) for f in schema}, schema=schema)
 
-    return pieces.groupBy("bucket").applyInArrow(work, "shard long, numbers binary, sizes binary, marks binary")
+    return pieces.groupBy("bucket").applyInArrow(work, "load long, numbers binary, sizes binary, marks binary")
 
 
-def removed_bytes(shard: Shard, size: int, shared: np.ndarray, rows: list[dict]) -> np.ndarray:
-    """Which bytes of a shard are covered by a string of a smaller document."""
-    gone = np.zeros(len(shard.data) + 1, np.int64)
-    if len(shared):
-        runs, number, head, least = shard.pieces(size, shared)
-        lengths = runs.last - runs.first + 1
-        # Copies within the shard: whole runs of documents after the piece's first.
-        later = shard.doc_ids[runs.row] > least[number]
-        np.add.at(gone, runs.first[later], 1)
-        np.add.at(gone, runs.last[later] + size, -1)
-        begin = np.full(len(head), -1, np.int64)
-        bits, total = [], 0
+class Marks:
+    """Where marked strings begin in the pieces of a load, from one row for each bucket."""
+
+    def __init__(self, rows: list[dict]):
+        numbers, begin, packed, total = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint8)], 0
         for r in rows:
-            numbers, sizes = np.cumsum(unsqueezed(r["numbers"])), unsqueezed(r["sizes"])
-            begin[numbers] = total + np.cumsum(sizes) - sizes
-            raw = zstandard.ZstdDecompressor().decompress(r["marks"])
-            bits.append(np.unpackbits(np.frombuffer(raw, np.uint8), count=int(sizes.sum())).astype(bool))
-            total += len(bits[-1])
-        if bits:
-            bits = np.concatenate(bits)
-            told = (begin[number] >= 0) & ~later
-            at = ragged(runs.first[told], lengths[told])
-            mark = bits[ragged(begin[number[told]], lengths[told])]
-            np.add.at(gone, at[mark], 1)
-            np.add.at(gone, at[mark] + size, -1)
-    return np.cumsum(gone[:-1]) > 0
+            sizes = unsqueezed(r["sizes"])
+            numbers.append(np.cumsum(unsqueezed(r["numbers"])))
+            begin.append(8 * total + np.cumsum(sizes) - sizes)
+            packed.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(r["marks"]), np.uint8))
+            total += len(packed[-1])
+        self.packed, number = np.concatenate(packed), np.concatenate(numbers)
+        order = np.argsort(number)
+        self.number, self.begin = number[order], np.concatenate(begin)[order]
+
+    def begins(self, base: int, n: int) -> np.ndarray:
+        """The bit where the marks of each of ``n`` pieces from number ``base`` on begin, or -1."""
+        lo, hi = np.searchsorted(self.number, [base, base + n])
+        out = np.full(n, -1, np.int64)
+        out[self.number[lo:hi] - base] = self.begin[lo:hi]
+        return out
+
+    def bits(self, at: np.ndarray) -> np.ndarray:
+        return (self.packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def removed_bytes(shard: Shard, size: int, shared: np.ndarray, marks: Marks, base: int) -> tuple[np.ndarray, int]:
+    """Which bytes of a shard are covered by a string of a smaller document, and how many pieces it has (numbered from ``base`` on)."""
+    gone = np.zeros(len(shard.data) + 1, np.int64)
+    runs, number, head, least = shard.pieces(size, shared)
+    lengths = runs.last - runs.first + 1
+    # Copies within the shard: whole runs of documents after the piece's first.
+    later = shard.doc_ids[runs.row] > least[number]
+    np.add.at(gone, runs.first[later], 1)
+    np.add.at(gone, runs.last[later] + size, -1)
+    begin = marks.begins(base, len(head))
+    told = (begin[number] >= 0) & ~later
+    at = ragged(runs.first[told], lengths[told])
+    mark = marks.bits(ragged(begin[number[told]], lengths[told]))
+    np.add.at(gone, at[mark], 1)
+    np.add.at(gone, at[mark] + size, -1)
+    return np.cumsum(gone[:-1]) > 0, len(head)
 
 
 def drop_repeated_strings(
@@ -446,7 +544,8 @@ def drop_repeated_strings(
     so is shuffled); the pieces of the rest, each once for a shard, meet in buckets by
     key, where suffix arrays of blocks, merged by binary search, find the least
     document of each string. Marks of pieces go back to the shards. A passage
-    that a third of the documents have is one piece a shard.
+    that a third of the documents have is one piece a shard. Shards send and get
+    all this in loads: a row between each load and each bucket.
 
     Texts that are null are empty. Rows without doc_id take no part and keep
     all; rows that repeat a doc_id do not remove each other; an empty table gives
@@ -457,30 +556,30 @@ def drop_repeated_strings(
     shards = materialize(shards_of(docs, doc_id, text), "text-shards")
     total = shards.agg(F.sum("bytes")).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes), 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    shared = materialize(shared_keys(shard_keys(shards, size, buckets)), "shared-keys")
+    shards = shards.withColumn("load", F.shiftright("shard", load_bits(total)))
+    shared = materialize(shared_keys(load_keys(shards, size, buckets)), "shared-keys")
     marks = marked_pieces(shared_pieces(shards, shared, size, buckets), size)
     fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
     fields += [("span_starts", pa.list_(pa.int64())), ("span_ends", pa.list_(pa.int64()))] + [("kept", pa.binary())] * with_text
     schema = pa.schema(fields)
 
     def work(left: pa.Table, right: pa.Table) -> pa.Table:
-        shard, out = _one(left), {c: [] for c in schema.names}
-        if shard is not None:
-            rows = right.to_pylist()
-            keys = [np.frombuffer(r["keys"], np.uint64) for r in rows if r["keys"] is not None]
-            shared = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
-            gone = removed_bytes(shard, size, shared, [r for r in rows if r["marks"] is not None])
-            for k, (i, known) in enumerate(zip(shard.doc_ids.tolist(), shard.known.tolist())):
+        out, base, rows = {c: [] for c in schema.names}, 0, right.to_pylist()
+        known, told = _keys([r["keys"] for r in rows if r["keys"] is not None]), Marks([r for r in rows if r["marks"] is not None])
+        for shard in _shards(left) if left.num_rows else ():
+            gone, n = removed_bytes(shard, size, known, told, base)
+            base += n
+            for k, (i, known_id) in enumerate(zip(shard.doc_ids.tolist(), shard.known.tolist())):
                 own = gone[shard.starts[k] : shard.starts[k + 1]]
                 edges = np.flatnonzero(np.diff(own, prepend=False, append=False))
                 kept = shard.data[shard.starts[k] : shard.starts[k + 1]][~own].tobytes()
-                values = (i if known else None, len(own), int(own.sum()), len(edges) // 2, hashlib.sha256(kept).hexdigest(), edges[::2], edges[1::2], kept)
+                values = (i if known_id else None, len(own), int(own.sum()), len(edges) // 2, hashlib.sha256(kept).hexdigest(), edges[::2], edges[1::2], kept)
                 for column, value in zip(out.values(), values):
                     column.append(value)
         return pa.table({f.name: pa.array(out[f.name], f.type) for f in schema}, schema=schema)
 
     none = F.lit(None).cast("binary")
-    told = shared.select("shard", "keys", none.alias("numbers"), none.alias("sizes"), none.alias("marks"))
-    told = told.unionByName(marks.select("shard", none.alias("keys"), "numbers", "sizes", "marks"))
+    told = shared.select("load", "keys", none.alias("numbers"), none.alias("sizes"), none.alias("marks"))
+    told = told.unionByName(marks.select("load", none.alias("keys"), "numbers", "sizes", "marks"))
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, span_starts array<long>, span_ends array<long>" + ", kept binary" * with_text
-    return shards.groupBy("shard").cogroup(told.groupBy("shard")).applyInArrow(work, ddl)
+    return shards.groupBy("load").cogroup(told.groupBy("load")).applyInArrow(work, ddl)

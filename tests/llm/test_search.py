@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lectern.llm import suffix_arrays
 from lectern.llm.decontamination import leaks, without_leaks
 from lectern.llm.exact_topk import exact_topk
 from lectern.llm.suffix_arrays import common_prefixes, drop_repeated_strings, string_owners, suffix_array
@@ -240,3 +241,40 @@ def test_repeated_strings(spark, bucket):
     for r in found.collect():
         assert hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and sum(r.span_ends) - sum(r.span_starts) == r.n_removed
     assert drop_repeated_strings(frame.limit(0)).count() == 0
+
+
+def test_shards_travel_in_loads(spark, monkeypatch):
+    """A load of many shards sends one row to a bucket, and pieces are numbered over all its shards."""
+    for name, value in (("SHARD_BYTES", 300), ("LEAST_LOAD", 12), ("MOST_LOAD", 12)):
+        monkeypatch.setattr(suffix_arrays, name, value)
+    rng = np.random.default_rng(12)
+    words = ["".join(rng.choice(list("abc"), int(rng.integers(2, 9)))) for _ in range(90)]
+    docs = [(int(k), " ".join(rng.choice(words, int(rng.integers(0, 50))))) for k in rng.permutation(150)]
+    passage = " ".join(words[:30])
+    docs += [(200 + k, f"{words[k]} {passage[k:]} {words[-k]}") for k in range(40)] + [(300, None), (301, ""), (302, docs[3][1] * 30), (None, passage)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    found = drop_repeated_strings(frame, size=50, with_text=False, bucket_bytes=2_000)
+    assert rows(found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) == strings_by_hand(docs, 50)
+    shards = suffix_arrays.shards_of(frame, "doc_id", "text").withColumn("load", F.shiftright("shard", 12))
+    n_shards, n_loads = shards.agg(F.count("*"), F.countDistinct("load")).first()
+    assert n_shards > 4 * n_loads > 8
+    sent = suffix_arrays.load_keys(shards, 50, 16).groupBy("load", "bucket").count().collect()
+    assert {r["count"] for r in sent} == {1} and len(sent) > 8 * n_loads
+    # Rows between loads and buckets: in proportion to the input, not to its square, from 256 MB to 8 GB.
+    assert [suffix_arrays.load_bits(n) for n in (0, 1 << 28, 1 << 30, 1 << 40)] == [12] * 4
+    monkeypatch.undo()
+    assert [suffix_arrays.load_bits(n) for n in (0, 1 << 27, 1 << 30, 1 << 40)] == [20, 20, 23, 25]
+
+
+def test_strings_whose_hash_comes_once_skip_the_arrays(monkeypatch):
+    rng = np.random.default_rng(3)
+    same = rng.integers(97, 123, 60).astype(np.uint8)
+    texts = [rng.integers(low, low + 26, 400).astype(np.uint8) for low in (97, 97, 97, 65)]
+    texts[1][100:160] = texts[3][200:260] = same
+    data, sizes = np.concatenate(texts), np.full(4, 400)
+    seen, arrays = [], suffix_arrays.string_owners
+    monkeypatch.setattr(suffix_arrays, "string_owners", lambda blocks, size: seen.extend(blocks) or arrays(blocks, size))
+    owner = suffix_arrays.first_owners(data, np.cumsum(sizes) - sizes, sizes - 49, np.array([9, 7, 8, 5]), 50, 1 << 20)
+    want = np.repeat([9, 7, 8, 5], 351)
+    want[351 + 100 : 351 + 111] = 5
+    assert owner.tolist() == want.tolist() and sum(len(data) for data, _, _ in seen) == 120
