@@ -98,10 +98,13 @@ def predict_probabilities(model: PipelineModel, texts: DataFrame, text: str = "t
     names = labels_of(model)
     ready = texts.withColumn("clean", preprocess_text(F.col(text)))
     scored = PipelineModel(model.stages[1:]).transform(ready)
+    probabilities = F.slice(vector_to_array("probability"), 1, len(names))
+    # Made by a generator, as filters on them (or on a label told by them) move below any other column and
+    # would run clean-up and model again for each of their mentions.
     return scored.select(
         *[F.col(c) for c in texts.columns],
         F.array(*[F.lit(n) for n in names]).alias("labels"),
-        F.slice(vector_to_array("probability"), 1, len(names)).alias("probabilities"),
+        F.explode_outer(F.array(probabilities)).alias("probabilities"),
     )
 
 

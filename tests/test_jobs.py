@@ -326,6 +326,18 @@ def test_classifier(spark, tmp_path):
     assert rows(classifier.minimum_functionality_checks(model, expected)) == [("best checkpoint", "serve", "tune")]
 
 
+def test_model_runs_once_for_each_text(spark):
+    """Filters on the label, and its parts, don't repeat clean-up and model."""
+    data = [(t, f"{x} {w}") for t, x in TOPICS.items() for w in ("one", "two", "three", "four")]
+    model = classifier.train_tag_classifier(spark.createDataFrame(data, "tag string, text string"), max_iter=5)
+    expected = spark.createDataFrame([("best checkpoint", "tune"), ("best checkpoint", "serve")], "question string, tag string")
+    failed = classifier.minimum_functionality_checks(model, expected)
+    for found in (failed, failed.groupBy("tag").count(), classifier.predict_tag(model, expected, text="question").where("predicted_tag = 'tune'")):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("regexp_replace(") == 3, plan
+    assert rows(failed) == [("best checkpoint", "serve", "tune")]
+
+
 def test_router(spark):
     data = [("simple lookup", 1), ("easy lookup", 1), ("hard reasoning numbers", 0), ("complex reasoning", 0)]
     model = classifier.train_router(spark.createDataFrame(data, "question string, target int"), max_iter=20)

@@ -68,6 +68,17 @@ def test_context_budget_is_half_the_context_less_the_fixed_prompt(spark):
     assert one(spark, prompts.output_cap(F.lit(4097)), t="") == 2048
 
 
+def test_every_white_space_is_squeezed(spark):
+    """As by the plain list of white space, for each character alone and in runs."""
+    codes = [*range(1, 0xD800), *range(0xE000, 0x10000), 0x1F600, 0x2000B]
+    texts = spark.createDataFrame([(c, f"a{chr(c)}b{chr(c)} {chr(c)}{chr(c)}c") for c in codes], "c int, t string")
+    plain = F.trim(F.regexp_replace("t", f"[{text.UNICODE_SPACE}]+", " "))
+    assert texts.where(text.squeeze_space(F.col("t")) != plain).count() == 0
+    assert texts.where(text.squeeze_space(F.col("t")) == "a b c").count() == 29
+    separated = F.lower(text.split_camel_case(F.replace(F.replace(F.translate("t", "_-#", "   "), F.lit(".html"), F.lit("")), F.lit("."), F.lit(" "))))
+    assert texts.where("t not rlike '[?.,!]'").where(text.preprocess_text(F.col("t")) != separated).count() == 0
+
+
 def test_urls(spark):
     assert one(spark, urls.path_to_uri(F.col("t"), "d.org"), t="/mnt/d.org/x/d.org/a.html") == "https://d.org/a.html"
     assert one(spark, urls.path_to_uri(F.col("t"), "d.org"), t="/mnt/a.html") == "https://d.org/mnt/a.html"
